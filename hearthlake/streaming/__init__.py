@@ -1,0 +1,7 @@
+"""Streaming.
+
+The datasets this library rebuilds are all refreshed as batch jobs; none of
+them defines a streaming source, watermark or stateful operator, so this
+package is intentionally empty rather than offering operators with no
+counterpart.
+"""
