@@ -1,5 +1,451 @@
-"""DuckDB oracle queries (filled in below)."""
+"""DuckDB SQL for every SQL-expressible registered query.
+
+The driver registers the raw tables (customer, supplier, nation, region,
+part, orders, lineitem, documents, ...) as views and runs these statements
+next to the Spark queries. They are written independently of the Spark
+code, in the plain SQL of the original dataset definitions (inner joins,
+``LEFT JOIN ... IS NULL``, ``BETWEEN`` ranges, one scan per check), plus
+the documented deviations (null-safe reconciliation, NULL approval status
+quarantined, deterministic dedup tie-break, sentence chunking).
+
+Dialect notes:
+* Spark averages a DECIMAL(p,s) to DECIMAL(p+4,s+4) with HALF_UP and the
+  datasets then ROUND again; DuckDB averages decimals as DOUBLE. ``_avg``
+  reproduces Spark's two roundings with exact integer arithmetic.
+* Spark's regexp_replace replaces every match; ``'g'`` does that in DuckDB.
+  Java's ``\\s`` also matches vertical tab, so the cleaner spells it out.
+* DuckDB has no initcap; ``_initcap`` upper-cases the first letter of each
+  blank-separated word after lower-casing, like Spark.
+* DuckDB's concat() skips NULLs; ``||`` propagates them like Spark's concat.
+"""
+
+from __future__ import annotations
+
+POSITIVE = "(great|excellent|love|amazing|good|friendly|fresh|delicious|perfect|best)"
+NEGATIVE = "(bad|terrible|awful|slow|cold|stale|poor|worst|disappoint|rude)"
+
+
+def _initcap(expr: str) -> str:
+    return (f"array_to_string(list_transform(string_split(lower({expr}), ' '), "
+            f"lambda w: upper(w[1]) || w[2:]), ' ')")
+
+
+def _country(expr: str) -> str:
+    return (f"CASE WHEN upper(trim({expr})) IN ('US', 'USA') THEN 'United States' "
+            f"ELSE {_initcap(f'trim({expr})')} END")
+
+
+def _continent(expr: str) -> str:
+    k = f"lower(trim({expr}))"
+    return (f"CASE WHEN {k} IN ('north america', 'northamerica') THEN 'North America' "
+            f"WHEN {k} = 'south america' THEN 'South America' WHEN {k} = 'oceania' THEN 'Oceania' "
+            f"WHEN {k} = 'asia' THEN 'Asia' WHEN {k} = 'europe' THEN 'Europe' WHEN {k} = 'africa' THEN 'Africa' "
+            f"ELSE {_initcap(f'trim({expr})')} END")
+
+
+def _rhu(num: str, den: str) -> str:
+    """round_half_up(num / den) for integers, den > 0."""
+    return f"(sign({num}) * ((2 * abs({num}) + ({den})) // (2 * ({den}))))"
+
+
+def _avg(expr: str, scale: int, digits: int) -> str:
+    """Spark's ROUND(AVG(decimal(p, scale)), digits) as an exact DECIMAL."""
+    total = f"SUM(CAST(({expr}) * {10 ** scale} AS HUGEINT))"
+    n = f"COUNT({expr})"
+    wide = _rhu(f"({total}) * 10000", n)
+    rounded = _rhu(wide, str(10 ** (scale + 4 - digits)))
+    unit = "0." + "0" * (digits - 1) + "1"
+    return f"(CASE WHEN {n} = 0 THEN NULL ELSE CAST({rounded} AS DECIMAL(18,0)) * {unit} END)"
+
+
+def _haversine(lat1, lon1, lat2, lon2) -> str:
+    return (f"12742.0 * ASIN(LEAST(1.0, SQRT(POWER(SIN(RADIANS({lat2} - {lat1}) / 2), 2) + "
+            f"COS(RADIANS({lat1})) * COS(RADIANS({lat2})) * POWER(SIN(RADIANS({lon2} - {lon1}) / 2), 2))))")
+
+
+CTES: list[tuple[str, str]] = [
+    # -- staging: driver tables in the shape of the five operational sources
+    ("src_customers", r"""
+SELECT c_custkey AS customerID, c_name AS first_name, c_mktsegment AS last_name,
+  CASE WHEN c_custkey % 50 = 7 THEN 'no-at-sign'
+       ELSE c_mktsegment || '.' || CAST(c_custkey AS VARCHAR) || '@Example.com' END AS email_address,
+  '555-' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS phone_number,
+  CAST(c_custkey AS VARCHAR) || ' ' || c_mktsegment || ' St' AS address,
+  n_name AS city, 'unknown' AS state,
+  CASE WHEN c_nationkey % 3 = 0 THEN ' usa' WHEN c_nationkey % 3 = 1 THEN 'US' ELSE n_name END AS country,
+  CASE WHEN r_regionkey = 1 THEN 'NorthAmerica' ELSE r_name END AS continent,
+  CAST(c_custkey % 99999 AS INT) AS postal_zip_code, 'unknown' AS gender
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""),
+    ("src_franchises", r"""
+SELECT s_suppkey AS franchiseID, s_name AS name, CASE WHEN s_acctbal > 5000 THEN 'L' ELSE 'S' END AS size,
+  n_name AS district, n_name AS country,
+  CASE WHEN s_nationkey % 7 = 6 THEN NULL ELSE s_nationkey END AS supplierID,
+  CAST((s_suppkey * 37) % 60 - 30 AS DOUBLE) AS latitude, CAST((s_suppkey * 73) % 120 - 60 AS DOUBLE) AS longitude
+FROM supplier JOIN nation ON s_nationkey = n_nationkey"""),
+    ("src_suppliers", r"""
+SELECT n_nationkey AS supplierID, n_name AS name,
+  CASE n_nationkey % 6 WHEN 0 THEN 'Cacao' WHEN 1 THEN 'almonds' WHEN 2 THEN 'flour' WHEN 3 THEN 'vanilla'
+       WHEN 4 THEN 'coffee' ELSE NULL END AS ingredient,
+  CAST((n_nationkey * 53) % 60 - 30 AS DOUBLE) AS latitude, CAST((n_nationkey * 97) % 120 - 60 AS DOUBLE) AS longitude,
+  CASE WHEN n_nationkey = 24 THEN NULL WHEN n_nationkey % 5 = 4 THEN 'N' WHEN n_nationkey % 5 = 3 THEN ' y '
+       ELSE 'Y' END AS approved,
+  r_name AS continent, n_name AS city, 'central' AS district, 'M' AS size
+FROM nation JOIN region ON n_regionkey = r_regionkey"""),
+    ("src_transactions", r"""
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS transactionID,
+  l_shipdate AS dateTime, p_type AS product,
+  CASE WHEN l_partkey % 97 = 5 THEN 0 ELSE CAST(l_quantity AS INT) END AS quantity,
+  CAST(p_retailprice AS DECIMAL(10,2)) AS unitPrice,
+  CASE WHEN l_orderkey % 100 = 3 THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(12,2)) END AS totalPrice,
+  CASE WHEN l_orderkey % 223 = 5 THEN -1 ELSE o_custkey END AS customerID,
+  CASE WHEN l_orderkey % 211 = 9 THEN -1 ELSE l_suppkey END AS franchiseID,
+  'card' AS paymentMethod, CAST(NULL AS VARCHAR) AS cardNumber
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""),
+    ("src_reviews", r"""
+SELECT doc_id AS new_id,
+  text || CASE doc_id % 4 WHEN 0 THEN '. The service was slow' WHEN 1 THEN '. Fresh bread'
+                          WHEN 2 THEN '! Good but stale' ELSE '' END AS review,
+  CAST(DATE '1999-01-01' + CAST(doc_id % 120 AS INT) AS DATE) AS review_date,
+  doc_id % (SELECT count(*) FROM supplier) AS franchiseID
+FROM documents"""),
+    # -- bronze
+    ("bronze_customer_profiles", r"""
+SELECT TRY_CAST(customerID AS VARCHAR) AS raw_customer_id, first_name, last_name, email_address AS email,
+  phone_number AS phone, address AS physical_address, city, state, country, continent,
+  TRY_CAST(postal_zip_code AS VARCHAR) AS zip_code, gender, 'src_customers' AS _source_table
+FROM src_customers"""),
+    ("bronze_franchise_ops", r"""
+SELECT TRY_CAST(franchiseID AS VARCHAR) AS raw_store_id, name AS store_name, size AS operational_size, district,
+  country, TRY_CAST(supplierID AS VARCHAR) AS primary_supplier_id, TRY_CAST(latitude AS DOUBLE) AS latitude,
+  TRY_CAST(longitude AS DOUBLE) AS longitude, 'src_franchises' AS _source_table
+FROM src_franchises"""),
+    ("bronze_supply_chain", r"""
+SELECT TRY_CAST(supplierID AS VARCHAR) AS raw_supplier_id, name AS supplier_name, ingredient AS provided_ingredients,
+  TRY_CAST(latitude AS DOUBLE) AS latitude, TRY_CAST(longitude AS DOUBLE) AS longitude, approved AS approval_status,
+  continent, city, district, size, 'src_suppliers' AS _source_table
+FROM src_suppliers"""),
+    ("bronze_pos_transactions", r"""
+SELECT TRY_CAST(transactionID AS VARCHAR) AS raw_transaction_id,
+  TRY_CAST(dateTime AS TIMESTAMP) AS transaction_timestamp, product AS product_sold,
+  TRY_CAST(quantity AS INT) AS quantity, TRY_CAST(unitPrice AS DECIMAL(10,2)) AS unit_price,
+  TRY_CAST(totalPrice AS DECIMAL(12,2)) AS total_price, TRY_CAST(customerID AS VARCHAR) AS customer_id,
+  TRY_CAST(franchiseID AS VARCHAR) AS store_id, paymentMethod AS payment_method,
+  TRY_CAST(cardNumber AS VARCHAR) AS card_number, 'src_transactions' AS _source_table
+FROM src_transactions"""),
+    ("bronze_customer_reviews", r"""
+SELECT TRY_CAST(new_id AS VARCHAR) AS raw_review_id, review AS review_text,
+  TRY_CAST(review_date AS DATE) AS submission_date, TRY_CAST(franchiseID AS VARCHAR) AS franchise_id,
+  'src_reviews' AS _source_table
+FROM src_reviews"""),
+    # -- silver
+    ("silver_customer_profiles", rf"""
+SELECT raw_customer_id AS customer_id, first_name, last_name,
+  regexp_replace(lower(email), '(^.).*(@.*$)', '\1***\2', 'g') AS masked_email,
+  regexp_replace(phone, '(\d{{0,3}})\d+(\d{{2}})$', '\1****\2', 'g') AS masked_phone,
+  substr(physical_address, 1, 6) || '***' AS masked_address,
+  city, state, {_country('country')} AS normalized_country, {_continent('continent')} AS normalized_continent,
+  zip_code, gender
+FROM bronze_customer_profiles"""),
+    ("silver_franchise_ops", rf"""
+SELECT raw_store_id AS store_id, store_name, operational_size, district, {_country('country')} AS normalized_country,
+  primary_supplier_id, latitude, longitude
+FROM bronze_franchise_ops"""),
+    ("silver_supply_chain", rf"""
+SELECT raw_supplier_id AS supplier_id, supplier_name, provided_ingredients, latitude, longitude, true AS is_approved,
+  {_continent('continent')} AS normalized_continent, city, district, size
+FROM bronze_supply_chain WHERE upper(trim(approval_status)) = 'Y'"""),
+    ("silver_supply_chain_quarantine", r"""
+SELECT raw_supplier_id AS supplier_id, supplier_name, provided_ingredients, latitude, longitude, approval_status,
+  continent, city, district, size
+FROM bronze_supply_chain WHERE upper(trim(approval_status)) IS DISTINCT FROM 'Y'"""),
+    ("tx_filled", r"""
+SELECT raw_transaction_id AS transaction_id, transaction_timestamp, product_sold, quantity, unit_price,
+  COALESCE(total_price, TRY_CAST(quantity * unit_price AS DECIMAL(12,2))) AS total_price, customer_id, store_id
+FROM bronze_pos_transactions WHERE raw_transaction_id IS NOT NULL"""),
+    ("tx_deduped", r"""
+SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY transaction_timestamp DESC NULLS LAST,
+  product_sold DESC NULLS LAST, quantity DESC NULLS LAST, unit_price DESC NULLS LAST, total_price DESC NULLS LAST,
+  customer_id DESC NULLS LAST, store_id DESC NULLS LAST) AS rn
+FROM tx_filled"""),
+    ("silver_pos_transactions", r"""
+SELECT transaction_id, transaction_timestamp, product_sold, quantity, unit_price, total_price, customer_id, store_id
+FROM tx_deduped d
+WHERE rn = 1 AND quantity > 0 AND unit_price > 0
+  AND EXISTS (SELECT 1 FROM silver_customer_profiles c WHERE c.customer_id = d.customer_id)
+  AND EXISTS (SELECT 1 FROM silver_franchise_ops f WHERE f.store_id = d.store_id)"""),
+    ("silver_customer_reviews", r"""
+SELECT raw_review_id AS review_id,
+  list_filter(list_transform(regexp_split_to_array(
+      regexp_replace(lower(review_text), '[^a-z0-9 \t\n\x0B\f\r.!?]', ' ', 'g'), '[.!?]+'),
+    lambda x: trim(x)), lambda x: length(x) > 0) AS chunked_review_text,
+  submission_date, franchise_id AS store_id
+FROM bronze_customer_reviews"""),
+    # -- gold
+    ("gold_daily_franchise_health", rf"""
+SELECT store_id, CAST(transaction_timestamp AS DATE) AS reporting_date,
+  SUM(total_price) AS total_daily_revenue, CAST(SUM(quantity) AS BIGINT) AS total_items_sold,
+  {_avg('total_price', 2, 2)} AS avg_transaction_value
+FROM silver_pos_transactions GROUP BY store_id, CAST(transaction_timestamp AS DATE)"""),
+    ("c360_store_pref", r"""
+SELECT customer_id, preferred_store_location,
+  row_number() OVER (PARTITION BY customer_id ORDER BY txn_count DESC, preferred_store_location ASC NULLS FIRST) AS rn
+FROM (SELECT t.customer_id, f.store_name AS preferred_store_location, COUNT(*) AS txn_count
+      FROM silver_pos_transactions t JOIN silver_franchise_ops f ON t.store_id = f.store_id
+      GROUP BY t.customer_id, f.store_name)"""),
+    ("c360_product_pref", r"""
+SELECT customer_id, most_frequent_product,
+  row_number() OVER (PARTITION BY customer_id ORDER BY product_count DESC, most_frequent_product ASC NULLS FIRST) AS rn
+FROM (SELECT customer_id, product_sold AS most_frequent_product, COUNT(*) AS product_count
+      FROM silver_pos_transactions GROUP BY customer_id, product_sold)"""),
+    ("gold_customer_360", r"""
+SELECT s.customer_id, s.total_lifetime_spend, sp.preferred_store_location, pp.most_frequent_product
+FROM (SELECT customer_id, SUM(total_price) AS total_lifetime_spend FROM silver_pos_transactions GROUP BY customer_id) s
+LEFT JOIN c360_store_pref sp ON s.customer_id = sp.customer_id AND sp.rn = 1
+LEFT JOIN c360_product_pref pp ON s.customer_id = pp.customer_id AND pp.rn = 1"""),
+    ("risk_deps", rf"""
+SELECT s.supplier_id, COUNT(DISTINCT f.store_id) AS dependent_franchise_count,
+  AVG({_haversine('s.latitude', 's.longitude', 'f.latitude', 'f.longitude')}) AS avg_geographic_distance
+FROM silver_supply_chain s LEFT JOIN silver_franchise_ops f ON s.supplier_id = f.primary_supplier_id
+GROUP BY s.supplier_id"""),
+    ("risk_crit", r"""
+SELECT supplier_id,
+  CASE WHEN lower(provided_ingredients) IN ('cacao', 'cocoa butter', 'cane sugar', 'vanilla', 'oats') THEN 5
+       WHEN lower(provided_ingredients) IN ('almonds', 'hazelnuts', 'pecans', 'pistachios', 'coffee') THEN 3
+       ELSE 2 END AS ingredient_criticality_score
+FROM silver_supply_chain"""),
+    ("gold_supplier_risk_matrix", r"""
+SELECT s.supplier_id, COALESCE(fd.dependent_franchise_count, 0) AS dependent_franchise_count,
+  COALESCE(fd.avg_geographic_distance, 0.0) AS avg_geographic_distance, c.ingredient_criticality_score,
+  CASE WHEN COALESCE(fd.dependent_franchise_count, 0) >= 3
+        AND (COALESCE(fd.avg_geographic_distance, 0.0) >= 5000 OR c.ingredient_criticality_score >= 5) THEN true
+       WHEN COALESCE(fd.dependent_franchise_count, 0) >= 1 AND c.ingredient_criticality_score >= 5 THEN true
+       ELSE false END AS is_high_risk_flag
+FROM silver_supply_chain s LEFT JOIN risk_deps fd ON s.supplier_id = fd.supplier_id
+LEFT JOIN risk_crit c ON s.supplier_id = c.supplier_id"""),
+    ("sentiment_scored", rf"""
+SELECT store_id, submission_date,
+  CASE WHEN regexp_matches(review_chunk, '{POSITIVE}') THEN 10
+       WHEN regexp_matches(review_chunk, '{NEGATIVE}') THEN -10 ELSE 0 END AS score_tenths
+FROM (SELECT store_id, submission_date, UNNEST(chunked_review_text) AS review_chunk FROM silver_customer_reviews)"""),
+    ("gold_store_sentiment_trends", rf"""
+SELECT store_id, CAST(date_trunc('week', submission_date) AS DATE) AS reporting_period_start,
+  CAST(CAST(date_trunc('week', submission_date) AS DATE) + 6 AS DATE) AS reporting_period_end,
+  {_avg('score_tenths * 0.1', 1, 4)} AS customer_satisfaction_score
+FROM sentiment_scored
+GROUP BY store_id, CAST(date_trunc('week', submission_date) AS DATE)"""),
+    ("customer_rollup", rf"""
+SELECT preferred_store_location AS store_name, COUNT(*) AS active_customer_count,
+  {_avg('total_lifetime_spend', 2, 2)} AS avg_lifetime_spend_2dp
+FROM gold_customer_360 GROUP BY preferred_store_location"""),
+    ("risk_by_store", r"""
+SELECT f.store_id, MAX(CASE WHEN r.is_high_risk_flag THEN 1 ELSE 0 END) AS has_high_risk_supplier
+FROM silver_franchise_ops f LEFT JOIN gold_supplier_risk_matrix r ON f.primary_supplier_id = r.supplier_id
+GROUP BY f.store_id"""),
+    ("gold_store_scorecard", r"""
+SELECT d.store_id, f.store_name, d.reporting_date, d.total_daily_revenue, d.total_items_sold, d.avg_transaction_value,
+  COALESCE(s.customer_satisfaction_score, 0.0) AS weekly_sentiment_score,
+  COALESCE(c.active_customer_count, 0) AS active_customer_count,
+  COALESCE(c.avg_lifetime_spend_2dp, 0.00) AS avg_lifetime_spend,
+  CASE WHEN COALESCE(r.has_high_risk_supplier, 0) = 1 THEN true ELSE false END AS supply_risk_alert
+FROM gold_daily_franchise_health d
+LEFT JOIN silver_franchise_ops f ON d.store_id = f.store_id
+LEFT JOIN gold_store_sentiment_trends s
+  ON d.store_id = s.store_id AND d.reporting_date BETWEEN s.reporting_period_start AND s.reporting_period_end
+LEFT JOIN customer_rollup c ON f.store_name = c.store_name
+LEFT JOIN risk_by_store r ON d.store_id = r.store_id"""),
+    # -- forecast panel
+    ("fc_base", r"""
+SELECT store_id, reporting_date, total_daily_revenue FROM gold_daily_franchise_health
+WHERE total_daily_revenue IS NOT NULL"""),
+    ("fc_bounds", r"""
+SELECT MIN(reporting_date) AS first_day, MAX(reporting_date) AS last_day,
+  date_diff('day', MIN(reporting_date), MAX(reporting_date)) + 1 AS total_days FROM fc_base"""),
+    ("fc_panel", r"""
+SELECT s.store_id, d.reporting_date, COALESCE(b.total_daily_revenue, 0) AS total_daily_revenue
+FROM (SELECT DISTINCT store_id FROM fc_base) s
+CROSS JOIN (SELECT CAST(UNNEST(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE) AS reporting_date
+            FROM fc_bounds) d
+LEFT JOIN fc_base b ON b.store_id = s.store_id AND b.reporting_date = d.reporting_date"""),
+    ("fc_features", r"""
+SELECT store_id, reporting_date, CAST(total_daily_revenue AS DOUBLE) AS label,
+  CAST(dayofweek(reporting_date) + 1 AS DOUBLE) AS day_of_week,
+  CAST(dayofmonth(reporting_date) AS DOUBLE) AS day_of_month,
+  CAST(month(reporting_date) AS DOUBLE) AS month,
+  CAST(weekofyear(reporting_date) AS DOUBLE) AS week_of_year,
+  CASE WHEN dayofweek(reporting_date) IN (0, 6) THEN 1.0 ELSE 0.0 END::DOUBLE AS is_weekend,
+  CAST(date_diff('day', (SELECT first_day FROM fc_bounds), reporting_date) AS DOUBLE) AS trend_index,
+  lag(CAST(total_daily_revenue AS DOUBLE), 1) OVER w AS lag_1,
+  lag(CAST(total_daily_revenue AS DOUBLE), 7) OVER w AS lag_7,
+  avg(CAST(total_daily_revenue AS DOUBLE)) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS rolling_mean_3,
+  avg(CAST(total_daily_revenue AS DOUBLE)) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS rolling_mean_7,
+  COALESCE(stddev_samp(CAST(total_daily_revenue AS DOUBLE)) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 0.0)
+    AS rolling_std_7
+FROM fc_panel
+WINDOW w AS (PARTITION BY store_id ORDER BY reporting_date)"""),
+    ("fc_usable", r"""
+SELECT * FROM fc_features WHERE lag_7 IS NOT NULL AND rolling_mean_7 IS NOT NULL"""),
+    ("fc_split", r"""
+SELECT *, CASE WHEN total_days > 14 THEN 7 ELSE GREATEST(3, CAST(floor(total_days / 3) AS INT)) END AS holdout_days,
+  CAST(last_day - CAST(CASE WHEN total_days > 14 THEN 7 ELSE GREATEST(3, CAST(floor(total_days / 3) AS INT)) END
+                       AS INT) AS DATE) AS split_date
+FROM fc_bounds"""),
+]
+
+
+def _with(select: str) -> str:
+    body = ",\n".join(f"{name} AS ({sql.strip()})" for name, sql in CTES)
+    return f"WITH {body}\n{select.strip()}"
+
+
+def _checks(union_sql: str) -> str:
+    return _with(f"""
+SELECT test_name, failed_records, failed_records = 0 AS test_passed FROM (
+{union_sql.strip()}
+) checks""")
+
+
+_FOUNDATION = r"""
+SELECT 'duplicate_transaction_ids' AS test_name, COUNT(*) AS failed_records
+FROM (SELECT transaction_id FROM silver_pos_transactions GROUP BY transaction_id HAVING COUNT(*) > 1) x
+UNION ALL
+SELECT 'invalid_customer_fk_in_transactions', COUNT(*) FROM silver_pos_transactions t
+LEFT JOIN silver_customer_profiles c ON t.customer_id = c.customer_id WHERE c.customer_id IS NULL
+UNION ALL
+SELECT 'invalid_store_fk_in_transactions', COUNT(*) FROM silver_pos_transactions t
+LEFT JOIN silver_franchise_ops f ON t.store_id = f.store_id WHERE f.store_id IS NULL
+UNION ALL
+SELECT 'unapproved_suppliers_in_silver_supply', COUNT(*) FROM silver_supply_chain s
+WHERE COALESCE(is_approved, false) <> true
+   OR NOT EXISTS (SELECT 1 FROM bronze_supply_chain b
+                  WHERE b.raw_supplier_id = s.supplier_id AND upper(trim(b.approval_status)) = 'Y')
+UNION ALL
+SELECT 'approved_suppliers_in_quarantine', COUNT(*) FROM silver_supply_chain_quarantine
+WHERE upper(trim(approval_status)) = 'Y'
+UNION ALL
+SELECT 'unmasked_email_patterns', COUNT(*) FROM silver_customer_profiles WHERE masked_email NOT LIKE '_***%@%'
+UNION ALL
+SELECT 'unmasked_phone_patterns', COUNT(*) FROM silver_customer_profiles WHERE masked_phone NOT LIKE '%****%'
+UNION ALL
+SELECT 'reviews_without_chunks', COUNT(*) FROM silver_customer_reviews
+WHERE chunked_review_text IS NULL OR len(chunked_review_text) = 0
+"""
+
+_DAILY = rf"""
+SELECT 'aggregation_mismatch_vs_silver' AS test_name, COUNT(*) AS failed_records
+FROM (SELECT store_id, CAST(transaction_timestamp AS DATE) AS reporting_date,
+        SUM(total_price) AS total_daily_revenue, CAST(SUM(quantity) AS BIGINT) AS total_items_sold,
+        {_avg('total_price', 2, 2)} AS avg_transaction_value
+      FROM silver_pos_transactions GROUP BY 1, 2) e
+FULL OUTER JOIN gold_daily_franchise_health a ON e.store_id = a.store_id AND e.reporting_date = a.reporting_date
+WHERE e.store_id IS NULL OR a.store_id IS NULL
+   OR e.total_daily_revenue IS DISTINCT FROM a.total_daily_revenue
+   OR e.total_items_sold IS DISTINCT FROM a.total_items_sold
+   OR e.avg_transaction_value IS DISTINCT FROM a.avg_transaction_value
+UNION ALL
+SELECT 'negative_metrics', COUNT(*) FROM gold_daily_franchise_health
+WHERE total_daily_revenue < 0 OR total_items_sold < 0 OR avg_transaction_value < 0
+UNION ALL
+SELECT 'null_store_or_date', COUNT(*) FROM gold_daily_franchise_health WHERE store_id IS NULL OR reporting_date IS NULL
+"""
+
+_C360 = r"""
+SELECT 'duplicate_customer_rows' AS test_name, COUNT(*) AS failed_records
+FROM (SELECT customer_id FROM gold_customer_360 GROUP BY customer_id HAVING COUNT(*) > 1) x
+UNION ALL
+SELECT 'null_customer_id', COUNT(*) FROM gold_customer_360 WHERE customer_id IS NULL
+UNION ALL
+SELECT 'spend_mismatch_vs_silver', COUNT(*)
+FROM (SELECT customer_id, SUM(total_price) AS total_lifetime_spend FROM silver_pos_transactions GROUP BY customer_id) e
+FULL OUTER JOIN gold_customer_360 g ON e.customer_id = g.customer_id
+WHERE e.customer_id IS NULL OR g.customer_id IS NULL OR e.total_lifetime_spend IS DISTINCT FROM g.total_lifetime_spend
+UNION ALL
+SELECT 'null_preference_fields_for_transacting_customers', COUNT(*) FROM gold_customer_360
+WHERE preferred_store_location IS NULL OR most_frequent_product IS NULL
+"""
+
+_RISK = r"""
+SELECT 'missing_suppliers_in_risk_matrix' AS test_name, COUNT(*) AS failed_records
+FROM silver_supply_chain s LEFT JOIN gold_supplier_risk_matrix g ON s.supplier_id = g.supplier_id
+WHERE g.supplier_id IS NULL
+UNION ALL
+SELECT 'criticality_out_of_range', COUNT(*) FROM gold_supplier_risk_matrix
+WHERE ingredient_criticality_score NOT IN (2, 3, 5)
+UNION ALL
+SELECT 'negative_distance', COUNT(*) FROM gold_supplier_risk_matrix WHERE avg_geographic_distance < 0
+UNION ALL
+SELECT 'null_primary_fields', COUNT(*) FROM gold_supplier_risk_matrix
+WHERE supplier_id IS NULL OR is_high_risk_flag IS NULL
+"""
+
+_SENTIMENT = r"""
+SELECT 'sentiment_score_out_of_bounds' AS test_name, COUNT(*) AS failed_records FROM gold_store_sentiment_trends
+WHERE customer_satisfaction_score < -1 OR customer_satisfaction_score > 1
+UNION ALL
+SELECT 'invalid_reporting_period_span', COUNT(*) FROM gold_store_sentiment_trends
+WHERE date_diff('day', reporting_period_start, reporting_period_end) <> 6
+UNION ALL
+SELECT 'null_store_or_period', COUNT(*) FROM gold_store_sentiment_trends
+WHERE store_id IS NULL OR reporting_period_start IS NULL OR reporting_period_end IS NULL
+"""
+
+_SCORECARD = r"""
+SELECT 'scorecard_row_count_matches_daily_health' AS test_name,
+  ABS((SELECT COUNT(*) FROM gold_daily_franchise_health) - (SELECT COUNT(*) FROM gold_store_scorecard))
+    AS failed_records
+UNION ALL
+SELECT 'null_primary_keys', COUNT(*) FROM gold_store_scorecard WHERE store_id IS NULL OR reporting_date IS NULL
+UNION ALL
+SELECT 'negative_core_metrics', COUNT(*) FROM gold_store_scorecard
+WHERE total_daily_revenue < 0 OR total_items_sold < 0 OR avg_transaction_value < 0
+"""
+
+
+def _mask(admin: bool) -> str:
+    def m(c):
+        if admin:
+            return f"{c} AS {c}"
+        return f"CASE WHEN {c} IS NULL THEN NULL ELSE substr({c}, 1, 2) || '***' END AS {c}"
+    return _with(f"SELECT raw_customer_id, {m('email')}, {m('phone')}, {m('physical_address')} "
+                 f"FROM bronze_customer_profiles")
 
 
 def oracle_queries() -> dict[str, str]:
-    return {}
+    return {
+        "bronze_customers": _with("SELECT * FROM bronze_customer_profiles"),
+        "bronze_stores": _with("SELECT * FROM bronze_franchise_ops"),
+        "bronze_suppliers": _with("SELECT * FROM bronze_supply_chain"),
+        "bronze_transactions": _with("SELECT * FROM bronze_pos_transactions"),
+        "bronze_reviews": _with("SELECT * FROM bronze_customer_reviews"),
+        "silver_customers_masked": _with("SELECT * FROM silver_customer_profiles"),
+        "silver_stores": _with("SELECT * FROM silver_franchise_ops"),
+        "silver_suppliers_approved": _with("SELECT * FROM silver_supply_chain"),
+        "silver_suppliers_quarantine": _with("SELECT * FROM silver_supply_chain_quarantine"),
+        "silver_transactions": _with("SELECT * FROM silver_pos_transactions"),
+        "silver_review_chunks": _with("""
+SELECT r.review_id, CAST(u.pos - 1 AS INT) AS pos, u.chunk
+FROM silver_customer_reviews r, UNNEST(r.chunked_review_text) WITH ORDINALITY AS u(chunk, pos)"""),
+        "gold_daily_store_health": _with("SELECT * FROM gold_daily_franchise_health"),
+        "gold_customer_360": _with("SELECT * FROM gold_customer_360"),
+        "gold_supplier_risk": _with("""
+SELECT supplier_id, dependent_franchise_count, ROUND(avg_geographic_distance, 6) AS avg_geographic_distance,
+  ingredient_criticality_score, is_high_risk_flag FROM gold_supplier_risk_matrix"""),
+        "gold_weekly_sentiment": _with("SELECT * FROM gold_store_sentiment_trends"),
+        "gold_store_scorecard": _with("SELECT * FROM gold_store_scorecard"),
+        "checks_foundation": _checks(_FOUNDATION),
+        "checks_daily": _checks(_DAILY),
+        "checks_customer_360": _checks(_C360),
+        "checks_supplier_risk": _checks(_RISK),
+        "checks_sentiment": _checks(_SENTIMENT),
+        "checks_scorecard": _checks(_SCORECARD),
+        "forecast_panel_features": _with("""
+SELECT store_id, reporting_date, label, day_of_week, day_of_month, month, week_of_year, is_weekend, trend_index,
+  lag_1, lag_7, ROUND(rolling_mean_3, 6) AS rolling_mean_3, ROUND(rolling_mean_7, 6) AS rolling_mean_7,
+  ROUND(rolling_std_7, 6) AS rolling_std_7
+FROM fc_usable"""),
+        "forecast_holdout_split": _with("""
+SELECT CASE WHEN u.reporting_date <= s.split_date THEN 'train' ELSE 'test' END AS split, COUNT(*) AS rows,
+  ANY_VALUE(s.holdout_days) AS holdout_days, ANY_VALUE(s.split_date) AS split_date
+FROM fc_usable u, fc_split s GROUP BY 1"""),
+        "mask_pii_admin": _mask(True),
+        "mask_pii_user": _mask(False),
+    }
