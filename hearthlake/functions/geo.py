@@ -34,9 +34,11 @@ def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = params.EARTH_RADIUS_
     """Great-circle distance in km between two (lat, lon) points in degrees.
 
     The asin argument is clamped to 1 so antipodal points give pi*R instead
-    of NaN from rounding noise.
+    of NaN from rounding noise; a NULL coordinate gives NULL (``least``
+    would skip the NULL, so the clamp is a CASE).
     """
     lat1, lon1, lat2, lon2 = map(_col, (lat1, lon1, lat2, lon2))
     a = (F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2)
          + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2))
-    return F.lit(2 * radius_km) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    root = F.sqrt(a)
+    return F.lit(2 * radius_km) * F.asin(F.when(root > 1.0, F.lit(1.0)).otherwise(root))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,8 +43,20 @@ def chunk_sentences(clean, literal: bool = False) -> Column:
     return F.filter(F.transform(pieces, lambda x: F.trim(x)), lambda x: F.length(x) > 0)
 
 
-def _alternation(words) -> str:
-    return "(" + "|".join(words) + ")"
+_PLAIN_WORD = re.compile(r"^[A-Za-z0-9 ]+$")
+
+
+def contains_any(c: Column, words) -> Column:
+    """TRUE when ``c`` contains any of ``words`` as a substring.
+
+    Plain words are tested with ``contains`` (a byte search on Spark's
+    UTF-8 strings, no regex engine); a word list with regex syntax falls
+    back to one unanchored ``rlike`` alternation, which means the same.
+    """
+    words = list(words)
+    if all(_PLAIN_WORD.match(w) for w in words):
+        return reduce(lambda a, b: a | b, [c.contains(w) for w in words])
+    return c.rlike("(" + "|".join(words) + ")")
 
 
 def lexicon_score(chunk, positive=params.POSITIVE_WORDS, negative=params.NEGATIVE_WORDS) -> Column:
@@ -52,6 +66,6 @@ def lexicon_score(chunk, positive=params.POSITIVE_WORDS, negative=params.NEGATIV
     weekly average keeps its decimal typing.
     """
     c = _col(chunk)
-    return (F.when(c.rlike(_alternation(positive)), F.lit(Decimal("1.0")))
-            .when(c.rlike(_alternation(negative)), F.lit(Decimal("-1.0")))
+    return (F.when(contains_any(c, positive), F.lit(Decimal("1.0")))
+            .when(contains_any(c, negative), F.lit(Decimal("-1.0")))
             .otherwise(F.lit(Decimal("0.0"))))

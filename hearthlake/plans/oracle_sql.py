@@ -59,8 +59,9 @@ def _avg(expr: str, scale: int, digits: int) -> str:
 
 
 def _haversine(lat1, lon1, lat2, lon2) -> str:
-    return (f"12742.0 * ASIN(LEAST(1.0, SQRT(POWER(SIN(RADIANS({lat2} - {lat1}) / 2), 2) + "
-            f"COS(RADIANS({lat1})) * COS(RADIANS({lat2})) * POWER(SIN(RADIANS({lon2} - {lon1}) / 2), 2))))")
+    root = (f"SQRT(POWER(SIN(RADIANS({lat2} - {lat1}) / 2), 2) + "
+            f"COS(RADIANS({lat1})) * COS(RADIANS({lat2})) * POWER(SIN(RADIANS({lon2} - {lon1}) / 2), 2))")
+    return f"12742.0 * ASIN(CASE WHEN {root} > 1.0 THEN 1.0 ELSE {root} END)"
 
 
 CTES: list[tuple[str, str]] = [

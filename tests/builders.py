@@ -1,0 +1,52 @@
+"""Small hand-made source tables in the operational source shape."""
+
+from datetime import date, datetime
+from decimal import Decimal
+
+from hearthlake.sources.staging import SourceTables
+
+CUSTOMERS = ("customerID long, first_name string, last_name string, email_address string, phone_number string, "
+             "address string, city string, state string, country string, continent string, "
+             "postal_zip_code int, gender string")
+FRANCHISES = ("franchiseID long, name string, size string, district string, country string, supplierID long, "
+              "latitude double, longitude double")
+SUPPLIERS = ("supplierID long, name string, ingredient string, latitude double, longitude double, approved string, "
+             "continent string, city string, district string, size string")
+TRANSACTIONS = ("transactionID string, dateTime timestamp, product string, quantity int, unitPrice decimal(10,2), "
+                "totalPrice decimal(12,2), customerID long, franchiseID long, paymentMethod string, "
+                "cardNumber string")
+REVIEWS = "new_id long, review string, review_date date, franchiseID long"
+
+
+def customer(cid, email="a.b@x.com", phone="5551234567", country="US", continent="North America"):
+    return (cid, f"F{cid}", f"L{cid}", email, phone, f"{cid} Main Street", "Town", "ST", country, continent,
+            cid, "u")
+
+
+def store(sid, name=None, supplier=1, lat=0.0, lon=0.0):
+    return (sid, name or f"Store {sid}", "S", "D", "usa", supplier, lat, lon)
+
+
+def supplier(sid, ingredient="flour", approved="Y", lat=0.0, lon=0.0):
+    return (sid, f"Sup {sid}", ingredient, lat, lon, approved, "europe", "C", "D", "M")
+
+
+def tx(tid, ts, qty=1, unit="1.00", total=None, cust=1, store_id=1, product="bread"):
+    if isinstance(ts, str):
+        ts = datetime.fromisoformat(ts)
+    return (tid, ts, product, qty, Decimal(unit), None if total is None else Decimal(total), cust, store_id,
+            "card", None)
+
+
+def review(rid, text, day=date(2024, 5, 13), store_id=1):
+    return (rid, text, day, store_id)
+
+
+def sources(spark, customers=(), franchises=(), suppliers=(), transactions=(), reviews=()):
+    return SourceTables(
+        customers=spark.createDataFrame(list(customers), CUSTOMERS),
+        franchises=spark.createDataFrame(list(franchises), FRANCHISES),
+        suppliers=spark.createDataFrame(list(suppliers), SUPPLIERS),
+        transactions=spark.createDataFrame(list(transactions), TRANSACTIONS),
+        reviews=spark.createDataFrame(list(reviews), REVIEWS),
+    )

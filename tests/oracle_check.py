@@ -16,7 +16,7 @@ import time
 from collections import Counter
 from decimal import Decimal
 
-import duckdb
+import duckdb  # noqa: E402
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 

@@ -1,0 +1,116 @@
+"""Forecast panel, features, split, tuning, recursive forecast, persistence."""
+
+from datetime import date, timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from hearthlake import params
+from hearthlake.operators.forecast.features import forecast_frames, holdout_days_py
+from hearthlake.operators.forecast.predict import recursive_forecast, step_features
+from hearthlake.operators.forecast.train import tune
+from hearthlake.plans.queries import graph
+
+DAILY = "store_id string, reporting_date date, total_daily_revenue decimal(23,2)"
+
+
+def daily_frame(spark, rows):
+    return spark.createDataFrame([(s, d, Decimal(str(v))) for s, d, v in rows], DAILY)
+
+
+@pytest.mark.parametrize("span,expected", [(17, 7), (15, 7), (14, 4), (6, 3)])
+def test_holdout_days(span, expected):
+    assert holdout_days_py(span) == expected
+
+
+def test_panel_is_dense_and_zero_filled(spark):
+    d0 = date(2024, 1, 1)
+    daily = daily_frame(spark, [("a", d0, 5), ("a", d0 + timedelta(days=3), 7), ("b", d0 + timedelta(days=1), 2)])
+    panel = forecast_frames(daily).panel
+    rows = sorted(tuple(r) for r in panel.collect())
+    assert len(rows) == 2 * 4  # stores x days
+    assert rows[:4] == [("a", d0, Decimal("5.00")), ("a", d0 + timedelta(days=1), Decimal("0.00")),
+                        ("a", d0 + timedelta(days=2), Decimal("0.00")), ("a", d0 + timedelta(days=3), Decimal("7.00"))]
+
+
+def test_features_on_a_known_history(spark):
+    d0 = date(2024, 1, 1)
+    daily = daily_frame(spark, [("a", d0 + timedelta(days=i), i + 1) for i in range(8)])
+    usable = forecast_frames(daily).usable.collect()
+    assert len(usable) == 1  # the first seven days are warm-up
+    r = usable[0]
+    assert (r.lag_1, r.lag_7, r.rolling_mean_3, r.rolling_mean_7) == (7.0, 1.0, 6.0, 4.0)
+    assert r.rolling_std_7 == pytest.approx(2.1602, abs=1e-4)
+    assert r.trend_index == 7.0 and r.day_of_week == 2.0 and r.is_weekend == 0.0  # 2024-01-08 is a Monday
+    assert r.history == [2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0]
+
+
+def test_step_features_from_history(spark):
+    state = spark.createDataFrame([("a", [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0], date(2024, 1, 6), 10.0),
+                                   ("b", [4.0, 6.0], date(2024, 1, 6), 10.0)],
+                                  "store_id string, history array<double>, last_date date, last_trend double")
+    rows = {r.store_id: r for r in step_features(state).collect()}
+    a = rows["a"]
+    assert (a.lag_1, a.lag_7, a.rolling_mean_3, a.rolling_mean_7) == (7.0, 1.0, 6.0, 4.0)
+    assert a.rolling_std_7 == pytest.approx(2.1602, abs=1e-4)
+    assert (a.reporting_date, a.day_of_week, a.is_weekend, a.trend_index) == (date(2024, 1, 7), 1.0, 1.0, 11.0)
+    b = rows["b"]  # short history: lag_7 falls back to the mean
+    assert (b.lag_1, b.lag_7, b.rolling_mean_3, b.rolling_mean_7) == (6.0, 5.0, 5.0, 5.0)
+
+
+def test_split_sides_and_empty_side_error(spark):
+    d0 = date(2024, 1, 1)
+    daily = daily_frame(spark, [("a", d0 + timedelta(days=i), i) for i in range(20)])
+    counts = {r.split: r.rows for r in forecast_frames(daily).split_counts().collect()}
+    assert counts == {"train": 6, "test": 7}
+    too_short = daily_frame(spark, [("a", d0 + timedelta(days=i), i) for i in range(6)])
+    with pytest.raises(ValueError):
+        forecast_frames(too_short).checkpointed()
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    frames = forecast_frames(graph(spark, SF_SMALL)["gold_daily_franchise_health"]).checkpointed()
+    return frames, tune(frames.train, frames.test, candidates=params.SMALL_CANDIDATES)
+
+
+def test_tuning_results_and_selection(trained):
+    frames, best = trained
+    results = best.results.collect()
+    assert [r.algorithm for r in results] == [c["algorithm"] for c in params.SMALL_CANDIDATES]
+    assert best.rmse == min(r.rmse for r in results)
+    assert best.model_name == f"sales_forecast_{best.config['algorithm']}_lag_tuned"
+    assert all(r.rmse >= 0 and r.mae >= 0 for r in results)
+
+
+def test_recursive_forecast_shape_and_determinism(spark, trained):
+    frames, best = trained
+    one = recursive_forecast(best.model, frames, best.model_name).cache()
+    stores = frames.usable.select("store_id").distinct().count()
+    assert one.count() == stores * params.FORECAST_HORIZON_DAYS
+    assert one.where(F.col("predicted_daily_revenue").isNull()).count() == 0
+    last = frames.pinned["last_day"]
+    days = sorted({r.forecast_date for r in one.select("forecast_date").collect()})
+    assert days == [last + timedelta(days=k) for k in range(1, params.FORECAST_HORIZON_DAYS + 1)]
+    again = recursive_forecast(best.model, frames, best.model_name)
+    cols = ["store_id", "forecast_date", "predicted_daily_revenue"]
+    assert sorted(map(tuple, one.select(cols).collect())) == sorted(map(tuple, again.select(cols).collect()))
+
+
+def test_forecast_job_persists_tables_and_model(spark, tmp_path):
+    from hearthlake.plans.forecast_job import run_forecast_job
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS fc_test LOCATION '{tmp_path / 'db'}'")
+    daily = graph(spark, SF_SMALL)["gold_daily_franchise_health"]
+    run = None
+    for _ in range(2):
+        run = run_forecast_job(spark, daily, str(tmp_path / "models"), database="fc_test",
+                               candidates=params.SMALL_CANDIDATES)
+    assert spark.table(run.tables.tuning).count() == len(params.SMALL_CANDIDATES)  # overwritten
+    assert spark.table(run.tables.metrics).count() == 2  # appended
+    assert spark.table(run.tables.registry).count() == 2
+    assert run.forecast.count() == run.forecast.select("store_id").distinct().count() * 14
+    from pyspark.ml import PipelineModel
+    assert PipelineModel.load(run.model_path) is not None
+    spark.sql("DROP DATABASE fc_test CASCADE")
