@@ -89,12 +89,18 @@ def supplier_risk(suppliers: DataFrame, stores: DataFrame) -> DataFrame:
 
 
 def weekly_sentiment(reviews: DataFrame, positive=params.POSITIVE_WORDS, negative=params.NEGATIVE_WORDS) -> DataFrame:
-    """Mean chunk score per (store, Monday-Sunday week), 4 decimals."""
-    chunks = reviews.select(
+    """Mean chunk score per (store, Monday-Sunday week), 4 decimals.
+
+    ``explode_outer`` + dropping the NULL chunk equals ``explode`` here, but
+    keeps Spark from inferring a ``size(chunks) > 0`` filter that it would
+    push below the projection, evaluating the whole text cleaning and
+    chunking twice per review.
+    """
+    chunks = (reviews.select(
         "store_id",
         week_start("submission_date").alias("reporting_period_start"),
-        F.explode("chunked_review_text").alias("_chunk"),
-    )
+        F.explode_outer("chunked_review_text").alias("_chunk"),
+    ).where(F.col("_chunk").isNotNull()))
     scored = chunks.select("store_id", "reporting_period_start",
                            lexicon_score("_chunk", positive, negative).alias("_score"))
     return (scored.groupBy("store_id", "reporting_period_start")

@@ -19,6 +19,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hearthlake import params
+
 
 @dataclass
 class CheckBlock:
@@ -89,7 +91,7 @@ def foundation_checks(transactions: DataFrame, customers: DataFrame, stores: Dat
     supplier against its bronze status (the silver flag alone is constant).
     """
     approved_ids = (bronze_suppliers
-                    .where(F.upper(F.trim("approval_status")) == F.lit("Y"))
+                    .where(F.upper(F.trim("approval_status")) == F.lit(params.APPROVED_STATUS))
                     .select(F.col("raw_supplier_id").alias("supplier_id")).distinct()
                     .withColumn("_backed", F.lit(True)))
     supplier_view = suppliers.select("supplier_id", "is_approved").join(approved_ids, "supplier_id", "left")
@@ -102,7 +104,7 @@ def foundation_checks(transactions: DataFrame, customers: DataFrame, stores: Dat
         CheckBlock(supplier_view, {"unapproved_suppliers_in_silver_supply": failed_if(
             (F.coalesce("is_approved", F.lit(False)) != F.lit(True)) | F.col("_backed").isNull())}),
         CheckBlock(quarantine, {"approved_suppliers_in_quarantine": failed_if(
-            F.upper(F.trim("approval_status")) == F.lit("Y"))}),
+            F.upper(F.trim("approval_status")) == F.lit(params.APPROVED_STATUS))}),
         CheckBlock(customers, {
             "unmasked_email_patterns": failed_if(~F.col("masked_email").like("_***%@%")),
             "unmasked_phone_patterns": failed_if(~F.col("masked_phone").like("%****%")),

@@ -124,5 +124,11 @@ def silver_reviews(bronze: DataFrame, literal_split: bool = False) -> DataFrame:
 
 
 def review_chunks(silver_reviews_df: DataFrame) -> DataFrame:
-    """One row per (review, chunk position, chunk)."""
-    return silver_reviews_df.select("review_id", F.posexplode("chunked_review_text").alias("pos", "chunk"))
+    """One row per (review, chunk position, chunk).
+
+    ``posexplode_outer`` + dropping NULL chunks (see ``weekly_sentiment``)
+    avoids evaluating the chunking twice.
+    """
+    return (silver_reviews_df
+            .select("review_id", F.posexplode_outer("chunked_review_text").alias("pos", "chunk"))
+            .where(F.col("chunk").isNotNull()))

@@ -106,7 +106,7 @@ def staged_suppliers(read: TableReader) -> DataFrame:
 
 
 def staged_transactions(read: TableReader) -> DataFrame:
-    li = read("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+    li = read("lineitem", spread=True).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                  "l_extendedprice", "l_shipdate")
     o = read("orders").select("o_orderkey", "o_custkey")
     p = read("part").select("p_partkey", "p_type", "p_retailprice")
@@ -128,7 +128,7 @@ def staged_transactions(read: TableReader) -> DataFrame:
 
 
 def staged_reviews(read: TableReader) -> DataFrame:
-    docs = read("documents").select("doc_id", "text")
+    docs = read("documents", spread=True).select("doc_id", "text")
     store_count = read("supplier").select(F.count(F.lit(1))).scalar()
     doc = F.col("doc_id")
     suffix = (F.when(doc % 4 == 0, F.lit(". The service was slow")).when(doc % 4 == 1, F.lit(". Fresh bread"))

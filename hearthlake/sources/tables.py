@@ -20,8 +20,22 @@ class TableReader:
         self.root = root
         self.database = database
 
-    def __call__(self, name: str) -> DataFrame:
+    def __call__(self, name: str, spread: bool = False) -> DataFrame:
+        """The table as a lazy DataFrame.
+
+        ``spread=True`` is for large inputs followed by heavy per-row work:
+        when the table has fewer files than the cluster has task slots
+        (e.g. one big single-row-group file, which a parquet scan reads in
+        one task), the rows are dealt round-robin over all slots first. A
+        table of many files is returned unchanged, so on a real multi-file
+        table this costs nothing.
+        """
         if self.root is not None:
-            return self.spark.read.parquet(os.path.join(self.root, f"{name}.parquet"))
-        qualified = f"{self.database}.{name}" if self.database else name
-        return self.spark.table(qualified)
+            df = self.spark.read.parquet(os.path.join(self.root, f"{name}.parquet"))
+        else:
+            df = self.spark.table(f"{self.database}.{name}" if self.database else name)
+        if spread:
+            slots = self.spark.sparkContext.defaultParallelism
+            if len(df.inputFiles()) < slots:
+                df = df.repartition(slots)
+        return df

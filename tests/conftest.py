@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,7 +14,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[*]", app_name="hearthlake-tests", shuffle_partitions=8)
+    scratch = tempfile.mkdtemp(prefix="hearthlake-tests-")
+    session = build_session("local[*]", app_name="hearthlake-tests", shuffle_partitions=8,
+                            extra={"spark.sql.warehouse.dir": os.path.join(scratch, "warehouse")})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
