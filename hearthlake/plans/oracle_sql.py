@@ -48,14 +48,15 @@ def _rhu(num: str, den: str) -> str:
     return f"(sign({num}) * ((2 * abs({num}) + ({den})) // (2 * ({den}))))"
 
 
-def _avg(expr: str, scale: int, digits: int) -> str:
-    """Spark's ROUND(AVG(decimal(p, scale)), digits) as an exact DECIMAL."""
+def _avg(expr: str, scale: int, digits: int, precision: int = 18) -> str:
+    """Spark's ROUND(AVG(decimal(p, scale)), digits) as an exact DECIMAL(precision, digits)."""
     total = f"SUM(CAST(({expr}) * {10 ** scale} AS HUGEINT))"
     n = f"COUNT({expr})"
     wide = _rhu(f"({total}) * 10000", n)
     rounded = _rhu(wide, str(10 ** (scale + 4 - digits)))
     unit = "0." + "0" * (digits - 1) + "1"
-    return f"(CASE WHEN {n} = 0 THEN NULL ELSE CAST({rounded} AS DECIMAL(18,0)) * {unit} END)"
+    return (f"CAST(CASE WHEN {n} = 0 THEN NULL ELSE CAST({rounded} AS DECIMAL(18,0)) * {unit} END "
+            f"AS DECIMAL({precision},{digits}))")
 
 
 def _haversine(lat1, lon1, lat2, lon2) -> str:
@@ -184,8 +185,8 @@ FROM bronze_customer_reviews"""),
     # -- gold
     ("gold_daily_franchise_health", rf"""
 SELECT store_id, CAST(transaction_timestamp AS DATE) AS reporting_date,
-  SUM(total_price) AS total_daily_revenue, CAST(SUM(quantity) AS BIGINT) AS total_items_sold,
-  {_avg('total_price', 2, 2)} AS avg_transaction_value
+  CAST(SUM(total_price) AS DECIMAL(23,2)) AS total_daily_revenue, CAST(SUM(quantity) AS BIGINT) AS total_items_sold,
+  {_avg('total_price', 2, 2, 13)} AS avg_transaction_value
 FROM silver_pos_transactions GROUP BY store_id, CAST(transaction_timestamp AS DATE)"""),
     ("c360_store_pref", r"""
 SELECT customer_id, preferred_store_location,
@@ -200,7 +201,8 @@ FROM (SELECT customer_id, product_sold AS most_frequent_product, COUNT(*) AS pro
       FROM silver_pos_transactions GROUP BY customer_id, product_sold)"""),
     ("gold_customer_360", r"""
 SELECT s.customer_id, s.total_lifetime_spend, sp.preferred_store_location, pp.most_frequent_product
-FROM (SELECT customer_id, SUM(total_price) AS total_lifetime_spend FROM silver_pos_transactions GROUP BY customer_id) s
+FROM (SELECT customer_id, CAST(SUM(total_price) AS DECIMAL(23,2)) AS total_lifetime_spend
+      FROM silver_pos_transactions GROUP BY customer_id) s
 LEFT JOIN c360_store_pref sp ON s.customer_id = sp.customer_id AND sp.rn = 1
 LEFT JOIN c360_product_pref pp ON s.customer_id = pp.customer_id AND pp.rn = 1"""),
     ("risk_deps", rf"""
@@ -231,12 +233,12 @@ FROM (SELECT store_id, submission_date, UNNEST(chunked_review_text) AS review_ch
     ("gold_store_sentiment_trends", rf"""
 SELECT store_id, CAST(date_trunc('week', submission_date) AS DATE) AS reporting_period_start,
   CAST(CAST(date_trunc('week', submission_date) AS DATE) + 6 AS DATE) AS reporting_period_end,
-  {_avg('score_tenths * 0.1', 1, 4)} AS customer_satisfaction_score
+  {_avg('score_tenths * 0.1', 1, 4, 6)} AS customer_satisfaction_score
 FROM sentiment_scored
 GROUP BY store_id, CAST(date_trunc('week', submission_date) AS DATE)"""),
     ("customer_rollup", rf"""
 SELECT preferred_store_location AS store_name, COUNT(*) AS active_customer_count,
-  {_avg('total_lifetime_spend', 2, 2)} AS avg_lifetime_spend_2dp
+  {_avg('total_lifetime_spend', 2, 2, 24)} AS avg_lifetime_spend_2dp
 FROM gold_customer_360 GROUP BY preferred_store_location"""),
     ("risk_by_store", r"""
 SELECT f.store_id, MAX(CASE WHEN r.is_high_risk_flag THEN 1 ELSE 0 END) AS has_high_risk_supplier
@@ -244,9 +246,9 @@ FROM silver_franchise_ops f LEFT JOIN gold_supplier_risk_matrix r ON f.primary_s
 GROUP BY f.store_id"""),
     ("gold_store_scorecard", r"""
 SELECT d.store_id, f.store_name, d.reporting_date, d.total_daily_revenue, d.total_items_sold, d.avg_transaction_value,
-  COALESCE(s.customer_satisfaction_score, 0.0) AS weekly_sentiment_score,
+  CAST(COALESCE(s.customer_satisfaction_score, 0.0) AS DECIMAL(6,4)) AS weekly_sentiment_score,
   COALESCE(c.active_customer_count, 0) AS active_customer_count,
-  COALESCE(c.avg_lifetime_spend_2dp, 0.00) AS avg_lifetime_spend,
+  CAST(COALESCE(c.avg_lifetime_spend_2dp, 0.00) AS DECIMAL(24,2)) AS avg_lifetime_spend,
   CASE WHEN COALESCE(r.has_high_risk_supplier, 0) = 1 THEN true ELSE false END AS supply_risk_alert
 FROM gold_daily_franchise_health d
 LEFT JOIN silver_franchise_ops f ON d.store_id = f.store_id
