@@ -2,6 +2,6 @@
 
 from hearthlake.sources.tables import TableReader
 from hearthlake.sources.staging import SourceTables, stage_sources
-from hearthlake.sources.sinks import ensure_schema, save_model, write_table
+from hearthlake.sources.sinks import ensure_schema, save_model, use_schema, write_table
 
-__all__ = ["TableReader", "SourceTables", "stage_sources", "ensure_schema", "save_model", "write_table"]
+__all__ = ["TableReader", "SourceTables", "stage_sources", "ensure_schema", "save_model", "use_schema", "write_table"]

@@ -13,6 +13,11 @@ def ensure_schema(spark: SparkSession, schema: str, comment: str | None = None)
     spark.sql(stmt)
 
 
+def use_schema(spark: SparkSession, schema: str) -> None:
+    """Make ``schema`` the session's current database (unqualified names resolve there)."""
+    spark.catalog.setCurrentDatabase(schema)
+
+
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", comment: str | None = None,
                 partition_by: list[str] | None = None) -> None:
     """Write ``df`` as a managed table (``overwrite`` = full refresh)."""

@@ -114,3 +114,21 @@ def test_forecast_job_persists_tables_and_model(spark, tmp_path):
     from pyspark.ml import PipelineModel
     assert PipelineModel.load(run.model_path) is not None
     spark.sql("DROP DATABASE fc_test CASCADE")
+
+
+def test_one_pass_metrics_equal_regression_evaluator(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from hearthlake.operators.forecast.train import regression_metrics
+    df = spark.createDataFrame([(float(i), float(i) + (i % 3) - 1.0) for i in range(50)], "label double, prediction double")
+    ours = regression_metrics(df)
+    for metric in ("rmse", "mae", "r2"):
+        assert ours[metric] == pytest.approx(RegressionEvaluator(metricName=metric).evaluate(df), rel=1e-9)
+
+
+def test_use_schema_sets_current_database(spark, tmp_path):
+    from hearthlake.sources.sinks import ensure_schema, use_schema
+    ensure_schema(spark, "schema_test", comment="x")
+    use_schema(spark, "schema_test")
+    assert spark.catalog.currentDatabase() == "schema_test"
+    use_schema(spark, "default")
+    spark.sql("DROP DATABASE schema_test")
