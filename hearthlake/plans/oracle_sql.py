@@ -235,6 +235,23 @@ SELECT store_id, CAST(date_trunc('week', submission_date) AS DATE) AS reporting_
   CAST(CAST(date_trunc('week', submission_date) AS DATE) + 6 AS DATE) AS reporting_period_end,
   {_avg('score_tenths * 0.1', 1, 4, 6)} AS customer_satisfaction_score
 FROM sentiment_scored
+GROUP BY store_id, CAST(date_trunc('week', submission_date) AS DATE)"""),
+    ("silver_customer_reviews_literal", r"""
+SELECT raw_review_id AS review_id,
+  list_filter(list_transform(regexp_split_to_array(regexp_replace(
+      regexp_replace(lower(review_text), '[^a-z0-9 \t\n\x0B\f\r.!?]', ' ', 'g'), '[.!?]+', '||', 'g'), '\\|\\||'),
+    lambda x: trim(x)), lambda x: length(x) > 0) AS chunked_review_text,
+  submission_date, franchise_id AS store_id
+FROM bronze_customer_reviews"""),
+    ("gold_store_sentiment_trends_literal", rf"""
+SELECT store_id, CAST(date_trunc('week', submission_date) AS DATE) AS reporting_period_start,
+  CAST(CAST(date_trunc('week', submission_date) AS DATE) + 6 AS DATE) AS reporting_period_end,
+  {_avg('score_tenths * 0.1', 1, 4, 6)} AS customer_satisfaction_score
+FROM (SELECT store_id, submission_date,
+        CASE WHEN regexp_matches(review_chunk, '{POSITIVE}') THEN 10
+             WHEN regexp_matches(review_chunk, '{NEGATIVE}') THEN -10 ELSE 0 END AS score_tenths
+      FROM (SELECT store_id, submission_date, UNNEST(chunked_review_text) AS review_chunk
+            FROM silver_customer_reviews_literal))
 GROUP BY store_id, CAST(date_trunc('week', submission_date) AS DATE)"""),
     ("customer_rollup", rf"""
 SELECT preferred_store_location AS store_name, COUNT(*) AS active_customer_count,
@@ -433,6 +450,7 @@ FROM silver_customer_reviews r, UNNEST(r.chunked_review_text) WITH ORDINALITY AS
 SELECT supplier_id, dependent_franchise_count, ROUND(avg_geographic_distance, 6) AS avg_geographic_distance,
   ingredient_criticality_score, is_high_risk_flag FROM gold_supplier_risk_matrix"""),
         "gold_weekly_sentiment": _with("SELECT * FROM gold_store_sentiment_trends"),
+        "gold_weekly_sentiment_literal": _with("SELECT * FROM gold_store_sentiment_trends_literal"),
         "gold_store_scorecard": _with("SELECT * FROM gold_store_scorecard"),
         "checks_foundation": _checks(_FOUNDATION),
         "checks_daily": _checks(_DAILY),

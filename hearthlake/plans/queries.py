@@ -41,6 +41,12 @@ def silver_review_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review_chunks(graph(spark, sf_dir)["silver_customer_reviews"])
 
 
+def gold_weekly_sentiment_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly sentiment with the original, literal chunking (one-character chunks)."""
+    sources = stage_sources(TableReader(spark, sf_dir))
+    return Medallion(sources, literal_split=True)["gold_store_sentiment_trends"]
+
+
 def gold_supplier_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = graph(spark, sf_dir)["gold_supplier_risk_matrix"]
     return df.withColumn("avg_geographic_distance", F.round("avg_geographic_distance", 6))
@@ -105,6 +111,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_customer_360": _dataset("gold_customer_360"),
         "gold_supplier_risk": gold_supplier_risk,
         "gold_weekly_sentiment": _dataset("gold_store_sentiment_trends"),
+        "gold_weekly_sentiment_literal": gold_weekly_sentiment_literal,
         "gold_store_scorecard": _dataset("gold_store_scorecard"),
         "checks_foundation": _dataset("silver_test_foundation_quality", ("validated_at",)),
         "checks_daily": _dataset("gold_test_daily_franchise_health_quality", ("validated_at",)),
