@@ -3,10 +3,11 @@
 The driver registers the raw tables (customer, supplier, nation, region,
 part, orders, lineitem, documents, ...) as views and runs these statements
 next to the Spark queries. They are written independently of the Spark
-code, in the plain SQL of the original dataset definitions (inner joins,
-``LEFT JOIN ... IS NULL``, ``BETWEEN`` ranges, one scan per check), plus
-the documented deviations (null-safe reconciliation, NULL approval status
-quarantined, deterministic dedup tie-break, sentence chunking).
+code and take different routes where SQL allows: top-1 preferences with
+``first(... ORDER BY ...)`` instead of a ranking window, the scorecard's
+week with a ``BETWEEN`` range join instead of an equi-join, the panel with a
+cross join, foreign-key checks with ``NOT EXISTS``. Business constants come
+from ``hearthlake.params`` so both sides use one specification.
 
 Dialect notes:
 * Spark averages a DECIMAL(p,s) to DECIMAL(p+4,s+4) with HALF_UP and the
@@ -21,8 +22,19 @@ Dialect notes:
 
 from __future__ import annotations
 
-POSITIVE = "(great|excellent|love|amazing|good|friendly|fresh|delicious|perfect|best)"
-NEGATIVE = "(bad|terrible|awful|slow|cold|stale|poor|worst|disappoint|rude)"
+from hearthlake import params
+
+
+def _words(words) -> str:
+    return "(" + "|".join(words) + ")"
+
+
+def _quoted(values) -> str:
+    return ", ".join("'" + v + "'" for v in values)
+
+
+POSITIVE = _words(params.POSITIVE_WORDS)
+NEGATIVE = _words(params.NEGATIVE_WORDS)
 
 
 def _initcap(expr: str) -> str:
@@ -36,11 +48,21 @@ def _country(expr: str) -> str:
 
 
 def _continent(expr: str) -> str:
-    k = f"lower(trim({expr}))"
-    return (f"CASE WHEN {k} IN ('north america', 'northamerica') THEN 'North America' "
-            f"WHEN {k} = 'south america' THEN 'South America' WHEN {k} = 'oceania' THEN 'Oceania' "
-            f"WHEN {k} = 'asia' THEN 'Asia' WHEN {k} = 'europe' THEN 'Europe' WHEN {k} = 'africa' THEN 'Africa' "
-            f"ELSE {_initcap(f'trim({expr})')} END")
+    key = f"lower(trim({expr}))"
+    arms = " ".join(f"WHEN {key} IN ({_quoted(spellings)}) THEN '{name}'" for spellings, name in params.CONTINENT_NAMES)
+    return f"CASE {arms} ELSE {_initcap(f'trim({expr})')} END"
+
+
+def _criticality(expr: str) -> str:
+    key = f"lower({expr})"
+    return (f"CASE WHEN {key} IN ({_quoted(params.CRITICAL_INGREDIENTS)}) THEN {params.CRITICAL_SCORE} "
+            f"WHEN {key} IN ({_quoted(params.IMPORTANT_INGREDIENTS)}) THEN {params.IMPORTANT_SCORE} "
+            f"ELSE {params.DEFAULT_CRITICALITY} END")
+
+
+def _score_tenths(chunk: str) -> str:
+    return (f"CASE WHEN regexp_matches({chunk}, '{POSITIVE}') THEN 10 "
+            f"WHEN regexp_matches({chunk}, '{NEGATIVE}') THEN -10 ELSE 0 END")
 
 
 def _rhu(num: str, den: str) -> str:
@@ -188,54 +210,47 @@ SELECT store_id, CAST(transaction_timestamp AS DATE) AS reporting_date,
   CAST(SUM(total_price) AS DECIMAL(23,2)) AS total_daily_revenue, CAST(SUM(quantity) AS BIGINT) AS total_items_sold,
   {_avg('total_price', 2, 2, 13)} AS avg_transaction_value
 FROM silver_pos_transactions GROUP BY store_id, CAST(transaction_timestamp AS DATE)"""),
-    ("c360_store_pref", r"""
-SELECT customer_id, preferred_store_location,
-  row_number() OVER (PARTITION BY customer_id ORDER BY txn_count DESC, preferred_store_location ASC NULLS FIRST) AS rn
-FROM (SELECT t.customer_id, f.store_name AS preferred_store_location, COUNT(*) AS txn_count
-      FROM silver_pos_transactions t JOIN silver_franchise_ops f ON t.store_id = f.store_id
-      GROUP BY t.customer_id, f.store_name)"""),
-    ("c360_product_pref", r"""
-SELECT customer_id, most_frequent_product,
-  row_number() OVER (PARTITION BY customer_id ORDER BY product_count DESC, most_frequent_product ASC NULLS FIRST) AS rn
-FROM (SELECT customer_id, product_sold AS most_frequent_product, COUNT(*) AS product_count
-      FROM silver_pos_transactions GROUP BY customer_id, product_sold)"""),
+    ("visits_by_store_name", r"""
+SELECT t.customer_id, f.store_name, count(*) AS n
+FROM silver_pos_transactions t JOIN silver_franchise_ops f ON f.store_id = t.store_id
+GROUP BY ALL"""),
+    ("purchases_by_product", r"""
+SELECT customer_id, product_sold, count(*) AS n FROM silver_pos_transactions GROUP BY ALL"""),
     ("gold_customer_360", r"""
-SELECT s.customer_id, s.total_lifetime_spend, sp.preferred_store_location, pp.most_frequent_product
-FROM (SELECT customer_id, CAST(SUM(total_price) AS DECIMAL(23,2)) AS total_lifetime_spend
-      FROM silver_pos_transactions GROUP BY customer_id) s
-LEFT JOIN c360_store_pref sp ON s.customer_id = sp.customer_id AND sp.rn = 1
-LEFT JOIN c360_product_pref pp ON s.customer_id = pp.customer_id AND pp.rn = 1"""),
-    ("risk_deps", rf"""
-SELECT s.supplier_id, COUNT(DISTINCT f.store_id) AS dependent_franchise_count,
-  AVG({_haversine('s.latitude', 's.longitude', 'f.latitude', 'f.longitude')}) AS avg_geographic_distance
-FROM silver_supply_chain s LEFT JOIN silver_franchise_ops f ON s.supplier_id = f.primary_supplier_id
-GROUP BY s.supplier_id"""),
-    ("risk_crit", r"""
-SELECT supplier_id,
-  CASE WHEN lower(provided_ingredients) IN ('cacao', 'cocoa butter', 'cane sugar', 'vanilla', 'oats') THEN 5
-       WHEN lower(provided_ingredients) IN ('almonds', 'hazelnuts', 'pecans', 'pistachios', 'coffee') THEN 3
-       ELSE 2 END AS ingredient_criticality_score
-FROM silver_supply_chain"""),
-    ("gold_supplier_risk_matrix", r"""
-SELECT s.supplier_id, COALESCE(fd.dependent_franchise_count, 0) AS dependent_franchise_count,
-  COALESCE(fd.avg_geographic_distance, 0.0) AS avg_geographic_distance, c.ingredient_criticality_score,
-  CASE WHEN COALESCE(fd.dependent_franchise_count, 0) >= 3
-        AND (COALESCE(fd.avg_geographic_distance, 0.0) >= 5000 OR c.ingredient_criticality_score >= 5) THEN true
-       WHEN COALESCE(fd.dependent_franchise_count, 0) >= 1 AND c.ingredient_criticality_score >= 5 THEN true
-       ELSE false END AS is_high_risk_flag
-FROM silver_supply_chain s LEFT JOIN risk_deps fd ON s.supplier_id = fd.supplier_id
-LEFT JOIN risk_crit c ON s.supplier_id = c.supplier_id"""),
-    ("sentiment_scored", rf"""
-SELECT store_id, submission_date,
-  CASE WHEN regexp_matches(review_chunk, '{POSITIVE}') THEN 10
-       WHEN regexp_matches(review_chunk, '{NEGATIVE}') THEN -10 ELSE 0 END AS score_tenths
-FROM (SELECT store_id, submission_date, UNNEST(chunked_review_text) AS review_chunk FROM silver_customer_reviews)"""),
+WITH lifetime AS (
+  SELECT customer_id, CAST(sum(total_price) AS DECIMAL(23,2)) AS total_lifetime_spend
+  FROM silver_pos_transactions GROUP BY ALL),
+fav_store AS (
+  SELECT customer_id, first(store_name ORDER BY n DESC, store_name ASC NULLS FIRST) AS preferred_store_location
+  FROM visits_by_store_name GROUP BY ALL),
+fav_product AS (
+  SELECT customer_id, first(product_sold ORDER BY n DESC, product_sold ASC NULLS FIRST) AS most_frequent_product
+  FROM purchases_by_product GROUP BY ALL)
+SELECT l.customer_id, l.total_lifetime_spend, s.preferred_store_location, p.most_frequent_product
+FROM lifetime l
+LEFT JOIN fav_store s ON s.customer_id = l.customer_id
+LEFT JOIN fav_product p ON p.customer_id = l.customer_id"""),
+    ("gold_supplier_risk_matrix", rf"""
+WITH reach AS (
+  SELECT s.supplier_id, count(DISTINCT f.store_id) AS stores,
+    avg({_haversine('s.latitude', 's.longitude', 'f.latitude', 'f.longitude')}) AS km
+  FROM silver_supply_chain s LEFT JOIN silver_franchise_ops f ON f.primary_supplier_id = s.supplier_id
+  GROUP BY s.supplier_id),
+scored AS (
+  SELECT s.supplier_id, coalesce(r.stores, 0) AS n, coalesce(r.km, 0.0) AS km,
+    {_criticality('s.provided_ingredients')} AS crit
+  FROM silver_supply_chain s LEFT JOIN reach r ON r.supplier_id = s.supplier_id)
+SELECT supplier_id, n AS dependent_franchise_count, km AS avg_geographic_distance,
+  crit AS ingredient_criticality_score,
+  (n >= 1 AND crit >= {params.CRITICAL_SCORE})
+    OR (n >= {params.MANY_DEPENDANTS} AND km >= {params.FAR_DISTANCE_KM}) AS is_high_risk_flag
+FROM scored"""),
     ("gold_store_sentiment_trends", rf"""
-SELECT store_id, CAST(date_trunc('week', submission_date) AS DATE) AS reporting_period_start,
-  CAST(CAST(date_trunc('week', submission_date) AS DATE) + 6 AS DATE) AS reporting_period_end,
+SELECT store_id, week AS reporting_period_start, CAST(week + 6 AS DATE) AS reporting_period_end,
   {_avg('score_tenths * 0.1', 1, 4, 6)} AS customer_satisfaction_score
-FROM sentiment_scored
-GROUP BY store_id, CAST(date_trunc('week', submission_date) AS DATE)"""),
+FROM (SELECT store_id, CAST(date_trunc('week', submission_date) AS DATE) AS week, {_score_tenths('chunk')} AS score_tenths
+      FROM (SELECT store_id, submission_date, UNNEST(chunked_review_text) AS chunk FROM silver_customer_reviews))
+GROUP BY store_id, week"""),
     ("silver_customer_reviews_literal", r"""
 SELECT raw_review_id AS review_id,
   list_filter(list_transform(regexp_split_to_array(regexp_replace(
@@ -244,35 +259,32 @@ SELECT raw_review_id AS review_id,
   submission_date, franchise_id AS store_id
 FROM bronze_customer_reviews"""),
     ("gold_store_sentiment_trends_literal", rf"""
-SELECT store_id, CAST(date_trunc('week', submission_date) AS DATE) AS reporting_period_start,
-  CAST(CAST(date_trunc('week', submission_date) AS DATE) + 6 AS DATE) AS reporting_period_end,
+SELECT store_id, week AS reporting_period_start, CAST(week + 6 AS DATE) AS reporting_period_end,
   {_avg('score_tenths * 0.1', 1, 4, 6)} AS customer_satisfaction_score
-FROM (SELECT store_id, submission_date,
-        CASE WHEN regexp_matches(review_chunk, '{POSITIVE}') THEN 10
-             WHEN regexp_matches(review_chunk, '{NEGATIVE}') THEN -10 ELSE 0 END AS score_tenths
-      FROM (SELECT store_id, submission_date, UNNEST(chunked_review_text) AS review_chunk
+FROM (SELECT store_id, CAST(date_trunc('week', submission_date) AS DATE) AS week, {_score_tenths('chunk')} AS score_tenths
+      FROM (SELECT store_id, submission_date, UNNEST(chunked_review_text) AS chunk
             FROM silver_customer_reviews_literal))
-GROUP BY store_id, CAST(date_trunc('week', submission_date) AS DATE)"""),
-    ("customer_rollup", rf"""
-SELECT preferred_store_location AS store_name, COUNT(*) AS active_customer_count,
-  {_avg('total_lifetime_spend', 2, 2, 24)} AS avg_lifetime_spend_2dp
-FROM gold_customer_360 GROUP BY preferred_store_location"""),
-    ("risk_by_store", r"""
-SELECT f.store_id, MAX(CASE WHEN r.is_high_risk_flag THEN 1 ELSE 0 END) AS has_high_risk_supplier
-FROM silver_franchise_ops f LEFT JOIN gold_supplier_risk_matrix r ON f.primary_supplier_id = r.supplier_id
-GROUP BY f.store_id"""),
-    ("gold_store_scorecard", r"""
+GROUP BY store_id, week"""),
+    ("gold_store_scorecard", rf"""
+WITH by_name AS (
+  SELECT preferred_store_location AS store_name, count(*) AS customers,
+    {_avg('total_lifetime_spend', 2, 2, 24)} AS spend_2dp
+  FROM gold_customer_360 GROUP BY ALL),
+alert AS (
+  SELECT f.store_id, bool_or(coalesce(r.is_high_risk_flag, false)) AS any_high_risk
+  FROM silver_franchise_ops f LEFT JOIN gold_supplier_risk_matrix r ON r.supplier_id = f.primary_supplier_id
+  GROUP BY ALL)
 SELECT d.store_id, f.store_name, d.reporting_date, d.total_daily_revenue, d.total_items_sold, d.avg_transaction_value,
-  CAST(COALESCE(s.customer_satisfaction_score, 0.0) AS DECIMAL(6,4)) AS weekly_sentiment_score,
-  COALESCE(c.active_customer_count, 0) AS active_customer_count,
-  CAST(COALESCE(c.avg_lifetime_spend_2dp, 0.00) AS DECIMAL(24,2)) AS avg_lifetime_spend,
-  CASE WHEN COALESCE(r.has_high_risk_supplier, 0) = 1 THEN true ELSE false END AS supply_risk_alert
+  CAST(coalesce(w.customer_satisfaction_score, 0) AS DECIMAL(6,4)) AS weekly_sentiment_score,
+  coalesce(b.customers, 0) AS active_customer_count,
+  CAST(coalesce(b.spend_2dp, 0) AS DECIMAL(24,2)) AS avg_lifetime_spend,
+  coalesce(a.any_high_risk, false) AS supply_risk_alert
 FROM gold_daily_franchise_health d
-LEFT JOIN silver_franchise_ops f ON d.store_id = f.store_id
-LEFT JOIN gold_store_sentiment_trends s
-  ON d.store_id = s.store_id AND d.reporting_date BETWEEN s.reporting_period_start AND s.reporting_period_end
-LEFT JOIN customer_rollup c ON f.store_name = c.store_name
-LEFT JOIN risk_by_store r ON d.store_id = r.store_id"""),
+LEFT JOIN silver_franchise_ops f ON f.store_id = d.store_id
+LEFT JOIN gold_store_sentiment_trends w
+  ON w.store_id = d.store_id AND d.reporting_date BETWEEN w.reporting_period_start AND w.reporting_period_end
+LEFT JOIN by_name b ON b.store_name = f.store_name
+LEFT JOIN alert a ON a.store_id = d.store_id"""),
     # -- forecast panel
     ("fc_base", r"""
 SELECT store_id, reporting_date, total_daily_revenue FROM gold_daily_franchise_health
@@ -317,107 +329,105 @@ def _with(select: str) -> str:
     return f"WITH {body}\n{select.strip()}"
 
 
-def _checks(union_sql: str) -> str:
-    return _with(f"""
-SELECT test_name, failed_records, failed_records = 0 AS test_passed FROM (
-{union_sql.strip()}
-) checks""")
-
-
-_FOUNDATION = r"""
-SELECT 'duplicate_transaction_ids' AS test_name, COUNT(*) AS failed_records
-FROM (SELECT transaction_id FROM silver_pos_transactions GROUP BY transaction_id HAVING COUNT(*) > 1) x
-UNION ALL
-SELECT 'invalid_customer_fk_in_transactions', COUNT(*) FROM silver_pos_transactions t
-LEFT JOIN silver_customer_profiles c ON t.customer_id = c.customer_id WHERE c.customer_id IS NULL
-UNION ALL
-SELECT 'invalid_store_fk_in_transactions', COUNT(*) FROM silver_pos_transactions t
-LEFT JOIN silver_franchise_ops f ON t.store_id = f.store_id WHERE f.store_id IS NULL
-UNION ALL
-SELECT 'unapproved_suppliers_in_silver_supply', COUNT(*) FROM silver_supply_chain s
-WHERE COALESCE(is_approved, false) <> true
-   OR NOT EXISTS (SELECT 1 FROM bronze_supply_chain b
-                  WHERE b.raw_supplier_id = s.supplier_id AND upper(trim(b.approval_status)) = 'Y')
-UNION ALL
-SELECT 'approved_suppliers_in_quarantine', COUNT(*) FROM silver_supply_chain_quarantine
-WHERE upper(trim(approval_status)) = 'Y'
-UNION ALL
-SELECT 'unmasked_email_patterns', COUNT(*) FROM silver_customer_profiles WHERE masked_email NOT LIKE '_***%@%'
-UNION ALL
-SELECT 'unmasked_phone_patterns', COUNT(*) FROM silver_customer_profiles WHERE masked_phone NOT LIKE '%****%'
-UNION ALL
-SELECT 'reviews_without_chunks', COUNT(*) FROM silver_customer_reviews
-WHERE chunked_review_text IS NULL OR len(chunked_review_text) = 0
-"""
+def _where(cond: str) -> str:
+    return f"count(*) FILTER (WHERE {cond})"
 
-_DAILY = rf"""
-SELECT 'aggregation_mismatch_vs_silver' AS test_name, COUNT(*) AS failed_records
-FROM (SELECT store_id, CAST(transaction_timestamp AS DATE) AS reporting_date,
-        SUM(total_price) AS total_daily_revenue, CAST(SUM(quantity) AS BIGINT) AS total_items_sold,
-        {_avg('total_price', 2, 2)} AS avg_transaction_value
-      FROM silver_pos_transactions GROUP BY 1, 2) e
-FULL OUTER JOIN gold_daily_franchise_health a ON e.store_id = a.store_id AND e.reporting_date = a.reporting_date
-WHERE e.store_id IS NULL OR a.store_id IS NULL
-   OR e.total_daily_revenue IS DISTINCT FROM a.total_daily_revenue
-   OR e.total_items_sold IS DISTINCT FROM a.total_items_sold
-   OR e.avg_transaction_value IS DISTINCT FROM a.avg_transaction_value
-UNION ALL
-SELECT 'negative_metrics', COUNT(*) FROM gold_daily_franchise_health
-WHERE total_daily_revenue < 0 OR total_items_sold < 0 OR avg_transaction_value < 0
-UNION ALL
-SELECT 'null_store_or_date', COUNT(*) FROM gold_daily_franchise_health WHERE store_id IS NULL OR reporting_date IS NULL
-"""
 
-_C360 = r"""
-SELECT 'duplicate_customer_rows' AS test_name, COUNT(*) AS failed_records
-FROM (SELECT customer_id FROM gold_customer_360 GROUP BY customer_id HAVING COUNT(*) > 1) x
-UNION ALL
-SELECT 'null_customer_id', COUNT(*) FROM gold_customer_360 WHERE customer_id IS NULL
-UNION ALL
-SELECT 'spend_mismatch_vs_silver', COUNT(*)
-FROM (SELECT customer_id, SUM(total_price) AS total_lifetime_spend FROM silver_pos_transactions GROUP BY customer_id) e
-FULL OUTER JOIN gold_customer_360 g ON e.customer_id = g.customer_id
-WHERE e.customer_id IS NULL OR g.customer_id IS NULL OR e.total_lifetime_spend IS DISTINCT FROM g.total_lifetime_spend
-UNION ALL
-SELECT 'null_preference_fields_for_transacting_customers', COUNT(*) FROM gold_customer_360
-WHERE preferred_store_location IS NULL OR most_frequent_product IS NULL
-"""
+def _block(source: str, measures: dict[str, str]) -> str:
+    """One scan of ``source``: one aggregate per check, unpivoted to (test_name, failed_records)."""
+    cols = ", ".join(f"CAST({m} AS BIGINT) AS {name}" for name, m in measures.items())
+    return (f"SELECT * FROM (SELECT {cols} FROM {source}) "
+            f"UNPIVOT (failed_records FOR test_name IN ({', '.join(measures)}))")
 
-_RISK = r"""
-SELECT 'missing_suppliers_in_risk_matrix' AS test_name, COUNT(*) AS failed_records
-FROM silver_supply_chain s LEFT JOIN gold_supplier_risk_matrix g ON s.supplier_id = g.supplier_id
-WHERE g.supplier_id IS NULL
-UNION ALL
-SELECT 'criticality_out_of_range', COUNT(*) FROM gold_supplier_risk_matrix
-WHERE ingredient_criticality_score NOT IN (2, 3, 5)
-UNION ALL
-SELECT 'negative_distance', COUNT(*) FROM gold_supplier_risk_matrix WHERE avg_geographic_distance < 0
-UNION ALL
-SELECT 'null_primary_fields', COUNT(*) FROM gold_supplier_risk_matrix
-WHERE supplier_id IS NULL OR is_high_risk_flag IS NULL
-"""
 
-_SENTIMENT = r"""
-SELECT 'sentiment_score_out_of_bounds' AS test_name, COUNT(*) AS failed_records FROM gold_store_sentiment_trends
-WHERE customer_satisfaction_score < -1 OR customer_satisfaction_score > 1
-UNION ALL
-SELECT 'invalid_reporting_period_span', COUNT(*) FROM gold_store_sentiment_trends
-WHERE date_diff('day', reporting_period_start, reporting_period_end) <> 6
-UNION ALL
-SELECT 'null_store_or_period', COUNT(*) FROM gold_store_sentiment_trends
-WHERE store_id IS NULL OR reporting_period_start IS NULL OR reporting_period_end IS NULL
-"""
+def _checks(*blocks: str) -> str:
+    union = "\nUNION ALL\n".join(blocks)
+    return _with(f"SELECT test_name, failed_records, failed_records = 0 AS test_passed FROM ({union}) checks")
 
-_SCORECARD = r"""
-SELECT 'scorecard_row_count_matches_daily_health' AS test_name,
-  ABS((SELECT COUNT(*) FROM gold_daily_franchise_health) - (SELECT COUNT(*) FROM gold_store_scorecard))
-    AS failed_records
-UNION ALL
-SELECT 'null_primary_keys', COUNT(*) FROM gold_store_scorecard WHERE store_id IS NULL OR reporting_date IS NULL
-UNION ALL
-SELECT 'negative_core_metrics', COUNT(*) FROM gold_store_scorecard
-WHERE total_daily_revenue < 0 OR total_items_sold < 0 OR avg_transaction_value < 0
-"""
+
+def _copies(table: str, key: str) -> str:
+    return f"(SELECT {key}, count(*) AS copies FROM {table} GROUP BY {key}) dup"
+
+
+def _missing(table: str, key: str, outer: str) -> str:
+    return f"NOT EXISTS (SELECT 1 FROM {table} x WHERE x.{key} = {outer}.{key})"
+
+
+_EXPECTED_DAILY = f"""(SELECT store_id, CAST(transaction_timestamp AS DATE) AS reporting_date,
+    CAST(SUM(total_price) AS DECIMAL(23,2)) AS rev, CAST(SUM(quantity) AS BIGINT) AS items,
+    {_avg('total_price', 2, 2, 13)} AS avg_ticket
+  FROM silver_pos_transactions GROUP BY ALL)"""
+
+_DAILY_RECONCILED = f"""(SELECT e.store_id AS e_store, a.store_id AS a_store,
+    e.rev IS DISTINCT FROM a.total_daily_revenue OR e.items IS DISTINCT FROM a.total_items_sold
+      OR e.avg_ticket IS DISTINCT FROM a.avg_transaction_value AS differs
+  FROM {_EXPECTED_DAILY} e FULL JOIN gold_daily_franchise_health a
+    ON a.store_id = e.store_id AND a.reporting_date = e.reporting_date) r"""
+
+_SPEND_RECONCILED = """(SELECT e.customer_id AS e_cust, g.customer_id AS g_cust,
+    e.spend IS DISTINCT FROM g.total_lifetime_spend AS differs
+  FROM (SELECT customer_id, CAST(sum(total_price) AS DECIMAL(23,2)) AS spend
+        FROM silver_pos_transactions GROUP BY ALL) e
+  FULL JOIN gold_customer_360 g ON g.customer_id = e.customer_id) r"""
+
+_NEGATIVE = "total_daily_revenue < 0 OR total_items_sold < 0 OR avg_transaction_value < 0"
+
+
+def _check_queries() -> dict[str, str]:
+    supplier_backed = ("EXISTS (SELECT 1 FROM bronze_supply_chain b WHERE b.raw_supplier_id = s.supplier_id "
+                       f"AND upper(trim(b.approval_status)) = '{params.APPROVED_STATUS}')")
+    return {
+        "checks_foundation": _checks(
+            _block(_copies("silver_pos_transactions", "transaction_id"),
+                   {"duplicate_transaction_ids": _where("copies > 1")}),
+            _block("silver_pos_transactions t", {
+                "invalid_customer_fk_in_transactions": _where(_missing("silver_customer_profiles", "customer_id", "t")),
+                "invalid_store_fk_in_transactions": _where(_missing("silver_franchise_ops", "store_id", "t"))}),
+            _block("silver_supply_chain s", {"unapproved_suppliers_in_silver_supply": _where(
+                f"coalesce(is_approved, false) <> true OR NOT {supplier_backed}")}),
+            _block("silver_supply_chain_quarantine", {"approved_suppliers_in_quarantine": _where(
+                f"upper(trim(approval_status)) = '{params.APPROVED_STATUS}'")}),
+            _block("silver_customer_profiles", {
+                "unmasked_email_patterns": _where("masked_email NOT LIKE '_***%@%'"),
+                "unmasked_phone_patterns": _where("masked_phone NOT LIKE '%****%'")}),
+            _block("silver_customer_reviews", {"reviews_without_chunks": _where(
+                "chunked_review_text IS NULL OR len(chunked_review_text) = 0")})),
+        "checks_daily": _checks(
+            _block(_DAILY_RECONCILED, {"aggregation_mismatch_vs_silver": _where(
+                "e_store IS NULL OR a_store IS NULL OR differs")}),
+            _block("gold_daily_franchise_health", {
+                "negative_metrics": _where(_NEGATIVE),
+                "null_store_or_date": _where("store_id IS NULL OR reporting_date IS NULL")})),
+        "checks_customer_360": _checks(
+            _block(_copies("gold_customer_360", "customer_id"), {"duplicate_customer_rows": _where("copies > 1")}),
+            _block("gold_customer_360", {
+                "null_customer_id": _where("customer_id IS NULL"),
+                "null_preference_fields_for_transacting_customers": _where(
+                    "preferred_store_location IS NULL OR most_frequent_product IS NULL")}),
+            _block(_SPEND_RECONCILED, {"spend_mismatch_vs_silver": _where(
+                "e_cust IS NULL OR g_cust IS NULL OR differs")})),
+        "checks_supplier_risk": _checks(
+            _block("silver_supply_chain s", {"missing_suppliers_in_risk_matrix": _where(
+                _missing("gold_supplier_risk_matrix", "supplier_id", "s"))}),
+            _block("gold_supplier_risk_matrix", {
+                "criticality_out_of_range": _where("ingredient_criticality_score NOT IN (2, 3, 5)"),
+                "negative_distance": _where("avg_geographic_distance < 0"),
+                "null_primary_fields": _where("supplier_id IS NULL OR is_high_risk_flag IS NULL")})),
+        "checks_sentiment": _checks(
+            _block("gold_store_sentiment_trends", {
+                "sentiment_score_out_of_bounds": _where(
+                    "customer_satisfaction_score < -1 OR customer_satisfaction_score > 1"),
+                "invalid_reporting_period_span": _where(
+                    "date_diff('day', reporting_period_start, reporting_period_end) <> 6"),
+                "null_store_or_period": _where(
+                    "store_id IS NULL OR reporting_period_start IS NULL OR reporting_period_end IS NULL")})),
+        "checks_scorecard": _checks(
+            _block("gold_store_scorecard", {
+                "scorecard_row_count_matches_daily_health":
+                    "abs((SELECT count(*) FROM gold_daily_franchise_health) - count(*))",
+                "null_primary_keys": _where("store_id IS NULL OR reporting_date IS NULL"),
+                "negative_core_metrics": _where(_NEGATIVE)})),
+    }
 
 
 def _mask(admin: bool) -> str:
@@ -452,12 +462,7 @@ SELECT supplier_id, dependent_franchise_count, ROUND(avg_geographic_distance, 6)
         "gold_weekly_sentiment": _with("SELECT * FROM gold_store_sentiment_trends"),
         "gold_weekly_sentiment_literal": _with("SELECT * FROM gold_store_sentiment_trends_literal"),
         "gold_store_scorecard": _with("SELECT * FROM gold_store_scorecard"),
-        "checks_foundation": _checks(_FOUNDATION),
-        "checks_daily": _checks(_DAILY),
-        "checks_customer_360": _checks(_C360),
-        "checks_supplier_risk": _checks(_RISK),
-        "checks_sentiment": _checks(_SENTIMENT),
-        "checks_scorecard": _checks(_SCORECARD),
+        **_check_queries(),
         "forecast_panel_features": _with("""
 SELECT store_id, reporting_date, label, day_of_week, day_of_month, month, week_of_year, is_weekend, trend_index,
   lag_1, lag_7, ROUND(rolling_mean_3, 6) AS rolling_mean_3, ROUND(rolling_mean_7, 6) AS rolling_mean_7,
