@@ -24,11 +24,12 @@ class TableReader:
         """The table as a lazy DataFrame.
 
         ``spread=True`` is for large inputs followed by heavy per-row work:
-        when the table has fewer files than the cluster has task slots
-        (e.g. one big single-row-group file, which a parquet scan reads in
-        one task), the rows are dealt round-robin over all slots first. A
-        table of many files is returned unchanged, so on a real multi-file
-        table this costs nothing.
+        when the scan has fewer splits than the cluster has task slots (e.g.
+        one big single-row-group file, which a parquet scan reads in one
+        task), the rows are dealt round-robin over all slots first. A table
+        stored as many files already scans in parallel and is returned
+        unchanged. Only the split count is consulted (planning, no job, no
+        file list on the driver).
         """
         if self.root is not None:
             df = self.spark.read.parquet(os.path.join(self.root, f"{name}.parquet"))
@@ -36,6 +37,6 @@ class TableReader:
             df = self.spark.table(f"{self.database}.{name}" if self.database else name)
         if spread:
             slots = self.spark.sparkContext.defaultParallelism
-            if len(df.inputFiles()) < slots:
+            if df.rdd.getNumPartitions() < slots:
                 df = df.repartition(slots)
         return df
