@@ -206,3 +206,35 @@ def scorecard_checks(scorecard: DataFrame, daily: DataFrame) -> DataFrame:
         "negative_core_metrics": failed_if((F.col("total_daily_revenue") < 0) | (F.col("total_items_sold") < 0)
                                            | (F.col("avg_transaction_value") < 0)),
     }))
+
+
+# ---------------------------------------------------------------------------
+# Layer contracts (completeness, cast failures, dimension key uniqueness)
+# ---------------------------------------------------------------------------
+
+# Typed bronze columns of the transactions source: source column -> bronze type.
+TRANSACTION_CASTS = {"transactionID": "string", "dateTime": "timestamp", "quantity": "int",
+                     "unitPrice": "decimal(10,2)", "totalPrice": "decimal(12,2)", "customerID": "string",
+                     "franchiseID": "string", "cardNumber": "string"}
+
+
+def contract_checks(source_transactions: DataFrame, bronze_suppliers: DataFrame, approved: DataFrame,
+                    quarantine: DataFrame, customers: DataFrame, stores: DataFrame) -> DataFrame:
+    """Checks on the contracts between layers.
+
+    * every bronze supplier is either approved or quarantined;
+    * no source transaction value is lost by the bronze ``try_cast``;
+    * dimension keys are unique (the dimension joins assume it).
+    """
+    split_rows = approved.select(row_count()).scalar() + quarantine.select(row_count()).scalar()
+    lost_in_cast = None
+    for column, type_ in TRANSACTION_CASTS.items():
+        c = F.col(column).isNotNull() & F.col(column).try_cast(type_).isNull()
+        lost_in_cast = c if lost_in_cast is None else (lost_in_cast | c)
+    return check_report(
+        CheckBlock(bronze_suppliers, {"suppliers_neither_approved_nor_quarantined": F.abs(row_count() - split_rows)}),
+        CheckBlock(source_transactions, {"transaction_cast_failures": failed_if(lost_in_cast)}),
+        CheckBlock(_duplicate_keys(customers, "customer_id"), {"duplicate_customer_ids": row_count()}),
+        CheckBlock(_duplicate_keys(stores, "store_id"), {"duplicate_store_ids": row_count()}),
+        CheckBlock(_duplicate_keys(approved, "supplier_id"), {"duplicate_supplier_ids": row_count()}),
+    )

@@ -32,6 +32,7 @@ DATASETS = {
     "silver_pos_transactions": ("silver", "Deduplicated, validated transactions with valid references"),
     "silver_customer_reviews": ("silver", "Cleaned review text split into sentence chunks"),
     "silver_test_foundation_quality": ("check", "Foundation data-quality checks"),
+    "silver_test_contract_quality": ("check", "Layer contracts: completeness, cast failures, unique dimension keys"),
     "gold_daily_franchise_health": ("gold", "Daily store revenue and ticket metrics"),
     "gold_test_daily_franchise_health_quality": ("check", "Daily store health checks"),
     "gold_customer_360": ("gold", "Customer spend, preferred store and product"),
@@ -112,6 +113,12 @@ class Medallion:
             self["silver_supply_chain"], self["silver_supply_chain_quarantine"], self["silver_customer_reviews"],
             self["bronze_supply_chain"])
 
+    @cached_property
+    def silver_test_contract_quality(self) -> DataFrame:
+        return quality.contract_checks(
+            self.sources.transactions, self["bronze_supply_chain"], self["silver_supply_chain"],
+            self["silver_supply_chain_quarantine"], self["silver_customer_profiles"], self["silver_franchise_ops"])
+
     # gold -----------------------------------------------------------------
     @cached_property
     def gold_daily_franchise_health(self) -> DataFrame:

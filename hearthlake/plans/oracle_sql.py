@@ -370,6 +370,10 @@ _SPEND_RECONCILED = """(SELECT e.customer_id AS e_cust, g.customer_id AS g_cust,
         FROM silver_pos_transactions GROUP BY ALL) e
   FULL JOIN gold_customer_360 g ON g.customer_id = e.customer_id) r"""
 
+_TX_CASTS = (("transactionID", "VARCHAR"), ("dateTime", "TIMESTAMP"), ("quantity", "INTEGER"),
+             ("unitPrice", "DECIMAL(10,2)"), ("totalPrice", "DECIMAL(12,2)"), ("customerID", "VARCHAR"),
+             ("franchiseID", "VARCHAR"), ("cardNumber", "VARCHAR"))
+
 _NEGATIVE = "total_daily_revenue < 0 OR total_items_sold < 0 OR avg_transaction_value < 0"
 
 
@@ -392,6 +396,15 @@ def _check_queries() -> dict[str, str]:
                 "unmasked_phone_patterns": _where("masked_phone NOT LIKE '%****%'")}),
             _block("silver_customer_reviews", {"reviews_without_chunks": _where(
                 "chunked_review_text IS NULL OR len(chunked_review_text) = 0")})),
+        "checks_contracts": _checks(
+            _block("bronze_supply_chain", {"suppliers_neither_approved_nor_quarantined":
+                   "abs(count(*) - (SELECT count(*) FROM silver_supply_chain)"
+                   " - (SELECT count(*) FROM silver_supply_chain_quarantine))"}),
+            _block("src_transactions", {"transaction_cast_failures": _where(" OR ".join(
+                f"({c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL)" for c, t in _TX_CASTS))}),
+            _block(_copies("silver_customer_profiles", "customer_id"), {"duplicate_customer_ids": _where("copies > 1")}),
+            _block(_copies("silver_franchise_ops", "store_id"), {"duplicate_store_ids": _where("copies > 1")}),
+            _block(_copies("silver_supply_chain", "supplier_id"), {"duplicate_supplier_ids": _where("copies > 1")})),
         "checks_daily": _checks(
             _block(_DAILY_RECONCILED, {"aggregation_mismatch_vs_silver": _where(
                 "e_store IS NULL OR a_store IS NULL OR differs")}),

@@ -114,6 +114,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_weekly_sentiment_literal": gold_weekly_sentiment_literal,
         "gold_store_scorecard": _dataset("gold_store_scorecard"),
         "checks_foundation": _dataset("silver_test_foundation_quality", ("validated_at",)),
+        "checks_contracts": _dataset("silver_test_contract_quality", ("validated_at",)),
         "checks_daily": _dataset("gold_test_daily_franchise_health_quality", ("validated_at",)),
         "checks_customer_360": _dataset("gold_test_customer_360_quality", ("validated_at",)),
         "checks_supplier_risk": _dataset("gold_test_supplier_risk_quality", ("validated_at",)),

@@ -25,7 +25,7 @@ def clean_graph(spark):
 CHECK_SETS = {
     "silver_test_foundation_quality": 8, "gold_test_daily_franchise_health_quality": 3,
     "gold_test_customer_360_quality": 4, "gold_test_supplier_risk_quality": 4,
-    "gold_test_sentiment_trends_quality": 3, "gold_test_scorecard_quality": 3,
+    "gold_test_sentiment_trends_quality": 3, "gold_test_scorecard_quality": 3, "silver_test_contract_quality": 5,
 }
 
 
@@ -87,3 +87,25 @@ def test_scorecard_and_sentiment_checks(spark):
     got = report(quality.supplier_risk_checks(risk.limit(0), g["silver_supply_chain"]))
     assert got["missing_suppliers_in_risk_matrix"] == 1
     assert report(quality.supplier_risk_checks(risk, g["silver_supply_chain"]))["criticality_out_of_range"] == 1
+
+
+def test_contract_checks_surface_planted_defects(spark):
+    g = Medallion(sources(
+        spark, customers=[customer(1), customer(1)], franchises=[store(1), store(1), store(2)],
+        suppliers=[supplier(1), supplier(1), supplier(2, approved=None)],
+        transactions=[tx("a", "2024-05-13 10:00:00")]))
+    bad_source = g.sources.transactions.selectExpr(
+        "transactionID", "dateTime", "'many' AS quantity", "unitPrice", "totalPrice", "customerID", "franchiseID",
+        "cardNumber")
+    got = report(quality.contract_checks(bad_source, g["bronze_supply_chain"], g["silver_supply_chain"],
+                                         g["silver_supply_chain_quarantine"], g["silver_customer_profiles"],
+                                         g["silver_franchise_ops"]))
+    assert got["duplicate_customer_ids"] == 1
+    assert got["duplicate_store_ids"] == 1
+    assert got["duplicate_supplier_ids"] == 1
+    assert got["transaction_cast_failures"] == 1
+    assert got["suppliers_neither_approved_nor_quarantined"] == 0  # the NULL status went to quarantine
+    lost = report(quality.contract_checks(g.sources.transactions, g["bronze_supply_chain"],
+                                          g["silver_supply_chain"].limit(1), g["silver_supply_chain_quarantine"],
+                                          g["silver_customer_profiles"], g["silver_franchise_ops"]))
+    assert lost["suppliers_neither_approved_nor_quarantined"] == 1
