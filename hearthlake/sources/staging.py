@@ -11,6 +11,10 @@ real source tables that already have the source column names.
 Column names are the operational sources' own (``customerID``,
 ``franchiseID``, ``dateTime`` ...), so the bronze layer is written against
 the real source contract.
+
+The ``key % n == r`` expressions below only choose which *values* carry a
+planted defect (a NULL total, an unknown foreign key, a zero quantity, a
+padded flag); every staging view keeps every row of its driver table.
 """
 
 from __future__ import annotations
