@@ -87,11 +87,11 @@ def forecast_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forecast_next_14_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hearthlake.operators.forecast.features import forecast_frames
-    from hearthlake.operators.forecast.predict import recursive_forecast
+    from hearthlake.operators.forecast.predict import roll_forward_forecast
     from hearthlake.operators.forecast.train import tune
     frames = forecast_frames(graph(spark, sf_dir)["gold_daily_franchise_health"]).checkpointed()
     best = tune(frames.train, frames.test, candidates=params.SMALL_CANDIDATES)
-    return recursive_forecast(best.model, frames, best.model_name).drop("forecast_generated_at")
+    return roll_forward_forecast(best.model, frames, best.model_name).drop("forecast_generated_at")
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from hearthlake import params
 from hearthlake.operators.forecast.features import forecast_frames, holdout_days_py
-from hearthlake.operators.forecast.predict import recursive_forecast, step_features
+from hearthlake.operators.forecast.predict import roll_forward_forecast, step_features
 from hearthlake.operators.forecast.train import tune
 from hearthlake.plans.queries import graph
 
@@ -85,16 +85,16 @@ def test_tuning_results_and_selection(trained):
     assert all(r.rmse >= 0 and r.mae >= 0 for r in results)
 
 
-def test_recursive_forecast_shape_and_determinism(spark, trained):
+def test_roll_forward_forecast_shape_and_determinism(spark, trained):
     frames, best = trained
-    one = recursive_forecast(best.model, frames, best.model_name).cache()
+    one = roll_forward_forecast(best.model, frames, best.model_name).cache()
     stores = frames.usable.select("store_id").distinct().count()
     assert one.count() == stores * params.FORECAST_HORIZON_DAYS
     assert one.where(F.col("predicted_daily_revenue").isNull()).count() == 0
     last = frames.pinned["last_day"]
     days = sorted({r.forecast_date for r in one.select("forecast_date").collect()})
     assert days == [last + timedelta(days=k) for k in range(1, params.FORECAST_HORIZON_DAYS + 1)]
-    again = recursive_forecast(best.model, frames, best.model_name)
+    again = roll_forward_forecast(best.model, frames, best.model_name)
     cols = ["store_id", "forecast_date", "predicted_daily_revenue"]
     assert sorted(map(tuple, one.select(cols).collect())) == sorted(map(tuple, again.select(cols).collect()))
 
