@@ -42,3 +42,18 @@ def mask_pii(c, is_admin) -> Column:
     return (F.when(admin, value)
             .when(value.isNull(), F.lit(None).cast("string"))
             .otherwise(F.concat(F.substring(value, 1, params.PII_VISIBLE_CHARS), F.lit(params.MASK))))
+
+
+def register_sql_functions(spark) -> None:
+    """Make ``mask_pii(value STRING, is_admin BOOLEAN)`` callable from SQL.
+
+    A temporary SQL-bodied function: Spark inlines the body into the query
+    plan (no Python in the loop), so SQL users get the same expression as
+    ``mask_pii`` above.
+    """
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION mask_pii(value STRING, is_admin BOOLEAN)
+        RETURNS STRING
+        RETURN CASE WHEN is_admin THEN value
+                    WHEN value IS NULL THEN NULL
+                    ELSE concat(substr(value, 1, {params.PII_VISIBLE_CHARS}), '{params.MASK}') END""")

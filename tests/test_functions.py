@@ -84,3 +84,11 @@ def test_week_bounds(spark):
 
 def test_criticality(spark):
     assert one_col(spark, ["Cacao", "almonds", "flour", None, " cacao"], ingredient_criticality) == [5, 3, 2, 2, 2]
+
+
+def test_mask_pii_sql_function(spark):
+    from hearthlake.functions import register_sql_functions
+    register_sql_functions(spark)
+    row = spark.sql("SELECT mask_pii('abcdef', false) AS u, mask_pii('abcdef', true) AS a, "
+                    "mask_pii(CAST(NULL AS STRING), false) AS n, mask_pii('a', false) AS s").first()
+    assert (row.u, row.a, row.n, row.s) == ("ab***", "abcdef", None, "a***")
