@@ -162,6 +162,17 @@ class Medallion:
     def gold_test_scorecard_quality(self) -> DataFrame:
         return quality.scorecard_checks(self["gold_store_scorecard"], self["gold_daily_franchise_health"])
 
+    # SQL access -----------------------------------------------------------
+    def register_views(self, names=None) -> list[str]:
+        """Expose datasets as temporary views under their dataset names, so
+        SQL users can query them (lazily) without a refresh."""
+        registered = []
+        for name in DATASETS:
+            if names is None or name in names:
+                self[name].createOrReplaceTempView(name)
+                registered.append(name)
+        return registered
+
     # materialisation ------------------------------------------------------
     def refresh(self, spark: SparkSession, database: str | None = None, names=None) -> list[str]:
         """Write datasets as tables (full refresh) in build order.

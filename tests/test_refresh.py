@@ -23,3 +23,12 @@ def test_refresh_writes_every_dataset(spark, tmp_path):
     checks = spark.table("refresh_test.gold_test_daily_franchise_health_quality").collect()
     assert {r.test_name: r.failed_records for r in checks}["aggregation_mismatch_vs_silver"] == 0
     spark.sql("DROP DATABASE refresh_test CASCADE")
+
+
+def test_datasets_as_sql_views(spark):
+    g = graph(spark, SF_SMALL)
+    assert g.register_views(["gold_customer_360", "silver_pos_transactions"]) == [
+        "silver_pos_transactions", "gold_customer_360"]
+    n = spark.sql("""SELECT count(*) AS n FROM gold_customer_360 c
+                     JOIN (SELECT DISTINCT customer_id FROM silver_pos_transactions) t USING (customer_id)""").first().n
+    assert n == g["gold_customer_360"].count()
