@@ -32,3 +32,19 @@ def test_datasets_as_sql_views(spark):
     n = spark.sql("""SELECT count(*) AS n FROM gold_customer_360 c
                      JOIN (SELECT DISTINCT customer_id FROM silver_pos_transactions) t USING (customer_id)""").first().n
     assert n == g["gold_customer_360"].count()
+
+
+def test_catalog_sources_give_the_same_datasets(spark, tmp_path):
+    from hearthlake.plans.medallion import Medallion
+    from hearthlake.sources import TableReader, catalog_sources, stage_sources
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS src_test LOCATION '{tmp_path / 'src'}'")
+    staged = stage_sources(TableReader(spark, SF_SMALL))
+    for name in ("customers", "franchises", "suppliers", "transactions", "reviews"):
+        getattr(staged, name).write.mode("overwrite").saveAsTable(f"src_test.{name}")
+    from_catalog = Medallion(catalog_sources(TableReader(spark, database="src_test")))
+    from_staging = Medallion(staged)
+    for dataset in ("gold_daily_franchise_health", "gold_customer_360", "gold_store_sentiment_trends"):
+        a = from_catalog[dataset]
+        b = from_staging[dataset]
+        assert a.count() == b.count() and a.exceptAll(b).count() == 0, dataset
+    spark.sql("DROP DATABASE src_test CASCADE")
