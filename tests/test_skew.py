@@ -70,3 +70,38 @@ def test_hot_keys_match_brute_force(spark):
     c360 = {r.customer_id: r for r in g["gold_customer_360"].collect()}
     assert {c: r.total_lifetime_spend for c, r in c360.items()} == spend
     assert {c: r.most_frequent_product for c, r in c360.items()} == top
+
+
+def test_sort_merge_fallback_splits_hot_partitions(spark):
+    """With broadcasts disabled (dimensions too large to broadcast), the FK
+    semi joins fall back to sort-merge joins and AQE splits the partitions of
+    the hot customer and the hot store; results stay the brute-force ones."""
+    import contextlib
+    import io
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = make_rows(n=30000)
+        g = Medallion(sources(spark, customers=[customer(i) for i in range(1, 41)],
+                              franchises=[store(i) for i in range(1, 7)], suppliers=[supplier(1)], transactions=rows))
+        df = g["silver_pos_transactions"]
+        got = {r.transaction_id for r in df.collect()}
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        final = buf.getvalue().split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+        assert final.count("SortMergeJoin(skew=true)") == 2
+        assert "AQEShuffleRead skewed" in final
+        assert got == brute_force(rows)[0]
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
