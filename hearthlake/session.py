@@ -26,6 +26,9 @@ EXECUTION_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Delete checkpoint files once nothing references them (the forecast
+    # writes one per step), so the shared folder does not fill up.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
