@@ -50,14 +50,19 @@ def silver_suppliers(bronze: DataFrame) -> DataFrame:
     )
 
 
-def silver_suppliers_quarantine(bronze: DataFrame) -> DataFrame:
+def silver_suppliers_quarantine(bronze: DataFrame, quarantine_null_status: bool = True) -> DataFrame:
     """Every supplier that is not approved, raw columns.
 
     A NULL status is quarantined as well (``NOT (x <=> 'Y')``), so approved +
-    quarantined always equals bronze.
+    quarantined always equals bronze. ``quarantine_null_status=False`` keeps
+    the original ``<> 'Y'`` test, under which such a supplier is in neither set.
     """
-    approved = F.upper(F.trim(F.col("approval_status"))).eqNullSafe(F.lit(params.APPROVED_STATUS))
-    return bronze.where(~approved).select(
+    status = F.upper(F.trim(F.col("approval_status")))
+    if quarantine_null_status:
+        held = ~status.eqNullSafe(F.lit(params.APPROVED_STATUS))
+    else:
+        held = status != F.lit(params.APPROVED_STATUS)
+    return bronze.where(held).select(
         F.col("raw_supplier_id").alias("supplier_id"),
         "supplier_name", "provided_ingredients", "latitude", "longitude",
         "approval_status", "continent", "city", "district", "size",

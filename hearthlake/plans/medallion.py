@@ -49,9 +49,12 @@ DATASETS = {
 class Medallion:
     """Lazy dataset graph over one set of sources."""
 
-    def __init__(self, sources: SourceTables, literal_split: bool = False):
+    def __init__(self, sources: SourceTables, literal_split: bool = False, quarantine_null_status: bool = True):
+        """``literal_split`` / ``quarantine_null_status=False`` switch the two
+        documented deviations back to the original behaviour."""
         self.sources = sources
         self.literal_split = literal_split
+        self.quarantine_null_status = quarantine_null_status
         self._overrides: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -95,7 +98,8 @@ class Medallion:
 
     @cached_property
     def silver_supply_chain_quarantine(self) -> DataFrame:
-        return silver.silver_suppliers_quarantine(self["bronze_supply_chain"])
+        return silver.silver_suppliers_quarantine(self["bronze_supply_chain"],
+                                                  quarantine_null_status=self.quarantine_null_status)
 
     @cached_property
     def silver_pos_transactions(self) -> DataFrame:

@@ -58,6 +58,8 @@ def test_step_features_from_history(spark):
     assert (a.reporting_date, a.day_of_week, a.is_weekend, a.trend_index) == (date(2024, 1, 7), 1.0, 1.0, 11.0)
     b = rows["b"]  # short history: lag_7 falls back to the mean
     assert (b.lag_1, b.lag_7, b.rolling_mean_3, b.rolling_mean_7) == (6.0, 5.0, 5.0, 5.0)
+    population = {r.store_id: r.rolling_std_7 for r in step_features(state, population_std=True).collect()}
+    assert population["a"] == pytest.approx(2.0) and population["b"] == pytest.approx(1.0)
 
 
 def test_split_sides_and_empty_side_error(spark):

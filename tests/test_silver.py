@@ -69,3 +69,11 @@ def test_customer_curation(spark):
     r = g["silver_customer_profiles"].first()
     assert (r.masked_email, r.masked_phone, r.masked_address) == ("a***@x.com", "555-123-4****67", "1 Main***")
     assert (r.normalized_country, r.normalized_continent) == ("United States", "North America")
+
+
+def test_original_quarantine_rule_drops_null_status(spark):
+    from hearthlake.plans.medallion import Medallion
+    from builders import sources as make_sources
+    g = Medallion(make_sources(spark, suppliers=[supplier(1, approved="N"), supplier(2, approved=None)]),
+                  quarantine_null_status=False)
+    assert [r.supplier_id for r in g["silver_supply_chain_quarantine"].collect()] == ["1"]
