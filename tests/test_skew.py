@@ -28,7 +28,8 @@ def make_rows(n=3000, seed=7):
     return rows
 
 
-def brute_force(rows):
+def brute_force(rows, customers=None, stores=None):
+    """Latest row per id -> validity -> FK (against the given key sets, if any)."""
     def key(r):  # timestamp DESC, then the other columns DESC, NULLs last
         tid, ts, product, qty, unit, total, cust, st = r[:8]
         filled = total if total is not None else (Decimal(qty) * unit).quantize(Decimal("0.01"))
@@ -38,7 +39,8 @@ def brute_force(rows):
         k = key(r)
         if r[0] not in latest or k > latest[r[0]][0]:
             latest[r[0]] = (k, r)
-    silver = [(tid, k) for tid, (k, r) in latest.items() if k[2] > 0 and k[3] > 0]
+    silver = [(tid, k) for tid, (k, r) in latest.items() if k[2] > 0 and k[3] > 0
+              and (customers is None or k[5] in customers) and (stores is None or k[6] in stores)]
     daily = defaultdict(lambda: [Decimal(0), 0, 0])
     spend = defaultdict(Decimal)
     products = defaultdict(Counter)
