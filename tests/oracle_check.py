@@ -2,8 +2,8 @@
 
 Usage: python tests/oracle_check.py [sf_dir] [key ...]
 
-Row count, column names and an order-insensitive multiset of normalised
-rows must match. Normalisation: decimals and floats to 6 decimals, dates
+Row count, column names, exact column types and an order-insensitive
+multiset of normalised rows must match. Normalisation: decimals and floats to 6 decimals, dates
 and timestamps to ISO text, everything else as text.
 """
 
@@ -48,6 +48,22 @@ def rows_multiset(cols, rows):
     return Counter(tuple(norm(r[i]) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN",
+                 "date": "DATE", "timestamp": "TIMESTAMP"}
+
+
+def type_problems(spark_schema, duck_description) -> list[str]:
+    """Exact type agreement per column (decimal precision and scale included)."""
+    duck_types = {d[0]: str(d[1]) for d in duck_description}
+    problems = []
+    for field in spark_schema.fields:
+        s = field.dataType.simpleString()
+        want = SPARK_TO_DUCK.get(s, s.upper())
+        if duck_types.get(field.name) != want:
+            problems.append(f"{field.name}: spark {s} vs duck {duck_types.get(field.name)}")
+    return problems
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
@@ -69,6 +85,9 @@ def compare(spark, con, key, fn, sql, sf_dir):
     d_rows = cur.fetchall()
     t2 = time.time()
     problems = []
+    types = type_problems(sdf.schema, cur.description)
+    if types:
+        problems.append("types " + "; ".join(types))
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns spark={s_cols} duck={d_cols}")
     if len(s_rows) != len(d_rows):
