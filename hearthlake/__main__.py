@@ -1,6 +1,6 @@
 """Command line: full refresh, forecast job, or one registered query.
 
-    python -m hearthlake refresh  --tables-dir DIR --database NAME [--literal-split]
+    python -m hearthlake refresh  --tables-dir DIR --database NAME [--group NAME] [--literal-split]
     python -m hearthlake forecast --database NAME --model-path PATH [--small-grid]
     python -m hearthlake query KEY --tables-dir DIR [--show N]
 
@@ -29,6 +29,9 @@ def main(argv=None) -> int:
     refresh.add_argument("--tables-dir", required=True)
     refresh.add_argument("--database", required=True)
     refresh.add_argument("--literal-split", action="store_true")
+    refresh.add_argument("--group", default=None,
+                         help="refresh one group (foundation, daily_health, customer_360, supplier_risk, sentiment, "
+                              "scorecard); other datasets are read from their tables")
 
     forecast = sub.add_parser("forecast", help="train, persist and forecast from the daily health table")
     forecast.add_argument("--database", required=True)
@@ -51,7 +54,7 @@ def main(argv=None) -> int:
         ensure_schema(spark, args.database, comment="Curated retail datasets (bronze, silver, gold, checks)")
         use_schema(spark, args.database)
         graph = Medallion(stage_sources(TableReader(spark, args.tables_dir)), literal_split=args.literal_split)
-        print(json.dumps({"written": graph.refresh(spark, database=args.database)}))
+        print(json.dumps({"written": graph.refresh(spark, database=args.database, group=args.group)}))
     elif args.command == "forecast":
         from hearthlake.plans.forecast_job import run_forecast_job
         daily = spark.table(f"{args.database}.gold_daily_franchise_health")

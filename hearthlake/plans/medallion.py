@@ -46,6 +46,22 @@ DATASETS = {
 }
 
 
+# Datasets refreshed together; a group reads datasets of other groups from
+# their tables (see ``Medallion.refresh(group=...)``).
+REFRESH_GROUPS = {
+    "foundation": ["bronze_customer_profiles", "bronze_franchise_ops", "bronze_supply_chain",
+                   "bronze_pos_transactions", "bronze_customer_reviews", "silver_customer_profiles",
+                   "silver_franchise_ops", "silver_supply_chain", "silver_supply_chain_quarantine",
+                   "silver_pos_transactions", "silver_customer_reviews", "silver_test_foundation_quality",
+                   "silver_test_contract_quality"],
+    "daily_health": ["gold_daily_franchise_health", "gold_test_daily_franchise_health_quality"],
+    "customer_360": ["gold_customer_360", "gold_test_customer_360_quality"],
+    "supplier_risk": ["gold_supplier_risk_matrix", "gold_test_supplier_risk_quality"],
+    "sentiment": ["gold_store_sentiment_trends", "gold_test_sentiment_trends_quality"],
+    "scorecard": ["gold_store_scorecard", "gold_test_scorecard_quality"],
+}
+
+
 class Medallion:
     """Lazy dataset graph over one set of sources."""
 
@@ -178,13 +194,22 @@ class Medallion:
         return registered
 
     # materialisation ------------------------------------------------------
-    def refresh(self, spark: SparkSession, database: str | None = None, names=None) -> list[str]:
+    def refresh(self, spark: SparkSession, database: str | None = None, names=None,
+                group: str | None = None) -> list[str]:
         """Write datasets as tables (full refresh) in build order.
 
         After each write the dataset is re-read from its table, so
         downstream datasets start from materialised data (short lineage,
-        and a lost executor only costs the stage in flight).
+        and a lost executor only costs the stage in flight). With ``group``
+        only that refresh group is written, and every dataset outside it
+        that already exists as a table is read from that table.
         """
+        if group is not None:
+            names = REFRESH_GROUPS[group]
+            existing = {t.name for t in spark.catalog.listTables(database)} if database else set()
+            for other in DATASETS:
+                if other not in names and other in existing:
+                    self._overrides[other] = spark.table(f"{database}.{other}" if database else other)
         written = []
         for name, (_, comment) in DATASETS.items():
             if names is not None and name not in names:
