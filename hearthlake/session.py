@@ -54,6 +54,17 @@ def build_session(master: str | None = None, app_name: str = "hearthlake",
     return spark
 
 
+def task_slots(spark: SparkSession) -> int:
+    """Number of tasks the cluster runs at once (default parallelism).
+
+    Falls back to the shuffle-partition setting when the session has no
+    SparkContext (Spark Connect)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext in a Spark Connect session
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints.
 
@@ -63,7 +74,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     setting is an error, since a machine-local folder would not survive the
     loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -10,6 +10,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hearthlake.session import task_slots
+
 
 class TableReader:
     """Resolves table names to DataFrames, either from a folder of
@@ -36,7 +38,11 @@ class TableReader:
         else:
             df = self.spark.table(f"{self.database}.{name}" if self.database else name)
         if spread:
-            slots = self.spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < slots:
+            slots = task_slots(self.spark)
+            try:
+                splits = df.rdd.getNumPartitions()
+            except Exception:  # no RDD access (Spark Connect): leave the scan as it is
+                splits = slots
+            if splits < slots:
                 df = df.repartition(slots)
         return df
