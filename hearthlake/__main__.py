@@ -51,12 +51,19 @@ def main(argv=None) -> int:
         from hearthlake.sources.sinks import ensure_schema, use_schema
         from hearthlake.sources.staging import stage_sources
         from hearthlake.sources.tables import TableReader
+        from hearthlake.plans.medallion import DATASETS
+        from hearthlake.sources.sinks import attach_tables
+        attach_tables(spark, args.database, DATASETS)
         ensure_schema(spark, args.database, comment="Curated retail datasets (bronze, silver, gold, checks)")
         use_schema(spark, args.database)
         graph = Medallion(stage_sources(TableReader(spark, args.tables_dir)), literal_split=args.literal_split)
         print(json.dumps({"written": graph.refresh(spark, database=args.database, group=args.group)}))
     elif args.command == "forecast":
-        from hearthlake.plans.forecast_job import run_forecast_job
+        from hearthlake.plans.forecast_job import ForecastTables, run_forecast_job
+        from hearthlake.sources.sinks import attach_tables
+        t = ForecastTables()
+        attach_tables(spark, args.database,
+                      ["gold_daily_franchise_health", t.tuning, t.metrics, t.registry, t.predictions])
         daily = spark.table(f"{args.database}.gold_daily_franchise_health")
         run = run_forecast_job(spark, daily, args.model_path, database=args.database,
                                candidates=params.SMALL_CANDIDATES if args.small_grid else params.DEFAULT_CANDIDATES)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hearthlake.operators import bronze, gold, quality, silver
 from hearthlake.sources.staging import SourceTables
-from hearthlake.sources.sinks import write_table
+from hearthlake.sources.sinks import table_path, write_table
 
 # Dataset name -> (layer, description); the order is a valid build order.
 DATASETS = {
@@ -206,7 +206,8 @@ class Medallion:
         """
         if group is not None:
             names = REFRESH_GROUPS[group]
-            existing = {t.name for t in spark.catalog.listTables(database)} if database else set()
+            existing = ({t.name for t in spark.catalog.listTables(database) if not t.isTemporary}
+                        if database else set())
             for other in DATASETS:
                 if other not in names and other in existing:
                     self._overrides[other] = spark.table(f"{database}.{other}" if database else other)
@@ -215,7 +216,8 @@ class Medallion:
             if names is not None and name not in names:
                 continue
             table = f"{database}.{name}" if database else name
-            write_table(self[name], table, mode="overwrite", comment=comment)
+            write_table(self[name], table, mode="overwrite", comment=comment,
+                        path=table_path(spark, database, name))
             self._overrides[name] = spark.table(table)
             written.append(table)
         return written

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -13,15 +15,64 @@ def ensure_schema(spark: SparkSession, schema: str, comment: str | None = None)
     spark.sql(stmt)
 
 
+def table_path(spark: SparkSession, database: str | None, name: str) -> str | None:
+    """Storage folder of dataset ``name`` inside the database's location."""
+    if not database:
+        return None
+    return spark.catalog.getDatabase(database).locationUri.rstrip("/") + "/" + name
+
+
+def _missing_local(path: str) -> bool:
+    """True for a local path that does not exist (other file systems: unknown, False)."""
+    if "://" in path and not path.startswith("file:"):
+        return False
+    local = path[len("file:"):] if path.startswith("file:") else path
+    return not os.path.isdir(local)
+
+
+def attach_tables(spark: SparkSession, database: str, names, location: str | None = None) -> list[str]:
+    """Register tables already stored under a database folder.
+
+    Spark's built-in catalog is per-session, so a later session (another CLI
+    run, another job) does not know the tables an earlier one wrote. This
+    re-attaches each named table found under ``<warehouse>/<database>.db``
+    (or ``location``); with a persistent metastore every name is already
+    known and nothing happens. Returns the names attached.
+    """
+    if location is None:
+        location = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + f"/{database}.db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
+    location = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    known = {t.name for t in spark.catalog.listTables(database) if not t.isTemporary}
+    attached = []
+    for name in names:
+        path = f"{location}/{name}"
+        if name in known or _missing_local(path):
+            continue
+        try:
+            spark.sql(f"CREATE TABLE `{database}`.`{name}` USING parquet LOCATION '{path}'")
+            attached.append(name)
+        except Exception:  # nothing readable stored under this name
+            continue
+    return attached
+
+
 def use_schema(spark: SparkSession, schema: str) -> None:
     """Make ``schema`` the session's current database (unqualified names resolve there)."""
     spark.catalog.setCurrentDatabase(schema)
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", comment: str | None = None,
-                partition_by: list[str] | None = None) -> None:
-    """Write ``df`` as a managed table (``overwrite`` = full refresh)."""
+                partition_by: list[str] | None = None, path: str | None = None) -> None:
+    """Write ``df`` as a table (``overwrite`` = full refresh, ``append`` adds rows).
+
+    With ``path`` the table's data lives in that folder, so a later session
+    can overwrite or append to it even when its catalog has not seen the
+    table before (see ``attach_tables``).
+    """
     writer = df.write.mode(mode).format("parquet")
+    if path:
+        writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)

@@ -57,9 +57,11 @@ def test_group_refresh_reads_upstream_tables(spark, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS group_test LOCATION '{tmp_path / 'db'}'")
     graph(spark, SF_SMALL).refresh(spark, database="group_test", group="foundation")
     # change the stored silver transactions: keep one store only
+    from hearthlake.sources.sinks import table_path, write_table
     kept = spark.table("group_test.silver_pos_transactions").where(F.col("store_id") == "1")
-    kept.write.mode("overwrite").saveAsTable("group_test.tx_store_1")
-    spark.table("group_test.tx_store_1").write.mode("overwrite").saveAsTable("group_test.silver_pos_transactions")
+    write_table(kept, "group_test.tx_store_1", path=table_path(spark, "group_test", "tx_store_1"))
+    write_table(spark.table("group_test.tx_store_1"), "group_test.silver_pos_transactions",
+                path=table_path(spark, "group_test", "silver_pos_transactions"))
     written = graph(spark, SF_SMALL).refresh(spark, database="group_test", group="daily_health")
     assert written == ["group_test.gold_daily_franchise_health", "group_test.gold_test_daily_franchise_health_quality"]
     stores = {r.store_id for r in spark.table("group_test.gold_daily_franchise_health").collect()}
@@ -68,3 +70,21 @@ def test_group_refresh_reads_upstream_tables(spark, tmp_path):
               spark.table("group_test.gold_test_daily_franchise_health_quality").collect()}
     assert checks["aggregation_mismatch_vs_silver"] == 0
     spark.sql("DROP DATABASE group_test CASCADE")
+
+
+def test_a_new_session_catalog_can_reattach_and_rewrite(spark, tmp_path):
+    """Simulates a later run whose catalog forgot the tables: the table
+    entries are dropped (external data stays), re-attached, and rewritten."""
+    from hearthlake.sources.sinks import attach_tables
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS attach_test LOCATION '{tmp_path / 'db'}'")
+    g = graph(spark, SF_SMALL)
+    g.refresh(spark, database="attach_test", names=["bronze_supply_chain", "silver_supply_chain"])
+    for name in ("bronze_supply_chain", "silver_supply_chain"):
+        spark.sql(f"DROP TABLE attach_test.{name}")
+    assert attach_tables(spark, "attach_test", ["bronze_supply_chain", "silver_supply_chain", "never_written"]) == [
+        "bronze_supply_chain", "silver_supply_chain"]
+    expected = graph(spark, SF_SMALL)["silver_supply_chain"].count()
+    assert spark.table("attach_test.silver_supply_chain").count() == expected
+    graph(spark, SF_SMALL).refresh(spark, database="attach_test", names=["silver_supply_chain"])
+    assert spark.table("attach_test.silver_supply_chain").count() == expected
+    spark.sql("DROP DATABASE attach_test CASCADE")
