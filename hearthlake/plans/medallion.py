@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hearthlake.operators import bronze, gold, quality, silver
 from hearthlake.sources.staging import SourceTables
-from hearthlake.sources.sinks import table_path, write_table
+from hearthlake.sources.sinks import ensure_schema, table_path, write_table
 
 # Dataset name -> (layer, description); the order is a valid build order.
 DATASETS = {
@@ -204,6 +204,8 @@ class Medallion:
         only that refresh group is written, and every dataset outside it
         that already exists as a table is read from that table.
         """
+        if database:
+            ensure_schema(spark, database)
         if group is not None:
             names = REFRESH_GROUPS[group]
             existing = ({t.name for t in spark.catalog.listTables(database) if not t.isTemporary}
