@@ -34,6 +34,16 @@ def final_plan(df) -> str:
     return text
 
 
+def scans(text: str, widths: dict) -> str:
+    """'table read/total' for every distinct parquet scan (column pruning at the source)."""
+    seen = {}
+    for cols, path in re.findall(r"FileScan parquet \[([^\]]*)\].*?Location: \w+\(\d+ paths\)\[([^\]]+)\]", text):
+        table = os.path.basename(path.rstrip("/")).removesuffix(".parquet")
+        n = len([c for c in cols.split(",") if c.strip()])
+        seen[table] = max(seen.get(table, 0), n)
+    return ", ".join(f"{t} {n}/{widths.get(t, '?')}" for t, n in sorted(seen.items()))
+
+
 def summarise(text: str) -> dict:
     count = lambda pat: len(re.findall(pat, text))
     return {
@@ -55,12 +65,15 @@ def main(argv) -> int:
     queries = registry()
     cols = ["shuffles", "reused", "broadcast joins", "sort-merge joins", "partial aggs", "window group limits",
             "cartesian / nested loop", "python"]
+    import pyarrow.parquet as pq
+    widths = {f[:-8]: len(pq.read_schema(os.path.join(sf_dir, f)).names)
+              for f in os.listdir(sf_dir) if f.endswith(".parquet")}
     print("# Final physical plans of the registered queries\n")
     print(f"Generated by `python tests/plan_report.py {sf_dir}` (local[8], 8 shuffle partitions, AQE on). Counts are")
     print("operators in the final adaptive plan after one execution (inside scalar subqueries too). `reused` = shuffle")
     print("or broadcast stages served from an identical earlier stage. Model-training keys are not listed.\n")
-    print("| query | rows | sec | " + " | ".join(cols) + " |")
-    print("| --- | ---: | ---: | " + " | ".join("---:" for _ in cols) + " |")
+    print("| query | rows | sec | " + " | ".join(cols) + " | columns read / table width |")
+    print("| --- | ---: | ---: | " + " | ".join("---:" for _ in cols) + " | --- |")
     for key, fn in queries.items():
         if key in SKIP:
             continue
@@ -68,8 +81,10 @@ def main(argv) -> int:
         start = time.perf_counter()
         rows = len(df.collect())
         secs = time.perf_counter() - start
-        s = summarise(final_plan(df))
-        print(f"| `{key}` | {rows} | {secs:.1f} | " + " | ".join(str(s[c]) for c in cols) + " |", flush=True)
+        plan = final_plan(df)
+        s = summarise(plan)
+        print(f"| `{key}` | {rows} | {secs:.1f} | " + " | ".join(str(s[c]) for c in cols)
+              + f" | {scans(plan, widths)} |", flush=True)
     spark.stop()
     return 0
 
