@@ -134,3 +134,44 @@ def test_use_schema_sets_current_database(spark, tmp_path):
     assert spark.catalog.currentDatabase() == "schema_test"
     use_schema(spark, "default")
     spark.sql("DROP DATABASE schema_test")
+
+
+def test_distributed_recursion_equals_a_driver_loop(spark):
+    """The per-store array state reproduces the straightforward loop: features
+    from the growing history, one prediction per store and day, rounded and
+    fed back."""
+    import math
+
+    d0 = date(2024, 1, 1)
+    rows = [(s, d0 + timedelta(days=i), (i * 37 + k * 11) % 50 + 10 * k) for k, s in enumerate(["a", "b"])
+            for i in range(30) if (i + k) % 6]  # a few missing days become zeros in the panel
+    frames = forecast_frames(daily_frame(spark, rows)).checkpointed()
+    best = tune(frames.train, frames.test, candidates=params.SMALL_CANDIDATES[:1])
+    ours = {(r.store_id, r.forecast_date): r.predicted_daily_revenue
+            for r in roll_forward_forecast(best.model, frames, best.model_name).collect()}
+
+    panel = frames.panel.orderBy("store_id", "reporting_date").collect()
+    history = {}
+    for r in panel:
+        history.setdefault(r.store_id, []).append(float(r.total_daily_revenue))
+    first, last = frames.pinned["first_day"], frames.pinned["last_day"]
+    expected = {}
+    for step in range(1, params.FORECAST_HORIZON_DAYS + 1):
+        day = last + timedelta(days=step)
+        feats = []
+        for store_id, values in history.items():
+            last7, last3 = values[-7:], values[-3:]
+            mean7 = sum(last7) / len(last7)
+            std7 = math.sqrt(sum((x - mean7) * (x - mean7) for x in last7) / (len(last7) - 1))
+            feats.append((store_id, float(day.isoweekday() % 7 + 1), float(day.day), float(day.month),
+                          float(day.isocalendar()[1]), 1.0 if day.isoweekday() in (6, 7) else 0.0,
+                          float((day - first).days), values[-1], values[-7], sum(last3) / len(last3), mean7, std7))
+        df = spark.createDataFrame(feats, "store_id string, day_of_week double, day_of_month double, month double, "
+                                          "week_of_year double, is_weekend double, trend_index double, lag_1 double, "
+                                          "lag_7 double, rolling_mean_3 double, rolling_mean_7 double, "
+                                          "rolling_std_7 double")
+        for r in best.model.transform(df).select("store_id", F.round("prediction", 2).alias("p")).collect():
+            history[r.store_id].append(r.p)
+            expected[(r.store_id, day)] = r.p
+    assert ours.keys() == expected.keys()
+    assert all(ours[k] == pytest.approx(expected[k], abs=1e-9) for k in ours)
