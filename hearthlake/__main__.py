@@ -1,7 +1,8 @@
-"""Command line: full refresh, forecast job, or one registered query.
+"""Command line: full refresh, forecast job, stored check results, or one registered query.
 
     python -m hearthlake refresh  --tables-dir DIR --database NAME [--group NAME] [--literal-split]
     python -m hearthlake forecast --database NAME --model-path PATH [--small-grid]
+    python -m hearthlake checks   --database NAME
     python -m hearthlake query KEY --tables-dir DIR [--show N]
 
 ``--tables-dir`` points at the driver tables (``<name>.parquet``); the five
@@ -38,6 +39,9 @@ def main(argv=None) -> int:
     forecast.add_argument("--model-path", required=True)
     forecast.add_argument("--small-grid", action="store_true")
 
+    checks = sub.add_parser("checks", help="show every stored check result of a refreshed database")
+    checks.add_argument("--database", required=True)
+
     query = sub.add_parser("query", help="run one registered query")
     query.add_argument("key")
     query.add_argument("--tables-dir", required=True)
@@ -70,6 +74,11 @@ def main(argv=None) -> int:
         print(json.dumps({"model_name": run.model_name, "model_path": run.model_path, "config": run.config,
                           "rmse": run.rmse, "mae": run.mae, "r2": run.r2, "train_rows": run.train_rows,
                           "test_rows": run.test_rows}))
+    elif args.command == "checks":
+        from hearthlake.plans.medallion import CHECK_DATASETS, stored_check_report
+        from hearthlake.sources.sinks import attach_tables
+        attach_tables(spark, args.database, CHECK_DATASETS)
+        stored_check_report(spark, args.database).show(100, truncate=False)
     else:
         from hearthlake.plans.queries import registry
         queries = registry()

@@ -62,6 +62,20 @@ REFRESH_GROUPS = {
 }
 
 
+CHECK_DATASETS = [name for name, (layer, _) in DATASETS.items() if layer == "check"]
+
+
+def stored_check_report(spark: SparkSession, database: str) -> DataFrame:
+    """All stored check tables of a database as one report, failing checks first."""
+    from pyspark.sql import functions as F
+    frames = [spark.table(f"{database}.{name}").withColumn("dataset", F.lit(name)) for name in CHECK_DATASETS]
+    report = frames[0]
+    for frame in frames[1:]:
+        report = report.unionByName(frame)
+    return (report.select("dataset", "test_name", "failed_records", "test_passed", "validated_at")
+            .orderBy("test_passed", "dataset", "test_name"))
+
+
 class Medallion:
     """Lazy dataset graph over one set of sources."""
 

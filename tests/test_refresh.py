@@ -22,6 +22,12 @@ def test_refresh_writes_every_dataset(spark, tmp_path):
     assert comment and comment[0].data_type == DATASETS["gold_customer_360"][1]
     checks = spark.table("refresh_test.gold_test_daily_franchise_health_quality").collect()
     assert {r.test_name: r.failed_records for r in checks}["aggregation_mismatch_vs_silver"] == 0
+    from hearthlake.plans.medallion import stored_check_report
+    report = stored_check_report(spark, "refresh_test").collect()
+    assert len(report) == 8 + 5 + 3 + 4 + 4 + 3 + 3
+    failing = [(r.dataset, r.test_name) for r in report if not r.test_passed]
+    assert report[:len(failing)] == [r for r in report if not r.test_passed]  # failures listed first
+    assert ("silver_test_foundation_quality", "unmasked_email_patterns") in failing  # the planted email leaks
     spark.sql("DROP DATABASE refresh_test CASCADE")
 
 
