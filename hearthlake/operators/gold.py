@@ -65,15 +65,22 @@ def ingredient_criticality(ingredient) -> F.Column:
 def supplier_risk(suppliers: DataFrame, stores: DataFrame) -> DataFrame:
     """Dependants, mean store distance, ingredient criticality, flag.
 
-    ``count(DISTINCT store)`` is planned as a two-level aggregation keyed by
-    (supplier, store) first, so one supplier serving most stores is spread
-    over many tasks.
+    Stores are joined *to* the supplier coordinates (inner join, stores as
+    the streamed side), then aggregated per supplier, and only the small
+    per-supplier result is left-joined back to the suppliers. A supplier
+    serving a large share of all stores is therefore split by AQE's skew
+    handling or by the partial aggregation; the plain
+    ``suppliers LEFT JOIN stores`` would put all its stores on the build
+    side of one task. ``count(DISTINCT store)`` runs as a two-level
+    aggregation keyed by (supplier, store) first. Suppliers without stores
+    get 0 dependants and distance 0.0.
     """
-    s = suppliers.select("supplier_id", F.col("latitude").alias("_s_lat"), F.col("longitude").alias("_s_lon"))
+    s = suppliers.select(F.col("supplier_id").alias("_sid"), F.col("latitude").alias("_s_lat"),
+                         F.col("longitude").alias("_s_lon"))
     f = stores.select("store_id", "primary_supplier_id", F.col("latitude").alias("_f_lat"),
                       F.col("longitude").alias("_f_lon"))
-    deps = (s.join(f, s.supplier_id == f.primary_supplier_id, "left")
-            .groupBy("supplier_id")
+    deps = (f.join(s, f.primary_supplier_id == s._sid)
+            .groupBy(F.col("_sid").alias("supplier_id"))
             .agg(F.count_distinct("store_id").alias("_n"),
                  F.avg(haversine_km("_s_lat", "_s_lon", "_f_lat", "_f_lon")).alias("_km")))
     n = F.coalesce(F.col("_n"), F.lit(0))

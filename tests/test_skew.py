@@ -107,3 +107,38 @@ def test_sort_merge_fallback_splits_hot_partitions(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_supplier_serving_most_stores(spark):
+    """One supplier serves two thirds of the stores; with broadcasts disabled
+    the stores side is the streamed side of an inner join (splittable by AQE)
+    and the per-supplier aggregation is partial. Counts and mean distances
+    equal a direct computation."""
+    import math
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        stores = [store(i, supplier=1 if i % 3 else 2, lat=float(i % 50), lon=float(i % 90)) for i in range(1, 301)]
+        g = Medallion(sources(spark, franchises=stores, suppliers=[supplier(1, lat=10.0, lon=20.0),
+                                                                   supplier(2, lat=-5.0, lon=5.0), supplier(3)]))
+        rows = {r.supplier_id: r for r in g["gold_supplier_risk_matrix"].collect()}
+
+        def km(a, b, c, d):
+            p1, p2 = math.radians(a), math.radians(c)
+            h = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(d - b) / 2) ** 2
+            return 2 * 6371.0 * math.asin(min(1.0, math.sqrt(h)))
+        for sid, (lat, lon) in {"1": (10.0, 20.0), "2": (-5.0, 5.0)}.items():
+            mine = [st for st in stores if str(st[5]) == sid]
+            assert rows[sid].dependent_franchise_count == len(mine)
+            expected = sum(km(lat, lon, st[6], st[7]) for st in mine) / len(mine)
+            assert abs(rows[sid].avg_geographic_distance - expected) < 1e-6
+        assert (rows["3"].dependent_franchise_count, rows["3"].avg_geographic_distance) == (0, 0.0)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
