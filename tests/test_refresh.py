@@ -28,6 +28,13 @@ def test_refresh_writes_every_dataset(spark, tmp_path):
     failing = [(r.dataset, r.test_name) for r in report if not r.test_passed]
     assert report[:len(failing)] == [r for r in report if not r.test_passed]  # failures listed first
     assert ("silver_test_foundation_quality", "unmasked_email_patterns") in failing  # the planted email leaks
+    import contextlib
+    import io
+    from hearthlake.__main__ import main
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        assert main(["checks", "--database", "refresh_test"]) == 0
+    assert "unmasked_email_patterns" in out.getvalue()
     spark.sql("DROP DATABASE refresh_test CASCADE")
 
 
