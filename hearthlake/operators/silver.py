@@ -106,9 +106,12 @@ def silver_transactions(bronze: DataFrame, customers: DataFrame, stores: DataFra
     """
     latest = latest_transactions(bronze)
     valid = latest.where((F.col("quantity") > 0) & (F.col("unit_price") > 0))
+    # Semi joins commute; the store check goes first because the store
+    # dimension is usually far smaller (broadcast), so rows it rejects are
+    # gone before a sort-merge customer join would shuffle them.
     return (valid
-            .join(customers.select("customer_id"), "customer_id", "left_semi")
             .join(stores.select("store_id"), "store_id", "left_semi")
+            .join(customers.select("customer_id"), "customer_id", "left_semi")
             .select("transaction_id", "transaction_timestamp", "product_sold", "quantity", "unit_price",
                     "total_price", "customer_id", "store_id"))
 
