@@ -110,8 +110,8 @@ def staged_suppliers(read: TableReader) -> DataFrame:
 
 
 def staged_transactions(read: TableReader) -> DataFrame:
-    li = read("lineitem", spread=True).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                                 "l_extendedprice", "l_shipdate")
+    li = read("lineitem", spread=True).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                                              "l_quantity", "l_extendedprice", "l_shipdate")
     o = read("orders").select("o_orderkey", "o_custkey")
     p = read("part").select("p_partkey", "p_type", "p_retailprice")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
