@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -65,6 +66,19 @@ def task_slots(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Put this package's folder on the Python workers' path, for sessions that were started
+    without it there (workers see the same folder, or got the package with --py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    try:
+        environment = spark.sparkContext.environment
+    except Exception:  # no SparkContext in a Spark Connect session
+        return
+    parts = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in parts:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *parts])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints.
 
