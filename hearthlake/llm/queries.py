@@ -11,9 +11,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlake.llm import exact_dedup, piece_codec, simhash
+from hearthlake.llm import exact_dedup, piece_codec, quality, records, simhash
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,8 +34,24 @@ def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_decode(docs, PIECE_MODEL).select("doc_id", *piece_codec.digests())
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = quality.train(docs, table(spark, sf_dir, "labels"), ~quality.held_out(F.col("doc_id")))
+    return quality.score(docs, weights, score_col="score").select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    folder = records.records_folder(docs)
+    index = records.write_records(docs, folder, WORD_MODEL, end_id=1)
+    return records.read_records(index, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_simhash, op4_piece_codec)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_simhash, op4_piece_codec, op7_quality, op10_records)}
 
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
