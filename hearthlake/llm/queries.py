@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlake.llm import exact_dedup, piece_codec, quality, records, simhash
+from hearthlake.llm import ctw, exact_dedup, personal_data, piece_codec, quality, records, simhash, url_filter
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
@@ -34,6 +34,10 @@ def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_decode(docs, PIECE_MODEL).select("doc_id", *piece_codec.digests())
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = quality.train(docs, table(spark, sf_dir, "labels"), ~quality.held_out(F.col("doc_id")))
@@ -42,6 +46,18 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", *[count(i).alias(f"n_{kind}") for i, kind in enumerate(personal_data.KINDS)],
+        F.sha2(personal_data.written("base"), 256).alias("base_sha256"), personal_data.written("all").alias("spans"))
+
+
+def op9_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = records.records_folder(docs)
@@ -51,7 +67,7 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_simhash, op4_piece_codec, op7_quality, op10_records)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_simhash, op4_piece_codec, op6_url_filter, op7_quality, op8_personal_data, op9_ctw, op10_records)}
 
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
