@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from hearthlake.llm.common import id_crc32, stage
 
-BITS = 20
+BITS = 18
 GRAMS = 2
 TRAIN_ROWS = 12_000
 SHARDS = 8

@@ -11,7 +11,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlake.llm import ctw, exact_dedup, personal_data, piece_codec, quality, records, simhash, url_filter
+from hearthlake.llm import (
+    ctw,
+    decontaminate,
+    exact_dedup,
+    language_id,
+    personal_data,
+    piece_codec,
+    quality,
+    records,
+    simhash,
+    url_filter,
+)
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
@@ -29,11 +40,23 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that it holds; clean documents have none."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select(
+        "doc_id", "leak.item_id", F.lit(True).alias("contaminated"), "leak.cosine", "leak.share", "leak.first_word")
+
+
 def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return piece_codec.encode_decode(docs, PIECE_MODEL).select("doc_id", *piece_codec.digests())
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
@@ -67,7 +90,9 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_simhash, op4_piece_codec, op6_url_filter, op7_quality, op8_personal_data, op9_ctw, op10_records)}
+    return {f.__name__: f for f in (
+        op1_exact_dedup, op2_simhash, op3_decontaminate, op4_piece_codec, op5_language_id, op6_url_filter, op7_quality,
+        op8_personal_data, op9_ctw, op10_records)}
 
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
