@@ -1,0 +1,182 @@
+"""Classifiers and language models against plain versions and held-out rows."""
+
+import math
+import zlib
+from collections import Counter
+from functools import lru_cache
+
+import numpy as np
+import pytest
+
+from cases import ROWS, documents, empty
+from conftest import SF_ORACLE
+from hearthlake.llm import ctw, language_id, quality
+from hearthlake.llm.queries import registry
+
+
+def auc(scores, truth):
+    good, bad = ([s for s, t in zip(scores, truth, strict=True) if t == v] for v in (1, 0))
+    return np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad])
+
+
+def test_ftrl_follows_the_update_rule():
+    own, z, n = quality.Ftrl.empty(), Counter(), Counter()
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        at = np.unique(rng.integers(0, 50, 8))
+        x, y = rng.random(len(at)).astype(np.float32), float(rng.integers(0, 2))
+        own.learn(at, x, y)
+        w = {i: 0.0 if abs(z[i]) <= quality.L1 else (math.copysign(quality.L1, z[i]) - z[i]) / (
+            (quality.BETA + math.sqrt(n[i])) / quality.ALPHA + quality.L2) for i in at}
+        p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in zip(at, x, strict=True))))
+        for i, v in zip(at, x, strict=True):
+            g = (p - y) * v
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / quality.ALPHA * w[i]
+            n[i] += g * g
+    assert np.allclose([own.z[i] for i in range(50)], [z[i] for i in range(50)], atol=1e-3)
+
+
+def test_quality_on_held_out_labels(spark):
+    got = {r.doc_id: r for r in registry()["op7_quality"](spark, SF_ORACLE).collect()}
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id").collect()
+    assert got.keys() == {r.doc_id for r in docs}
+    for i, r in got.items():
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7)
+    labels = [r for r in spark.read.parquet(f"{SF_ORACLE}/labels.parquet").collect() if got[r.doc_id].held_out]
+    assert auc([got[r.doc_id].score for r in labels], [r.quality for r in labels]) > 0.97
+
+
+def test_quality_with_awkward_rows(spark):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (6, 1), (None, 1)], "doc_id long, quality int")
+    weights = quality.train(documents(spark), labels)
+    got = quality.score(documents(spark), weights, score_col="score")
+    assert got.columns == [*[c for c in documents(spark).columns if c != "score"], "score"]
+    assert [r.doc_id for r in got.collect()] == [i for i, _ in ROWS]
+    assert all(0 <= r.score <= 1 for r in got.collect())
+    assert quality.train(documents(spark), labels.limit(0)) is None
+    assert {r.quality_score for r in quality.score(documents(spark), None).collect()} == {1.0}
+    assert quality.score(empty(spark), weights).collect() == []
+
+
+def plain_ctw(train, depth):
+    """Chance of a bit after training, by the definition, node for node."""
+    counts: dict = {}
+
+    def bits(text):
+        data = b"\0" * depth + text + b"\0"
+        for i in range(depth, len(data)):
+            for j in range(8):
+                yield data[i - depth:i], (data[i] >> (8 - j)) | 1 << j, data[i] >> (7 - j) & 1
+    for t in train:
+        for context, node, bit in bits(t):
+            for d in range(depth + 1):
+                counts.setdefault((context[depth - d:], node), [0, 0])[bit] += 1
+    children: dict = {}
+    for context, node in counts:
+        if context:
+            children.setdefault((context[1:], node), []).append((context, node))
+
+    def kt(a, b):
+        return math.lgamma(a + .5) + math.lgamma(b + .5) - math.lgamma(a + b + 1) - 2 * math.lgamma(.5)
+
+    @lru_cache(None)
+    def weighted(key):
+        own = kt(*counts[key]) if key in counts else 0.0
+        if len(key[0]) == depth:
+            return own
+        return np.logaddexp(own, sum(weighted(c) for c in children.get(key, ()))) + math.log(.5)
+
+    def chance(context, node, bit):
+        p = None
+        for d in range(depth, -1, -1):
+            key = (context[depth - d:], node)
+            a = counts.get(key, (0, 0))
+            own = (a[bit] + .5) / (sum(a) + 1)
+            w = math.exp(math.log(.5) + (kt(*a) if key in counts else 0.0) - weighted(key)) if key in counts else .5
+            p = own if d == depth else w * own + (1 - w) * p
+        return p
+    return lambda text: sum(math.log10(chance(*x)) for x in bits(text))
+
+
+@pytest.mark.parametrize("shared", [ctw.SHARED_GRAMS, 0])
+def test_context_tree_and_unigrams_equal_plain_versions(spark, shared):
+    rows = [(i, t if t is None or len(t) < 400 else t[:400]) for i, t in ROWS] + [(i, f"the cat {i} sat on the mat") for i in range(20, 40)]
+    got = ctw.score_texts(documents(spark, rows), shared_grams=shared, head_words=5).collect()
+    raw = [(i, (t or "").encode().lower()) for i, t in rows]
+    train = [t for i, t in raw if zlib.crc32(str(i).encode() if i is not None else b"") % 10]
+    score = plain_ctw(train, ctw.DEPTH)
+    c = Counter(w for t in train for w in [*t.split(), b""])
+    n, v = sum(c.values()), len(c)
+    want = Counter()
+    for i, t in raw:
+        words = [*t.split(), b""]
+        base = sum(math.log10((c[w] + .1) / (n + .1 * (v + 1))) for w in words)
+        want[i, zlib.crc32(str(i).encode() if i is not None else b"") % 10 == 0, len(words), sum(c[w] > 0 for w in words), n,
+             round(base, 6), round(score(t), 2)] += 1
+    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 2)) for r in got) == want
+
+
+def test_context_tree_chances_add_up(spark):
+    counts = ctw.gram_counts(spark.createDataFrame([("abracadabra", True), ("cadabra", False)], "text string, train boolean"))
+    context = int.from_bytes(b"rbad", "big") << 8  # nearest byte first
+    every = spark.range(256).selectExpr(f"{context} + id gram", "0L n").union(counts.select("gram", "n"))
+    scores = ctw.gram_scores(every.groupBy("gram").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n"))
+    got = [r.score for r in scores.collect() if r.gram >> 8 << 8 == context]
+    assert len(got) == 256 and abs(sum(10 ** s for s in got) - 1) < 1e-9
+
+
+def test_language_model_on_an_empty_table_and_untrained(spark):
+    assert ctw.score_texts(empty(spark)).collect() == []
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
+    r = ctw.score_texts(documents(spark, [(held, "ab c")])).first()
+    assert r.train_tokens == 0 and r.n_known == 0 and abs(r.score - 5 * 8 * math.log10(.5)) < 1e-4
+
+
+def test_held_out_text_is_likelier_than_by_a_uniform_model(spark):
+    got = ctw.score_texts(spark.read.parquet(f"{SF_ORACLE}/documents.parquet")).filter("held_out").agg(
+        {"bits_per_byte": "avg"}).first()[0]
+    assert got < 3
+
+
+def test_pages_get_their_language(spark):
+    got = registry()["op5_language_id"](spark, SF_ORACLE).collect()
+    pages = {r.page_id: r.url for r in spark.read.parquet(f"{SF_ORACLE}/pages.parquet").collect()}
+    assert {r.page_id for r in got} == pages.keys() and len(got) == len(pages)
+    assert np.mean([f"/{r.lang}/" in pages[r.page_id] for r in got]) > 0.97
+
+
+PAGES = [(1, "http://A.example.fr/x", "<html lang='fr'><body>the cat and the dog</body></html>"), (2, None, None), (None, "no scheme", ""),
+         (3, "https://a.example.fr", "<HTML xml:lang=de-AT><p>der Hund und die Katze &amp; das Haus</p>"),
+         (3, "https://a.example.fr", "<HTML xml:lang=de-AT><p>der Hund und die Katze &amp; das Haus</p>"),
+         (4, "http://", "<!-- <html lang='es'> --><script>der die das</script>the dog and the cat " + "the dog " * 20_000)]
+PAGE_SCHEMA = "page_id long, url string, html string"
+
+
+def test_language_with_awkward_rows(spark):
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate([
+        ("the cat and the dog are in the house", "en"), ("der Hund und die Katze sind in dem Haus", "de"), (None, "en"), ("x", None)])],
+        "doc_id long, text string, lang string")
+    pages = spark.createDataFrame(PAGES, PAGE_SCHEMA).selectExpr("*", "'z' lang", "'z' host", "'z' q")
+    got = language_id.identify(pages, docs).collect()
+    assert Counter(r.page_id for r in got) == Counter(i for i, _, _ in PAGES)
+    by = {r.page_id: r for r in got}
+    assert by[4].text_lang == "en" and by[3].lang == "de" and by[3].declared == "de" and by[1].host == "a.example.fr"
+    assert by[2].host == "" and by[2].declared == ""
+    assert {r.lang for r in language_id.identify(pages, docs.limit(0)).collect()} == {None}
+    assert language_id.identify(pages.limit(0), docs).collect() == []
+
+
+def test_fusion_equals_the_formula():
+    rng = np.random.default_rng(4)
+    log, q = rng.normal(size=(5, 3)), rng.dirichlet(np.ones(3), 5)
+    sums = [q + rng.random((5, 3)) * s for s in (50, 20, 10, 4)]
+    declared, said = q + rng.random((5, 3)) * 5, q + rng.random((5, 3)) * 40
+    got = language_id.fuse(log, q, sums, declared, 4, said)
+    for i in range(5):
+        prior = [1 / 3] * 3
+        for s in sums:
+            own = s[i] - q[i]
+            prior = [(own[k] + 5 * prior[k]) / (own.sum() + 5) for k in range(3)]
+        p = [math.exp(log[i][k]) * prior[k] * (declared[i][k] - q[i][k] + .5) / (said[i][k] - q[i][k] + .5 * 4) for k in range(3)]
+        assert np.allclose(got[i], np.array(p) / sum(p))
