@@ -14,7 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlake import params
 from hearthlake.functions import mask_pii
 from hearthlake.plans.medallion import Medallion
 from hearthlake.sources.staging import stage_sources
@@ -78,20 +77,44 @@ def forecast_holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.split_counts()
 
 
-def forecast_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tuned(spark: SparkSession, sf_dir: str):
     from hearthlake.operators.forecast.features import forecast_frames
     from hearthlake.operators.forecast.train import tune
     frames = forecast_frames(graph(spark, sf_dir)["gold_daily_franchise_health"]).checkpointed()
-    return tune(frames.train, frames.test, candidates=params.SMALL_CANDIDATES).results.drop("evaluated_at")
+    return frames, tune(frames.training_rows(), frames.test)
+
+
+def forecast_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tuned(spark, sf_dir)[1].results.drop("evaluated_at")
 
 
 def forecast_next_14_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hearthlake.operators.forecast.predict import roll_forward_forecast
+    frames, best = _tuned(spark, sf_dir)
+    return roll_forward_forecast(best.model, frames, best.model_name).drop("forecast_generated_at")
+
+
+def forecast_first_step_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model input of the first forecast day, for every store."""
+    from hearthlake.operators.forecast.features import forecast_frames
+    from hearthlake.operators.forecast.predict import initial_state, step_features
+    frames = forecast_frames(graph(spark, sf_dir)["gold_daily_franchise_health"])
+    return step_features(initial_state(frames)).select(
+        "store_id", "reporting_date", "day_of_week", "day_of_month", "month", "week_of_year", "is_weekend",
+        "trend_index", "lag_1", "lag_7",
+        *[F.round(c, 6).alias(c) for c in ("rolling_mean_3", "rolling_mean_7", "rolling_std_7")])
+
+
+def forecast_recursion_mean7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recursive forecast with a model that predicts the mean of the last
+    seven days: every step of the feedback is then plain arithmetic."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
     from hearthlake.operators.forecast.features import forecast_frames
     from hearthlake.operators.forecast.predict import roll_forward_forecast
-    from hearthlake.operators.forecast.train import tune
     frames = forecast_frames(graph(spark, sf_dir)["gold_daily_franchise_health"]).checkpointed()
-    best = tune(frames.train, frames.test, candidates=params.SMALL_CANDIDATES)
-    return roll_forward_forecast(best.model, frames, best.model_name).drop("forecast_generated_at")
+    mean7 = PipelineModel(stages=[SQLTransformer(statement="SELECT *, rolling_mean_7 AS prediction FROM __THIS__")])
+    return roll_forward_forecast(mean7, frames, "mean7").drop("forecast_generated_at")
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -122,6 +145,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "checks_scorecard": _dataset("gold_test_scorecard_quality", ("validated_at",)),
         "forecast_panel_features": forecast_panel_features,
         "forecast_holdout_split": forecast_holdout_split,
+        "forecast_first_step_features": forecast_first_step_features,
+        "forecast_recursion_mean7": forecast_recursion_mean7,
         "forecast_tuning": forecast_tuning,
         "forecast_next_14_days": forecast_next_14_days,
         "mask_pii_admin": _masked_customers(True),

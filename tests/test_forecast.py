@@ -44,7 +44,8 @@ def test_features_on_a_known_history(spark):
     assert (r.lag_1, r.lag_7, r.rolling_mean_3, r.rolling_mean_7) == (7.0, 1.0, 6.0, 4.0)
     assert r.rolling_std_7 == pytest.approx(2.1602, abs=1e-4)
     assert r.trend_index == 7.0 and r.day_of_week == 2.0 and r.is_weekend == 0.0  # 2024-01-08 is a Monday
-    assert r.history == [2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0]
+    recent = sorted(forecast_frames(daily).recent.collect(), key=lambda x: x.reporting_date)
+    assert [x.label for x in recent] == [2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0]
 
 
 def test_step_features_from_history(spark):
@@ -68,14 +69,14 @@ def test_split_sides_and_empty_side_error(spark):
     counts = {r.split: r.rows for r in forecast_frames(daily).split_counts().collect()}
     assert counts == {"train": 6, "test": 7}
     too_short = daily_frame(spark, [("a", d0 + timedelta(days=i), i) for i in range(6)])
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="train side of the split at 2024-01-03"):
         forecast_frames(too_short).checkpointed()
 
 
 @pytest.fixture(scope="module")
 def trained(spark):
     frames = forecast_frames(graph(spark, SF_SMALL)["gold_daily_franchise_health"]).checkpointed()
-    return frames, tune(frames.train, frames.test, candidates=params.SMALL_CANDIDATES)
+    return frames, tune(frames.training_rows(), frames.test, candidates=params.SMALL_CANDIDATES)
 
 
 def test_tuning_results_and_selection(trained):
@@ -113,11 +114,64 @@ def test_forecast_job_persists_tables_and_model(spark, tmp_path):
     assert spark.table(run.tables.metrics).count() == 2  # appended
     assert spark.table(run.tables.registry).count() == 2
     assert run.forecast.count() == run.forecast.select("store_id").distinct().count() * 14
+    tuned = spark.table(run.tables.tuning).collect()
+    winner = min(tuned, key=lambda r: r.rmse)
+    for table in (run.tables.metrics, run.tables.registry):
+        latest = spark.table(table).orderBy(F.desc("trained_at")).first()
+        assert (latest.model_name, latest.rmse, latest.mae, latest.r2) == (run.model_name, winner.rmse, winner.mae, winner.r2)
+        assert f"_{winner.algorithm}_" in latest.model_name
+    metrics = spark.table(run.tables.metrics).orderBy(F.desc("trained_at")).first()
+    assert (metrics.train_rows, metrics.test_rows) == (run.train_rows, run.test_rows)
+    registered = spark.table(run.tables.registry).orderBy(F.desc("trained_at")).first()
+    assert registered.model_path == run.model_path
+    # the registered path loads the winner: it repeats the holdout metrics and the stored forecast
     from pyspark.ml import PipelineModel
-    assert PipelineModel.load(run.model_path) is not None
+    from hearthlake.operators.forecast.train import regression_metrics
+    model = PipelineModel.load(registered.model_path)
+    frames = forecast_frames(daily).checkpointed()
+    assert regression_metrics(model.transform(frames.test))["rmse"] == pytest.approx(winner.rmse, rel=1e-9)
+    cols = ["store_id", "forecast_date", "predicted_daily_revenue", "model_name"]
+    again = roll_forward_forecast(model, frames, run.model_name).select(cols)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, spark.table(run.tables.predictions).select(cols).collect()))
     spark.sql("DROP DATABASE fc_test CASCADE")
 
 
+def test_tuning_does_not_depend_on_shuffle_settings(spark):
+    """From scratch under two numbers of shuffle partitions, with and without adaptive coalescing."""
+    outcomes = []
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled",
+                                            "spark.sql.files.maxPartitionBytes")}
+    try:
+        for parts, adaptive, size in (("24", "true", "128m"), ("5", "false", "64k")):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            frames = forecast_frames(graph(spark, SF_SMALL)["gold_daily_franchise_health"]).checkpointed()
+            best = tune(frames.training_rows(), frames.test, candidates=params.SMALL_CANDIDATES)
+            outcomes.append([(r.algorithm, round(r.rmse, 4), round(r.mae, 4)) for r in best.results.collect()])
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert outcomes[0] == outcomes[1]
+
+
+def test_state_reads_three_columns_of_the_last_days_and_follows_the_stores(spark):
+    import contextlib
+    import io
+    from hearthlake.operators.forecast.predict import initial_state
+    frames = forecast_frames(graph(spark, SF_SMALL)["gold_daily_franchise_health"]).checkpointed()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        initial_state(frames).explain("formatted")
+    plan = buf.getvalue()
+    assert "ReadSchema: struct<store_id:string,reporting_date:date,label:double>" in plan
+    assert "GreaterThan(reporting_date" in plan
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+    mean7 = PipelineModel(stages=[SQLTransformer(statement="SELECT *, rolling_mean_7 AS prediction FROM __THIS__")])
+    assert roll_forward_forecast(mean7, frames, "m").rdd.getNumPartitions() == params.FORECAST_HORIZON_DAYS
+
+
 def test_one_pass_metrics_equal_regression_evaluator(spark):
     from pyspark.ml.evaluation import RegressionEvaluator
     from hearthlake.operators.forecast.train import regression_metrics
@@ -146,7 +200,7 @@ def test_distributed_recursion_equals_a_driver_loop(spark):
     rows = [(s, d0 + timedelta(days=i), (i * 37 + k * 11) % 50 + 10 * k) for k, s in enumerate(["a", "b"])
             for i in range(30) if (i + k) % 6]  # a few missing days become zeros in the panel
     frames = forecast_frames(daily_frame(spark, rows)).checkpointed()
-    best = tune(frames.train, frames.test, candidates=params.SMALL_CANDIDATES[:1])
+    best = tune(frames.training_rows(), frames.test, candidates=params.SMALL_CANDIDATES[:1])
     ours = {(r.store_id, r.forecast_date): r.predicted_daily_revenue
             for r in roll_forward_forecast(best.model, frames, best.model_name).collect()}
 
