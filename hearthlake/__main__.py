@@ -78,7 +78,8 @@ def main(argv=None) -> int:
         from hearthlake.plans.medallion import CHECK_DATASETS, stored_check_report
         from hearthlake.sources.sinks import attach_tables
         attach_tables(spark, args.database, CHECK_DATASETS)
-        stored_check_report(spark, args.database).show(100, truncate=False)
+        report = stored_check_report(spark, args.database)
+        report.show(report.count(), truncate=False)
     else:
         from hearthlake.plans.queries import registry
         queries = registry()

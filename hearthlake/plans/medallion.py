@@ -62,6 +62,17 @@ REFRESH_GROUPS = {
 }
 
 
+# Datasets of other groups that a group reads.
+GROUP_INPUTS = {
+    "foundation": [],
+    "daily_health": ["silver_pos_transactions"],
+    "customer_360": ["silver_pos_transactions", "silver_franchise_ops"],
+    "supplier_risk": ["silver_supply_chain", "silver_franchise_ops"],
+    "sentiment": ["silver_customer_reviews"],
+    "scorecard": ["gold_daily_franchise_health", "silver_franchise_ops", "gold_store_sentiment_trends",
+                  "gold_customer_360", "gold_supplier_risk_matrix"],
+}
+
 CHECK_DATASETS = [name for name, (layer, _) in DATASETS.items() if layer == "check"]
 
 
@@ -215,8 +226,9 @@ class Medallion:
         After each write the dataset is re-read from its table, so
         downstream datasets start from materialised data (short lineage,
         and a lost executor only costs the stage in flight). With ``group``
-        only that refresh group is written, and every dataset outside it
-        that already exists as a table is read from that table.
+        only that refresh group is written, and it reads the datasets of other
+        groups from their tables; a table that is not there is an error, so
+        one refresh never mixes stored and recomputed inputs.
         """
         if database:
             ensure_schema(spark, database)
@@ -224,6 +236,9 @@ class Medallion:
             names = REFRESH_GROUPS[group]
             existing = ({t.name for t in spark.catalog.listTables(database) if not t.isTemporary}
                         if database else set())
+            missing = [n for n in GROUP_INPUTS[group] if n not in existing]
+            if missing:
+                raise ValueError(f"group {group} reads tables that are not there: {', '.join(missing)}")
             for other in DATASETS:
                 if other not in names and other in existing:
                     self._overrides[other] = spark.table(f"{database}.{other}" if database else other)

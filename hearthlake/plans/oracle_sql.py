@@ -105,18 +105,19 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionke
     ("src_franchises", r"""
 SELECT s_suppkey AS franchiseID, s_name AS name, CASE WHEN s_acctbal > 5000 THEN 'L' ELSE 'S' END AS size,
   n_name AS district, n_name AS country,
-  CASE WHEN s_nationkey % 7 = 6 THEN NULL ELSE s_nationkey END AS supplierID,
+  CAST(CASE WHEN s_nationkey % 7 = 6 THEN NULL WHEN s_suppkey % 3 = 1 THEN 1 ELSE s_suppkey - s_suppkey % 4 + 2 END
+       AS BIGINT) AS supplierID,
   CAST((s_suppkey * 37) % 60 - 30 AS DOUBLE) AS latitude, CAST((s_suppkey * 73) % 120 - 60 AS DOUBLE) AS longitude
 FROM supplier JOIN nation ON s_nationkey = n_nationkey"""),
     ("src_suppliers", r"""
-SELECT n_nationkey AS supplierID, n_name AS name,
-  CASE n_nationkey % 6 WHEN 0 THEN 'Cacao' WHEN 1 THEN 'almonds' WHEN 2 THEN 'flour' WHEN 3 THEN 'vanilla'
+SELECT s_suppkey AS supplierID, s_name AS name,
+  CASE s_suppkey % 6 WHEN 0 THEN 'Cacao' WHEN 1 THEN 'almonds' WHEN 2 THEN 'flour' WHEN 3 THEN 'vanilla'
        WHEN 4 THEN 'coffee' ELSE NULL END AS ingredient,
-  CAST((n_nationkey * 53) % 60 - 30 AS DOUBLE) AS latitude, CAST((n_nationkey * 97) % 120 - 60 AS DOUBLE) AS longitude,
-  CASE WHEN n_nationkey = 24 THEN NULL WHEN n_nationkey % 5 = 4 THEN 'N' WHEN n_nationkey % 5 = 3 THEN ' y '
+  CAST((s_suppkey * 53) % 60 - 30 AS DOUBLE) AS latitude, CAST((s_suppkey * 97) % 120 - 60 AS DOUBLE) AS longitude,
+  CASE WHEN s_suppkey % 25 = 24 THEN NULL WHEN s_suppkey % 5 = 4 THEN 'N' WHEN s_suppkey % 5 = 3 THEN ' y '
        ELSE 'Y' END AS approved,
   r_name AS continent, n_name AS city, 'central' AS district, 'M' AS size
-FROM nation JOIN region ON n_regionkey = r_regionkey"""),
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""),
     ("src_transactions", r"""
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS transactionID,
   l_shipdate AS dateTime, p_type AS product,
@@ -312,12 +313,19 @@ SELECT store_id, reporting_date, CAST(total_daily_revenue AS DOUBLE) AS label,
   lag(CAST(total_daily_revenue AS DOUBLE), 7) OVER w AS lag_7,
   avg(CAST(total_daily_revenue AS DOUBLE)) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS rolling_mean_3,
   avg(CAST(total_daily_revenue AS DOUBLE)) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS rolling_mean_7,
-  COALESCE(stddev_samp(CAST(total_daily_revenue AS DOUBLE)) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 0.0)
-    AS rolling_std_7
-FROM fc_panel
-WINDOW w AS (PARTITION BY store_id ORDER BY reporting_date)"""),
+  COALESCE(CASE WHEN COUNT(*) OVER week >= 2 THEN SQRT(CAST(
+      CAST(COUNT(*) OVER week AS DECIMAL(4,0)) * CAST(SUM(cents * cents) OVER week AS DECIMAL(32,4))
+      - CAST(SUM(cents) OVER week AS DECIMAL(18,2)) * CAST(SUM(cents) OVER week AS DECIMAL(18,2)) AS DOUBLE)
+    / (COUNT(*) OVER week * (COUNT(*) OVER week - 1))) END, 0.0) AS rolling_std_7
+FROM (SELECT *, CAST(total_daily_revenue AS DECIMAL(18,2)) AS cents FROM fc_panel)
+WINDOW week AS (PARTITION BY store_id ORDER BY reporting_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING),
+   w AS (PARTITION BY store_id ORDER BY reporting_date)"""),
     ("fc_usable", r"""
 SELECT * FROM fc_features WHERE lag_7 IS NOT NULL AND rolling_mean_7 IS NOT NULL"""),
+    # the last seven panel days of each store, oldest first
+    ("fc_recent", r"""
+SELECT store_id, list(CAST(total_daily_revenue AS DOUBLE) ORDER BY reporting_date) AS h
+FROM fc_panel WHERE reporting_date > (SELECT last_day FROM fc_bounds) - 7 GROUP BY store_id"""),
     ("fc_split", r"""
 SELECT *, CASE WHEN total_days > 14 THEN 7 ELSE GREATEST(3, CAST(floor(total_days / 3) AS INT)) END AS holdout_days,
   CAST(last_day - CAST(CASE WHEN total_days > 14 THEN 7 ELSE GREATEST(3, CAST(floor(total_days / 3) AS INT)) END
@@ -487,6 +495,28 @@ FROM fc_usable"""),
 SELECT CASE WHEN u.reporting_date <= s.split_date THEN 'train' ELSE 'test' END AS split, COUNT(*) AS rows,
   ANY_VALUE(s.holdout_days) AS holdout_days, ANY_VALUE(s.split_date) AS split_date
 FROM fc_usable u, fc_split s GROUP BY 1"""),
+        "forecast_first_step_features": _with("""
+SELECT store_id, reporting_date, CAST(dayofweek(reporting_date) + 1 AS DOUBLE) AS day_of_week,
+  CAST(dayofmonth(reporting_date) AS DOUBLE) AS day_of_month, CAST(month(reporting_date) AS DOUBLE) AS month,
+  CAST(weekofyear(reporting_date) AS DOUBLE) AS week_of_year,
+  CASE WHEN dayofweek(reporting_date) IN (0, 6) THEN 1.0 ELSE 0.0 END::DOUBLE AS is_weekend,
+  CAST(total_days AS DOUBLE) AS trend_index, h[-1] AS lag_1, h[1] AS lag_7,
+  ROUND((h[5] + h[6] + h[7]) / 3, 6) AS rolling_mean_3, ROUND(list_sum(h) / 7, 6) AS rolling_mean_7,
+  ROUND(SQRT(CAST(7 * squares - total * total AS DOUBLE) / 42), 6) AS rolling_std_7
+FROM (SELECT store_id, h, total_days, CAST(last_day + 1 AS DATE) AS reporting_date,
+        CAST((SELECT SUM(CAST(x AS DECIMAL(18,2))) FROM UNNEST(h) t(x)) AS DECIMAL(18,2)) AS total,
+        CAST((SELECT SUM(CAST(x AS DECIMAL(18,2)) * CAST(x AS DECIMAL(18,2))) FROM UNNEST(h) t(x)) AS DECIMAL(32,4))
+          AS squares
+      FROM fc_recent, fc_bounds)"""),
+        "forecast_recursion_mean7": _with(f"""
+SELECT store_id, CAST(last_day + step AS DATE) AS forecast_date, h[-1] AS predicted_daily_revenue,
+  'mean7' AS model_name
+FROM (WITH RECURSIVE days AS (
+        SELECT store_id, 0 AS step, h FROM fc_recent
+        UNION ALL
+        SELECT store_id, step + 1, list_append(h[2:], ROUND(list_sum(h) / 7, 2)) FROM days
+        WHERE step < {params.FORECAST_HORIZON_DAYS})
+      SELECT * FROM days WHERE step > 0), fc_bounds"""),
         "mask_pii_admin": _mask(True),
         "mask_pii_user": _mask(False),
     }

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+# Conditions that mean "nothing is stored under this name".
+MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 
 def ensure_schema(spark: SparkSession, schema: str, comment: str | None = None) -> None:
     """CREATE SCHEMA IF NOT EXISTS, with an optional comment."""
@@ -15,6 +19,10 @@ def ensure_schema(spark: SparkSession, schema: str, comment: str | None = None)
     spark.sql(stmt)
 
 
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
 def table_path(spark: SparkSession, database: str | None, name: str) -> str | None:
     """Storage folder of dataset ``name`` inside the database's location."""
     if not database:
@@ -52,8 +60,9 @@ def attach_tables(spark: SparkSession, database: str, names, location: str | Non
         try:
             spark.sql(f"CREATE TABLE `{database}`.`{name}` USING parquet LOCATION '{path}'")
             attached.append(name)
-        except Exception:  # nothing readable stored under this name
-            continue
+        except AnalysisException as error:
+            if error.getCondition() not in MISSING:  # e.g. no permission, or files that cannot be read
+                raise
     return attached
 
 
@@ -77,7 +86,7 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", comment: str
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
     if comment:
-        df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '" + comment.replace("'", "\\'") + "'")
+        df.sparkSession.sql(f"COMMENT ON TABLE {_quoted(name)} IS '" + comment.replace("'", "\\'") + "'")
 
 
 def save_model(model, path: str) -> str:

@@ -79,25 +79,28 @@ def staged_franchises(read: TableReader) -> DataFrame:
         F.when(F.col("s_acctbal") > 5000, F.lit("L")).otherwise(F.lit("S")).alias("size"),
         F.col("n_name").alias("district"),
         F.col("n_name").alias("country"),
-        F.when(F.col("s_nationkey") % 7 == 6, F.lit(None)).otherwise(F.col("s_nationkey")).alias("supplierID"),
+        # a third of the stores buy from supplier 1, the others in groups of four
+        F.when(F.col("s_nationkey") % 7 == 6, F.lit(None)).when(key % 3 == 1, F.lit(1))
+         .otherwise(key - key % 4 + 2).cast("long").alias("supplierID"),
         ((key * 37) % 60 - 30).cast("double").alias("latitude"),
         ((key * 73) % 120 - 60).cast("double").alias("longitude"),
     )
 
 
 def staged_suppliers(read: TableReader) -> DataFrame:
+    s = read("supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = read("nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read("region").select("r_regionkey", "r_name")
-    j = n.join(r, n.n_regionkey == r.r_regionkey)
-    key = F.col("n_nationkey")
+    j = s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    key = F.col("s_suppkey")
     ingredient = (F.when(key % 6 == 0, F.lit("Cacao")).when(key % 6 == 1, F.lit("almonds"))
                   .when(key % 6 == 2, F.lit("flour")).when(key % 6 == 3, F.lit("vanilla"))
                   .when(key % 6 == 4, F.lit("coffee")).otherwise(F.lit(None).cast("string")))
-    approved = (F.when(key == 24, F.lit(None).cast("string")).when(key % 5 == 4, F.lit("N"))
+    approved = (F.when(key % 25 == 24, F.lit(None).cast("string")).when(key % 5 == 4, F.lit("N"))
                 .when(key % 5 == 3, F.lit(" y ")).otherwise(F.lit("Y")))
     return j.select(
         key.alias("supplierID"),
-        F.col("n_name").alias("name"),
+        F.col("s_name").alias("name"),
         ingredient.alias("ingredient"),
         ((key * 53) % 60 - 30).cast("double").alias("latitude"),
         ((key * 97) % 120 - 60).cast("double").alias("longitude"),
@@ -110,7 +113,7 @@ def staged_suppliers(read: TableReader) -> DataFrame:
 
 
 def staged_transactions(read: TableReader) -> DataFrame:
-    li = read("lineitem", spread=True).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+    li = read("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                               "l_quantity", "l_extendedprice", "l_shipdate")
     o = read("orders").select("o_orderkey", "o_custkey")
     p = read("part").select("p_partkey", "p_type", "p_retailprice")
@@ -132,7 +135,7 @@ def staged_transactions(read: TableReader) -> DataFrame:
 
 
 def staged_reviews(read: TableReader) -> DataFrame:
-    docs = read("documents", spread=True).select("doc_id", "text")
+    docs = read("documents").select("doc_id", "text")
     store_count = read("supplier").select(F.count(F.lit(1))).scalar()
     doc = F.col("doc_id")
     suffix = (F.when(doc % 4 == 0, F.lit(". The service was slow")).when(doc % 4 == 1, F.lit(". Fresh bread"))

@@ -10,8 +10,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthlake.session import task_slots
-
 
 class TableReader:
     """Resolves table names to DataFrames, either from a folder of
@@ -22,27 +20,8 @@ class TableReader:
         self.root = root
         self.database = database
 
-    def __call__(self, name: str, spread: bool = False) -> DataFrame:
-        """The table as a lazy DataFrame.
-
-        ``spread=True`` is for large inputs followed by heavy per-row work:
-        when the scan has fewer splits than the cluster has task slots (e.g.
-        one big single-row-group file, which a parquet scan reads in one
-        task), the rows are dealt round-robin over all slots first. A table
-        stored as many files already scans in parallel and is returned
-        unchanged. Only the split count is consulted (planning, no job, no
-        file list on the driver).
-        """
+    def __call__(self, name: str) -> DataFrame:
+        """The table as a lazy DataFrame."""
         if self.root is not None:
-            df = self.spark.read.parquet(os.path.join(self.root, f"{name}.parquet"))
-        else:
-            df = self.spark.table(f"{self.database}.{name}" if self.database else name)
-        if spread:
-            slots = task_slots(self.spark)
-            try:
-                splits = df.rdd.getNumPartitions()
-            except Exception:  # no RDD access (Spark Connect): leave the scan as it is
-                splits = slots
-            if splits < slots:
-                df = df.repartition(slots)
-        return df
+            return self.spark.read.parquet(os.path.join(self.root, f"{name}.parquet"))
+        return self.spark.table(f"{self.database}.{name}" if self.database else name)

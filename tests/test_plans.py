@@ -27,6 +27,11 @@ def test_no_python_udfs_and_no_cartesian_joins(spark, key):
         assert bad not in text, (key, bad)
 
 
+@pytest.mark.parametrize("key", SQL_KEYS)
+def test_no_rows_are_dealt_round_robin(spark, key):
+    assert "RoundRobinPartitioning" not in plan_text(registry()[key](spark, SF_SMALL)), key
+
+
 def test_dedup_limits_each_id_before_the_shuffle(spark):
     text = plan_text(registry()["silver_transactions"](spark, SF_SMALL), mode="simple")
     physical = text.split("== Physical Plan ==")[-1]

@@ -85,6 +85,25 @@ def test_group_refresh_reads_upstream_tables(spark, tmp_path):
     spark.sql("DROP DATABASE group_test CASCADE")
 
 
+def test_group_refresh_needs_its_inputs_and_real_errors_are_raised(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+    from hearthlake.plans.medallion import GROUP_INPUTS, REFRESH_GROUPS
+    from hearthlake.sources import sinks
+    assert GROUP_INPUTS.keys() == REFRESH_GROUPS.keys()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS missing_test LOCATION '{tmp_path / 'db'}'")
+    with pytest.raises(ValueError, match="silver_pos_transactions"):
+        graph(spark, SF_SMALL).refresh(spark, database="missing_test", group="daily_health")
+    broken = tmp_path / "db" / "bronze_supply_chain"
+    broken.mkdir(parents=True)
+    assert sinks.attach_tables(spark, "missing_test", ["bronze_supply_chain"]) == []  # an empty folder: no table
+    (broken / "part-0.parquet").write_bytes(b"not a parquet file")
+    with pytest.raises(Exception) as error:
+        sinks.attach_tables(spark, "missing_test", ["bronze_supply_chain"])
+    assert not isinstance(error.value, AnalysisException) or error.value.getCondition() not in sinks.MISSING
+    spark.sql("DROP DATABASE missing_test CASCADE")
+
+
 def test_a_new_session_catalog_can_reattach_and_rewrite(spark, tmp_path):
     """Simulates a later run whose catalog forgot the tables: the table
     entries are dropped (external data stays), re-attached, and rewritten."""
