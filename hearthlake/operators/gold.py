@@ -40,15 +40,20 @@ def customer_360(transactions: DataFrame, stores: DataFrame) -> DataFrame:
 
     Store preference counts visits per store *name* (same-named stores are
     merged, as in the original definition); customers whose transactions
-    have no known store get a NULL preference.
+    have no known store get a NULL preference. All three read one base of
+    sums and counts per (customer, store, product), so the transactions are
+    curated once and a hot customer is reduced before the preferences.
     """
-    spend = (transactions.groupBy("customer_id")
-             .agg(F.round(F.sum("total_price"), 2).alias("total_lifetime_spend")))
-    store_counts = (transactions.select("customer_id", "store_id")
+    base = (transactions.groupBy("customer_id", "store_id", "product_sold")
+            # one column for both sums: a branch that needs one of them still plans the same base
+            .agg(F.array(F.sum("total_price").cast("decimal(30,2)"), F.count(F.lit(1)).cast("decimal(30,2)")).alias("_sums")))
+    n = F.sum(F.col("_sums")[1]).alias("_n")
+    spend = (base.groupBy("customer_id")
+             .agg(F.round(F.sum(F.col("_sums")[0]), 2).cast("decimal(23,2)").alias("total_lifetime_spend")))
+    store_counts = (base.select("customer_id", "store_id", "_sums")
                     .join(stores.select("store_id", "store_name"), "store_id")
-                    .groupBy("customer_id", "store_name").agg(F.count(F.lit(1)).alias("_n")))
-    product_counts = (transactions.groupBy("customer_id", "product_sold")
-                      .agg(F.count(F.lit(1)).alias("_n")))
+                    .groupBy("customer_id", "store_name").agg(n))
+    product_counts = base.groupBy("customer_id", "product_sold").agg(n)
     return (spend
             .join(_top_per_customer(store_counts, "store_name", "preferred_store_location"), "customer_id", "left")
             .join(_top_per_customer(product_counts, "product_sold", "most_frequent_product"), "customer_id", "left")

@@ -7,12 +7,15 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every run needs for identical results: day and week boundaries are
-# computed in UTC, and bad casts / decimal overflows raise unless a function
-# asks for try_cast explicitly.
+# Settings every run needs: day and week boundaries are computed in UTC, bad
+# casts / decimal overflows raise unless a function asks for try_cast
+# explicitly, and hot keys are split.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Split a hot key's partition also where an aggregate on the same key
+    # follows the join without a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 # Execution settings: adaptive execution re-plans joins from measured shuffle
@@ -55,17 +58,6 @@ def build_session(master: str | None = None, app_name: str = "hearthlake",
     return spark
 
 
-def task_slots(spark: SparkSession) -> int:
-    """Number of tasks the cluster runs at once (default parallelism).
-
-    Falls back to the shuffle-partition setting when the session has no
-    SparkContext (Spark Connect)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext in a Spark Connect session
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def let_workers_import(spark: SparkSession) -> None:
     """Put this package's folder on the Python workers' path, for sessions that were started
     without it there (workers see the same folder, or got the package with --py-files)."""
@@ -91,13 +83,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
         configured = tempfile.mkdtemp(prefix="hearthlake-ckpt-")
     sc.setCheckpointDir(configured)

@@ -1,13 +1,20 @@
 """Hot keys: one transaction id, one customer and one store each hold about a
 third of the rows. Results must equal a brute-force computation."""
 
+import contextlib
+import io
 import random
+import re
 from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
+
 from builders import customer, sources, store, supplier, tx
+from conftest import SF_SMALL
 from hearthlake.plans.medallion import Medallion
+from hearthlake.plans.queries import graph
 
 
 def make_rows(n=3000, seed=7):
@@ -74,39 +81,79 @@ def test_hot_keys_match_brute_force(spark):
     assert {c: r.most_frequent_product for c, r in c360.items()} == top
 
 
-def test_sort_merge_fallback_splits_hot_partitions(spark):
-    """With broadcasts disabled (dimensions too large to broadcast), the FK
-    semi joins fall back to sort-merge joins and AQE splits the partitions of
-    the hot customer and the hot store; results stay the brute-force ones."""
-    import contextlib
-    import io
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    saved = {k: spark.conf.get(k, None) for k in conf}
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+@contextlib.contextmanager
+def conf(spark, values):
+    saved = {k: spark.conf.get(k, None) for k in values}
     try:
-        for k, v in conf.items():
+        for k, v in values.items():
             spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue().split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name,splits", [("silver_pos_transactions", 2), ("gold_customer_360", 2),
+                                         ("silver_test_foundation_quality", 2), ("gold_test_customer_360_quality", 2)])
+def test_sort_merge_fallback_splits_hot_partitions(spark, name, splits):
+    """With broadcasts disabled (dimensions too large to broadcast), the FK
+    semi joins fall back to sort-merge joins and AQE splits the partitions of
+    the hot customer and the hot store, also below the aggregates of gold and
+    checks; results stay the brute-force ones."""
+    with conf(spark, NO_BROADCAST):
         rows = make_rows(n=30000)
         g = Medallion(sources(spark, customers=[customer(i) for i in range(1, 41)],
                               franchises=[store(i) for i in range(1, 7)], suppliers=[supplier(1)], transactions=rows))
-        df = g["silver_pos_transactions"]
-        got = {r.transaction_id for r in df.collect()}
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain()
-        final = buf.getvalue().split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
-        assert final.count("SortMergeJoin(skew=true)") == 2
-        assert "AQEShuffleRead skewed" in final
-        assert got == brute_force(rows)[0]
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        df = g[name]
+        got = df.collect()
+        final = final_plan(df)
+    semi = [line for line in final.splitlines() if "SortMergeJoin" in line and "LeftSemi" in line]
+    assert len(semi) >= splits and all("skew=true" in line for line in semi), semi
+    assert "AQEShuffleRead skewed" in final
+    ids, _, spend, top = brute_force(rows)
+    if name == "silver_pos_transactions":
+        assert {r.transaction_id for r in got} == ids
+    elif name == "gold_customer_360":
+        assert {r.customer_id: r.total_lifetime_spend for r in got} == spend
+        assert {r.customer_id: r.most_frequent_product for r in got} == top
+    else:
+        failed = {r.test_name: r.failed_records for r in got}
+        assert failed.get("invalid_customer_fk_in_transactions", 0) == failed.get("invalid_store_fk_in_transactions", 0) == 0
+        assert failed.get("spend_mismatch_vs_silver", 0) == 0
+
+
+def test_customer_360_curates_the_transactions_once(spark):
+    """The dedup window runs once: the other branches reuse the base's shuffle."""
+    with conf(spark, NO_BROADCAST):
+        df = graph(spark, SF_SMALL)["gold_customer_360"]
+        df.collect()
+        assert len(re.findall(r"Window \[row_number\(\) windowspecdefinition\(transaction_id", final_plan(df))) == 1
+
+
+def test_foreign_key_checks_count_every_bad_transaction(spark):
+    from hearthlake.operators.quality import foundation_checks
+    g = Medallion(sources(spark, customers=[customer(1), customer(1)], franchises=[store(1)], suppliers=[supplier(1)]))
+    t = spark.createDataFrame([("a", "1", "1"), ("b", "1", "9"), ("c", "8", "1"), ("d", "8", "9"), ("d", None, "1")],
+                              "transaction_id string, customer_id string, store_id string")
+    got = {r.test_name: r.failed_records for r in foundation_checks(
+        t, g["silver_customer_profiles"], g["silver_franchise_ops"], g["silver_supply_chain"],
+        g["silver_supply_chain_quarantine"], g["silver_customer_reviews"], g["bronze_supply_chain"]).collect()}
+    assert (got["duplicate_transaction_ids"], got["invalid_customer_fk_in_transactions"],
+            got["invalid_store_fk_in_transactions"]) == (1, 3, 2)
 
 
 def test_supplier_serving_most_stores(spark):
