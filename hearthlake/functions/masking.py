@@ -45,15 +45,18 @@ def mask_pii(c, is_admin) -> Column:
 
 
 def register_sql_functions(spark) -> None:
-    """Make ``mask_pii(value STRING, is_admin BOOLEAN)`` callable from SQL.
+    """Make ``mask_pii(value [, is_admin])`` callable from SQL.
 
+    With one argument the session variable ``pii_admin`` decides (false unless
+    the platform sets it for the user's group: ``SET VAR pii_admin = true``).
     A temporary SQL-bodied function: Spark inlines the body into the query
     plan (no Python in the loop), so SQL users get the same expression as
     ``mask_pii`` above.
     """
+    spark.sql("DECLARE OR REPLACE VARIABLE pii_admin BOOLEAN DEFAULT false")
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION mask_pii(value STRING, is_admin BOOLEAN)
+        CREATE OR REPLACE TEMPORARY FUNCTION mask_pii(value STRING, is_admin BOOLEAN DEFAULT CAST(NULL AS BOOLEAN))
         RETURNS STRING
-        RETURN CASE WHEN is_admin THEN value
+        RETURN CASE WHEN coalesce(is_admin, session.pii_admin) THEN value
                     WHEN value IS NULL THEN NULL
                     ELSE concat(substr(value, 1, {params.PII_VISIBLE_CHARS}), '{params.MASK}') END""")

@@ -92,3 +92,13 @@ def test_mask_pii_sql_function(spark):
     row = spark.sql("SELECT mask_pii('abcdef', false) AS u, mask_pii('abcdef', true) AS a, "
                     "mask_pii(CAST(NULL AS STRING), false) AS n, mask_pii('a', false) AS s").first()
     assert (row.u, row.a, row.n, row.s) == ("ab***", "abcdef", None, "a***")
+
+
+def test_mask_pii_with_one_argument_follows_the_session(spark):
+    from hearthlake.functions import register_sql_functions
+    register_sql_functions(spark)
+    ask = lambda: tuple(spark.sql("SELECT mask_pii('abcdef'), mask_pii('abcdef', false), mask_pii(CAST(NULL AS STRING))").first())
+    assert ask() == ("ab***", "ab***", None)
+    spark.sql("SET VAR pii_admin = true")
+    assert ask() == ("abcdef", "ab***", None)
+    spark.sql("SET VAR pii_admin = false")
