@@ -81,8 +81,8 @@ def main(argv=None) -> int:
         report = stored_check_report(spark, args.database)
         report.show(report.count(), truncate=False)
     else:
-        from hearthlake.plans.queries import registry
-        queries = registry()
+        from hearthlake.plans.queries import long_registry, registry
+        queries = registry() | long_registry()
         if args.key not in queries:
             parser.error(f"unknown query {args.key!r}; known: {', '.join(sorted(queries))}")
         queries[args.key](spark, args.tables_dir).show(args.show, truncate=False)

@@ -9,7 +9,8 @@ import pytest
 from conftest import SF_SMALL
 from hearthlake.plans.queries import registry
 
-SQL_KEYS = [k for k in registry() if k not in ("forecast_tuning", "forecast_next_14_days")]
+# the recursion writes its state at every step, so its plan starts from files
+SQL_KEYS = [k for k in registry() if k != "forecast_recursion_mean7"]
 
 
 def plan_text(df, mode="formatted"):
