@@ -185,18 +185,13 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      is_history: Callable[[Column], Column] = first_half) -> DataFrame:
     """One row for each row of ``docs``: the id, ``keep_id``, ``group_size``, ``kept``,
     ``text_sha256``. Only id and text are read, so other columns of ``docs`` cannot clash."""
-    keys = stage(docs.select(F.col(id_col).alias("id"), text_sha256(F.col(text_col)).alias("digest")), "dedup-keys")
+    keys = docs.select(F.col(id_col).alias("id"), text_sha256(F.col(text_col)).alias("digest"))
+    keys = stage(keys.withColumn("row", F.monotonically_increasing_id()), "dedup-keys")  # staged: row numbers stay
     groups = text_groups(keys, is_history).withColumnRenamed("id", "keep_id")
     marked = keys.join(groups, "digest").withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")))
-    if not groups.filter("top > 1").isEmpty():  # the winning id repeats: one of its rows stays
-        many = F.col("kept") & (F.col("top") > 1)
-        counts = (marked.filter(many).groupBy("digest").agg(F.max("top").alias("copies")).select("digest", "copies"))
-        one = marked.filter(many).dropDuplicates(["digest"])
-        gone = counts.join(groups.select("digest", "keep_id", "rows"), "digest").select(
-            "digest", F.col("keep_id").alias("id"), "keep_id", "rows", F.lit(False).alias("kept"),
-            F.expr("explode(sequence(2L, copies))").alias("copy")).drop("copy")
-        columns = ["digest", "id", "keep_id", "rows", "kept"]
-        marked = (marked.filter(~many).select(columns).unionByName(one.select(columns)).unionByName(gone))
+    if not groups.filter("top > 1").isEmpty():  # the winning id repeats: its first row stays
+        firsts = marked.filter("kept AND top > 1").groupBy("digest").agg(F.min("row").alias("first"))
+        marked = marked.join(firsts, "digest", "left").withColumn("kept", F.expr("kept AND (first IS NULL OR row = first)"))
     return marked.select(F.col("id").alias(id_col), "keep_id", F.col("rows").alias("group_size"), "kept",
                          F.col("digest").alias("text_sha256"))
 
