@@ -21,7 +21,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from hearthlake.plans.queries import registry  # noqa: E402
 from hearthlake.session import build_session  # noqa: E402
 
-SKIP = {"forecast_tuning", "forecast_next_14_days"}
 
 
 def final_plan(df) -> str:
@@ -83,8 +82,6 @@ def main(argv) -> int:
     print("| query | rows | sec | " + " | ".join(cols) + " | columns read / table width |")
     print("| --- | ---: | ---: | " + " | ".join("---:" for _ in cols) + " | --- |")
     for key, fn in queries.items():
-        if key in SKIP:
-            continue
         df = fn(spark, sf_dir)
         start = time.perf_counter()
         rows = len(df.collect())
