@@ -23,20 +23,24 @@ spread over several files (their order stays ascending); an empty table writes n
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthlake.llm.common import shared_path, stage
 
-CACHE_WORDS = 400_000  # words of one of the two generations a worker remembers
+CACHE_WORDS = 700_000  # words of one of the two generations a worker remembers
 FILE_DOCS = 20_000  # documents of a file, where that makes more files than there are partitions
+_PLAIN = re.compile(r"[^\W\d_]+[!-/:-@\[-`{-~]*")  # letters, then ASCII punctuation
 META = "<qBB"  # id, id present, bytes of a token
 INDEX = ("part long, file string, doc_id long, offset long, length long, n_tokens long, token_start long")
 
@@ -64,41 +68,84 @@ def unframe(record: bytes) -> bytes:
 
 class WordEncoder:
     """Packed ids of texts from a tokenizer whose normaliser and word split never look across
-    white space: each distinct word is encoded by the library once and remembered."""
+    white space, and whose last token of a piece ends in ``</w>``. A batch is cut into words and
+    its distinct words are looked up at once; the library encodes each word that is new."""
 
     def __init__(self, path: str, width: int):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if width == 2 else "<u4")
-        self.words: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
-    def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
-        split = [t.split() for t in texts]
-        new: dict[bytes, None] = {}
-        for words in split:
-            for w in words:
-                if w not in self.words:
-                    new[w] = None
-        fresh = []
-        for w in new:
-            if (known := self.older.get(w)) is not None:
-                self.words[w] = known
-            else:
-                fresh.append(w)
-        if fresh:
-            got = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)
-            for w, e in zip(fresh, got, strict=True):
-                self.words[w] = self.pack(e.ids)
-        out = [b"".join(map(self.words.__getitem__, words)) + end for words in split]
-        if len(self.words) >= CACHE_WORDS:
-            self.older, self.words = self.words, {}
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Packed ids of words. Letters with ASCII punctuation after them are one or two pieces,
+        so many such words can be encoded as one text and told apart by their last tokens."""
+        out: list[bytes | None] = [None] * len(words)
+        plain = [i for i, w in enumerate(words) if _PLAIN.fullmatch(w)]
+        for at in range(0, len(plain), 1000):
+            some = plain[at:at + 1000]
+            ids = np.array(self.tokenizer.encode("\n".join([words[i] for i in some]), add_special_tokens=False).ids)
+            pieces = np.cumsum([1 if words[i].isalpha() else 2 for i in some])
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != pieces[-1]:  # a letter whose lower case is no letter: one by one below
+                continue
+            packed, size = ids.astype(self.kind).tobytes(), self.kind.itemsize
+            stops = ends[pieces - 1] * size
+            for i, a, b in zip(some, [0, *stops[:-1].tolist()], stops.tolist(), strict=True):
+                out[i] = packed[a:b]
+        rest = [i for i, x in enumerate(out) if x is None]
+        if rest:
+            got = self.tokenizer.encode_batch([words[i] for i in rest], add_special_tokens=False)
+            for i, e in zip(rest, got, strict=True):
+                out[i] = self.pack(e.ids)
         return out
 
+    def look_up(self, words: list[str]) -> list[bytes]:
+        """Packed ids of distinct words. When the younger generation is full it becomes the older
+        one, and words that are met again move back."""
+        out = list(map(self.words.get, words))
+        missing = [i for i, x in enumerate(out) if x is None]
+        if missing:
+            known = self.older.get
+            for i in missing:
+                out[i] = known(words[i])
+            fresh = [i for i in missing if out[i] is None]
+            for i, packed in zip(fresh, self.encode_words([words[i] for i in fresh]), strict=True):
+                out[i] = packed
+            for i in missing:
+                self.words[words[i]] = out[i]
+            if len(self.words) >= CACHE_WORDS:
+                self.older, self.words = self.words, {}
+        return out
+
+    def encode(self, texts: pa.Array, end: bytes) -> list[bytes]:
+        """Packed ids of each text, with ``end`` after them."""
+        cut = pc.ascii_split_whitespace(texts.fill_null(""))
+        found = cut.flatten().dictionary_encode()
+        packed = self.look_up(found.dictionary.to_pylist())
+        # gather the ids by number: a batch's distinct words fit the processor's cache
+        size = self.kind.itemsize
+        pool = np.frombuffer(b"".join(packed), self.kind)
+        sizes = np.fromiter(map(len, packed), np.int32, len(packed)) // size
+        begin = np.cumsum(sizes, dtype=np.int32) - sizes
+        word = found.indices.to_numpy()
+        n = sizes[word]
+        ends = np.cumsum(n)
+        at = np.repeat(begin[word] - (ends - n), n)
+        at += np.arange(len(at), dtype=at.dtype)
+        tokens = pool[at].tobytes()
+        bounds = np.r_[0, ends][cut.offsets.to_numpy() - cut.offsets[0].as_py()] * size
+        return [tokens[a:b] + end for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
@@ -120,17 +167,16 @@ def packed_ids(docs: DataFrame, tokenizer_path: str, width: int, end_id: int, bo
         encoder = word_encoder(tokenizer_path, width)
         end = encoder.pack([end_id])
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                b = batch.slice(at, 256)
-                raw = [(x.as_py() or "").encode() for x in b.column("text")]
-                ties = np.array([zlib.crc32(x) for x in raw], np.int64)
+            for at in range(0, batch.num_rows, 1024):
+                b = batch.slice(at, 1024)
+                ties = np.array([zlib.crc32((x.as_py() or "").encode()) for x in b.column("text")], np.int64)
                 ids = np.array([x if x is not None else -(1 << 63) for x in b.column("doc_id").to_pylist()], np.int64)
                 low, high = np.searchsorted(edges, ids, "left"), np.searchsorted(edges, ids, "right")
                 # an id that fills several ranges is spread over them by its texts
                 part = low + ties * (high - low + 1) // (1 << 32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part.astype(np.int64)), b.column("doc_id"), pa.array(ties),
-                     pa.array(encoder.encode(raw, end), pa.binary())], names=["part", "doc_id", "tie", "tokens"])
+                     pa.array(encoder.encode(b.column("text"), end), pa.binary())], names=["part", "doc_id", "tie", "tokens"])
     return source.mapInArrow(run, "part long, doc_id long, tie long, tokens binary")
 
 
