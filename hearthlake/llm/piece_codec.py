@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"
-CACHE_CHUNKS = 400_000  # chunks of one of the two generations a worker remembers
+CACHE_CHUNKS = 160_000  # chunks of one of the two generations a worker remembers: about 40 MB
+CACHE_PAIRS = 400_000  # neighbours whose check a worker remembers: about 45 MB
 CACHE_CHARS = 64  # longer chunks are not remembered
 
 
@@ -120,7 +121,7 @@ class PieceModel:
     def compatible(self, left: int, right: int) -> bool:
         """Whether the two pieces come out again when their joined text is merged."""
         a, b = self.pieces[left], self.pieces[right]
-        if len(self.pairs) >= 4 * CACHE_CHUNKS:
+        if len(self.pairs) >= CACHE_PAIRS:
             self.pairs.clear()
         fits = self.pairs[left, right] = self.merge(a + b) == [a, b]
         return fits
