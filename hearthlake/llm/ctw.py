@@ -14,8 +14,8 @@ once more and shared. The same groups give the probability of every gram that oc
 document. Documents then add up the logarithms of their grams: from a shared table where the
 number of grams is at most ``SHARED_GRAMS``, else by a join on the gram; both give the same sums.
 
-Besides, every text gets the plain unigram score of its words. Counts of the ``HEAD_WORDS`` most
-frequent words are shared, the others are joined.
+Besides, every text gets the plain unigram score of its words. Counts of at most
+``HEAD_WORDS`` of the most frequent words are shared, the others are joined.
 
 Texts are UTF-8 with A-Z lower-cased, preceded by zero bytes and ended by one, which is scored.
 Defined cases: a null text counts as empty (only its end is scored); rows that repeat are scored
@@ -243,6 +243,22 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(words: DataFrame, most: int) -> dict[bytes, float]:
+    """log10(n + 0.1) of the most frequent words: all with a count above a limit that at most
+    ``most`` words exceed. The limit comes from a histogram of the counts' logarithms, so the
+    driver gets no more than those words."""
+    words = words.withColumn("size", F.floor(16 * F.log2("n")))
+    limit, held = None, 0
+    for r in words.groupBy("size").agg(F.count("*").alias("k")).orderBy(F.desc("size")).collect():  # at most 1,024 rows
+        if held + r.k > most:
+            break
+        limit, held = r["size"], held + r.k
+    if limit is None:
+        return {}
+    t = words.filter(F.col("size") >= limit).select("word", F.log10(F.col("n") + 0.1).alias("v")).toArrow()
+    return dict(zip(t["word"].to_pylist(), t["v"].to_pylist(), strict=True))
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that are never learnt from: crc32 of the id as text, modulo 10, is 0."""
     return id_crc32(doc_id) % 10 == 0
@@ -306,8 +322,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     scores = stage(gram_scores(counts), "ctw-scores")
     words = stage(word_counts(texts.select("text", "train")), "ctw-words")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    head = words.orderBy(F.desc("n"), "word").limit(head_words).collect()  # at most head_words rows
-    cut = spark.sparkContext.broadcast({bytes(r.word): math.log10(r.n + 0.1) for r in head})
+    cut = spark.sparkContext.broadcast(frequent_words(words, head_words))
     shared = None
     if scores.count() <= shared_grams:
         t = scores.toArrow()
