@@ -23,9 +23,10 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import math
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import ahocorasick
 import pyarrow as pa
@@ -36,6 +37,7 @@ from pyspark.sql import types as T
 SPACE = "▁"
 CACHE_CHUNKS = 160_000  # chunks of one of the two generations a worker remembers: about 40 MB
 CACHE_PAIRS = 400_000  # neighbours whose check a worker remembers: about 45 MB
+SHORT = 40  # characters up to which a list of scores is faster than a heap
 CACHE_CHARS = 64  # longer chunks are not remembered
 
 
@@ -64,18 +66,17 @@ class PieceModel:
         self.runs: dict[int, list[int]] = {}
 
     def _cuts(self) -> None:
-        """Check what the chunking relies on, and find the characters that only stand alone."""
+        """Check what the chunking relies on, and find the characters that pieces join."""
         words = [p for p in self.ids if p.strip(SPACE)]
         tied = len(words) - len({self.score[p] for p in words})
         if tied or any(SPACE in p.lstrip(SPACE) or p.startswith(SPACE * 2) for p in words):
             raise ValueError("pieces with equal scores, or with inner spaces, are not supported")
-        alphabet = {c for p in words for c in p}
         joined = {c for p in words if len(p) > 1 for c in p} | {SPACE}
-        lone = "".join(re.escape(c) for c in sorted(alphabet - joined))
+        if not joined <= self.ids.keys():
+            raise ValueError("characters that are no piece of their own are not supported")
         inside = "".join(re.escape(c) for c in sorted(joined - {SPACE}))
         # a run of spaces with the word that follows, or one character that nothing joins
         self.chunk = re.compile(f"{SPACE}+[{inside}]*|[{inside}]+|(?s:.)")
-        self.lone = lone
 
     def _trie(self) -> None:
         """Pieces that the merge loop can produce, and for each the longest shorter one."""
@@ -95,6 +96,8 @@ class PieceModel:
 
     def merge(self, text: str) -> list[str]:
         """The plain merge loop: join the pair of the highest score, the leftmost of equals."""
+        if len(text) <= SHORT:
+            return self.merge_short(text)
         parts: list[str | None] = list(text)
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
         heap: list[tuple[float, int, str]] = []
@@ -118,6 +121,23 @@ class PieceModel:
             offer(i)
         return [p for p in parts if p is not None]
 
+    def merge_short(self, text: str) -> list[str]:
+        """The same loop without a heap: the scores of all pairs stand in a list."""
+        parts, score, never = list(text), self.score.get, -math.inf
+        pairs = [score(a + b, never) for a, b in pairwise(parts)]
+        while pairs:
+            best = max(pairs)
+            if best == never:
+                break
+            i = pairs.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = score(parts[i - 1] + parts[i], never)
+            if i < len(pairs):
+                pairs[i] = score(parts[i] + parts[i + 1], never)
+        return parts
+
     def compatible(self, left: int, right: int) -> bool:
         """Whether the two pieces come out again when their joined text is merged."""
         a, b = self.pieces[left], self.pieces[right]
