@@ -11,7 +11,6 @@ from hearthlake.session import checkpoint_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
-WORD_BYTES = "words are maximal runs of bytes other than space and 0x09-0x0D (what bytes.split() yields)"
 
 
 def ascii_lower(text: Column) -> Column:
@@ -40,13 +39,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
-    """Key of a row: its id, and a hash of its text in case ids repeat."""
-    return F.col(id_col).alias("__id"), F.xxhash64(F.col(text_col)).alias("__hash")
+def bounded_sample(rows: DataFrame, size: int, *key: str) -> DataFrame:
+    """About ``size`` of the rows, never more than twice as many, picked by a hash of ``key``. The
+    rows left out are dropped where they are read; nothing is sorted."""
+    n = rows.count()
+    if n > size:
+        rows = rows.filter(F.pmod(F.xxhash64(*key), F.lit(1 << 30)) < int(size / n * (1 << 30)))
+    return rows.limit(2 * size)
 
 
 def keep_rows(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose ``row_key`` is in ``keys`` (__id, __hash, __copies: how many
+    """The rows of ``docs`` whose id and text hash are in ``keys`` (__id, __hash, __copies: how many
     rows have that key), one row for each key. Columns and names of ``docs`` stay as they are."""
     d = docs.withColumn("__h", F.xxhash64(F.col(text_col)))
 
