@@ -7,8 +7,8 @@ grouped aggregations add up the text posteriors by declaration, suffix, domain a
 prior is its own counts smoothed by its domain's, those by its suffix's, and those by the whole
 corpus. A page's own share is taken out of every count before it judges the page.
 
-Text models learn from at most TRAIN_DOCS labelled documents (those with the smallest id hashes, a
-documented bound); the languages are those of that sample. Everything else covers all pages.
+Text models learn from about TRAIN_DOCS labelled documents, never more than twice as many (picked by
+a hash of the id, a documented bound); the languages are those of that sample. Everything else covers all pages.
 
 Defined cases: a null or empty page has no text evidence; a null URL, or one without ``://``, has
 the empty host, domain and suffix, which are groups like any other; without labelled documents
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthlake.llm.common import stage
+from hearthlake.llm.common import bounded_sample, stage
 from hearthlake.llm.url_filter import host_and_path
 
 BITS = 15
@@ -62,9 +62,9 @@ def trigrams(text: str) -> np.ndarray:
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> tuple[list[str], np.ndarray]:
     """Languages and the logarithms of their trigram chances, (languages, 2**BITS)."""
-    sample = (docs.filter(F.col(lang_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.coalesce(text_col, F.lit("")).alias("text"), F.xxhash64(id_col).alias("h"))
-        .orderBy("h", F.xxhash64("text")).limit(TRAIN_DOCS))
+    labelled = docs.filter(F.col(lang_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.coalesce(text_col, F.lit("")).alias("text"))
+    sample = bounded_sample(labelled, TRAIN_DOCS, "id").drop("id")
 
     def count(table: pa.Table) -> pa.Table:
         n = np.zeros(1 << BITS, np.int64)
