@@ -7,8 +7,8 @@ grouped aggregations add up the text posteriors by declaration, suffix, domain a
 prior is its own counts smoothed by its domain's, those by its suffix's, and those by the whole
 corpus. A page's own share is taken out of every count before it judges the page.
 
-Text models learn from about TRAIN_DOCS labelled documents, never more than twice as many (picked by
-a hash of the id, a documented bound); the languages are those of that sample. Everything else covers all pages.
+Text models count the trigrams of all labelled documents, so every language that labels a document
+is known, however rare; the judgement covers all pages.
 
 Defined cases: a null or empty page has no text evidence; a null URL, or one without ``://``, has
 the empty host, domain and suffix, which are groups like any other; without labelled documents
@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthlake.llm.common import bounded_sample, stage
+from hearthlake.llm.common import stage
 from hearthlake.llm.url_filter import host_and_path
 
 BITS = 15
-TRAIN_DOCS = 6_000
+HELD_LANGS = 64  # languages whose counts (256 kB each) a task holds before it hands them on
 TEMPER = 0.25  # trigrams of a text overlap: their joint evidence is a power of the product
 SMOOTH = 5.0  # pages of the level above that a level is mixed with
 DECLARED_SMOOTH = 0.5
@@ -60,20 +60,33 @@ def trigrams(text: str) -> np.ndarray:
     return (key >> np.uint32(32 - BITS)).astype(np.int64)
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> tuple[list[str], np.ndarray]:
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """Languages and the logarithms of their trigram chances, (languages, 2**BITS)."""
-    labelled = docs.filter(F.col(lang_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.coalesce(text_col, F.lit("")).alias("text"))
-    sample = bounded_sample(labelled, TRAIN_DOCS, "id").drop("id")
-
-    def count(table: pa.Table) -> pa.Table:
-        n = np.zeros(1 << BITS, np.int64)
-        for x in table["text"]:
-            n += np.bincount(trigrams(x.as_py()), minlength=1 << BITS)
-        return pa.table({"lang": [table["lang"][0].as_py()], "n": [n.tobytes()]})
-    rows = sorted(sample.groupBy("lang").applyInArrow(count, "lang string, n binary").collect())  # one row a language
-    n = np.array([np.frombuffer(r.n, np.int64) for r in rows], float).reshape(len(rows), 1 << BITS) + 0.5
-    return [r.lang for r in rows], np.log(n / n.sum(1, keepdims=True)).astype(np.float32)
+    labelled = docs.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.coalesce(text_col, F.lit("")).alias("text"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for lang, n in held.items():
+                at = np.union1d([0], np.flatnonzero(n))  # a language without any trigram is known too
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(n[at])], names=["lang", "at", "n"])
+            held.clear()
+        for b in batches:
+            for lang, x in zip(b.column("lang").to_pylist(), b.column("text"), strict=True):
+                if lang not in held:
+                    if len(held) >= HELD_LANGS:
+                        yield from out()
+                    held[lang] = np.zeros(1 << BITS, np.int64)
+                held[lang] += np.bincount(trigrams(x.as_py()), minlength=1 << BITS)
+        yield from out()
+    rows = (labelled.mapInArrow(count, "lang string, at long, n long").groupBy("lang", "at").agg(F.sum("n").alias("n"))
+            .toArrow())  # at most 2**BITS rows a language, as many as the chances have
+    langs = sorted(set(rows["lang"].to_pylist()))
+    n = np.full((len(langs), 1 << BITS), 0.5)
+    row = {lang: i for i, lang in enumerate(langs)}
+    n[[row[x] for x in rows["lang"].to_pylist()], rows["at"].to_numpy()] += rows["n"].to_numpy()
+    return langs, np.log(n / n.sum(1, keepdims=True)).astype(np.float32)
 
 
 def posterior(log: np.ndarray) -> np.ndarray:

@@ -167,6 +167,20 @@ def test_language_with_awkward_rows(spark):
     assert language_id.identify(pages.limit(0), docs).collect() == []
 
 
+def test_rare_languages_are_known_among_many_documents(spark):
+    rare = {f"x{i:02d}": f"{chr(0x430 + i)}{chr(0x431 + i)}{chr(0x432 + i)} " * 9 for i in range(20)}
+    rows = [("en", f"the cat and the dog {i}") for i in range(20_000)] + [(k, t) for k, t in rare.items() for _ in range(3)] + [("none", None)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    langs, chances = language_id.train(docs)
+    assert langs == sorted(["en", "none", *rare]) and chances.shape == (22, 1 << language_id.BITS)
+    n = Counter(x for lang, t in rows if lang == "en" for x in language_id.trigrams(t).tolist())
+    want = [math.log((n[at] + .5) / (n.total() + .5 * (1 << language_id.BITS))) for at in n]
+    assert np.allclose(chances[langs.index("en"), list(n)], want, atol=1e-4)
+    pages = spark.createDataFrame([(k, None, f"<p>{t}</p>") for k, t in rare.items()] + [("en", None, "<p>a dog and the cat</p>")],
+                                  "page_id string, url string, html string")
+    assert all(r.text_lang == r.page_id for r in language_id.identify(pages, docs).collect())
+
+
 def test_fusion_equals_the_formula():
     rng = np.random.default_rng(4)
     log, q = rng.normal(size=(5, 3)), rng.dirichlet(np.ones(3), 5)
