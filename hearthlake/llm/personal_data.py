@@ -52,6 +52,10 @@ HINTS = (re.compile(r"(?i)\b(e-?mail|mail|contact|write|address|reach)\b"), re.c
 AGAINST = re.compile(r"(?i)\b(version|licen[sc]e|isbn|issn|order|invoice|item|id|serial|ref|token|key|page|chapter|section|article)\W*\Z")
 
 WRITTEN = re.compile(r"(?i)[a-z0-9._%+-]{1,64}(?: ?[\[(]at[\])] ?| at )[a-z0-9-]{1,63}(?:(?: ?[\[(]dot[\])] ?| dot |\.)[a-z0-9-]{1,63}){1,6}")
+# What stands between name and host in a written-out address begins and ends so; and the characters
+# of its name: without regard to case, the letters also match these four.
+AT = re.compile(r"(?i)[ \[(]at[ \])]")
+WRITTEN_LOCAL = LOCAL | frozenset("\u0130\u0131\u017f\u212a")
 LOCAL_PHONE = re.compile(r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")
 DOTTED_CARD = re.compile(r"(?<![0-9])[0-9]{4}(?:[._/][0-9]{4}){3}(?![0-9])")
 
@@ -90,6 +94,24 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(done, at + 1))
 
 
+def written_addresses(text: str) -> Iterator[tuple[int, int]]:
+    """What WRITTEN finds, tried only where an "at" of its kinds stands: from the leftmost of the 64
+    name characters before it (not before the end of the last match)."""
+    done, m = 0, AT.search(text)
+    while m:
+        stop = m.start()
+        if text[stop] != " " and text[stop - 1:stop] == " ":  # a blank may stand before a bracket
+            stop -= 1
+        start = stop
+        while start > max(done, stop - 64) and text[start - 1] in WRITTEN_LOCAL:
+            start -= 1
+        found = WRITTEN.match(text, start) if start < stop else None
+        if found:
+            done = found.end()
+            yield start, done
+        m = AT.search(text, max(done, m.start() + 1))
+
+
 def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(kind, start, end) of the base spans, and of matches that failed their check."""
     kept: list[tuple[int, int, int]] = []
@@ -118,8 +140,7 @@ def candidates(text: str) -> list[tuple[int, int, int, bool]]:
     """Base spans and wider candidates, which overlap no base span."""
     kept, failed = base_spans(text)
     wide = list(failed)
-    if "dot" in text or "[at]" in text or "(at)" in text:
-        wide += [(0, m.start(), m.end()) for m in WRITTEN.finditer(text)]
+    wide += [(0, *span) for span in written_addresses(text)]
     if any(c in text for c in "0123456789"):
         wide += [(3, m.start(), m.end()) for m in LOCAL_PHONE.finditer(text)]
         wide += [(2, m.start(), m.end()) for m in DOTTED_CARD.finditer(text)]

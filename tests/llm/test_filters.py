@@ -146,6 +146,17 @@ def test_base_spans_of_random_texts():
         assert written(personal_data.base_spans(text)[0]) == plain_spans(text), text
 
 
+def test_written_addresses_are_what_the_pattern_finds():
+    for text in ("mail ann at example.com", "ANN [AT] EXAMPLE [DOT] COM", "ann (AT) example.com", "ann At example Dot com"):
+        assert [text[a:b] for k, a, b, base in personal_data.candidates(text) if k == 0 and not base] == [text.removeprefix("mail ")]
+    rng = random.Random(9)
+    bits = ["a", "at", " at ", " AT ", "[at]", " [At] ", "(aT)", " (at)", "[at)", " ", "  ", "x.y", ".", "dot", " dot ", "[DOT]", " (dot) ", "-",
+            "é", "\u0130", "\u0131", "\u017f", "\u212a", "b" * 40, "+", "_", "\n", "[", ")", "@", "com", "Z9"]
+    for _ in range(100_000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 14)))
+        assert list(personal_data.written_addresses(text)) == [m.span() for m in personal_data.WRITTEN.finditer(text)], text
+
+
 def test_long_runs_take_linear_time():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "a@" * 50_000, "1." * 100_000, "+1" + " " * 100_000, "1 " * 100_000):
         personal_data.candidates(text)
