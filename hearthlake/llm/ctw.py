@@ -7,12 +7,13 @@ one byte deeper, so the tree mixes the estimates of all depths. After training,
 bit is the mixture, along the path of its contexts, of the estimates weighted by what each depth
 has earned.
 
-Training counts (context, byte) grams over all training texts. The counts are grouped by the
-nearest two context bytes: every node deeper than that lies within one group, whose size depends
-on the alphabet and not on the number of documents; the nodes above (at most 65,792) are summed
-once more and shared. The same groups give the probability of every gram that occurs in any
-document. Documents then add up the logarithms of their grams: from a shared table where the
-number of grams is at most ``SHARED_GRAMS``, else by a join on the gram; both give the same sums.
+Training counts (context, byte) grams over all training texts. The counts are dealt by the
+nearest NEAR context bytes into groups of about GROUP_GRAMS: every node at least that deep lies
+within one group; the nodes above, whose number depends on the alphabet and not on the number of
+documents, are summed once more and shared. The same groups give the probability of every gram
+that occurs in any document. Documents then add up the logarithms of their grams: from a shared
+table where the number of grams is at most ``SHARED_GRAMS``, else by a join on the gram, asked
+once for each chunk of texts; both give the same sums.
 
 Besides, every text gets the plain unigram score of its words. Counts of at most
 ``HEAD_WORDS`` of the most frequent words are shared, the others are joined.
@@ -31,13 +32,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearthlake.llm.common import id_crc32, stage
 
-DEPTH = 4
+DEPTH = 7  # at most 7: a gram, with its byte, is one long
+NEAR = 3
+GROUP_GRAMS = 1 << 18
+CHUNK_BYTES = 1 << 24  # texts whose grams are joined together
 SHARED_GRAMS = 2_000_000  # 12 bytes each, in a table at most half full
 HEAD_WORDS = 1 << 18
 FLUSH = 3_000_000  # distinct grams or words a task holds before it hands them on
@@ -98,10 +103,21 @@ def gram_counts(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
     return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
+_SMALL = 4096
+_LGAMMA = {shift: np.array([math.lgamma(k + shift) for k in range(_SMALL)]) for shift in (0.5, 1.0)}
+
+
+def _lgamma(n: np.ndarray, shift: float) -> np.ndarray:
+    """Logarithm of the gamma function at counts plus a shift."""
+    out = _LGAMMA[shift][np.minimum(n, _SMALL - 1).astype(np.int64)]
+    big = np.flatnonzero(n >= _SMALL)
+    out[big] = [math.lgamma(x + shift) for x in n[big].tolist()]
+    return out
+
+
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Logarithm of the Krichevsky-Trofimov probability of a sequence with these counts."""
-    lg = lambda x: np.fromiter(map(math.lgamma, x.tolist()), float, len(x))
-    return lg(zeros + 0.5) + lg(ones + 0.5) - lg(zeros + ones + 1.0) - 2 * math.lgamma(0.5)
+    return _lgamma(zeros, 0.5) + _lgamma(ones, 0.5) - _lgamma(zeros + ones, 1.0) - 2 * math.lgamma(0.5)
 
 
 class Nodes:
@@ -109,7 +125,7 @@ class Nodes:
     and the weight of the own estimate."""
 
     def __init__(self, ids: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None):
-        self.ids, self.zeros, self.ones = ids, zeros, ones
+        self.ids, self.zeros, self.ones = ids.astype(np.uint64), zeros, ones
         own = log_kt(zeros, ones)
         self.log_pw = own if below is None else np.logaddexp(HALF + own, HALF + below)
         self.weight = np.ones(len(ids)) if below is None else np.exp(HALF + own - self.log_pw)
@@ -134,39 +150,46 @@ class Nodes:
 
 def decisions(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Node ids (at the full depth) and bits of the eight decisions of each gram: shape (8, n)."""
+    grams = grams.astype(np.uint64)  # the nearest byte is not a sign
     byte = grams & 255
-    step = np.arange(8)[:, None]
-    node = (1 << step) | (byte >> (8 - step))
+    step = np.arange(8, dtype=np.uint64)[:, None]
+    node = (np.uint64(1) << step) | (byte >> (8 - step))
     return (grams >> 8 << 8) | node, ((byte >> (7 - step)) & 1).astype(bool)
 
 
 def subtree(grams: np.ndarray, n: np.ndarray, depth: int = DEPTH) -> dict[int, Nodes]:
-    """Nodes of depths 2 to ``depth`` for the grams of one group."""
+    """Nodes of depths NEAR (or ``depth``, if less) to ``depth`` for the grams of one group."""
     grams, n = grams[n > 0], n[n > 0]
     ids, bits = decisions(grams)
     counts = np.tile(n, 8).astype(float)
     flat = bits.ravel()
     uniq, at = np.unique(ids.ravel(), return_inverse=True)
     levels = {depth: Nodes(uniq, np.bincount(at, counts * ~flat, len(uniq)), np.bincount(at, counts * flat, len(uniq)), None)}
-    for d in range(depth - 1, 1, -1):
+    for d in range(depth - 1, NEAR - 1, -1):
         levels[d] = Nodes(*levels[d + 1].folded())
     return levels
 
 
-def top_nodes(counts: DataFrame, depth: int = DEPTH) -> tuple[Nodes, Nodes]:
-    """Nodes of depths 1 and 0, from one pass over the groups."""
+def top_nodes(counts: DataFrame, depth: int = DEPTH) -> dict[int, Nodes]:
+    """Nodes above those of the groups, from one pass over the groups."""
+    top = min(NEAR, depth) - 1
+
     def run(table: pa.Table) -> pa.Table:
-        ids, zeros, ones, log_pw = subtree(table["gram"].to_numpy(), table["n"].to_numpy(), depth)[2].folded()
-        return pa.table({"id": ids, "zeros": zeros, "ones": ones, "log_pw": log_pw})
+        ids, zeros, ones, log_pw = subtree(table["gram"].to_numpy(), table["n"].to_numpy(), depth)[top + 1].folded()
+        return pa.table({"id": ids.astype(np.int64), "zeros": zeros, "ones": ones, "log_pw": log_pw})
     rows = (grouped(counts.filter("n > 0"), depth).applyInArrow(run, "id long, zeros double, ones double, log_pw double")
             .groupBy("id").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log_pw")])
-            .orderBy("id").toArrow())  # at most 256 * 255 rows
-    one = Nodes(*(rows[c].to_numpy() for c in ("id", "zeros", "ones", "log_pw")))
-    return one, Nodes(*one.folded())
+            .orderBy("id").toArrow())  # for each pair of bytes that text can have, at most 255 rows
+    levels = {top: Nodes(*(rows[c].to_numpy() for c in ("id", "zeros", "ones", "log_pw")))}
+    for d in range(top - 1, -1, -1):
+        levels[d] = Nodes(*levels[d + 1].folded())
+    return levels
 
 
 def grouped(counts: DataFrame, depth: int):
-    return counts.groupBy(F.shiftright("gram", 8 * (depth - 1)).alias("near"))
+    near = F.shiftrightunsigned("gram", 8 * (depth + 1 - min(NEAR, depth)))
+    groups = max(1, -(-counts.count() // GROUP_GRAMS))
+    return counts.groupBy(F.pmod(F.xxhash64(near), F.lit(groups)).alias("near"))
 
 
 def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -174,8 +197,9 @@ def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     shared = counts.sparkSession.sparkContext.broadcast(top_nodes(counts, depth))
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("gram")
         grams = table["gram"].to_numpy()
-        levels = subtree(grams, table["n"].to_numpy(), depth) | dict(zip((1, 0), shared.value, strict=True))
+        levels = subtree(grams, table["n"].to_numpy(), depth) | shared.value
         total = np.zeros(len(grams))
         for ids, bits in zip(*decisions(grams), strict=True):
             p = np.zeros(0)
@@ -264,7 +288,7 @@ def held_out(doc_id: Column) -> Column:
     return id_crc32(doc_id) % 10 == 0
 
 
-def _first_pass(texts: DataFrame, head, table) -> DataFrame:
+def _first_pass(texts: DataFrame, head, table, depth: int) -> DataFrame:
     """For each row its tokens, the share of its unigram score that the head gives, the words
     that the head lacks, its bytes, and (where there is a table) its score."""
     id_type = texts.schema["id"].dataType
@@ -290,7 +314,7 @@ def _first_pass(texts: DataFrame, head, table) -> DataFrame:
                         cell.append(v)
                 total = np.zeros(len(raw))
                 if scores is not None:
-                    keys, starts = gram_keys(raw)
+                    keys, starts = gram_keys(raw, depth)
                     total = np.add.reduceat(scores.look_up(keys).astype(float), starts)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id"), pa.array(cells[0], pa.int64()), pa.array(cells[1], pa.int64()),
@@ -299,27 +323,72 @@ def _first_pass(texts: DataFrame, head, table) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def _joined_scores(texts: DataFrame, scores: DataFrame) -> DataFrame:
-    """(row, score) by a join on the gram, for tables too large to share."""
+def _chunked(rows: DataFrame) -> DataFrame:
+    """``rows`` with a chunk: the first row number of some CHUNK_BYTES of texts read together."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, size = None, 0
         for b in batches:
-            for row, text in zip(b.column("row").to_pylist(), b.column("text"), strict=True):
-                keys, n = np.unique(gram_keys([raw_text(text.as_py())])[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), row)), pa.array(keys), pa.array(n.astype(np.int64))],
-                                                 names=["row", "gram", "n"])
-    grams = texts.select("row", "text").mapInArrow(run, "row long, gram long, n long")
-    return grams.join(scores, "gram").groupBy("row").agg(F.sum(F.col("n") * F.col("score")).alias("score"))
+            chunks = []
+            for row, n in zip(b.column("row").to_pylist(), pc.binary_length(b.column("text")).to_pylist(), strict=True):
+                if chunk is None or size > CHUNK_BYTES:
+                    chunk, size = row, 0
+                size += (n or 0) + 1
+                chunks.append(chunk)
+            yield b.append_column("chunk", pa.array(chunks, pa.int64()))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("chunk", T.LongType())]))
+
+
+def _joined_scores(texts: DataFrame, scores: DataFrame, depth: int) -> DataFrame:
+    """(row, score) by a join on the gram, for tables too large to share. Every chunk of texts asks
+    for each of its grams (twice, where its texts are read by two tasks)."""
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, held = None, []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            keys = np.unique(np.concatenate(held))
+            for at in range(0, len(keys), 1 << 20):
+                some = keys[at:at + (1 << 20)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), chunk)), pa.array(some)], names=["chunk", "gram"])
+        for b in batches:
+            raw, chunks = [raw_text(x.as_py()) for x in b.column("text")], b.column("chunk").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(raw)]
+            for start, stop in zip(cuts, cuts[1:]):
+                if start == stop:
+                    continue
+                if held and chunks[start] != chunk:
+                    yield from out()
+                    held = []
+                chunk = chunks[start]
+                held.append(np.unique(gram_keys(raw[start:stop], depth)[0]))
+        if held:
+            yield from out()
+
+    def add(own: pa.Table, got: pa.Table) -> pa.Table:
+        table = GramTable(got["gram"].to_numpy(), got["score"].to_numpy())
+        total = np.zeros(own.num_rows)
+        for at in range(0, own.num_rows, 1024):
+            some = own["text"].slice(at, 1024)
+            keys, starts = gram_keys([raw_text(x.as_py()) for x in some], depth)
+            total[at:at + len(some)] = np.add.reduceat(table.look_up(keys).astype(float), starts)
+        return pa.table({"row": own["row"], "score": total})
+    texts = texts.select("chunk", "row", "text")
+    asked = texts.select("chunk", "text").mapInArrow(ask, "chunk long, gram long")
+    got = asked.join(scores, "gram").select("chunk", "gram", "score")
+    return texts.groupBy("chunk").cogroup(got.groupBy("chunk")).applyInArrow(add, "row long, score double")
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                shared_grams: int = SHARED_GRAMS, head_words: int = HEAD_WORDS) -> DataFrame:
+                shared_grams: int = SHARED_GRAMS, head_words: int = HEAD_WORDS, depth: int = DEPTH) -> DataFrame:
     """One row for each row of ``docs``: the id, held_out, n_tokens, n_known, train_tokens,
-    base_score (unigram), score (log10 probability of the text) and bits_per_byte."""
+    base_score (unigram), score (log10 probability of the text) and bits_per_byte. ``depth``: bytes
+    of the longest context, 1 to 7."""
+    if not 1 <= depth <= 7:
+        raise ValueError("depth is 1 to 7")
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                         (~held_out(F.col(id_col))).alias("train"))
-    counts = stage(gram_counts(texts.select("text", "train")), "ctw-grams")
-    scores = stage(gram_scores(counts), "ctw-scores")
+    counts = stage(gram_counts(texts.select("text", "train"), depth), "ctw-grams")
+    scores = stage(gram_scores(counts, depth), "ctw-scores")
     words = stage(word_counts(texts.select("text", "train")), "ctw-words")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     cut = spark.sparkContext.broadcast(frequent_words(words, head_words))
@@ -329,13 +398,13 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         shared = spark.sparkContext.broadcast(GramTable(t["gram"].to_numpy(), t["score"].to_numpy()))
     # staged once: the row numbers stay as they are for all readers
     if shared:
-        first = stage(_first_pass(texts, cut, shared).withColumn("row", F.monotonically_increasing_id()), "ctw-rows")
+        first = stage(_first_pass(texts, cut, shared, depth).withColumn("row", F.monotonically_increasing_id()), "ctw-rows")
     else:
-        rows = stage(texts.withColumn("row", F.monotonically_increasing_id()), "ctw-texts")
+        rows = stage(_chunked(texts.drop("train").withColumn("row", F.monotonically_increasing_id())), "ctw-texts")
         named = rows.withColumnRenamed("id", "own").withColumn("id", F.struct("row", F.col("own")))
-        first = _first_pass(named.select("id", "text"), cut, None).select(
+        first = _first_pass(named.select("id", "text"), cut, None, depth).select(
             F.col("id.row").alias("row"), F.col("id.own").alias("id"), "n_tokens", "n_known", "part", "rare", "n_bytes", "score")
-        first = stage(first, "ctw-rows").drop("score").join(_joined_scores(rows, scores), "row")
+        first = stage(first, "ctw-rows").drop("score").join(_joined_scores(rows, scores, depth), "row")
     rare = first.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("k"))
     c = F.coalesce(F.col("n"), F.lit(0))
     tail = rare.join(words, "word", "left").select(

@@ -117,6 +117,18 @@ def test_context_tree_and_unigrams_equal_plain_versions(spark, shared):
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 2)) for r in got) == want
 
 
+@pytest.mark.parametrize("shared", [ctw.SHARED_GRAMS, 0])
+@pytest.mark.parametrize("depth", [2, 4, 7])
+def test_depth_of_the_context_tree(spark, monkeypatch, shared, depth):
+    monkeypatch.setattr(ctw, "GROUP_GRAMS", 50)
+    monkeypatch.setattr(ctw, "CHUNK_BYTES", 200)
+    rows = [(i, t) for i in range(30) for t in (f"straße nach köln {i % 7}", "the cat sat on the mat " * (i % 3), None)]
+    raw = [(i, (t or "").encode().lower()) for i, t in rows]
+    score = plain_ctw([t for i, t in raw if zlib.crc32(str(i).encode()) % 10], depth)
+    got = ctw.score_texts(documents(spark, rows), shared_grams=shared, depth=depth).collect()
+    assert Counter((r.doc_id, round(r.score, 2)) for r in got) == Counter((i, round(score(t), 2)) for i, t in raw)
+
+
 def test_context_tree_chances_add_up(spark):
     counts = ctw.gram_counts(spark.createDataFrame([("abracadabra", True), ("cadabra", False)], "text string, train boolean"))
     context = int.from_bytes(b"rbad", "big") << 8  # nearest byte first
