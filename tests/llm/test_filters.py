@@ -281,6 +281,33 @@ def test_leaks_with_awkward_rows(spark, monkeypatch, block):
     assert decontaminate.find_leaks(empty(spark), bench).collect() == []
     assert all(r.leaks == [] for r in decontaminate.find_leaks(docs, bench.limit(0)).collect())
 
+
+def test_weak_matches_with_the_answer_against_brute_force(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(6))
+    items, texts = [], []
+    for i in range(12):  # a few words repeat, the others occur once; of those, some are replaced
+        again = [word() for _ in range(6)]
+        p = [again[k % 6] if k % 2 else word() for k in range(40)]
+        at = set(rng.sample([k for k in range(35) if p[k] not in again], 10 + i // 2))
+        items.append((i, " ".join(p)))
+        texts.append((i, " ".join([word() for _ in range(30)] + [word() if k in at else w for k, w in enumerate(p)] + [word() for _ in range(30)])))
+    block = decontaminate.Block([i for i, _ in items], [t.split() for _, t in items], {})
+    want = set()
+    for i, item in items:
+        p = item.split()
+        for d, text in texts:
+            words = text.split()
+            share, answer = plain_lcs(p, words) / len(p), plain_lcs(p[-decontaminate.ANSWER_WORDS:], words) / decontaminate.ANSWER_WORDS
+            found = share >= decontaminate.STRONG or share >= decontaminate.WEAK and answer >= decontaminate.ANSWER_SHARE
+            assert (block.verdict(i, words) > 0) == found, (i, d, share)
+            if found:
+                want.add((d, i))
+    assert len(want) == 12
+    docs = documents(spark, texts + [(i, " ".join(word() for _ in range(300))) for i in range(100, 130)])
+    got = decontaminate.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, x.item_id) for r in got for x in r.leaks} == want
+
 # ---- pipeline
 
 
