@@ -175,8 +175,8 @@ def first_half(id_col: Column) -> Column:
 def text_groups(keys: DataFrame, is_history: Callable[[Column], Column] = first_half) -> DataFrame:
     """Groups of equal texts from (id, digest): digest, id (winner), rows, top, member."""
     history = stage(_grouped(keys.filter(is_history(F.col("id")))), "dedup-history")
-    batch = _grouped(keys.filter(~is_history(F.col("id"))))
-    shards = max(1, -(-history.count() // SHARD_DIGESTS))
+    batch = stage(_grouped(keys.filter(~is_history(F.col("id")))), "dedup-batch")
+    shards = max(1, -(-max(history.count(), batch.count()) // SHARD_DIGESTS))  # either may be the larger
     index = stage(build_index(history, shards), "dedup-index")
     return stage(probe(index, batch, shards), "dedup-groups")
 

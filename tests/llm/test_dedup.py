@@ -51,6 +51,18 @@ def test_exact_duplicates_with_awkward_rows(spark, split):
         (max((i for i in ids if i is not None), default=None), t) for t, ids in groups.items())
 
 
+@pytest.mark.parametrize("share", [0, 1, 5, 10])
+def test_shards_follow_the_larger_side(spark, monkeypatch, share):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(exact_dedup, "SHARD_DIGESTS", 20)
+    seen, probe = [], exact_dedup.probe
+    monkeypatch.setattr(exact_dedup, "probe", lambda index, batch, shards: seen.append(shards) or probe(index, batch, shards))
+    docs = documents(spark, [(i, f"text {i // 2}") for i in range(400)])
+    got = exact_dedup.exact_duplicates(docs, is_history=lambda c: c % 20 < F.lit(2 * share)).collect()
+    assert seen == [max(share, 10 - share)]
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got) == Counter((i, i | 1, 2, i % 2 == 1) for i in range(400))
+
+
 def test_exact_duplicates_of_an_empty_table(spark):
     assert exact_dedup.exact_duplicates(empty(spark)).collect() == []
     assert exact_dedup.drop_exact_duplicates(empty(spark)).collect() == []
