@@ -9,8 +9,8 @@ its posteriors train a logistic classifier over features of the span and its sur
 candidates it is sure of are added.
 
 Texts are read once. The votes are counted by a grouped aggregation into at most
-4 * 3**7 patterns; the classifier learns from about ``TRAIN_SPANS`` candidates, never more than twice
-as many (picked by a hash, a documented bound). Every candidate is scored.
+4 * 3**7 patterns; the classifier learns from about ``TRAIN_SPANS`` distinct candidates
+(picked by a hash, a documented bound). Every candidate is scored.
 
 Defined cases: a null text counts as empty; rows that repeat are searched each; added spans never
 overlap base spans or each other (the surer one stays, then the earlier); with no candidates
@@ -264,7 +264,8 @@ def train(found: DataFrame) -> np.ndarray:
     spans = found.select(F.explode("spans").alias("s"), "id").select("s.*", "id")
     patterns = spans.groupBy("kind", "votes").agg(F.count("*").alias("n")).orderBy("kind", "votes").collect()
     belief = estimate([(r.kind, list(r.votes), r.n) for r in patterns])
-    some = bounded_sample(spans, TRAIN_SPANS, "id", "kind", "begin").select("kind", "votes", "features").collect()
+    some = bounded_sample(spans, TRAIN_SPANS, "id", *spans.drop("id").columns).select("kind", "votes", "features").collect()
+    some.sort()  # the same sums whatever task is first
     return fit([list(r.features) for r in some], np.array([belief[r.kind, tuple(r.votes)] for r in some]))
 
 

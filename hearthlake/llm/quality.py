@@ -5,8 +5,8 @@ Words and runs of punctuation are tokens; a token equal to the one before it bec
 mark, so stuttering text has features of its own. One- and two-token grams are hashed into
 ``2**BITS`` coordinates, counted over the whole text and scaled to length one.
 
-Training takes about ``TRAIN_ROWS`` labelled rows, never more than twice as many (picked by a hash
-of the id, a documented bound; scoring reads every row). They are dealt over shards; each shard runs FTRL from
+Training takes about ``TRAIN_ROWS`` distinct labelled rows (picked by a hash of id and text, a
+documented bound; scoring reads every row). They are dealt over shards; each shard runs FTRL from
 the common state over its rows, and the shards' states are averaged after every round.
 
 Defined cases: a null or empty text has the bias as its only feature and gets a score as any
@@ -97,15 +97,18 @@ def sigmoid(v: float) -> float:
 
 def training_rows(docs: DataFrame, labels: DataFrame, usable: Column | None, id_col: str, text_col: str,
                   label_col: str) -> DataFrame:
-    """About TRAIN_ROWS of the labelled rows, dealt over SHARDS."""
+    """About TRAIN_ROWS of the labelled rows that differ in id or text, dealt over SHARDS."""
     one = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     if usable is not None:
         one = one.filter(usable)
     one = one.groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("double").alias("y"))
-    one = bounded_sample(one, TRAIN_ROWS, "id").withColumn("h", F.xxhash64("id"))
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    # the broadcast side has at most 2 * TRAIN_ROWS ids
-    return texts.join(F.broadcast(one), "id").select(F.pmod("h", F.lit(SHARDS)).alias("shard"), "h", "id", "text", "y")
+    texts = texts.withColumn("h", F.xxhash64("id", "text"))
+    keys = stage(texts.select("id", "h").join(one, "id"), "quality-keys")  # an id may have many texts: rows are bounded, not ids
+    keys = bounded_sample(keys, TRAIN_ROWS, "id", "h")
+    # the broadcast side has about TRAIN_ROWS keys
+    rows = texts.join(F.broadcast(keys), ["id", "h"]).dropDuplicates(["id", "h"])
+    return rows.select(F.pmod("h", F.lit(SHARDS)).alias("shard"), "h", "id", "text", "y")
 
 
 def _shard_round(shared):

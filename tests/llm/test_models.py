@@ -11,6 +11,7 @@ import pytest
 from cases import ROWS, documents, empty
 from conftest import SF_ORACLE
 from hearthlake.llm import ctw, language_id, quality
+from hearthlake.llm.common import bounded_sample
 from hearthlake.llm.queries import registry
 
 
@@ -59,6 +60,25 @@ def test_quality_with_awkward_rows(spark):
     assert quality.score(empty(spark), weights).collect() == []
 
 
+def test_samples_are_bounded_and_not_filled_by_one_key(spark):
+    rows = [(None, f"null {i}") for i in range(10_000)] + [(7, "the same")] * 10_000 + [(i, f"text {i}") for i in range(100, 10_100)]
+    some = lambda n: Counter(tuple(r) for r in bounded_sample(
+        spark.createDataFrame(rows, "id long, text string").repartition(n), 500, "id", "text").collect())
+    got = some(3)
+    assert got == some(8) and max(got.values()) == 1 and 350 < len(got) < 700
+    assert 0.35 < sum(i is None for i, _ in got) / len(got) < 0.65
+
+
+def test_quality_trains_on_bounded_rows_of_a_repeated_id(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TRAIN_ROWS", 300)
+    docs = spark.createDataFrame([(i if i % 2 else 1, f"text {i}") for i in range(4_000)] + [(5, "same")] * 50, "doc_id long, text string")
+    labels = spark.range(4_000).selectExpr("id doc_id", "int(id % 3 = 0) quality")
+    rows = quality.training_rows(docs, labels, None, "doc_id", "text", "quality").collect()
+    assert 200 < len(rows) < 450 and len({(r.id, r.text) for r in rows}) == len(rows)
+    shards = Counter(r.shard for r in rows if r.id == 1)
+    assert len(shards) == quality.SHARDS and 0.3 < shards.total() / len(rows) < 0.7
+
+
 def plain_ctw(train, depth):
     """Chance of a bit after training, by the definition, node for node."""
     counts: dict = {}
