@@ -43,7 +43,7 @@ DEPTH = 7  # at most 7: a gram, with its byte, is one long
 NEAR = 3
 GROUP_GRAMS = 1 << 18
 CHUNK_BYTES = 1 << 24  # texts whose grams are joined together
-SHARED_GRAMS = 2_000_000  # 12 bytes each, in a table at most half full
+SHARED_GRAMS = 2_000_000  # 16 bytes each, in a table at most half full
 HEAD_WORDS = 1 << 18
 FLUSH = 3_000_000  # distinct grams or words a task holds before it hands them on
 HALF = math.log(0.5)
@@ -218,7 +218,7 @@ class GramTable:
     def __init__(self, grams: np.ndarray, scores: np.ndarray):
         self.shift = np.uint64(64 - max(4, (2 * len(grams)).bit_length()))
         size = 1 << (64 - int(self.shift))
-        self.keys, self.values = np.full(size, -1, np.int64), np.zeros(size, np.float32)
+        self.keys, self.values = np.full(size, -1, np.int64), np.zeros(size)
         left, at = np.arange(len(grams)), self.spot(grams)
         while len(left):
             free = self.keys[at] == -1

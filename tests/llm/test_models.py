@@ -149,6 +149,12 @@ def test_depth_of_the_context_tree(spark, monkeypatch, shared, depth):
     assert Counter((r.doc_id, round(r.score, 2)) for r in got) == Counter((i, round(score(t), 2)) for i, t in raw)
 
 
+def test_shared_and_joined_scores_agree(spark):
+    rows = [(i, f"the cat {i} sat on the mat " * (1 + i % 5)) for i in range(40)]
+    shared, joined = ({r.doc_id: r.score for r in ctw.score_texts(documents(spark, rows), shared_grams=n).collect()} for n in (ctw.SHARED_GRAMS, 0))
+    assert shared.keys() == joined.keys() and all(abs(shared[i] - joined[i]) < 1e-10 * abs(joined[i]) for i in shared)
+
+
 def test_context_tree_chances_add_up(spark):
     counts = ctw.gram_counts(spark.createDataFrame([("abracadabra", True), ("cadabra", False)], "text string, train boolean"))
     context = int.from_bytes(b"rbad", "big") << 8  # nearest byte first
