@@ -16,11 +16,14 @@ from hearthlake.llm import (
     decontaminate,
     exact_dedup,
     language_id,
+    packing,
+    periodic_runs,
     personal_data,
     piece_codec,
     quality,
     records,
     simhash,
+    spelling,
     url_filter,
 )
 
@@ -89,10 +92,32 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.concat_ws("", F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))))
+    found = periodic_runs.find_runs(docs)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), periodic_runs.longest_run().alias("best"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256")
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), WORD_MODEL)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(table(spark, sf_dir, "documents"), drop_letter_of=97)
+    return spelling.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_exact_dedup, op2_simhash, op3_decontaminate, op4_piece_codec, op5_language_id, op6_url_filter, op7_quality,
-        op8_personal_data, op9_ctw, op10_records)}
+        op8_personal_data, op9_ctw, op10_records, op11_periodic_runs, op12_packing, op13_spelling)}
 
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
