@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hearthlake import params
 from hearthlake.functions import day_of, haversine_km, lexicon_score, week_start
+from hearthlake.operators.intervals import interval_left_join
 
 
 def daily_store_health(transactions: DataFrame) -> DataFrame:
@@ -159,5 +160,31 @@ def store_scorecard(daily: DataFrame, stores: DataFrame, sentiment: DataFrame, c
                     (F.coalesce("_risk", F.lit(0)) == 1).alias("supply_risk_alert")))
 
 
+def store_scorecard_by_period(daily: DataFrame, stores: DataFrame, periods: DataFrame) -> DataFrame:
+    """Daily health with every rating period that holds the day: one row for each period, one with
+    nulls for a day in none.
+
+    ``periods`` has store_id, period_start, period_end, customer_satisfaction_score. Unlike the weeks of
+    ``store_scorecard`` they may overlap, have any length and be open at either end (null).
+    """
+    joined = interval_left_join(daily, periods, "store_id", "reporting_date", "period_start", "period_end")
+    return (joined.join(stores.select("store_id", "store_name"), "store_id", "left")
+            .select("store_id", "store_name", "reporting_date", "total_daily_revenue", "total_items_sold",
+                    "avg_transaction_value", "period_start", "period_end",
+                    F.coalesce("customer_satisfaction_score", F.lit(Decimal("0.0"))).alias("period_sentiment_score")))
+
+
+def rating_periods(sentiment: DataFrame, trailing_days: int = 30) -> DataFrame:
+    """Each sentiment week as a period that stays valid for ``trailing_days`` more days, so periods
+    overlap; the latest week of a store stays valid for good (open end)."""
+    latest = Window.partitionBy("store_id")
+    open_end = F.col("reporting_period_start") == F.max("reporting_period_start").over(latest)
+    return sentiment.select(
+        "store_id", F.col("reporting_period_start").alias("period_start"),
+        F.when(~open_end, F.date_add("reporting_period_end", trailing_days)).alias("period_end"),
+        "customer_satisfaction_score")
+
+
 __all__ = ["daily_store_health", "customer_360", "supplier_risk", "weekly_sentiment", "store_scorecard",
+           "store_scorecard_by_period", "rating_periods",
            "ingredient_criticality"]

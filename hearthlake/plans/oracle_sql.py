@@ -24,7 +24,12 @@ Dialect notes:
 
 from __future__ import annotations
 
+import json
+
+from pyspark.sql import SparkSession
+
 from hearthlake import params
+from hearthlake.plans.queries import nodes_path
 
 
 def _words(words) -> str:
@@ -334,8 +339,8 @@ FROM fc_bounds"""),
 ]
 
 
-def _with(select: str) -> str:
-    body = ",\n".join(f"{name} AS ({sql.strip()})" for name, sql in CTES)
+def _with(select: str, more: list | None = None) -> str:
+    body = ",\n".join(f"{name} AS ({sql.strip()})" for name, sql in [*CTES, *(more or [])])
     return f"WITH {body}\n{select.strip()}"
 
 
@@ -462,6 +467,88 @@ def _mask(admin: bool) -> str:
                  f"FROM bronze_customer_profiles")
 
 
+# -- tuned forecast: the fitted trees come as a table of nodes (tree, node, feature, threshold, left, right, value,
+# weight) that the Spark query stored; features, walks, metrics and the recursion are computed here.
+
+def _walk(rows: str, key: str, nodes: str) -> str:
+    """(key, candidate, prediction): every row of ``rows`` (key, x) walked down every tree of ``nodes``."""
+    return f"""(WITH RECURSIVE walk AS (
+    SELECT r.{key}, r.x, n.* FROM {rows} r, {nodes} n WHERE n.node = 0
+    UNION ALL
+    SELECT w.{key}, w.x, n.* FROM walk w JOIN {nodes} n ON n.candidate = w.candidate AND n.tree = w.tree
+      AND n.node = CASE WHEN w.x[w.feature + 1] <= w.threshold THEN w."left" ELSE w."right" END
+    WHERE w."left" >= 0)
+  SELECT {key}, candidate, SUM(weight * value) AS prediction FROM walk WHERE "left" < 0 GROUP BY {key}, candidate)"""
+
+
+def _tuned_ctes(nodes: str, candidates) -> list[tuple[str, str]]:
+    grid = ", ".join(f"({i}, '{c['algorithm']}', '{json.dumps(dict(c), sort_keys=True)}')" for i, c in enumerate(candidates))
+    return [
+        ("fc_nodes", f"SELECT * FROM read_parquet('{nodes.removeprefix('file:')}/*.parquet')"),
+        ("fc_grid", f"SELECT * FROM (VALUES {grid}) AS g(candidate, algorithm, config_json)"),
+        ("fc_train", """SELECT u.store_id, CAST(u.label AS DECIMAL(18,2)) AS cents
+FROM fc_usable u, fc_split s WHERE u.reporting_date <= s.split_date"""),
+        ("fc_mean", "SELECT CAST(SUM(cents) AS DOUBLE) / COUNT(*) AS mean, COUNT(*) AS train_rows FROM fc_train"),
+        ("fc_level", """SELECT store_id, (CAST(SUM(cents) AS DOUBLE) + 20 * ANY_VALUE(mean)) / (COUNT(*) + 20) AS store_level
+FROM fc_train, fc_mean GROUP BY store_id"""),
+        ("fc_test", """SELECT ROW_NUMBER() OVER () AS rid, u.label, [COALESCE(l.store_level, m.mean), day_of_week, day_of_month, month,
+    week_of_year, is_weekend, trend_index, lag_1, lag_7, rolling_mean_3, rolling_mean_7, rolling_std_7] AS x
+FROM fc_usable u CROSS JOIN fc_split s CROSS JOIN fc_mean m LEFT JOIN fc_level l ON l.store_id = u.store_id
+WHERE u.reporting_date > s.split_date"""),
+        ("fc_scored", f"""SELECT p.candidate, COUNT(*) AS test_rows, SQRT(AVG((t.label - p.prediction) ** 2)) AS rmse,
+  AVG(ABS(t.label - p.prediction)) AS mae,
+  1 - SUM((t.label - p.prediction) ** 2) / (VAR_SAMP(t.label) * (COUNT(*) - 1)) AS r2
+FROM fc_test t JOIN {_walk('fc_test', 'rid', 'fc_nodes')} p USING (rid) GROUP BY p.candidate"""),
+        ("fc_winner", """SELECT s.*, g.algorithm, 'sales_forecast_' || g.algorithm || '_lag_tuned' AS model_name
+FROM fc_scored s JOIN fc_grid g USING (candidate) ORDER BY s.rmse, s.candidate LIMIT 1"""),
+    ]
+
+
+def _forecast_days(nodes: str, candidates) -> str:
+    """The recursive forecast: one walk down the winner's trees for each day, fed back into the history."""
+    ctes = [*_tuned_ctes(nodes, candidates),
+            ("fc_best", "SELECT n.* FROM fc_nodes n JOIN fc_winner w USING (candidate)"),
+            ("fc_day0", """SELECT r.store_id, r.h, COALESCE(l.store_level, m.mean) AS store_level
+FROM fc_recent r CROSS JOIN fc_mean m LEFT JOIN fc_level l ON l.store_id = r.store_id""")]
+    for k in range(1, params.FORECAST_HORIZON_DAYS + 1):
+        ctes += [(f"fc_x{k}", f"""SELECT store_id, h, store_level, [store_level, CAST(dayofweek(d) + 1 AS DOUBLE),
+    CAST(dayofmonth(d) AS DOUBLE), CAST(month(d) AS DOUBLE), CAST(weekofyear(d) AS DOUBLE),
+    CASE WHEN dayofweek(d) IN (0, 6) THEN 1.0 ELSE 0.0 END::DOUBLE, CAST(total_days - 1 + {k} AS DOUBLE), h[7], h[1],
+    (h[5] + h[6] + h[7]) / 3, list_sum(h) / 7, SQRT(CAST(7 * squares - total * total AS DOUBLE) / 42)] AS x
+FROM (SELECT p.*, total_days, CAST(last_day + {k} AS DATE) AS d,
+        CAST((SELECT SUM(CAST(v AS DECIMAL(18,2))) FROM UNNEST(h) t(v)) AS DECIMAL(18,2)) AS total,
+        CAST((SELECT SUM(CAST(v AS DECIMAL(18,2)) * CAST(v AS DECIMAL(18,2))) FROM UNNEST(h) t(v)) AS DECIMAL(32,4)) AS squares
+      FROM fc_day{k - 1} p, fc_bounds)"""),
+                 (f"fc_day{k}", f"""SELECT store_id, list_append(h[2:], ROUND(prediction, 2)) AS h, store_level
+FROM fc_x{k} JOIN {_walk(f'fc_x{k}', 'store_id', 'fc_best')} p USING (store_id)""")]
+    # each step once, not once for each day that follows
+    ctes = [(name + (" " if not name.startswith(("fc_x", "fc_day", "fc_best", "fc_winner")) else " AS MATERIALIZED "), sql)
+            for name, sql in ctes]
+    days = " UNION ALL ".join(f"SELECT {k} AS step, store_id, h FROM fc_day{k}"
+                              for k in range(1, params.FORECAST_HORIZON_DAYS + 1))
+    body = ",\n".join([f"{name} AS ({sql.strip()})" for name, sql in CTES]
+                      + [f"{name if 'MATERIALIZED' in name else name + 'AS'} ({sql.strip()})" for name, sql in ctes])
+    return f"""WITH {body}
+SELECT store_id, CAST(last_day + step AS DATE) AS forecast_date, h[7] AS predicted_daily_revenue, model_name
+FROM ({days}), fc_bounds, fc_winner"""
+
+
+def tuned_oracles(candidates=params.DEFAULT_CANDIDATES) -> dict[str, str]:
+    """SQL of the queries that fit the candidates, over the nodes that they stored."""
+    nodes = nodes_path(SparkSession.getActiveSession())
+    ctes = _tuned_ctes(nodes, candidates)
+    return {
+        "forecast_tuning": _with("""
+SELECT algorithm, config_json, ROUND(rmse, 4) AS rmse, ROUND(mae, 4) AS mae, ROUND(r2, 6) AS r2
+FROM fc_scored JOIN fc_grid USING (candidate)""", ctes),
+        "forecast_next_14_days": _forecast_days(nodes, candidates),
+        "forecast_run_log": _with("""
+SELECT model_name, train_rows, test_rows, ROUND(rmse, 4) AS rmse, ROUND(mae, 4) AS mae, ROUND(r2, 6) AS r2,
+  CAST(1 AS BIGINT) AS registry_rows
+FROM fc_winner, fc_mean""", ctes),
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "bronze_customers": _with("SELECT * FROM bronze_customer_profiles"),
@@ -517,6 +604,18 @@ FROM (WITH RECURSIVE days AS (
         SELECT store_id, step + 1, list_append(h[2:], ROUND(list_sum(h) / 7, 2)) FROM days
         WHERE step < {params.FORECAST_HORIZON_DAYS})
       SELECT * FROM days WHERE step > 0), fc_bounds"""),
+        **tuned_oracles(),
+        "gold_store_scorecard_by_period": _with("""
+SELECT d.store_id, f.store_name, d.reporting_date, d.total_daily_revenue, d.total_items_sold, d.avg_transaction_value,
+  p.period_start, p.period_end, CAST(coalesce(p.score, 0) AS DECIMAL(6,4)) AS period_sentiment_score
+FROM gold_daily_franchise_health d
+LEFT JOIN silver_franchise_ops f ON f.store_id = d.store_id
+LEFT JOIN (SELECT store_id, reporting_period_start AS period_start, customer_satisfaction_score AS score,
+             CASE WHEN row_number() OVER (PARTITION BY store_id ORDER BY reporting_period_start DESC) > 1
+                  THEN CAST(reporting_period_end + 30 AS DATE) END AS period_end
+           FROM gold_store_sentiment_trends) p
+  ON p.store_id = d.store_id AND d.reporting_date BETWEEN p.period_start AND coalesce(p.period_end, DATE '9999-12-31')"""),
+        "catalog_store_scorecard": _with("SELECT * FROM gold_store_scorecard"),
         "mask_pii_admin": _mask(True),
         "mask_pii_user": _mask(False),
     }

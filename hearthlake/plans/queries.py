@@ -9,14 +9,17 @@ compared across engines are rounded.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthlake import params
 from hearthlake.functions import mask_pii
 from hearthlake.plans.medallion import Medallion
-from hearthlake.sources.staging import stage_sources
+from hearthlake.session import model_dir
+from hearthlake.sources.staging import catalog_sources, stage_sources
 from hearthlake.sources.tables import TableReader
 
 
@@ -51,6 +54,27 @@ def gold_supplier_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("avg_geographic_distance", F.round("avg_geographic_distance", 6))
 
 
+def gold_store_scorecard_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily health with every rating period that holds the day; periods overlap and the last is open."""
+    from hearthlake.operators.gold import rating_periods, store_scorecard_by_period
+    g = graph(spark, sf_dir)
+    return store_scorecard_by_period(g["gold_daily_franchise_health"], g["silver_franchise_ops"],
+                                     rating_periods(g["gold_store_sentiment_trends"]))
+
+
+def catalog_store_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scorecard, bronze to gold, from source tables of the session catalog under three-part names."""
+    from hearthlake.sources.sinks import ensure_schema, write_table
+    database = "hearthlake_sources"
+    root = f"{model_dir(spark)}/{spark.sparkContext.applicationId}/sources-{uuid.uuid4().hex[:8]}"
+    ensure_schema(spark, database)
+    staged = stage_sources(TableReader(spark, sf_dir))
+    for name in ("customers", "franchises", "suppliers", "transactions", "reviews"):
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        write_table(getattr(staged, name), f"{database}.{name}", path=f"{root}/{name}")
+    return Medallion(catalog_sources(TableReader(spark, database=f"spark_catalog.{database}")))["gold_store_scorecard"]
+
+
 def _masked_customers(is_admin: bool) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         b = graph(spark, sf_dir)["bronze_customer_profiles"]
@@ -77,23 +101,55 @@ def forecast_holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.split_counts()
 
 
-def _tuned(spark: SparkSession, sf_dir: str):
+def nodes_path(spark: SparkSession | None) -> str:
+    """Where the nodes of the latest tuned run of a registered query are kept."""
+    return f"{model_dir(spark)}/current/nodes"
+
+
+def _tuned(spark: SparkSession, sf_dir: str, candidates):
+    """The tuned run over the whole panel. Queries of one application share it: the run is stored under the
+    application's name and read by the next one."""
     from hearthlake.operators.forecast.features import forecast_frames
-    from hearthlake.operators.forecast.train import tune
+    from hearthlake.operators.forecast.train import stored_nodes, tune_store_levels
     frames = forecast_frames(graph(spark, sf_dir)["gold_daily_franchise_health"]).checkpointed()
-    return frames, tune(frames.training_rows(), frames.test)
+    best = tune_store_levels(frames, candidates, f"{model_dir(spark)}/{spark.sparkContext.applicationId}")
+    stored_nodes(spark, best).write.mode("overwrite").parquet(nodes_path(spark))
+    return frames, best
 
 
-def forecast_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tuned(spark, sf_dir)[1].results.drop("evaluated_at")
+def forecast_tuning(spark: SparkSession, sf_dir: str, candidates=params.DEFAULT_CANDIDATES) -> DataFrame:
+    """Holdout metrics of every candidate of the full grid."""
+    results = _tuned(spark, sf_dir, candidates)[1].results
+    return results.select("algorithm", "config_json", F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"),
+                          F.round("r2", 6).alias("r2"))
 
 
-def forecast_next_14_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+def forecast_next_14_days(spark: SparkSession, sf_dir: str, candidates=params.DEFAULT_CANDIDATES) -> DataFrame:
+    """The recursive forecast of every store with the tuned model."""
     from hearthlake.operators.forecast.predict import roll_forward_forecast
-    frames, best = _tuned(spark, sf_dir)
+    frames, best = _tuned(spark, sf_dir, candidates)
     return roll_forward_forecast(best.model, frames, best.model_name).drop("forecast_generated_at")
 
 
+def forecast_run_log(spark: SparkSession, sf_dir: str, candidates=params.DEFAULT_CANDIDATES) -> DataFrame:
+    """Metrics and registry rows of the tuned run after it was recorded twice, as by a job that starts over."""
+    from hearthlake.operators.forecast.train import run_key
+    from hearthlake.plans.forecast_job import ForecastTables, record_run
+    from hearthlake.sources.sinks import ensure_schema
+    frames, best = _tuned(spark, sf_dir, candidates)
+    database, tables = "hearthlake_runs", ForecastTables()
+    ensure_schema(spark, database, location=f"{model_dir(spark)}/{spark.sparkContext.applicationId}/tables")
+    run_id = run_key(frames, candidates)
+    for _ in range(2):
+        record_run(spark, database, tables, frames, best, run_id)
+    names = tables.qualified(database)
+    registered = spark.table(names.registry).where(F.col("run_id") == run_id).agg(F.count(F.lit(1)).alias("registry_rows"))
+    return (spark.table(names.metrics).where(F.col("run_id") == run_id)
+            .select("model_name", "train_rows", "test_rows", F.round("rmse", 4).alias("rmse"),
+                    F.round("mae", 4).alias("mae"), F.round("r2", 6).alias("r2"))
+            .crossJoin(registered))  # one row
+
+
 def forecast_first_step_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model input of the first forecast day, for every store."""
     from hearthlake.operators.forecast.features import forecast_frames
@@ -136,6 +192,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_weekly_sentiment": _dataset("gold_store_sentiment_trends"),
         "gold_weekly_sentiment_literal": gold_weekly_sentiment_literal,
         "gold_store_scorecard": _dataset("gold_store_scorecard"),
+        "gold_store_scorecard_by_period": gold_store_scorecard_by_period,
+        "catalog_store_scorecard": catalog_store_scorecard,
         "checks_foundation": _dataset("silver_test_foundation_quality", ("validated_at",)),
         "checks_contracts": _dataset("silver_test_contract_quality", ("validated_at",)),
         "checks_daily": _dataset("gold_test_daily_franchise_health_quality", ("validated_at",)),
@@ -147,12 +205,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "forecast_holdout_split": forecast_holdout_split,
         "forecast_first_step_features": forecast_first_step_features,
         "forecast_recursion_mean7": forecast_recursion_mean7,
+        "forecast_tuning": forecast_tuning,
+        "forecast_next_14_days": forecast_next_14_days,
+        "forecast_run_log": forecast_run_log,
         "mask_pii_admin": _masked_customers(True),
         "mask_pii_user": _masked_customers(False),
     }
-
-
-def long_registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """Queries that fit the full candidate grid, which takes minutes even on
-    small tables; run them by name from the command line."""
-    return {"forecast_tuning": forecast_tuning, "forecast_next_14_days": forecast_next_14_days}

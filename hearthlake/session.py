@@ -71,6 +71,18 @@ def let_workers_import(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *parts])
 
 
+def model_dir(spark: SparkSession | None) -> str:
+    """Folder where registered queries keep fitted models: in the shared checkpoint folder where the
+    session names one. A local session without one, and a caller without a session, get a fixed
+    folder of this machine, so that another engine on it finds the stored nodes."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) if spark else None
+    if configured:
+        return f"{configured.rstrip('/')}/models"
+    if spark and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
+    return os.path.join(tempfile.gettempdir(), "hearthlake-models")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints.
 

@@ -6,16 +6,19 @@ import os
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Conditions that mean "nothing is stored under this name".
 MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def ensure_schema(spark: SparkSession, schema: str, comment: str | None = None) -> None:
-    """CREATE SCHEMA IF NOT EXISTS, with an optional comment."""
+def ensure_schema(spark: SparkSession, schema: str, comment: str | None = None, location: str | None = None) -> None:
+    """CREATE SCHEMA IF NOT EXISTS, with an optional comment and storage folder."""
     stmt = f"CREATE SCHEMA IF NOT EXISTS `{schema}`"
     if comment:
         stmt += " COMMENT '" + comment.replace("'", "\\'") + "'"
+    if location:
+        stmt += f" LOCATION '{location}'"
     spark.sql(stmt)
 
 
@@ -59,6 +62,8 @@ def attach_tables(spark: SparkSession, database: str, names, location: str | Non
             continue
         try:
             spark.sql(f"CREATE TABLE `{database}`.`{name}` USING parquet LOCATION '{path}'")
+            if any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{name}")):
+                spark.catalog.recoverPartitions(f"{database}.{name}")
             attached.append(name)
         except AnalysisException as error:
             if error.getCondition() not in MISSING:  # e.g. no permission, or files that cannot be read
@@ -89,6 +94,22 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", comment: str
         df.sparkSession.sql(f"COMMENT ON TABLE {_quoted(name)} IS '" + comment.replace("'", "\\'") + "'")
 
 
+def write_run_rows(df: DataFrame, name: str, run_id: str, path: str | None = None) -> None:
+    """Add the rows of one run to a table, exactly once.
+
+    The table is partitioned by ``run_id`` and only this run's partition is overwritten, in one commit
+    (dynamic partition overwrite): a step that is tried again, by Spark or by a job that starts over,
+    replaces its own rows, and rows of other runs stay.
+    """
+    spark = df.sparkSession
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    place = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(name)} ({columns}, run_id STRING) USING parquet "
+              f"PARTITIONED BY (run_id){place}")
+    (df.withColumn("run_id", F.lit(run_id)).select(*spark.table(name).columns).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").insertInto(name))
+
+
 def save_model(model, path: str) -> str:
     """Persist a fitted PipelineModel (overwriting) and return its path."""
     model.write().overwrite().save(path)
