@@ -6,7 +6,6 @@ import os
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Conditions that mean "nothing is stored under this name".
 MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -97,17 +96,18 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", comment: str
 def write_run_rows(df: DataFrame, name: str, run_id: str, path: str | None = None) -> None:
     """Add the rows of one run to a table, exactly once.
 
-    The table is partitioned by ``run_id`` and only this run's partition is overwritten, in one commit
-    (dynamic partition overwrite): a step that is tried again, by Spark or by a job that starts over,
-    replaces its own rows, and rows of other runs stay.
+    The table is partitioned by ``run_id`` and only this run's partition is overwritten: a step that is
+    tried again, by Spark or by a job that starts over, replaces its own rows, and rows of other runs stay.
     """
     spark = df.sparkSession
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     place = f" LOCATION '{path}'" if path else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(name)} ({columns}, run_id STRING) USING parquet "
               f"PARTITIONED BY (run_id){place}")
-    (df.withColumn("run_id", F.lit(run_id)).select(*spark.table(name).columns).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").insertInto(name))
+    written = [c for c in spark.table(name).columns if c != "run_id"]
+    quoted_id = run_id.replace("'", "\\'")
+    spark.sql(f"INSERT OVERWRITE TABLE {_quoted(name)} PARTITION (run_id = '{quoted_id}') SELECT * FROM {{rows}}",
+              rows=df.select(*written))
 
 
 def save_model(model, path: str) -> str:

@@ -109,7 +109,8 @@ def main(argv):
     only = set(argv[2:])
     from hearthlake.session import build_session
     import __spark_entry__ as entry
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8,
+                          extra={"spark.driver.memory": os.environ.get("ORACLE_DRIVER_MEMORY", "4g")})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()

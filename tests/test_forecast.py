@@ -107,11 +107,12 @@ def test_forecast_job_persists_tables_and_model(spark, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS fc_test LOCATION '{tmp_path / 'db'}'")
     daily = graph(spark, SF_SMALL)["gold_daily_franchise_health"]
     run = None
-    for _ in range(2):
+    for run_id in ("first", "second"):
         run = run_forecast_job(spark, daily, str(tmp_path / "models"), database="fc_test",
-                               candidates=params.SMALL_CANDIDATES)
+                               candidates=params.SMALL_CANDIDATES, run_id=run_id)
     assert spark.table(run.tables.tuning).count() == len(params.SMALL_CANDIDATES)  # overwritten
-    assert spark.table(run.tables.metrics).count() == 2  # appended
+    assert {r.run_id for r in spark.table(run.tables.metrics).collect()} == {"first", "second"}  # added
+    assert spark.table(run.tables.metrics).count() == 2
     assert spark.table(run.tables.registry).count() == 2
     assert run.forecast.count() == run.forecast.select("store_id").distinct().count() * 14
     tuned = spark.table(run.tables.tuning).collect()
@@ -125,17 +126,106 @@ def test_forecast_job_persists_tables_and_model(spark, tmp_path):
     registered = spark.table(run.tables.registry).orderBy(F.desc("trained_at")).first()
     assert registered.model_path == run.model_path
     # the registered path loads the winner: it repeats the holdout metrics and the stored forecast
-    from pyspark.ml import PipelineModel
-    from hearthlake.operators.forecast.train import regression_metrics
-    model = PipelineModel.load(registered.model_path)
+    from hearthlake.operators.forecast.train import StoreLevelModel, regression_metrics
+    model = StoreLevelModel.load(spark, registered.model_path)
     frames = forecast_frames(daily).checkpointed()
     assert regression_metrics(model.transform(frames.test))["rmse"] == pytest.approx(winner.rmse, rel=1e-9)
     cols = ["store_id", "forecast_date", "predicted_daily_revenue", "model_name"]
     again = roll_forward_forecast(model, frames, run.model_name).select(cols)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, spark.table(run.tables.predictions).select(cols).collect()))
+    # a later session that does not know the tables finds every run
+    from hearthlake.sources.sinks import attach_tables
+    for name in ("gold_sales_forecast_model_metrics", "gold_sales_forecast_model_registry"):
+        spark.sql(f"DROP TABLE fc_test.{name}")
+    attach_tables(spark, "fc_test", ["gold_sales_forecast_model_metrics", "gold_sales_forecast_model_registry"])
+    assert spark.table(run.tables.metrics).count() == 2 and spark.table(run.tables.registry).count() == 2
     spark.sql("DROP DATABASE fc_test CASCADE")
 
 
+def small_daily(spark, stores=6, days=60):
+    d0 = date(2024, 1, 1)
+    return daily_frame(spark, [(f"s{k}", d0 + timedelta(days=i), (i * 37 + k * 101) % 53 + 20 * k)
+                               for k in range(stores) for i in range(days) if (i * 7 + k) % 5])
+
+
+def test_job_stopped_between_steps_leaves_one_row_per_run(spark, tmp_path, monkeypatch):
+    """Stopped after each write in turn, then run again: no step is repeated in the tables, and candidates
+    that were fitted are not fitted again."""
+    from hearthlake.operators.forecast import train
+    from hearthlake.plans import forecast_job
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS fc_stop LOCATION '{tmp_path / 'db'}'")
+    daily = small_daily(spark)
+    real, fits = forecast_job.write_run_rows, []
+    real_fit = train.fit_candidates
+    monkeypatch.setattr(train, "fit_candidates", lambda v, c: fits.append(c) or real_fit(v, c))
+    for stop_at in (1, 2):
+        calls = []
+
+        def stopping(*args):
+            real(*args)
+            calls.append(1)
+            if len(calls) == stop_at:
+                raise RuntimeError("stopped")
+        monkeypatch.setattr(forecast_job, "write_run_rows", stopping)
+        with pytest.raises(RuntimeError, match="stopped"):
+            forecast_job.run_forecast_job(spark, daily, str(tmp_path / "m"), "fc_stop", candidates=params.SMALL_CANDIDATES)
+    monkeypatch.setattr(forecast_job, "write_run_rows", real)
+    run = forecast_job.run_forecast_job(spark, daily, str(tmp_path / "m"), "fc_stop", candidates=params.SMALL_CANDIDATES)
+    assert len(fits) == len(params.SMALL_CANDIDATES)
+    for table in (run.tables.metrics, run.tables.registry):
+        assert spark.table(table).count() == 1
+    assert run.forecast.count() == 6 * 14
+    spark.sql("DROP DATABASE fc_stop CASCADE")
+
+
+def test_stored_nodes_give_the_models_predictions(spark):
+    from hearthlake.operators.forecast.nodes import walk
+    from hearthlake.operators.forecast.train import LEVEL_FEATURES, LOADERS, stored_nodes, tune_store_levels
+    frames = forecast_frames(small_daily(spark)).checkpointed()
+    best = tune_store_levels(frames, params.SMALL_CANDIDATES)
+    rows = best.model.levels.apply(frames.test)
+    assembler = best.model.pipeline.stages[0]
+    for i, config in enumerate(params.SMALL_CANDIDATES):
+        model = LOADERS[config["algorithm"]].load(f"{best.path}/candidate_{i}/model")
+        nodes = stored_nodes(spark, best).where(F.col("candidate") == i)
+        mine = walk(rows, nodes, ["store_id", "reporting_date"], list(LEVEL_FEATURES), config["maxDepth"])
+        both = model.transform(assembler.transform(rows)).join(
+            mine.withColumnRenamed("prediction", "walked"), ["store_id", "reporting_date"])
+        worst = both.agg(F.max(F.abs(F.col("prediction") - F.col("walked"))).alias("d"), F.count("*").alias("n")).first()
+        assert worst.n == frames.pinned["test_rows"] and worst.d < 1e-6
+
+
+def test_store_levels_are_out_of_fold(spark):
+    from hearthlake.operators.forecast.encode import FOLDS, WEIGHT, StoreLevels
+    frames = forecast_frames(small_daily(spark)).checkpointed()
+    levels = StoreLevels.fit(frames.train)
+    rows = [(r.store_id, r.reporting_date, r.label) for r in frames.train.collect()]
+    mean = sum(v for *_, v in rows) / len(rows)
+    fold = lambda d: (d - date(1970, 1, 1)).days % FOLDS
+    for r in levels.training(frames.train).collect():
+        rest = [v for s, d, v in rows if s == r.store_id and fold(d) != fold(r.reporting_date)]
+        assert r.store_level == pytest.approx((sum(rest) + WEIGHT * mean) / (len(rest) + WEIGHT))
+    unseen = spark.createDataFrame([("s0",), ("new",)], "store_id string")
+    got = {r.store_id: r.store_level for r in levels.apply(unseen).collect()}
+    mine = [v for s, _, v in rows if s == "s0"]
+    assert got["new"] == pytest.approx(mean)
+    assert got["s0"] == pytest.approx((sum(mine) + WEIGHT * mean) / (len(mine) + WEIGHT))
+
+
+def test_a_million_stores_bring_one_row_to_the_driver(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+    from hearthlake.operators.forecast.encode import StoreLevels
+    train = spark.range(2_000_000).select(
+        F.concat(F.lit("s"), (F.col("id") % 1_000_000).cast("string")).alias("store_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") / 1_000_000).cast("int")).alias("reporting_date"),
+        (F.col("id") % 97).cast("double").alias("label"))
+    monkeypatch.setattr(DataFrame, "collect", lambda self: pytest.fail("rows collected"))
+    levels = StoreLevels.fit(train)
+    monkeypatch.undo()
+    assert levels.training(train).agg(F.count("store_level")).first()[0] == 2_000_000
+    assert levels.stores.count() == 1_000_000
+
+
 def test_tuning_does_not_depend_on_shuffle_settings(spark):
     """From scratch under two numbers of shuffle partitions, with and without adaptive coalescing."""
     outcomes = []

@@ -109,3 +109,28 @@ def test_contract_checks_surface_planted_defects(spark):
                                           g["silver_supply_chain"].limit(1), g["silver_supply_chain_quarantine"],
                                           g["silver_customer_profiles"], g["silver_franchise_ops"]))
     assert lost["suppliers_neither_approved_nor_quarantined"] == 1
+
+
+def test_customer_360_checks_count_like_a_full_outer_join(spark):
+    """Duplicates, null ids, missing and extra customers, equal and different spends, null spends."""
+    from decimal import Decimal
+    money = lambda x: None if x is None else Decimal(str(x))
+    c360 = [("a", 10, "s", "p"), ("a", 10, "s", "p"), ("a", 11, None, "p"), ("b", 5, "s", None), ("c", None, "s", "p"),
+            (None, 3, "s", "p"), (None, 3, None, None), ("e", 1, "s", "p"), ("f", 0, "s", "p")]
+    tx = [("a", 4), ("a", 6), ("b", 6), ("c", None), (None, 3), ("d", 2), ("f", 0), ("g", None)]
+    got = report(quality.customer_360_checks(
+        spark.createDataFrame([(c, money(s), x, y) for c, s, x, y in c360],
+                              "customer_id string, total_lifetime_spend decimal(23,2), preferred_store_location string, "
+                              "most_frequent_product string"),
+        spark.createDataFrame([(c, money(v)) for c, v in tx], "customer_id string, total_price decimal(12,2)")))
+    spend = {}
+    for c, v in tx:
+        known = [x for x in (spend.get(c), v) if x is not None]
+        spend[c] = sum(known) if known else None
+    mismatch = sum(c is None or c not in spend or spend[c] != s for c, s, _, _ in c360)
+    mismatch += sum(c is None or c not in {r[0] for r in c360} for c in spend)
+    ids = [r[0] for r in c360]
+    assert {k: v[0] if isinstance(v, tuple) else v for k, v in got.items()} == {
+        "duplicate_customer_rows": sum(ids.count(c) > 1 for c in set(ids)), "null_customer_id": ids.count(None),
+        "null_preference_fields_for_transacting_customers": sum(x is None or y is None for _, _, x, y in c360),
+        "spend_mismatch_vs_silver": mismatch}
