@@ -4,12 +4,13 @@ Base spans (e-mail, ip, card, phone) come from fixed patterns and checks and alw
 patterns propose further candidates: written-out addresses, phone numbers without a plus sign,
 card-like digit groups whose check digit fails or whose separators differ. Regex, gazetteer and
 context labelers vote on every candidate (yes, no, or abstain). Expectation-maximisation over the
-counts of vote patterns estimates how reliable each labeler is, for each kind, without any truth;
-its posteriors train a logistic classifier over features of the span and its surroundings, and
-candidates it is sure of are added.
+counts of vote patterns estimates how often each labeler is right, for each kind: a labeler that
+abstains (as it does where the pattern of a candidate already decides its vote) says nothing, base spans count as true and candidates that fail their check as false, and a
+prior takes each labeler to be better than chance. Its posteriors train a logistic classifier over
+features of the span and its surroundings, and candidates it is sure of are added.
 
 Texts are read once. The votes are counted by a grouped aggregation into at most
-4 * 3**7 patterns; the classifier learns from about ``TRAIN_SPANS`` distinct candidates
+8 * 3**6 patterns; the classifier learns from about ``TRAIN_SPANS`` distinct candidates
 (picked by a hash, a documented bound). Every candidate is scored.
 
 Defined cases: a null text counts as empty; rows that repeat are searched each; added spans never
@@ -20,6 +21,7 @@ nothing is added; an empty table gives an empty result; only id and text are rea
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +42,8 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Gazetteers: address suffixes, calling codes, leading digits of card issuers.
-SUFFIXES = frozenset("com org net edu gov info biz io de fr es it uk us eu ch at nl be pl se".split())
+SUFFIXES = frozenset("com org net edu gov int info biz io app dev de fr es it uk us eu ch at nl be pl se no dk fi pt ie cz hu ro "
+                     "gr ru ua tr il ca mx br ar cl co pe au nz jp cn kr in id sg hk tw th vn za eg ng ke".split())
 CALLING_CODES = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "39", "41", "43", "44", "45", "46", "47", "48", "49",
                  "52", "55", "61", "64", "65", "81", "82", "86", "90", "91")
 ISSUERS = ("34", "35", "36", "37", "38", "4", "51", "52", "53", "54", "55", "60", "62", "64", "65", "67")
@@ -56,15 +59,20 @@ WRITTEN = re.compile(r"(?i)[a-z0-9._%+-]{1,64}(?: ?[\[(]at[\])] ?| at )[a-z0-9-]
 # of its name: without regard to case, the letters also match these four.
 AT = re.compile(r"(?i)[ \[(]at[ \])]")
 WRITTEN_LOCAL = LOCAL | frozenset("\u0130\u0131\u017f\u212a")
+BRACKETED = re.compile(r"(?i)[\[(](at|dot)[\])]| dot ")
 LOCAL_PHONE = re.compile(r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")
 DOTTED_CARD = re.compile(r"(?<![0-9])[0-9]{4}(?:[._/][0-9]{4}){3}(?![0-9])")
 
-LABELERS = ("base", "shape", "check", "gazetteer", "context", "against", "edges")
+LABELERS = ("shape", "check", "gazetteer", "context", "against", "edges")
 WINDOW = 48  # characters of context on either side
 TRAIN_SPANS = 20_000
 FEATURE_BITS = 12
-SURE = 0.9
+SURE = 0.8
+CHECK = LABELERS.index("check")
 EM_ROUNDS = 50
+PRIOR = (18.0, 2.0)  # votes that were right and wrong before any is counted
+SHARE = (0.1, 0.5)  # bounds of the share of true spans among those that are neither base nor failed
+FAILED = 0.02  # belief in a candidate that fails its check
 
 
 def luhn(digits: str) -> bool:
@@ -146,22 +154,26 @@ def candidates(text: str) -> list[tuple[int, int, int, bool]]:
         wide += [(2, m.start(), m.end()) for m in DOTTED_CARD.finditer(text)]
     taken = sorted((a, b) for _, a, b in kept)
     ends = np.maximum.accumulate([b for _, b in taken]) if taken else np.zeros(0)
+    starts = [a for a, _ in taken]
     out = [(*s, True) for s in kept]
     for kind, a, b in sorted(set(wide)):
-        i = np.searchsorted([s for s, _ in taken], b) - 1
+        i = bisect_left(starts, b) - 1
         if i < 0 or ends[i] <= a:
             out.append((kind, a, b, False))
     return out
 
 
-def votes(text: str, kind: int, start: int, end: int, base: bool) -> list[int]:
+def votes(text: str, kind: int, start: int, end: int) -> list[int]:
     """One vote for each labeler: 1 yes, -1 no, 0 abstains."""
     span, d = text[start:end], digits_of(text[start:end])
     before, after = text[max(0, start - WINDOW):start], text[end:end + WINDOW]
     shape = check = gazetteer = 0
     if kind == 0:
         name, _, host = span.partition("@")
-        shape = 1 if 1 <= len(name) <= 64 and ".." not in span else -1
+        if host:
+            shape = 1 if 1 <= len(name) <= 64 and ".." not in span else -1
+        else:  # "at" and "." are also words and full stops; brackets or a written "dot" are not
+            shape = 1 if BRACKETED.search(span) else -1
         check = 1 if host and not host.startswith("-") else 0
         last = re.split(r"[^A-Za-z]+", span)[-1].lower()
         gazetteer = 1 if last in SUFFIXES else -1
@@ -175,13 +187,14 @@ def votes(text: str, kind: int, start: int, end: int, base: bool) -> list[int]:
         check = 1 if luhn(d) else -1
         gazetteer = 1 if d.startswith(ISSUERS) else -1
     else:
-        shape = 1 if re.fullmatch(r"\+?[0-9]{0,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}", span) else 0
-        check = 1 if 9 <= len(d) <= 15 else -1
-        gazetteer = (1 if d.startswith(CALLING_CODES) else -1) if span[0] == "+" else 0
+        if span[0] == "+":  # without a plus the pattern sees to shape and length, so only words speak
+            shape = 1 if re.fullmatch(r"\+?[0-9]{0,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}", span) else 0
+            check = 1 if 9 <= len(d) <= 15 else -1
+            gazetteer = 1 if d.startswith(CALLING_CODES) else -1
     context = 1 if HINTS[kind].search(before) else 0
     against = -1 if AGAINST.search(before) else 0
-    edges = -1 if before[-1:].isalnum() or after[:1].isalnum() else 1
-    return [1 if base else 0, shape, check, gazetteer, context, against, edges]
+    edges = -1 if before[-1:].isalnum() or after[:1].isalnum() else 0  # most spans stand alone, true or not
+    return [shape, check, gazetteer, context, against, edges]
 
 
 def span_features(text: str, kind: int, start: int, end: int, vote: list[int]) -> list[int]:
@@ -210,37 +223,37 @@ def find_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for x in b.column("text"):
                 text, found = x.as_py() or "", []
                 for kind, start, end, base in candidates(text):
-                    v = votes(text, kind, start, end, base)
+                    v = votes(text, kind, start, end)
                     found.append((kind, start, end, base, v, span_features(text, kind, start, end, v)))
                 rows.append([dict(zip(("kind", "begin", "stop", "base", "votes", "features"), f, strict=True)) for f in found])
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(rows, pa.list_(kind_type))], names=["id", "spans"])
     return source.mapInArrow(run, schema)
 
 
-def estimate(patterns: list[tuple[int, list[int], int]]) -> dict[tuple[int, tuple[int, ...]], float]:
-    """Expectation-maximisation for each kind over (kind, votes, count): the chance that a span with
-    these votes is true. Labelers vote independently given the truth; a vote's chances are
-    estimated for both truths, starting from a majority of the votes."""
+def estimate(patterns: list[tuple[int, list[int], int, bool]]) -> dict[tuple[int, tuple[int, ...]], float]:
+    """Expectation-maximisation for each kind over (kind, votes, count, base): the chance that a candidate
+    with these votes is true. Each labeler is right with a chance of its own, the same for both truths,
+    whenever it votes; votes are independent given the truth. Base spans are held at 1, candidates whose
+    check says no at ``FAILED``."""
     out = {}
     for kind in range(len(KINDS)):
-        rows = [(v, n) for k, v, n in patterns if k == kind]
+        rows = [(v, n, base) for k, v, n, base in patterns if k == kind]
         if not rows:
             continue
-        v = np.array([r[0] for r in rows]) + 1
+        v = np.array([r[0] for r in rows])
         n = np.array([r[1] for r in rows], float)
-        q = 1 / (1 + np.exp(-1.5 * (v - 1).sum(1)))
+        base = np.array([r[2] for r in rows], bool)
+        failed = ~base & (v[:, CHECK] < 0) if v.shape[1] == len(LABELERS) else np.zeros(len(rows), bool)
+        free = ~(base | failed)
+        held = np.where(base, 1.0, FAILED)
+        q = np.where(free, 1 / (1 + np.exp(-v.sum(1))), held)
         for _ in range(EM_ROUNDS):
-            chance = []
-            for side in (q, 1 - q):
-                w = n * side
-                counts = np.stack([np.bincount(v[:, j], w, 3) for j in range(v.shape[1])]) + 0.5
-                chance.append(np.log(counts / counts.sum(1, keepdims=True)))
-            share = np.clip((n * q).sum() / n.sum(), 0.02, 0.98)
-            log = [sum(c[j][v[:, j]] for j in range(v.shape[1])) for c in chance]
-            q = 1 / (1 + np.exp(np.clip(log[1] - log[0] + np.log((1 - share) / share), -30, 30)))
-        if np.corrcoef(q, (v - 1).sum(1))[0, 1] < 0 if len(rows) > 1 and q.std() > 1e-9 else False:
-            q = 1 - q  # the two truths came out swapped
-        out |= {(kind, tuple(x)): float(p) for (x, _), p in zip(rows, q, strict=True)}
+            right = (n * q) @ (v > 0) + (n * (1 - q)) @ (v < 0)
+            chance = (right + PRIOR[0]) / (n @ (v != 0) + sum(PRIOR))
+            share = np.clip((n * q)[free].sum() / max(n[free].sum(), 1.0), *SHARE)
+            q = np.where(free, 1 / (1 + np.exp(-np.clip(
+                v @ np.log(chance / (1 - chance)) + np.log(share / (1 - share)), -30, 30))), held)
+        out |= {(kind, tuple(x)): float(p) for (x, _, true), p in zip(rows, q, strict=True) if not true}
     return out
 
 
@@ -262,11 +275,12 @@ def fit(rows: list[list[int]], truth: np.ndarray, rounds: int = 200) -> np.ndarr
 def train(found: DataFrame) -> np.ndarray:
     """Weights of the span classifier from the staged spans."""
     spans = found.select(F.explode("spans").alias("s"), "id").select("s.*", "id")
-    patterns = spans.groupBy("kind", "votes").agg(F.count("*").alias("n")).orderBy("kind", "votes").collect()
-    belief = estimate([(r.kind, list(r.votes), r.n) for r in patterns])
-    some = bounded_sample(spans, TRAIN_SPANS, "id", *spans.drop("id").columns).select("kind", "votes", "features").collect()
+    patterns = spans.groupBy("kind", "votes", "base").agg(F.count("*").alias("n")).orderBy("kind", "votes", "base").collect()
+    belief = estimate([(r.kind, list(r.votes), r.n, r.base) for r in patterns])
+    some = bounded_sample(spans, TRAIN_SPANS, "id", *spans.drop("id").columns).select("kind", "votes", "features", "base").collect()
     some.sort()  # the same sums whatever task is first
-    return fit([list(r.features) for r in some], np.array([belief[r.kind, tuple(r.votes)] for r in some]))
+    return fit([list(r.features) for r in some], np.array(
+        [1.0 if r.base else belief[r.kind, tuple(r.votes)] for r in some]))
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -285,11 +299,16 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             base, both = [], []
             for spans in b.column("spans").to_pylist():
                 fixed = [(s["kind"], s["begin"], s["stop"], 1.0) for s in spans if s["base"]]
-                added: list[tuple[int, int, int, float]] = []
+                added: list[tuple[int, int, int, float]] = []  # by begin; they do not overlap
+                starts: list[int] = []
                 scored = [(float(1 / (1 + np.exp(-w[s["features"]].sum()))), s) for s in spans if not s["base"]]
                 for p, s in sorted(scored, key=lambda x: (-x[0], x[1]["begin"], x[1]["kind"])):
-                    if p >= SURE and all(s["stop"] <= a or z <= s["begin"] for _, a, z, _ in added):
-                        added.append((s["kind"], s["begin"], s["stop"], p))
+                    if p < SURE:
+                        break
+                    i = bisect_left(starts, s["stop"])  # those before i begin before this one ends
+                    if i == 0 or added[i - 1][2] <= s["begin"]:
+                        added.insert(i, (s["kind"], s["begin"], s["stop"], p))
+                        starts.insert(i, s["begin"])
                 base.append(sorted(fixed))
                 both.append(sorted(fixed + added))
             keys = ("kind", "begin", "stop", "chance")
