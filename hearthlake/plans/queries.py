@@ -143,11 +143,11 @@ def forecast_run_log(spark: SparkSession, sf_dir: str, candidates=params.DEFAULT
     for _ in range(2):
         record_run(spark, database, tables, frames, best, run_id)
     names = tables.qualified(database)
-    registered = spark.table(names.registry).where(F.col("run_id") == run_id).agg(F.count(F.lit(1)).alias("registry_rows"))
+    registered = spark.table(names.registry).where(F.col("run_id") == run_id).agg(F.count(F.lit(1)))
     return (spark.table(names.metrics).where(F.col("run_id") == run_id)
             .select("model_name", "train_rows", "test_rows", F.round("rmse", 4).alias("rmse"),
-                    F.round("mae", 4).alias("mae"), F.round("r2", 6).alias("r2"))
-            .crossJoin(registered))  # one row
+                    F.round("mae", 4).alias("mae"), F.round("r2", 6).alias("r2"),
+                    registered.scalar().alias("registry_rows")))
 
 
 def forecast_first_step_features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,6 +48,31 @@ def test_features_on_a_known_history(spark):
     assert [x.label for x in recent] == [2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0]
 
 
+def test_slices_give_the_rows_of_one_window_per_store(spark, monkeypatch):
+    """Ten stores over ten years: the same rows as windows over whole stores, in more tasks than stores."""
+    from hearthlake.operators.forecast import features
+    d0 = date(2010, 1, 1)
+    daily = spark.range(10 * 3653).where("id % 7 < 5").select(
+        F.concat(F.lit("s"), F.col("id") % 10).alias("store_id"),
+        F.date_add(F.lit(d0), (F.col("id") / 10).cast("int")).alias("reporting_date"),
+        (F.pmod(F.xxhash64("id"), F.lit(10**6)) / 100).cast("decimal(23,2)").alias("total_daily_revenue"))
+    monkeypatch.setattr(features, "SLICE_DAYS", 10**6)
+    whole = {tuple(r) for r in forecast_frames(daily).features.collect()}
+    monkeypatch.setattr(features, "SLICE_DAYS", 50)
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        sliced = forecast_frames(daily).features
+        tasks = sliced.select(F.spark_partition_id().alias("p")).distinct().count()
+        rows = [tuple(r) for r in sliced.collect()]
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert len(rows) == len(whole) == 10 * 3653 and set(rows) == whole
+    assert tasks > 10
+
+
 def test_step_features_from_history(spark):
     state = spark.createDataFrame([("a", [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0], date(2024, 1, 6), 10.0),
                                    ("b", [4.0, 6.0], date(2024, 1, 6), 10.0)],
