@@ -22,10 +22,14 @@ def plan_text(df, mode="formatted"):
     return buf.getvalue()
 
 
+def query(spark, key):
+    grid = (params.SMALL_CANDIDATES,) if key in TUNED else ()  # the plan is the same for any grid
+    return registry()[key](spark, SF_SMALL, *grid)
+
+
 @pytest.mark.parametrize("key", SQL_KEYS)
 def test_no_python_udfs_and_no_cartesian_joins(spark, key):
-    grid = (params.SMALL_CANDIDATES,) if key in TUNED else ()  # the plan is the same for any grid
-    text = plan_text(registry()[key](spark, SF_SMALL, *grid))
+    text = plan_text(query(spark, key))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                 "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in text, (key, bad)
@@ -33,7 +37,7 @@ def test_no_python_udfs_and_no_cartesian_joins(spark, key):
 
 @pytest.mark.parametrize("key", SQL_KEYS)
 def test_no_rows_are_dealt_round_robin(spark, key):
-    assert "RoundRobinPartitioning" not in plan_text(registry()[key](spark, SF_SMALL)), key
+    assert "RoundRobinPartitioning" not in plan_text(query(spark, key)), key
 
 
 def test_dedup_limits_each_id_before_the_shuffle(spark):
@@ -58,11 +62,12 @@ def test_aggregations_are_partial_before_shuffle(spark):
 
 
 def test_panel_is_shuffled_once_by_store(spark):
-    """Calendar + observed rows meet in one exchange keyed by store only; both
+    """Calendar + observed rows meet in one exchange keyed by store and slice; both
     window passes (dedup of covered days, features) reuse it."""
     text = plan_text(registry()["forecast_panel_features"](spark, SF_SMALL), mode="simple")
     physical = text.split("== Physical Plan ==")[-1]
     by_store = re.findall(r"Exchange hashpartitioning\(store_id#\d+, \d+\)", physical)
-    # one for the distinct store list that seeds the calendar, one for the panel itself
-    assert len(by_store) == 2
+    by_slice = re.findall(r"Exchange hashpartitioning\(store_id#\d+, _slice#\d+, \d+\)", physical)
+    # one for the distinct store list that seeds the calendar, one for the panel itself, by store and slice
+    assert len(by_store) == 1 and len(by_slice) == 1
     assert "CartesianProduct" not in physical and "BroadcastNestedLoopJoin" not in physical
