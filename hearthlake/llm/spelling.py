@@ -11,7 +11,7 @@ known (7 classes or lengths for an insertion, and so on) and no pair is lost. Bl
 TILE_WORDS words or TILE_LETTERS letters are split into tiles, which meet tile by tile: each tile
 pair is a row, dealt over the tasks, so a length that holds a third of all words is spread. The number of
 products grows with the square of the words of a block; corpus vocabularies grow far slower than
-corpora, and the classes divide them by a constant (70 on the words of the 0.1 GB test table).
+corpora, and the classes divide them by a constant (25 on the words of the 0.1 GB test table).
 
 Defined cases: a null text has no words; letters outside A-Z, a-z and U+00C0 to U+00FF end a word;
 rows that repeat count each time; a null id counts as empty where letters are dropped; an empty table
