@@ -11,7 +11,8 @@ Text models count the trigrams of all labelled documents, so every language that
 is known, however rare; the judgement covers all pages.
 
 Defined cases: a null or empty page has no text evidence; a null URL, or one without ``://``, has
-the empty host, domain and suffix, which are groups like any other; without labelled documents
+the empty host, domain and suffix, which are groups like any other; very long pages and broken
+markup take linear time, whatever is left open in them; without labelled documents
 every language is null; of equal posteriors the language first in the alphabet wins; rows that
 repeat are judged each; an empty table gives an empty result; only the named columns are read.
 """
@@ -36,18 +37,45 @@ HELD_LANGS = 64  # languages whose counts (256 kB each) a task holds before it h
 TEMPER = 0.25  # trigrams of a text overlap: their joint evidence is a power of the product
 SMOOTH = 5.0  # pages of the level above that a level is mixed with
 DECLARED_SMOOTH = 0.5
-_HIDDEN = re.compile(r"(?is)<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->")
-_TAG = re.compile(r"(?s)<[^>]*>")
-_DECLARED = re.compile(r"""(?i)<html\b[^>]*?\s(?:xml:)?lang\s*=\s*["']?\s*([a-z]{2,8})""")
+_OPENER = re.compile(r"<(?:((?ai:script|style|noscript|template))\b|!--)")
+_CLOSERS = {kind: re.compile(rf"</(?ai:{kind})\s*+>") for kind in ("script", "style", "noscript", "template")} | {"": re.compile("-->")}
+_TAG = re.compile(r"<[^>]*+>")
+_HTML = re.compile(r"(?i)<html\b")
+_LANG = re.compile(r"""(?i)\s(?:xml:)?lang\s*+=\s*+["']?\s*+([a-z]{2,8})""")
+_ZEROS = re.compile(r"&#0{8,}(?=[0-9])")
+_TOO_LARGE = re.compile(r"&#[1-9][0-9]{7,};?")
+
+
+def without_hidden(page: str) -> str:
+    """The page with a blank for every script, style sheet, template and comment. One that is never
+    closed hides nothing. Each closer is looked for from left to right and, once there is none left,
+    never again, so the time is linear."""
+    parts, at, unclosed = [], 0, set()
+    m = _OPENER.search(page)
+    while m:
+        kind = (m.group(1) or "").lower()
+        end = None if kind in unclosed else _CLOSERS[kind].search(page, m.end())
+        if end:
+            parts += [page[at:m.start()], " "]
+            at = end.end()
+        else:
+            unclosed.add(kind)
+        m = _OPENER.search(page, end.end() if end else m.end())
+    return "".join([*parts, page[at:]])
 
 
 def visible_text(page: str) -> str:
-    return html.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", page)))
+    """Text outside of tags, with references resolved."""
+    page = without_hidden(page)
+    last = page.rfind(">") + 1  # no tag ends after it
+    text = _TAG.sub(" ", page[:last]) + page[last:]
+    return html.unescape(_TOO_LARGE.sub("\ufffd", _ZEROS.sub("&#", text)))  # its int() refuses long numbers
 
 
 def declared_language(page: str) -> str:
     """Primary language subtag that the markup declares, or the empty string."""
-    m = _DECLARED.search(page[:page.find(">", page.lower().find("<html") + 1) + 1] if "<html" in page.lower() else "")
+    m = _HTML.search(page)
+    m = m and _LANG.search(page, m.end(), page.find(">", m.end()) + 1)
     return m.group(1).lower() if m else ""
 
 

@@ -219,6 +219,40 @@ def test_rare_languages_are_known_among_many_documents(spark):
     assert all(r.text_lang == r.page_id for r in language_id.identify(pages, docs).collect())
 
 
+def test_broken_markup_takes_linear_time():
+    import time
+    opened = ["<", "<!--", "<script>", "<script><style><!--", "</script ", "<html ", "<html lang= ", "<html lang" + " " * 50, "&#", "&#x", "a<b "]
+    for piece in opened:
+        page = piece * (1_000_000 // len(piece))
+        start = time.perf_counter()
+        language_id.visible_text(page)
+        language_id.declared_language(page)
+        language_id.declared_language(page + ">")
+        assert time.perf_counter() - start < 5, piece
+    for page in ("<html lang=" + " " * 1_000_000 + ">", "&#" + "9" * 100_000 + ";", "&#" + "0" * 100_000 + "65;"):
+        start = time.perf_counter()
+        text = language_id.visible_text(page)
+        language_id.declared_language(page)
+        assert time.perf_counter() - start < 5
+    assert text == "A"
+
+
+def test_visible_text_equals_plain_patterns():
+    import html
+    import re
+    hidden = re.compile(r"(?is)<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->")
+    tag = re.compile(r"(?s)<[^>]*>")
+    rng = np.random.default_rng(5)
+    parts = ["<script>", "</script>", "</SCRIPT >", "<style a='>'>", "</style>", "<!--", "-->", "<!-->", "<", ">", "<b>", "text", " ", "\n", "&amp;",
+             "&#65;", "&#0065", "&#99999999;", "<scripts>", "<template", "</template\n>", "<noscript/>", "</noscript", "--", "<\u017fcript>", "\u0130"]
+    for _ in range(20_000):
+        page = "".join(rng.choice(parts, rng.integers(0, 14)))
+        assert language_id.visible_text(page) == html.unescape(tag.sub(" ", hidden.sub(" ", page))), page
+    for page, lang in [("<html lang=de>", "de"), ("\u0130<!DOCTYPE html><HTML a xml:lang = 'FR-ca'>", "fr"), ("<html><p lang=en>", ""), ("<html lang=en", ""),
+                       ("<html data-lang='x' lang=\"it\">", "it"), ("<html lang=''>", ""), ("", ""), ("lang=en>", "")]:
+        assert language_id.declared_language(page) == lang, page
+
+
 def test_fusion_equals_the_formula():
     rng = np.random.default_rng(4)
     log, q = rng.normal(size=(5, 3)), rng.dirichlet(np.ones(3), 5)
