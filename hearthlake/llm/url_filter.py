@@ -2,7 +2,8 @@
 
 Host labels are often several words run together. Each distinct label is split by unigram
 Viterbi: of all ways to cut it, the one whose words are likeliest under word counts of the
-corpus, where a piece the corpus lacks costs more the longer it is. The lexicon is not shared
+corpus, where a piece the corpus lacks costs more the longer it is. A word has at most 63 letters,
+as many as a label may have in the domain name system; longer ones only add to the total. The lexicon is not shared
 whole: the substrings of the distinct labels are joined with the word counts, so a label only
 meets its own candidates.
 
@@ -36,7 +37,7 @@ RULES = (
     ("allow", "com/fr/"),
     ("block", "com/de/"),
 )
-LONGEST_WORD = 24
+LONGEST_WORD = 63  # letters of the longest label that DNS allows
 SMOOTHING = 1.0
 FLUSH = 500_000  # distinct words a task holds before it hands them on
 _LETTERS = re.compile(r"[a-z]+")
@@ -63,7 +64,8 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colu
 
 
 def lexicon(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, n): words of a-z of all texts, A-Z lower-cased. Counted in the task first."""
+    """(word, n): words of a-z of all texts, A-Z lower-cased. Counted in the task first. Words that
+    no label can hold are counted together, as the empty word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
 
@@ -74,7 +76,7 @@ def lexicon(docs: DataFrame, text_col: str = "text") -> DataFrame:
             return b
         for b in batches:
             for text in b.column("text"):
-                counts.update(w for w in _LETTERS.findall((text.as_py() or "").lower()) if len(w) <= LONGEST_WORD)
+                counts.update(w if len(w) <= LONGEST_WORD else "" for w in _LETTERS.findall((text.as_py() or "").lower()))
             if len(counts) > FLUSH:
                 yield out()
         if counts:
@@ -137,7 +139,7 @@ def judge(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col: s
     urls = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     rule, decided = matching_rule(F.col("host"), F.col("path"), rules)
     urls = urls.select("*", rule.alias("rule"), decided.alias("decided"))
-    known = host_words(urls.select("host").filter("host <> ''").distinct(), lexicon(docs, text_col))
+    known = host_words(urls.select("host").filter("host <> ''").distinct(), stage(lexicon(docs, text_col), "url-lexicon"))
     path_words = F.filter(F.split(F.lower("path"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     urls = urls.join(known, "host", "left").withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
     urls = stage(urls.withColumn("tokens", F.concat(

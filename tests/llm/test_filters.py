@@ -99,6 +99,31 @@ def test_url_verdicts(spark):
             assert r.verdict == ("block" if odds > 0 else "allow")
 
 
+def test_long_words_are_known_and_all_words_count(spark):
+    long, longest, beyond = "donaudampfschifffahrtsgesellschaft", "q" * url_filter.LONGEST_WORD, "r" * (url_filter.LONGEST_WORD + 1)
+    text = f"{long} {long} ship {longest} {beyond} " + "donau dampf schifffahrts gesellschaft " * 2
+    words = url_filter.lexicon(documents(spark, [(1, text), (2, text.upper()), (3, None)]))
+    counts = {r.word: r.n for r in words.collect()}
+    want = Counter(w for w in (text * 2).split())
+    assert sum(counts.values()) == want.total() and counts[""] == want[beyond] and counts[longest] == 2
+    labels = [long, "ship" + long, longest, "shipdonau", beyond, long + "x"]
+    got = {r.label: r.words for r in url_filter.segment(spark.createDataFrame([(x,) for x in labels], "label string"), words).collect()}
+    assert got[long] == [long] and got["ship" + long] == ["ship", long] and got[longest] == [longest] and got["shipdonau"] == ["ship", "donau"]
+    assert "".join(got[beyond]) == beyond
+    known, total = Counter({w: n for w, n in counts.items() if w}), want.total()
+
+    def best(label):  # of all cuts, by their first word
+        scores = [0.0]
+        for i in range(len(label) - 1, -1, -1):
+            tail = label[i:]
+            scores.insert(0, max((math.log(known[tail[:k]] / total) if known[tail[:k]] else math.log(10 / total) - k * math.log(10))
+                                 + scores[k - 1] for k in range(1, min(len(tail), url_filter.LONGEST_WORD) + 1)))
+        return scores[0]
+    for label in labels:
+        score = sum(math.log(known[w] / total) if known[w] else math.log(10 / total) - len(w) * math.log(10) for w in got[label])
+        assert abs(score - best(label)) < 1e-9
+
+
 def test_url_filter_on_empty_tables(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert url_filter.judge(none, documents(spark)).collect() == []
