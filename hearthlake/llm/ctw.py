@@ -7,21 +7,26 @@ one byte deeper, so the tree mixes the estimates of all depths. After training,
 bit is the mixture, along the path of its contexts, of the estimates weighted by what each depth
 has earned.
 
-Training counts (context, byte) grams over all training texts. The counts are dealt by the
-nearest NEAR context bytes into groups of about GROUP_GRAMS: every node at least that deep lies
-within one group; the nodes above, whose number depends on the alphabet and not on the number of
-documents, are summed once more and shared. The same groups give the probability of every gram
-that occurs in any document. Documents then add up the logarithms of their grams: from a shared
-table where the number of grams is at most ``SHARED_GRAMS``, else by a join on the gram, asked
-once for each chunk of texts; both give the same sums.
+Texts are read in chunks. A chunk sends each group of contexts one packed row: its distinct
+(context, byte) grams in order and how often training texts hold them. Contexts are dealt to groups
+of about GROUP_GRAMS distinct grams by their nearest NEAR bytes, so every node at least that deep
+lies within one group; the nodes above, whose number depends on the alphabet and not on the number
+of documents, are summed once more and shared. A group then answers each chunk's row with the
+scores of its grams in the same order, and the chunk adds them up by text. With at most
+``SHARED_GRAMS`` distinct grams the chunks read a shared table of all scores instead; both give the
+same sums. Rows of a group beyond ASKED_GRAMS are dealt to several tasks, merged in each before they
+meet, and answered from copies of the group's scores.
 
 Besides, every text gets the plain unigram score of its words. Counts of at most
 ``HEAD_WORDS`` of the most frequent words are shared, the others are joined.
 
 Texts are UTF-8 with A-Z lower-cased, preceded by zero bytes and ended by one, which is scored.
+Scores of grams have single precision; sums over a text have double.
 Defined cases: a null text counts as empty (only its end is scored); rows that repeat are scored
 each; with no training text every bit has probability one half; an empty table gives an empty
-result; only id and text are read, so other columns cannot clash.
+result; only id and text are read, so other columns cannot clash. A very long text is a chunk of
+its own: grams are taken in windows of WINDOW bytes, so that a task needs some 30 bytes of memory
+for each of its bytes.
 """
 
 from __future__ import annotations
@@ -32,7 +37,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,65 +46,118 @@ from hearthlake.llm.common import id_crc32, stage
 DEPTH = 7  # at most 7: a gram, with its byte, is one long
 NEAR = 3
 GROUP_GRAMS = 1 << 18
-CHUNK_BYTES = 1 << 24  # texts whose grams are joined together
-SHARED_GRAMS = 2_000_000  # 16 bytes each, in a table at most half full
+ASKED_GRAMS = 1 << 25  # grams in the rows of one group that one task reads, about 4 bytes each
+CHUNK_BYTES = 1 << 24  # texts whose grams are counted and scored together
+WINDOW = 1 << 21
+SAMPLE_BITS = 10  # one gram in 2**SAMPLE_BITS, by its hash, tells how many there are
+SHARED_GRAMS = 2_000_000  # 12 bytes each
 HEAD_WORDS = 1 << 18
-FLUSH = 3_000_000  # distinct grams or words a task holds before it hands them on
+FLUSH = 750_000  # distinct words a task holds before it hands them on
 HALF = math.log(0.5)
 END = b""  # the end token: no word is empty
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def raw_text(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").lower()
 
 
-def gram_keys(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """The grams of texts with the start of each text in them. A gram is a number: the nearest
-    context byte first, then the farther ones, the byte itself last."""
-    gap = b"\0" * depth
-    buf = np.frombuffer(gap + gap.join(texts) + gap, np.uint8)
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1  # with the end
-    starts = np.cumsum(sizes + depth - 1) - (sizes + depth - 1) + depth
-    key = np.zeros(len(buf) - depth, np.uint64)
-    for back in range(1, depth + 1):
-        key |= buf[depth - back:len(buf) - back].astype(np.uint64) << np.uint64(8 * (depth + 1 - back))
-    key |= buf[depth:]
-    keep = np.ones(len(key), bool)
-    for skip in range(1, depth):  # zero bytes between texts, but for the end of each
-        at = starts + sizes - depth + skip - 1
-        keep[at[at < len(key)]] = False
-    return key[keep].astype(np.int64), np.cumsum(sizes) - sizes
-
-
-def gram_counts(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(gram, n) of a table (text, train): n counts training texts, 0 where only others have it."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            return keys, np.bincount(at, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
-
-        def out(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["gram", "n"])
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                b = batch.slice(at, 2048)
-                train = b.column("train").to_pylist()
-                raw = [raw_text(x.as_py()) for x in b.column("text")]
-                for side in (True, False):
-                    some = [x for x, t in zip(raw, train, strict=True) if t is side]
-                    if some:
-                        keys, n = np.unique(gram_keys(some, depth)[0], return_counts=True)
-                        held.append((keys, n.astype(np.int64) * side))
-                if sum(len(k) for k, _ in held) > FLUSH:
-                    held = [merged()]
-                    if len(held[0][0]) > FLUSH // 2:
-                        yield out(*held[0])
-                        held = []
-        if held:
-            yield out(*merged())
-    return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+# ---- grams of texts
+
+
+class Grams:
+    """The grams of some texts, window by window. A gram is a number: the nearest context byte
+    first, then the farther ones, the byte itself last."""
+
+    def __init__(self, texts: list[bytes], depth: int):
+        self.depth, self.texts = depth, len(texts)
+        self.sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1  # with the end
+        self.buf = bytes(7) + bytes(depth).join(texts) + bytes(depth if texts else 0)
+        apart = self.sizes + depth - 1  # the zero bytes between texts, but for the end of each, are no grams
+        self.starts = np.cumsum(apart) - apart
+
+    def windows(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(grams, their texts' numbers, where each of these texts starts among the grams)."""
+        n = len(self.buf) - 7
+        eights = np.ndarray((max(n, 0),), "<u8", self.buf, strides=(1,)) if n else np.zeros(0, np.uint64)
+        keep_depth = np.uint64(8 * (8 - self.depth))
+        for at in range(0, n, WINDOW):
+            to = min(n, at + WINDOW)
+            first = int(np.searchsorted(self.starts, at, "right")) - 1
+            texts = np.arange(first, int(np.searchsorted(self.starts, to, "left")))
+            start = np.maximum(self.starts[texts], at) - at
+            end = np.minimum(self.starts[texts] + self.sizes[texts], to) - at
+            some = end > start
+            texts, start, end = texts[some], start[some], end[some]
+            if not len(texts):
+                continue
+            eight = eights[at:to].copy()
+            if len(texts) > 1 or end[0] - start[0] < len(eight):
+                edge = np.zeros(len(eight) + 1, np.int8)
+                edge[start] += 1
+                edge[end] -= 1
+                eight = eight[np.cumsum(edge[:-1], dtype=np.int8).astype(bool)]
+            gram = (eight << np.uint64(8) >> keep_depth << np.uint64(8)) | (eight >> np.uint64(56))
+            size = end - start
+            yield gram, texts, np.cumsum(size) - size
+
+
+def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of sorted arrays, and their counts added up."""
+    if not keys:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    if len(keys) == 1:
+        return keys[0], counts[0]
+    key = np.concatenate(keys)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(np.concatenate(counts)[order], first) if len(key) else np.zeros(0, np.int64)
+
+
+def counted(texts: list[bytes], depth: int, train: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct grams of texts and how often they occur (0 where the texts do not train)."""
+    keys, counts = [], []
+    for gram, _, _ in Grams(texts, depth).windows():
+        key, n = np.unique(gram, return_counts=True)
+        keys.append(key)
+        counts.append(n.astype(np.int64) * train)
+    return merged(keys, counts)
+
+
+def deal(keys: np.ndarray, groups: int, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of sorted grams by their group, the groups, and where each starts (with the end)."""
+    near = keys >> np.uint64(8 * (depth + 1 - min(NEAR, depth)))
+    new = np.concatenate([[True], near[1:] != near[:-1]])
+    group = ((near[new] * _MIX) >> np.uint64(32)) % np.uint64(groups)
+    group = group.astype(np.uint16 if groups <= 1 << 16 else np.int64)[np.cumsum(new) - 1]
+    order = np.argsort(group, kind="stable")
+    group = group[order]
+    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    return order, group[starts].astype(np.int64), np.append(starts, len(keys))
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Numbers as bytes: all first bytes, all second ones and so on, compressed."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return pa.compress(planes, "zstd", asbytes=True)
+
+
+def unpack(data: bytes, n: int, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, n * width, "zstd"), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_keys(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(unpack(data, n, np.uint64), dtype=np.uint64)
+
+
+# ---- the tree
 
 
 _SMALL = 4096
@@ -120,129 +177,128 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _lgamma(zeros, 0.5) + _lgamma(ones, 0.5) - _lgamma(zeros + ones, 1.0) - 2 * math.lgamma(0.5)
 
 
-class Nodes:
-    """Nodes of one depth: sorted ids (context * 256 + decision), counts, log weighted probability
-    and the weight of the own estimate."""
+def weigh(zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Log weighted probability of nodes and the weight of their own estimates. ``below``: the sum
+    over the nodes one byte deeper, None for the deepest."""
+    own = log_kt(zeros, ones)
+    if below is None:
+        return own, np.ones(len(own))
+    log_pw = np.logaddexp(HALF + own, HALF + below)
+    return log_pw, np.exp(HALF + own - log_pw)
+
+
+class TopNodes:
+    """Shared nodes of one depth: sorted ids (context * 256 + decision), counts and weights."""
 
-    def __init__(self, ids: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None):
+    def __init__(self, ids: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray):
         self.ids, self.zeros, self.ones = ids.astype(np.uint64), zeros, ones
-        own = log_kt(zeros, ones)
-        self.log_pw = own if below is None else np.logaddexp(HALF + own, HALF + below)
-        self.weight = np.ones(len(ids)) if below is None else np.exp(HALF + own - self.log_pw)
+        self.log_pw, self.weight = weigh(zeros, ones, below)
 
-    def chance(self, ids: np.ndarray, bits: np.ndarray, leaf: bool) -> tuple[np.ndarray, np.ndarray]:
-        """The own estimate for the bits at nodes, and its weight; a node never seen has one half."""
+    def chances(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Own estimates of a zero and a one at nodes, and their weight; one half where never seen."""
         if not len(self.ids):
-            return np.full(len(ids), 0.5), np.full(len(ids), 1.0 if leaf else 0.5)
+            return tuple(np.full(len(ids), 0.5) for _ in range(3))
         at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
         seen = self.ids[at] == ids
-        hits = np.where(seen, np.where(bits, self.ones[at], self.zeros[at]), 0)
-        total = np.where(seen, self.zeros[at] + self.ones[at], 0)
-        return (hits + 0.5) / (total + 1.0), np.where(seen, self.weight[at], 1.0 if leaf else 0.5)
-
-    def folded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids one byte nearer, with sums over the nodes below."""
-        up = (self.ids >> 16 << 8) | (self.ids & 255)
-        ids, at = np.unique(up, return_inverse=True)
-        total = lambda x: np.bincount(at, x, len(ids))
-        return ids, total(self.zeros), total(self.ones), total(self.log_pw)
-
-
-def decisions(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Node ids (at the full depth) and bits of the eight decisions of each gram: shape (8, n)."""
-    grams = grams.astype(np.uint64)  # the nearest byte is not a sign
-    byte = grams & 255
-    step = np.arange(8, dtype=np.uint64)[:, None]
-    node = (np.uint64(1) << step) | (byte >> (8 - step))
-    return (grams >> 8 << 8) | node, ((byte >> (7 - step)) & 1).astype(bool)
-
-
-def subtree(grams: np.ndarray, n: np.ndarray, depth: int = DEPTH) -> dict[int, Nodes]:
-    """Nodes of depths NEAR (or ``depth``, if less) to ``depth`` for the grams of one group."""
-    grams, n = grams[n > 0], n[n > 0]
-    ids, bits = decisions(grams)
-    counts = np.tile(n, 8).astype(float)
-    flat = bits.ravel()
-    uniq, at = np.unique(ids.ravel(), return_inverse=True)
-    levels = {depth: Nodes(uniq, np.bincount(at, counts * ~flat, len(uniq)), np.bincount(at, counts * flat, len(uniq)), None)}
-    for d in range(depth - 1, NEAR - 1, -1):
-        levels[d] = Nodes(*levels[d + 1].folded())
-    return levels
-
-
-def top_nodes(counts: DataFrame, depth: int = DEPTH) -> dict[int, Nodes]:
-    """Nodes above those of the groups, from one pass over the groups."""
+        zeros, ones = np.where(seen, self.zeros[at], 0), np.where(seen, self.ones[at], 0)
+        total = zeros + ones + 1.0
+        return (zeros + 0.5) / total, (ones + 0.5) / total, np.where(seen, self.weight[at], 0.5)
+
+    def above(self) -> TopNodes:
+        """The nodes one byte nearer."""
+        ids, at = np.unique((self.ids >> np.uint64(16) << np.uint64(8)) | (self.ids & np.uint64(255)), return_inverse=True)
+        return TopNodes(ids, *(np.bincount(at, x, len(ids)) for x in (self.zeros, self.ones, self.log_pw)))
+
+
+class Contexts:
+    """All contexts of one group's grams, of each depth. At a depth the grams are sorted, so the
+    nodes of a decision (context and the bits before it) are stretches of them."""
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray, depth: int):
+        self.depth, self.low = depth, min(NEAR, depth)
+        self.keys, self.n, self.up = {depth: grams}, {depth: n.astype(float)}, {}
+        for d in range(depth, 0, -1):
+            key = self.keys[d]
+            self.keys[d - 1], self.up[d] = np.unique((key >> np.uint64(16) << np.uint64(8)) | (key & np.uint64(255)), return_inverse=True)
+            self.n[d - 1] = np.bincount(self.up[d], self.n[d], len(self.keys[d - 1]))
+
+    def nodes(self, step: int, d: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the nodes of a decision start among the grams of a depth, and the node of each gram."""
+        node = self.keys[d] >> np.uint64(8 - step)
+        new = np.concatenate([[True], node[1:] != node[:-1]])
+        return np.flatnonzero(new), np.cumsum(new) - 1
+
+    def counts(self, step: int, d: int, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often the decision was zero, and one, at each node."""
+        one = self.n[d] * (self.keys[d] >> np.uint64(7 - step) & np.uint64(1))
+        ones = np.add.reduceat(one, starts)
+        return np.add.reduceat(self.n[d], starts) - ones, ones
+
+    def ids(self, step: int, d: int, starts: np.ndarray) -> np.ndarray:
+        key = self.keys[d][starts]
+        decision = np.uint64(1 << step) | ((key & np.uint64(255)) >> np.uint64(8 - step))
+        return (key >> np.uint64(8) << np.uint64(8)) | decision
+
+    def weighted(self, step: int) -> tuple[dict, np.ndarray, tuple]:
+        """For each depth of the group the counts and weights of its nodes; what the nodes above them
+        get from below; and those nodes' stretches."""
+        out, nodes, sums = {}, None, None
+        for d in range(self.depth, self.low - 2, -1):
+            below, nodes_below = sums, nodes
+            nodes = self.nodes(step, d)
+            if nodes_below is not None:  # each node adds to the one of its first gram's shorter context
+                below = np.bincount(nodes[1][self.up[d + 1][nodes_below[0]]], sums, len(nodes[0]))
+            if d >= self.low:
+                zeros, ones = self.counts(step, d, nodes[0])
+                sums, weight = weigh(zeros, ones, below)
+                out[d] = nodes, zeros, ones, weight
+        return out, below, nodes
+
+    def top_rows(self) -> tuple[np.ndarray, ...]:
+        """(ids, zeros, ones, log weighted probability from below) just above the group."""
+        rows = []
+        for step in range(8):
+            _, below, (starts, _) = self.weighted(step)
+            rows.append((self.ids(step, self.low - 1, starts), *self.counts(step, self.low - 1, starts), below))
+        return tuple(np.concatenate(x) for x in zip(*rows, strict=True))
+
+    def scores(self, top: dict[int, TopNodes]) -> np.ndarray:
+        """log10 of the probability of the byte of each gram after its context."""
+        total = np.zeros(len(self.keys[self.depth]))
+        for step in range(8):
+            own, _, _ = self.weighted(step)
+            p0 = p1 = left = last = None  # chances so far, and the weight left for deeper nodes
+            for d in range(self.depth + 1):
+                if d < self.low:
+                    nodes = self.nodes(step, d)
+                    zero, one, weight = top[d].chances(self.ids(step, d, nodes[0]))
+                else:
+                    nodes, zeros, ones, weight = own[d]
+                    zero = (zeros + 0.5) / (zeros + ones + 1.0)
+                    one = (ones + 0.5) / (zeros + ones + 1.0)
+                if d == 0:
+                    p0, p1, left = weight * zero, weight * one, 1 - weight
+                else:
+                    parent = last[1][self.up[d][nodes[0]]]
+                    left = left[parent]
+                    p0, p1 = p0[parent] + left * weight * zero, p1[parent] + left * weight * one
+                    left = left * (1 - weight)
+                last = nodes
+            bit = (self.keys[self.depth] >> np.uint64(7 - step) & np.uint64(1)).astype(bool)
+            total += np.log10(np.where(bit, p1[last[1]], p0[last[1]]))
+        return total
+
+
+def top_levels(ids: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray, depth: int) -> dict[int, TopNodes]:
+    """The shared nodes of all depths from those just above the groups."""
     top = min(NEAR, depth) - 1
-
-    def run(table: pa.Table) -> pa.Table:
-        ids, zeros, ones, log_pw = subtree(table["gram"].to_numpy(), table["n"].to_numpy(), depth)[top + 1].folded()
-        return pa.table({"id": ids.astype(np.int64), "zeros": zeros, "ones": ones, "log_pw": log_pw})
-    rows = (grouped(counts.filter("n > 0"), depth).applyInArrow(run, "id long, zeros double, ones double, log_pw double")
-            .groupBy("id").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log_pw")])
-            .orderBy("id").toArrow())  # for each pair of bytes that text can have, at most 255 rows
-    levels = {top: Nodes(*(rows[c].to_numpy() for c in ("id", "zeros", "ones", "log_pw")))}
+    levels = {top: TopNodes(ids, zeros, ones, below)}
     for d in range(top - 1, -1, -1):
-        levels[d] = Nodes(*levels[d + 1].folded())
+        levels[d] = levels[d + 1].above()
     return levels
 
 
-def grouped(counts: DataFrame, depth: int):
-    near = F.shiftrightunsigned("gram", 8 * (depth + 1 - min(NEAR, depth)))
-    groups = max(1, -(-counts.count() // GROUP_GRAMS))
-    return counts.groupBy(F.pmod(F.xxhash64(near), F.lit(groups)).alias("near"))
-
-
-def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(gram, score): log10 of the probability of the byte of a gram after its context."""
-    shared = counts.sparkSession.sparkContext.broadcast(top_nodes(counts, depth))
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("gram")
-        grams = table["gram"].to_numpy()
-        levels = subtree(grams, table["n"].to_numpy(), depth) | shared.value
-        total = np.zeros(len(grams))
-        for ids, bits in zip(*decisions(grams), strict=True):
-            p = np.zeros(0)
-            for d in range(depth, -1, -1):
-                own, weight = levels[d].chance(ids, bits, d == depth)
-                p = own if d == depth else weight * own + (1 - weight) * p
-                ids = (ids >> 16 << 8) | (ids & 255)
-            total += np.log10(p)
-        return pa.table({"gram": grams, "score": total})
-    return grouped(counts, depth).applyInArrow(run, "gram long, score double")
-
-
-class GramTable:
-    """Hash table from grams to scores with vectorised lookups."""
-
-    def __init__(self, grams: np.ndarray, scores: np.ndarray):
-        self.shift = np.uint64(64 - max(4, (2 * len(grams)).bit_length()))
-        size = 1 << (64 - int(self.shift))
-        self.keys, self.values = np.full(size, -1, np.int64), np.zeros(size)
-        left, at = np.arange(len(grams)), self.spot(grams)
-        while len(left):
-            free = self.keys[at] == -1
-            self.keys[at[free]] = grams[left[free]]
-            mine = self.keys[at] == grams[left]
-            self.values[at[mine]] = scores[left[mine]]
-            left, at = left[~mine], (at[~mine] + 1) % size
-
-    def spot(self, grams: np.ndarray) -> np.ndarray:
-        return (grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
-
-    def look_up(self, grams: np.ndarray) -> np.ndarray:
-        at = self.spot(grams)
-        out = self.values[at]
-        left = np.flatnonzero(self.keys[at] != grams)
-        at = at[left]
-        while len(left):
-            at = (at + 1) % len(self.keys)
-            found = self.keys[at] == grams[left]
-            if (self.keys[at] == -1).any():
-                raise KeyError("a gram has no score")
-            out[left[found]] = self.values[at[found]]
-            left, at = left[~found], at[~found]
-        return out
+# ---- words
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -260,7 +316,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
                 if train:
                     counts.update(raw_text(text.as_py()).split())
                     counts[END] += 1
-            if len(counts) > FLUSH // 4:
+            if len(counts) > FLUSH:
                 yield out()
         if counts:
             yield out()
@@ -288,93 +344,207 @@ def held_out(doc_id: Column) -> Column:
     return id_crc32(doc_id) % 10 == 0
 
 
-def _first_pass(texts: DataFrame, head, table, depth: int) -> DataFrame:
-    """For each row its tokens, the share of its unigram score that the head gives, the words
-    that the head lacks, its bytes, and (where there is a table) its score."""
-    id_type = texts.schema["id"].dataType
-    schema = T.StructType([
-        T.StructField("id", id_type), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
-        T.StructField("part", T.DoubleType()), T.StructField("rare", T.ArrayType(T.BinaryType())),
-        T.StructField("n_bytes", T.LongType()), T.StructField("score", T.DoubleType())])
+def unigrams(raw: list[bytes], known: dict[bytes, float]) -> list[list]:
+    """For each text its tokens, those that the head knows, the share of its score that the head
+    gives, and the words that the head lacks."""
+    cells: list[list] = [[] for _ in range(4)]
+    for x in raw:
+        words = x.split()
+        words.append(END)
+        got = list(map(known.get, words))
+        rare = [w for w, g in zip(words, got, strict=True) if g is None] if None in got else []
+        part = math.fsum(g for g in got if g is not None) if rare else math.fsum(got)
+        for cell, v in zip(cells, (len(words), len(words) - len(rare), part, rare), strict=True):
+            cell.append(v)
+    return cells
+
+
+# ---- Spark steps
+
+
+def _chunked(rows: DataFrame, depth: int) -> DataFrame:
+    """``rows`` with a chunk: the first row number of some CHUNK_BYTES of texts read together, and a
+    sample of each batch's grams, by their hash, beside its first row. Texts become bytes."""
+    schema = T.StructType([*[f for f in rows.schema.fields if f.name != "text"], T.StructField("text", T.BinaryType()),
+                           T.StructField("chunk", T.LongType()), T.StructField("sample", T.ArrayType(T.LongType()))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, scores = head.value, table.value if table else None
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                b = batch.slice(at, 1024)
-                raw = [raw_text(x.as_py()) for x in b.column("text")]
-                cells: list[list] = [[] for _ in range(4)]
-                for x in raw:
-                    words = x.split()
-                    words.append(END)
-                    got = list(map(known.get, words))
-                    rare = [w for w, g in zip(words, got, strict=True) if g is None] if None in got else []
-                    part = math.fsum(g for g in got if g is not None) if rare else math.fsum(got)
-                    for cell, v in zip(cells, (len(words), len(words) - len(rare), part, rare), strict=True):
-                        cell.append(v)
-                total = np.zeros(len(raw))
-                if scores is not None:
-                    keys, starts = gram_keys(raw, depth)
-                    total = np.add.reduceat(scores.look_up(keys).astype(float), starts)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("id"), pa.array(cells[0], pa.int64()), pa.array(cells[1], pa.int64()),
-                     pa.array(cells[2], pa.float64()), pa.array(cells[3], pa.list_(pa.binary())),
-                     pa.array([len(x) for x in raw], pa.int64()), pa.array(total)], names=schema.names)
-    return texts.mapInArrow(run, schema)
-
-
-def _chunked(rows: DataFrame) -> DataFrame:
-    """``rows`` with a chunk: the first row number of some CHUNK_BYTES of texts read together."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, size = None, 0
         for b in batches:
-            chunks = []
-            for row, n in zip(b.column("row").to_pylist(), pc.binary_length(b.column("text")).to_pylist(), strict=True):
+            raw, chunks, sample = [raw_text(x.as_py()) for x in b.column("text")], [], []
+            for row, x in zip(b.column("row").to_pylist(), raw, strict=True):
                 if chunk is None or size > CHUNK_BYTES:
                     chunk, size = row, 0
-                size += (n or 0) + 1
+                size += len(x) + 1
                 chunks.append(chunk)
-            yield b.append_column("chunk", pa.array(chunks, pa.int64()))
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("chunk", T.LongType())]))
+            for gram, _, _ in Grams(raw, depth).windows():
+                few = gram[(gram * _MIX) < np.uint64((1 << 64 - SAMPLE_BITS) - 1)]
+                sample.append(np.unique(few).astype(np.int64))
+            kept = pa.array([np.concatenate(sample) if not i and sample else [] for i in range(b.num_rows)], pa.list_(pa.int64()))
+            others = [b.column(f.name) for f in schema.fields[:-3]]
+            yield pa.RecordBatch.from_arrays([*others, pa.array(raw, pa.binary()), pa.array(chunks, pa.int64()), kept], names=schema.names)
+    return rows.mapInArrow(run, schema)
+
+
+PIECE = "chunk long, part long, near long, salt long, size long, grams binary, n binary"
+
+
+def _pieces(rows: DataFrame, groups: int, salts: int, depth: int) -> DataFrame:
+    """The grams of each chunk, one row for each group. Where a chunk is read by two tasks, each has
+    its part, named by its first row."""
+    def out(chunk: int, part: int, sides: dict[bool, list[bytes]]) -> Iterator[pa.RecordBatch]:
+        both = [counted(texts, depth, train) for train, texts in sides.items() if texts]
+        keys, n = merged([k for k, _ in both], [c for _, c in both])
+        order, near, cuts = deal(keys, groups, depth)
+        keys, n = keys[order], n[order]
+        salt = (chunk * int(_MIX) >> 32) % salts
+        cells = [(chunk, part, g, salt, b - a, pack_keys(keys[a:b]), pack(n[a:b]))
+                 for g, a, b in zip(near.tolist(), cuts.tolist(), cuts[1:].tolist())]
+        for at in range(0, len(cells), 4096):
+            cols = zip(*cells[at:at + 4096], strict=True)
+            kinds = (pa.int64(),) * 5 + (pa.binary(),) * 2
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                             names=["chunk", "part", "near", "salt", "size", "grams", "n"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, part, sides = None, None, {True: [], False: []}
+        for b in batches:
+            for row, chunk, train, text in zip(b.column("row").to_pylist(), b.column("chunk").to_pylist(),
+                                               b.column("train").to_pylist(), b.column("text").to_pylist(), strict=True):
+                if chunk != at:
+                    if at is not None:
+                        yield from out(at, part, sides)
+                    at, part, sides = chunk, row, {True: [], False: []}
+                sides[train].append(text)
+        if at is not None:
+            yield from out(at, part, sides)
+    return rows.select("chunk", "row", "train", "text").mapInArrow(run, PIECE)
+
+
+def _merged_pieces(pieces: DataFrame, salts: int) -> DataFrame:
+    """(near, size, grams, n): the distinct grams of each group with their counts, one row a group."""
+    def run(table: pa.Table) -> pa.Table:
+        keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for size, grams, n in zip(*(table[c].to_pylist() for c in ("size", "grams", "n")), strict=True):
+            keys.append(unpack_keys(grams, size))
+            counts.append(unpack(n, size, np.int64))
+            if sum(map(len, keys)) > max(8 * len(keys[0]), 1 << 21):  # what is held stays near the distinct grams
+                key, count = merged(keys, counts)
+                keys, counts = [key], [count]
+        key, count = merged(keys, counts)
+        return pa.table({"near": pa.array([table["near"][0].as_py()], pa.int64()), "size": pa.array([len(key)], pa.int64()),
+                         "grams": pa.array([pack_keys(key)], pa.binary()), "n": pa.array([pack(count)], pa.binary())})
+    pieces = pieces.select("near", "salt", "size", "grams", "n")
+    for keys in ([("near", "salt")] if salts > 1 else []) + [("near",)]:
+        pieces = pieces.groupBy(*keys).applyInArrow(run, "near long, size long, grams binary, n binary")
+    return pieces
+
+
+def _top(groups: DataFrame, depth: int) -> dict[int, TopNodes]:
+    """Nodes above those of the groups, from one pass over the groups."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for size, grams, n in zip(*(b.column(c).to_pylist() for c in ("size", "grams", "n")), strict=True):
+                keys, counts = unpack_keys(grams, size), unpack(n, size, np.int64)
+                if counts.any():
+                    ids, *sums = Contexts(keys[counts > 0], counts[counts > 0], depth).top_rows()
+                    yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), *map(pa.array, sums)],
+                                                     names=["id", "zeros", "ones", "log_pw"])
+    rows = (groups.mapInArrow(run, "id long, zeros double, ones double, log_pw double")
+            .groupBy("id").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log_pw")])
+            .orderBy("id").toArrow())  # for each pair of bytes that text can have, at most 255 rows
+    return top_levels(*(rows[c].to_numpy() for c in ("id", "zeros", "ones", "log_pw")), depth)
 
-def _joined_scores(texts: DataFrame, scores: DataFrame, depth: int) -> DataFrame:
-    """(row, score) by a join on the gram, for tables too large to share. Every chunk of texts asks
-    for each of its grams (twice, where its texts are read by two tasks)."""
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, held = None, []
 
-        def out() -> Iterator[pa.RecordBatch]:
-            keys = np.unique(np.concatenate(held))
-            for at in range(0, len(keys), 1 << 20):
-                some = keys[at:at + (1 << 20)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), chunk)), pa.array(some)], names=["chunk", "gram"])
+def _scored(groups: DataFrame, top, depth: int) -> DataFrame:
+    """(near, size, grams, scores): the scores of each group's grams."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            scores = [pack(Contexts(unpack_keys(grams, size), unpack(n, size, np.int64), depth).scores(top.value).astype(np.float32))
+                      for size, grams, n in zip(*(b.column(c).to_pylist() for c in ("size", "grams", "n")), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("near"), b.column("size"), b.column("grams"), pa.array(scores, pa.binary())],
+                                             names=["near", "size", "grams", "scores"])
+    return groups.mapInArrow(run, "near long, size long, grams binary, scores binary")
+
+
+def _answers(pieces: DataFrame, scores: DataFrame, salts: int) -> DataFrame:
+    """(chunk, part, near, size, scores): the scores of every piece's grams, in its order."""
+    names = ["chunk", "part", "near", "size", "scores"]
+
+    def run(asked: pa.Table, own: pa.Table) -> pa.Table:
+        size = own["size"][0].as_py()
+        keys, values = unpack_keys(own["grams"][0].as_py(), size), unpack(own["scores"][0].as_py(), size, np.float32)
+        got = [pack(values[np.searchsorted(keys, unpack_keys(grams, n))])
+               for grams, n in zip(asked["grams"].to_pylist(), asked["size"].to_pylist(), strict=True)]
+        return pa.table([*(asked[c] for c in names[:4]), pa.array(got, pa.binary())], names=names)
+    asked = pieces.select("chunk", "part", "near", "salt", "size", "grams")
+    copies = scores.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    if salts > 1:  # a salt without pieces asks for nothing
+        copies = copies.join(asked.select("near", "salt").distinct(), ["near", "salt"], "left_semi")
+    return (asked.groupBy("near", "salt").cogroup(copies.select("near", "salt", "size", "grams", "scores").groupBy("near", "salt"))
+            .applyInArrow(run, "chunk long, part long, near long, size long, scores binary"))
+
+
+def text_scores(raw: list[bytes], depth: int, look_up) -> np.ndarray:
+    """Sums of the scores of each text's grams. ``look_up``: scores of sorted distinct grams."""
+    total = np.zeros(len(raw))
+    for gram, texts, starts in Grams(raw, depth).windows():
+        order = np.argsort(gram)
+        key = gram[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        value = np.empty(len(gram))
+        value[order] = look_up(key[new])[np.cumsum(new) - 1]
+        total[texts] += np.add.reduceat(value, starts)
+    return total
+
+
+def _first_schema(id_type) -> T.StructType:
+    return T.StructType([
+        T.StructField("row", T.LongType()), T.StructField("id", id_type), T.StructField("n_tokens", T.LongType()),
+        T.StructField("n_known", T.LongType()), T.StructField("part", T.DoubleType()), T.StructField("rare", T.ArrayType(T.BinaryType())),
+        T.StructField("n_bytes", T.LongType()), T.StructField("score", T.DoubleType())])
+
+
+def _first_rows(rows: pa.Table | pa.RecordBatch, raw: list[bytes], known: dict[bytes, float], scores: np.ndarray) -> list[pa.Array]:
+    n_tokens, n_known, part, rare = unigrams(raw, known)
+    return [rows.column("row"), rows.column("id"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(part, pa.float64()),
+            pa.array(rare, pa.list_(pa.binary())), pa.array([len(x) for x in raw], pa.int64()), pa.array(scores)]
+
+
+def _first_by_table(rows: DataFrame, head, table, depth: int) -> DataFrame:
+    """Tokens, known words and scores of each row, from a shared table (grams, scores)."""
+    schema = _first_schema(rows.schema["id"].dataType)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, values = table.value
         for b in batches:
-            raw, chunks = [raw_text(x.as_py()) for x in b.column("text")], b.column("chunk").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(raw)]
-            for start, stop in zip(cuts, cuts[1:]):
-                if start == stop:
-                    continue
-                if held and chunks[start] != chunk:
-                    yield from out()
-                    held = []
-                chunk = chunks[start]
-                held.append(np.unique(gram_keys(raw[start:stop], depth)[0]))
-        if held:
-            yield from out()
-
-    def add(own: pa.Table, got: pa.Table) -> pa.Table:
-        table = GramTable(got["gram"].to_numpy(), got["score"].to_numpy())
-        total = np.zeros(own.num_rows)
-        for at in range(0, own.num_rows, 1024):
-            some = own["text"].slice(at, 1024)
-            keys, starts = gram_keys([raw_text(x.as_py()) for x in some], depth)
-            total[at:at + len(some)] = np.add.reduceat(table.look_up(keys).astype(float), starts)
-        return pa.table({"row": own["row"], "score": total})
-    texts = texts.select("chunk", "row", "text")
-    asked = texts.select("chunk", "text").mapInArrow(ask, "chunk long, gram long")
-    got = asked.join(scores, "gram").select("chunk", "gram", "score")
-    return texts.groupBy("chunk").cogroup(got.groupBy("chunk")).applyInArrow(add, "row long, score double")
+            raw = b.column("text").to_pylist()
+            scores = text_scores(raw, depth, lambda key: values[np.searchsorted(keys, key)])
+            yield pa.RecordBatch.from_arrays(_first_rows(b, raw, head.value, scores), names=schema.names)
+    return rows.select("row", "id", "text").mapInArrow(run, schema)
+
+
+def _first_by_answers(rows: DataFrame, answers: DataFrame, head, groups: int, depth: int) -> DataFrame:
+    """Tokens, known words and scores of each row, from the answers to its chunk."""
+    schema = _first_schema(rows.schema["id"].dataType)
+
+    def run(own: pa.Table, got: pa.Table) -> pa.Table:
+        own, got = own.sort_by("row"), got.sort_by([("part", "ascending"), ("near", "ascending")])
+        raw = own["text"].to_pylist()
+        part, sizes, data = got["part"].to_numpy(), got["size"].to_pylist(), got["scores"]
+        parts = np.unique(part)
+        cuts = np.append(np.searchsorted(own["row"].to_numpy(), parts), len(raw)).tolist()
+        scores = []
+        for name, start, stop in zip(parts.tolist(), cuts, cuts[1:]):
+            some = raw[start:stop]
+            keys = counted(some, depth, False)[0]
+            mine = np.flatnonzero(part == name).tolist()
+            values = np.empty(len(keys), np.float32)
+            values[deal(keys, groups, depth)[0]] = np.concatenate([unpack(data[i].as_py(), sizes[i], np.float32) for i in mine])
+            scores.append(text_scores(some, depth, lambda key, keys=keys, values=values: values[np.searchsorted(keys, key)]))
+        return pa.Table.from_arrays(_first_rows(own, raw, head.value, np.concatenate(scores)), names=schema.names)
+    return (rows.select("chunk", "row", "id", "text").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+            .applyInArrow(run, schema))
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -387,24 +557,28 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                         (~held_out(F.col(id_col))).alias("train"))
-    counts = stage(gram_counts(texts.select("text", "train"), depth), "ctw-grams")
-    scores = stage(gram_scores(counts, depth), "ctw-scores")
+    # staged once: row numbers and chunks stay as they are for all readers
+    rows = stage(_chunked(texts.withColumn("row", F.monotonically_increasing_id()), depth), "ctw-texts")
+    distinct = rows.select(F.explode("sample").alias("gram")).distinct().count() << SAMPLE_BITS
+    groups = max(1, -(-distinct // GROUP_GRAMS))
+    size = rows.agg(F.sum(F.octet_length("text") + F.lit(1).cast("long"))).first()[0] or 0
+    salts = max(1, -(-size // (groups * ASKED_GRAMS)))  # no more grams are asked for than there are bytes
+    pieces = stage(_pieces(rows, groups, salts, depth), "ctw-pieces")
+    merged_groups = stage(_merged_pieces(pieces, salts), "ctw-groups")
+    scores = _scored(merged_groups, spark.sparkContext.broadcast(_top(merged_groups, depth)), depth)
     words = stage(word_counts(texts.select("text", "train")), "ctw-words")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    cut = spark.sparkContext.broadcast(frequent_words(words, head_words))
-    shared = None
-    if scores.count() <= shared_grams:
+    head = spark.sparkContext.broadcast(frequent_words(words, head_words))
+    if (merged_groups.agg(F.sum("size")).first()[0] or 0) <= shared_grams:
         t = scores.toArrow()
-        shared = spark.sparkContext.broadcast(GramTable(t["gram"].to_numpy(), t["score"].to_numpy()))
-    # staged once: the row numbers stay as they are for all readers
-    if shared:
-        first = stage(_first_pass(texts, cut, shared, depth).withColumn("row", F.monotonically_increasing_id()), "ctw-rows")
+        keys = [np.zeros(0, np.uint64), *(unpack_keys(g, k) for g, k in zip(t["grams"].to_pylist(), t["size"].to_pylist(), strict=True))]
+        values = [np.zeros(0, np.float32), *(unpack(x, k, np.float32) for x, k in zip(t["scores"].to_pylist(), t["size"].to_pylist(), strict=True))]
+        order = np.argsort(np.concatenate(keys))
+        table = spark.sparkContext.broadcast((np.concatenate(keys)[order], np.concatenate(values)[order]))
+        first = _first_by_table(rows, head, table, depth)
     else:
-        rows = stage(_chunked(texts.drop("train").withColumn("row", F.monotonically_increasing_id())), "ctw-texts")
-        named = rows.withColumnRenamed("id", "own").withColumn("id", F.struct("row", F.col("own")))
-        first = _first_pass(named.select("id", "text"), cut, None, depth).select(
-            F.col("id.row").alias("row"), F.col("id.own").alias("id"), "n_tokens", "n_known", "part", "rare", "n_bytes", "score")
-        first = stage(first, "ctw-rows").drop("score").join(_joined_scores(rows, scores, depth), "row")
+        first = _first_by_answers(rows, _answers(pieces, scores, salts), head, groups, depth)
+    first = stage(first, "ctw-rows")
     rare = first.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("k"))
     c = F.coalesce(F.col("n"), F.lit(0))
     tail = rare.join(words, "word", "left").select(

@@ -142,6 +142,8 @@ def test_context_tree_and_unigrams_equal_plain_versions(spark, shared):
 def test_depth_of_the_context_tree(spark, monkeypatch, shared, depth):
     monkeypatch.setattr(ctw, "GROUP_GRAMS", 50)
     monkeypatch.setattr(ctw, "CHUNK_BYTES", 200)
+    monkeypatch.setattr(ctw, "SAMPLE_BITS", 0)
+    monkeypatch.setattr(ctw, "ASKED_GRAMS", 40)
     rows = [(i, t) for i in range(30) for t in (f"straße nach köln {i % 7}", "the cat sat on the mat " * (i % 3), None)]
     raw = [(i, (t or "").encode().lower()) for i, t in rows]
     score = plain_ctw([t for i, t in raw if zlib.crc32(str(i).encode()) % 10], depth)
@@ -155,13 +157,48 @@ def test_shared_and_joined_scores_agree(spark):
     assert shared.keys() == joined.keys() and all(abs(shared[i] - joined[i]) < 1e-10 * abs(joined[i]) for i in shared)
 
 
-def test_context_tree_chances_add_up(spark):
-    counts = ctw.gram_counts(spark.createDataFrame([("abracadabra", True), ("cadabra", False)], "text string, train boolean"))
-    context = int.from_bytes(b"rbad", "big") << 8  # nearest byte first
-    every = spark.range(256).selectExpr(f"{context} + id gram", "0L n").union(counts.select("gram", "n"))
-    scores = ctw.gram_scores(every.groupBy("gram").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n"))
-    got = [r.score for r in scores.collect() if r.gram >> 8 << 8 == context]
-    assert len(got) == 256 and abs(sum(10 ** s for s in got) - 1) < 1e-9
+def test_context_tree_chances_add_up():
+    context = np.uint64(int.from_bytes(b"rbadaca", "big") << 8)  # nearest byte first
+    keys, n = ctw.counted([b"abracadabra"], 7, True)
+    top = ctw.top_levels(*ctw_top(keys, n, 7), 7)
+    every, counts = ctw.merged([context + np.arange(256, dtype=np.uint64), keys], [np.zeros(256, np.int64), n])
+    scores = ctw.Contexts(every, counts, 7).scores(top)
+    mine = every >> np.uint64(8) << np.uint64(8) == context
+    assert mine.sum() == 256 and abs((10 ** scores[mine]).sum() - 1) < 1e-9
+
+
+def ctw_top(keys, n, depth):
+    ids, *sums = ctw.Contexts(keys, n, depth).top_rows()
+    order = np.argsort(ids)
+    assert len(np.unique(ids)) == len(ids)
+    return ids[order], *(x[order] for x in sums)
+
+
+def test_grams_of_windows_and_packing(monkeypatch):
+    rng = np.random.default_rng(6)
+    for depth in range(1, 8):
+        texts = [bytes(rng.integers(0, 256, rng.integers(0, 30), dtype=np.uint8)) for _ in range(25)] + [b"", b"x" * 100, b""]
+        want = []
+        for t in texts:
+            data = bytes(depth) + t + b"\0"
+            want.append([int.from_bytes(data[i - depth:i][::-1] + data[i:i + 1], "big") for i in range(depth, len(data))])
+        for window in (1, 3, 16, 1 << 20):
+            monkeypatch.setattr(ctw, "WINDOW", window)
+            got = [[] for _ in texts]
+            for gram, at, starts in ctw.Grams(texts, depth).windows():
+                for t, a, b in zip(at.tolist(), starts.tolist(), [*starts[1:].tolist(), len(gram)], strict=True):
+                    got[t] += gram[a:b].tolist()
+            assert got == want
+            assert ctw.text_scores(texts, depth, lambda key: (key % np.uint64(1000)).astype(float)).tolist() == [sum(x % 1000 for x in t) for t in want]
+        keys, n = ctw.counted(texts, depth, True)
+        every = Counter(x for t in want for x in t)
+        assert keys.tolist() == sorted(every) and n.tolist() == [every[k] for k in sorted(every)]
+        assert (ctw.unpack_keys(ctw.pack_keys(keys), len(keys)) == keys).all() and (ctw.unpack(ctw.pack(n), len(n), np.int64) == n).all()
+        order, groups, cuts = ctw.deal(keys, 5, depth)
+        assert sorted(order.tolist()) == list(range(len(keys))) and len(cuts) == len(groups) + 1 and (np.diff(groups) > 0).all()
+        near = [{int(k) >> 8 * (depth + 1 - min(3, depth)) for k in keys[order[a:b]]} for a, b in zip(cuts, cuts[1:])]
+        assert sum(map(len, near)) == len(set().union(*near)) and all((np.diff(order[a:b]) > 0).all() for a, b in zip(cuts, cuts[1:]))
+    assert list(ctw.Grams([], 7).windows()) == []
 
 
 def test_language_model_on_an_empty_table_and_untrained(spark):
