@@ -46,7 +46,7 @@ from hearthlake.llm.common import id_crc32, stage
 DEPTH = 7  # at most 7: a gram, with its byte, is one long
 NEAR = 3
 GROUP_GRAMS = 1 << 18
-ASKED_GRAMS = 1 << 25  # grams in the rows of one group that one task reads, about 4 bytes each
+ASKED_GRAMS = 1 << 24  # grams in the rows of one group that one task reads, about 2 bytes each
 CHUNK_BYTES = 1 << 24  # texts whose grams are counted and scored together
 WINDOW = 1 << 21
 SAMPLE_BITS = 10  # one gram in 2**SAMPLE_BITS, by its hash, tells how many there are
@@ -103,16 +103,27 @@ class Grams:
 
 
 def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys of sorted arrays, and their counts added up."""
-    if not keys:
+    """Sorted distinct keys of sorted arrays, and their counts added up. Merged range by range, so
+    that little is held twice."""
+    some = [i for i, k in enumerate(keys) if len(k)]
+    if not some:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    keys, counts = [keys[i] for i in some], [counts[i] for i in some]
     if len(keys) == 1:
         return keys[0], counts[0]
-    key = np.concatenate(keys)
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    return key[first], np.add.reduceat(np.concatenate(counts)[order], first) if len(key) else np.zeros(0, np.int64)
+    longest = max(keys, key=len)
+    bounds = longest[:: 1 << 17][1:]
+    cuts = [[0, *np.searchsorted(k, bounds).tolist(), len(k)] for k in keys]
+    out = []
+    for r in range(len(bounds) + 1):
+        key = np.concatenate([k[c[r]:c[r + 1]] for k, c in zip(keys, cuts, strict=True)])
+        if len(key):
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            n = np.concatenate([n[c[r]:c[r + 1]] for n, c in zip(counts, cuts, strict=True)])
+            out.append((key[first], np.add.reduceat(n[order], first)))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def counted(texts: list[bytes], depth: int, train: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -344,6 +355,31 @@ def held_out(doc_id: Column) -> Column:
     return id_crc32(doc_id) % 10 == 0
 
 
+class Scorer:
+    """Adds up the scores of texts' grams, which are asked for once, sorted and distinct."""
+
+    def __init__(self, raw: list[bytes], depth: int):
+        self.texts, self.parts = len(raw), []
+        for gram, texts, starts in Grams(raw, depth).windows():
+            order = np.argsort(gram)
+            key = gram[order]
+            new = np.concatenate([[True], key[1:] != key[:-1]])
+            place = np.empty(len(gram), np.int32)
+            place[order] = np.cumsum(new, dtype=np.int32) - 1
+            self.parts.append((key[new], place, texts, starts))
+
+    def keys(self) -> np.ndarray:
+        keys = [part[0] for part in self.parts]
+        return merged(keys, [np.zeros(len(k), np.int8) for k in keys])[0]
+
+    def sums(self, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Sums of each text, from the values of sorted keys that hold all of its grams."""
+        total = np.zeros(self.texts)
+        for key, place, texts, starts in self.parts:
+            total[texts] += np.add.reduceat(values[np.searchsorted(keys, key)].astype(float)[place], starts)
+        return total
+
+
 def unigrams(raw: list[bytes], known: dict[bytes, float]) -> list[list]:
     """For each text its tokens, those that the head knows, the share of its score that the head
     gives, and the words that the head lacks."""
@@ -363,94 +399,125 @@ def unigrams(raw: list[bytes], known: dict[bytes, float]) -> list[list]:
 
 
 def _chunked(rows: DataFrame, depth: int) -> DataFrame:
-    """``rows`` with a chunk: the first row number of some CHUNK_BYTES of texts read together, and a
-    sample of each batch's grams, by their hash, beside its first row. Texts become bytes."""
-    schema = T.StructType([*[f for f in rows.schema.fields if f.name != "text"], T.StructField("text", T.BinaryType()),
-                           T.StructField("chunk", T.LongType()), T.StructField("sample", T.ArrayType(T.LongType()))])
+    """One row for each chunk, some CHUNK_BYTES of the texts of ``rows`` that a task reads together:
+    its first row number, the rows, ids and sides of its texts, their sizes, their bytes (compressed)
+    and a sample of their grams, picked by the grams' hash."""
+    fields = ("row", T.LongType()), ("id", rows.schema["id"].dataType), ("train", T.BooleanType()), ("size", T.LongType())
+    schema = T.StructType([T.StructField("chunk", T.LongType()), *[T.StructField(f, T.ArrayType(t)) for f, t in fields],
+                           T.StructField("text", T.BinaryType()), T.StructField("sample", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, size = None, 0
-        for b in batches:
-            raw, chunks, sample = [raw_text(x.as_py()) for x in b.column("text")], [], []
-            for row, x in zip(b.column("row").to_pylist(), raw, strict=True):
-                if chunk is None or size > CHUNK_BYTES:
-                    chunk, size = row, 0
-                size += len(x) + 1
-                chunks.append(chunk)
+        held, size, kind = [], 0, None
+
+        def out() -> pa.RecordBatch:
+            row, ids, train, raw = (list(x) for x in zip(*held, strict=True))
+            few = [np.zeros(0, np.uint64)]
             for gram, _, _ in Grams(raw, depth).windows():
-                few = gram[(gram * _MIX) < np.uint64((1 << 64 - SAMPLE_BITS) - 1)]
-                sample.append(np.unique(few).astype(np.int64))
-            kept = pa.array([np.concatenate(sample) if not i and sample else [] for i in range(b.num_rows)], pa.list_(pa.int64()))
-            others = [b.column(f.name) for f in schema.fields[:-3]]
-            yield pa.RecordBatch.from_arrays([*others, pa.array(raw, pa.binary()), pa.array(chunks, pa.int64()), kept], names=schema.names)
-    return rows.mapInArrow(run, schema)
-
-
-PIECE = "chunk long, part long, near long, salt long, size long, grams binary, n binary"
-
-
-def _pieces(rows: DataFrame, groups: int, salts: int, depth: int) -> DataFrame:
-    """The grams of each chunk, one row for each group. Where a chunk is read by two tasks, each has
-    its part, named by its first row."""
-    def out(chunk: int, part: int, sides: dict[bool, list[bytes]]) -> Iterator[pa.RecordBatch]:
-        both = [counted(texts, depth, train) for train, texts in sides.items() if texts]
-        keys, n = merged([k for k, _ in both], [c for _, c in both])
-        order, near, cuts = deal(keys, groups, depth)
-        keys, n = keys[order], n[order]
-        salt = (chunk * int(_MIX) >> 32) % salts
-        cells = [(chunk, part, g, salt, b - a, pack_keys(keys[a:b]), pack(n[a:b]))
-                 for g, a, b in zip(near.tolist(), cuts.tolist(), cuts[1:].tolist())]
-        for at in range(0, len(cells), 4096):
-            cols = zip(*cells[at:at + 4096], strict=True)
-            kinds = (pa.int64(),) * 5 + (pa.binary(),) * 2
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                                             names=["chunk", "part", "near", "salt", "size", "grams", "n"])
+                few.append(np.unique(gram[(gram * _MIX) < np.uint64((1 << 64 - SAMPLE_BITS) - 1)]))
+            cells = [(pa.int64(), row[0]), (pa.list_(pa.int64()), row), (pa.list_(kind), ids), (pa.list_(pa.bool_()), train),
+                     (pa.list_(pa.int64()), [len(x) for x in raw]), (pa.binary(), pa.compress(b"".join(raw), "zstd", asbytes=True)),
+                     (pa.list_(pa.int64()), np.unique(np.concatenate(few)).astype(np.int64))]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for t, x in cells], names=schema.names)
+        for b in batches:
+            kind = b.schema.field("id").type
+            columns = (b.column(c).to_pylist() for c in ("row", "id", "train"))
+            for *cells, x in zip(*columns, b.column("text"), strict=True):
+                raw = raw_text(x.as_py())
+                if held and size + len(raw) > CHUNK_BYTES:
+                    yield out()
+                    size = 0
+                held.append((*cells, raw))
+                size += len(raw) + 1
+        if held:
+            yield out()
+    return rows.select("row", "id", "train", "text").mapInArrow(run, schema)
+
+
+def _texts(sizes: list[int], data: bytes) -> list[bytes]:
+    """The texts of a chunk."""
+    whole, out, at = pa.decompress(data, sum(sizes), "zstd", asbytes=True) if sum(sizes) else b"", [], 0
+    for size in sizes:
+        out.append(whole[at:at + size])
+        at += size
+    return out
+
 
+def _pieces(chunks: DataFrame, groups: int, salts: int, depth: int) -> DataFrame:
+    """(near, salt, chunk, size, grams, n): the grams of each chunk, one row for each group."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, part, sides = None, None, {True: [], False: []}
         for b in batches:
-            for row, chunk, train, text in zip(b.column("row").to_pylist(), b.column("chunk").to_pylist(),
-                                               b.column("train").to_pylist(), b.column("text").to_pylist(), strict=True):
-                if chunk != at:
-                    if at is not None:
-                        yield from out(at, part, sides)
-                    at, part, sides = chunk, row, {True: [], False: []}
-                sides[train].append(text)
-        if at is not None:
-            yield from out(at, part, sides)
-    return rows.select("chunk", "row", "train", "text").mapInArrow(run, PIECE)
-
-
-def _merged_pieces(pieces: DataFrame, salts: int) -> DataFrame:
-    """(near, size, grams, n): the distinct grams of each group with their counts, one row a group."""
+            for chunk, train, sizes, text in zip(*(b.column(c) for c in ("chunk", "train", "size", "text")), strict=True):
+                chunk, sides = chunk.as_py(), {True: [], False: []}
+                for side, x in zip(train.as_py(), _texts(sizes.as_py(), text.as_py()), strict=True):
+                    sides[side].append(x)
+                both = [counted(sides.pop(side), depth, side) for side in (True, False)]
+                keys, n = merged([k for k, _ in both], [c for _, c in both])
+                del both
+                order, near, cuts = deal(keys, groups, depth)
+                salt = (chunk * int(_MIX) >> 32) % salts
+                cells = [(g, salt, chunk, stop - start, pack_keys(keys[order[start:stop]]), pack(n[order[start:stop]]))
+                         for g, start, stop in zip(near.tolist(), cuts.tolist(), cuts[1:].tolist())]
+                for at in range(0, len(cells), 4096):
+                    cols = zip(*cells[at:at + 4096], strict=True)
+                    kinds = (pa.int64(),) * 4 + (pa.binary(),) * 2
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                                     names=["near", "salt", "chunk", "size", "grams", "n"])
+    return chunks.select("chunk", "train", "size", "text").mapInArrow(
+        run, "near long, salt long, chunk long, size long, grams binary, n binary")
+
+
+def _merge(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of packed rows, with their counts."""
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for size, grams, n in zip(*(table[c] for c in ("size", "grams", "n")), strict=True):
+        keys.append(unpack_keys(grams.as_py(), size.as_py()))
+        counts.append(unpack(n.as_py(), size.as_py(), np.int64))
+        if sum(map(len, keys)) > max(8 * len(keys[0]), 1 << 21):  # what is held stays near the distinct grams
+            key, count = merged(keys, counts)
+            keys, counts = [key], [count]
+    return merged(keys, counts)
+
+
+def _groups(pieces: DataFrame) -> DataFrame:
+    """One row for each group (and salt): its distinct grams with their counts, and the grams that
+    each chunk asks for."""
+    def run(table: pa.Table) -> pa.Table:
+        key, count = _merge(table)
+        one = {"near": pa.int64(), "salt": pa.int64()}
+        cells = {c: pa.array([table[c][0].as_py()], t) for c, t in one.items()} | {
+            "size": pa.array([len(key)], pa.int64()), "grams": pa.array([pack_keys(key)], pa.binary()), "n": pa.array([pack(count)], pa.binary())}
+        asked = {"chunks": ("chunk", pa.int64()), "sizes": ("size", pa.int64()), "asked": ("grams", pa.binary())}
+        return pa.table(cells | {name: pa.array([table[c].to_pylist()], pa.list_(t)) for name, (c, t) in asked.items()})
+    return pieces.groupBy("near", "salt").applyInArrow(
+        run, "near long, salt long, size long, grams binary, n binary, chunks array<long>, sizes array<long>, asked array<binary>")
+
+
+def _whole(groups: DataFrame) -> DataFrame:
+    """Groups whose rows were dealt by salts, as one row each."""
     def run(table: pa.Table) -> pa.Table:
-        keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for size, grams, n in zip(*(table[c].to_pylist() for c in ("size", "grams", "n")), strict=True):
-            keys.append(unpack_keys(grams, size))
-            counts.append(unpack(n, size, np.int64))
-            if sum(map(len, keys)) > max(8 * len(keys[0]), 1 << 21):  # what is held stays near the distinct grams
-                key, count = merged(keys, counts)
-                keys, counts = [key], [count]
-        key, count = merged(keys, counts)
+        key, count = _merge(table)
         return pa.table({"near": pa.array([table["near"][0].as_py()], pa.int64()), "size": pa.array([len(key)], pa.int64()),
                          "grams": pa.array([pack_keys(key)], pa.binary()), "n": pa.array([pack(count)], pa.binary())})
-    pieces = pieces.select("near", "salt", "size", "grams", "n")
-    for keys in ([("near", "salt")] if salts > 1 else []) + [("near",)]:
-        pieces = pieces.groupBy(*keys).applyInArrow(run, "near long, size long, grams binary, n binary")
-    return pieces
+    return (groups.select("near", "size", "grams", "n").groupBy("near")
+            .applyInArrow(run, "near long, size long, grams binary, n binary"))
+
+
+def _unpacked(rows: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for size, grams, n in zip(*(rows.column(c) for c in ("size", "grams", "n")), strict=True):
+        yield unpack_keys(grams.as_py(), size.as_py()), unpack(n.as_py(), size.as_py(), np.int64)
 
 
 def _top(groups: DataFrame, depth: int) -> dict[int, TopNodes]:
     """Nodes above those of the groups, from one pass over the groups."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for size, grams, n in zip(*(b.column(c).to_pylist() for c in ("size", "grams", "n")), strict=True):
-                keys, counts = unpack_keys(grams, size), unpack(n, size, np.int64)
+            for keys, counts in _unpacked(b):
                 if counts.any():
                     ids, *sums = Contexts(keys[counts > 0], counts[counts > 0], depth).top_rows()
                     yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), *map(pa.array, sums)],
                                                      names=["id", "zeros", "ones", "log_pw"])
-    rows = (groups.mapInArrow(run, "id long, zeros double, ones double, log_pw double")
+    rows = (groups.select("size", "grams", "n").mapInArrow(run, "id long, zeros double, ones double, log_pw double")
             .groupBy("id").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log_pw")])
             .orderBy("id").toArrow())  # for each pair of bytes that text can have, at most 255 rows
     return top_levels(*(rows[c].to_numpy() for c in ("id", "zeros", "ones", "log_pw")), depth)
@@ -460,42 +527,46 @@ def _scored(groups: DataFrame, top, depth: int) -> DataFrame:
     """(near, size, grams, scores): the scores of each group's grams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            scores = [pack(Contexts(unpack_keys(grams, size), unpack(n, size, np.int64), depth).scores(top.value).astype(np.float32))
-                      for size, grams, n in zip(*(b.column(c).to_pylist() for c in ("size", "grams", "n")), strict=True)]
+            scores = [pack(Contexts(keys, counts, depth).scores(top.value).astype(np.float32)) for keys, counts in _unpacked(b)]
             yield pa.RecordBatch.from_arrays([b.column("near"), b.column("size"), b.column("grams"), pa.array(scores, pa.binary())],
                                              names=["near", "size", "grams", "scores"])
-    return groups.mapInArrow(run, "near long, size long, grams binary, scores binary")
+    return groups.select("near", "size", "grams", "n").mapInArrow(run, "near long, size long, grams binary, scores binary")
+
 
+ANSWER = "chunk long, near long, size long, scores binary"
+
+
+def _answer(near: int, asked: pa.RecordBatch, row: int, keys: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The scores of the grams that chunks ask a group for, in their order."""
+    cells = [asked.column(c)[row].values for c in ("chunks", "sizes", "asked")]
+    for chunk, size, grams in zip(*cells, strict=True):
+        scores = pack(values[np.searchsorted(keys, unpack_keys(grams.as_py(), size.as_py()))])
+        yield pa.RecordBatch.from_arrays([pa.array([chunk.as_py()], pa.int64()), pa.array([near], pa.int64()),
+                                          pa.array([size.as_py()], pa.int64()), pa.array([scores], pa.binary())],
+                                         names=["chunk", "near", "size", "scores"])
+
+
+def _answers(groups: DataFrame, top, depth: int) -> DataFrame:
+    """(chunk, near, size, scores) from groups that are whole."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, (keys, counts) in enumerate(_unpacked(b)):
+                scores = Contexts(keys, counts, depth).scores(top.value).astype(np.float32)
+                yield from _answer(b.column("near")[i].as_py(), b, i, keys, scores)
+    return groups.mapInArrow(run, ANSWER)
 
-def _answers(pieces: DataFrame, scores: DataFrame, salts: int) -> DataFrame:
-    """(chunk, part, near, size, scores): the scores of every piece's grams, in its order."""
-    names = ["chunk", "part", "near", "size", "scores"]
 
+def _answers_by_salt(groups: DataFrame, scores: DataFrame) -> DataFrame:
+    """(chunk, near, size, scores) from groups dealt by salts and the scores of the whole ones."""
     def run(asked: pa.Table, own: pa.Table) -> pa.Table:
         size = own["size"][0].as_py()
         keys, values = unpack_keys(own["grams"][0].as_py(), size), unpack(own["scores"][0].as_py(), size, np.float32)
-        got = [pack(values[np.searchsorted(keys, unpack_keys(grams, n))])
-               for grams, n in zip(asked["grams"].to_pylist(), asked["size"].to_pylist(), strict=True)]
-        return pa.table([*(asked[c] for c in names[:4]), pa.array(got, pa.binary())], names=names)
-    asked = pieces.select("chunk", "part", "near", "salt", "size", "grams")
-    copies = scores.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    if salts > 1:  # a salt without pieces asks for nothing
-        copies = copies.join(asked.select("near", "salt").distinct(), ["near", "salt"], "left_semi")
-    return (asked.groupBy("near", "salt").cogroup(copies.select("near", "salt", "size", "grams", "scores").groupBy("near", "salt"))
-            .applyInArrow(run, "chunk long, part long, near long, size long, scores binary"))
-
-
-def text_scores(raw: list[bytes], depth: int, look_up) -> np.ndarray:
-    """Sums of the scores of each text's grams. ``look_up``: scores of sorted distinct grams."""
-    total = np.zeros(len(raw))
-    for gram, texts, starts in Grams(raw, depth).windows():
-        order = np.argsort(gram)
-        key = gram[order]
-        new = np.concatenate([[True], key[1:] != key[:-1]])
-        value = np.empty(len(gram))
-        value[order] = look_up(key[new])[np.cumsum(new) - 1]
-        total[texts] += np.add.reduceat(value, starts)
-    return total
+        asked = asked.combine_chunks().to_batches()[0]
+        return pa.Table.from_batches(list(_answer(own["group"][0].as_py(), asked, 0, keys, values)))
+    asked = groups.select("near", "salt", "chunks", "sizes", "asked")
+    copies = asked.select(F.col("near").alias("group"), F.col("salt").alias("slot")).join(scores.withColumnRenamed("near", "group"), "group")
+    return (asked.groupBy("near", "salt").cogroup(copies.groupBy("group", "slot"))
+            .applyInArrow(run, ANSWER))
 
 
 def _first_schema(id_type) -> T.StructType:
@@ -505,45 +576,40 @@ def _first_schema(id_type) -> T.StructType:
         T.StructField("n_bytes", T.LongType()), T.StructField("score", T.DoubleType())])
 
 
-def _first_rows(rows: pa.Table | pa.RecordBatch, raw: list[bytes], known: dict[bytes, float], scores: np.ndarray) -> list[pa.Array]:
+def _first_rows(row: pa.ListScalar, ids: pa.ListScalar, raw: list[bytes], known: dict[bytes, float], scores: np.ndarray) -> list[pa.Array]:
     n_tokens, n_known, part, rare = unigrams(raw, known)
-    return [rows.column("row"), rows.column("id"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(part, pa.float64()),
+    return [row.values, ids.values, pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(part, pa.float64()),
             pa.array(rare, pa.list_(pa.binary())), pa.array([len(x) for x in raw], pa.int64()), pa.array(scores)]
 
 
-def _first_by_table(rows: DataFrame, head, table, depth: int) -> DataFrame:
+def _first_by_table(chunks: DataFrame, head, table, depth: int) -> DataFrame:
     """Tokens, known words and scores of each row, from a shared table (grams, scores)."""
-    schema = _first_schema(rows.schema["id"].dataType)
+    schema = _first_schema(chunks.schema["id"].dataType.elementType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, values = table.value
         for b in batches:
-            raw = b.column("text").to_pylist()
-            scores = text_scores(raw, depth, lambda key: values[np.searchsorted(keys, key)])
-            yield pa.RecordBatch.from_arrays(_first_rows(b, raw, head.value, scores), names=schema.names)
-    return rows.select("row", "id", "text").mapInArrow(run, schema)
+            for row, ids, sizes, text in zip(*(b.column(c) for c in ("row", "id", "size", "text")), strict=True):
+                raw = _texts(sizes.as_py(), text.as_py())
+                scores = Scorer(raw, depth).sums(*table.value)
+                yield pa.RecordBatch.from_arrays(_first_rows(row, ids, raw, head.value, scores), names=schema.names)
+    return chunks.select("row", "id", "size", "text").mapInArrow(run, schema)
 
 
-def _first_by_answers(rows: DataFrame, answers: DataFrame, head, groups: int, depth: int) -> DataFrame:
+def _first_by_answers(chunks: DataFrame, answers: DataFrame, head, groups: int, depth: int) -> DataFrame:
     """Tokens, known words and scores of each row, from the answers to its chunk."""
-    schema = _first_schema(rows.schema["id"].dataType)
+    schema = _first_schema(chunks.schema["id"].dataType.elementType)
 
     def run(own: pa.Table, got: pa.Table) -> pa.Table:
-        own, got = own.sort_by("row"), got.sort_by([("part", "ascending"), ("near", "ascending")])
-        raw = own["text"].to_pylist()
-        part, sizes, data = got["part"].to_numpy(), got["size"].to_pylist(), got["scores"]
-        parts = np.unique(part)
-        cuts = np.append(np.searchsorted(own["row"].to_numpy(), parts), len(raw)).tolist()
-        scores = []
-        for name, start, stop in zip(parts.tolist(), cuts, cuts[1:]):
-            some = raw[start:stop]
-            keys = counted(some, depth, False)[0]
-            mine = np.flatnonzero(part == name).tolist()
-            values = np.empty(len(keys), np.float32)
-            values[deal(keys, groups, depth)[0]] = np.concatenate([unpack(data[i].as_py(), sizes[i], np.float32) for i in mine])
-            scores.append(text_scores(some, depth, lambda key, keys=keys, values=values: values[np.searchsorted(keys, key)]))
-        return pa.Table.from_arrays(_first_rows(own, raw, head.value, np.concatenate(scores)), names=schema.names)
-    return (rows.select("chunk", "row", "id", "text").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+        row, ids, sizes, text = (own[c][0] for c in ("row", "id", "size", "text"))
+        raw = _texts(sizes.as_py(), text.as_py())
+        scorer = Scorer(raw, depth)
+        keys = scorer.keys()
+        got = got.sort_by("near")
+        values = np.empty(len(keys), np.float32)
+        values[deal(keys, groups, depth)[0]] = np.concatenate(
+            [unpack(x.as_py(), size.as_py(), np.float32) for x, size in zip(got["scores"], got["size"], strict=True)])
+        return pa.Table.from_arrays(_first_rows(row, ids, raw, head.value, scorer.sums(keys, values)), names=schema.names)
+    return (chunks.select("chunk", "row", "id", "size", "text").groupBy("chunk").cogroup(answers.groupBy("chunk"))
             .applyInArrow(run, schema))
 
 
@@ -558,31 +624,32 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                         (~held_out(F.col(id_col))).alias("train"))
     # staged once: row numbers and chunks stay as they are for all readers
-    rows = stage(_chunked(texts.withColumn("row", F.monotonically_increasing_id()), depth), "ctw-texts")
-    distinct = rows.select(F.explode("sample").alias("gram")).distinct().count() << SAMPLE_BITS
-    groups = max(1, -(-distinct // GROUP_GRAMS))
-    size = rows.agg(F.sum(F.octet_length("text") + F.lit(1).cast("long"))).first()[0] or 0
-    salts = max(1, -(-size // (groups * ASKED_GRAMS)))  # no more grams are asked for than there are bytes
-    pieces = stage(_pieces(rows, groups, salts, depth), "ctw-pieces")
-    merged_groups = stage(_merged_pieces(pieces, salts), "ctw-groups")
-    scores = _scored(merged_groups, spark.sparkContext.broadcast(_top(merged_groups, depth)), depth)
+    chunks = stage(_chunked(texts.withColumn("row", F.monotonically_increasing_id()), depth), "ctw-chunks")
+    distinct = chunks.select(F.explode("sample").alias("gram")).distinct().count() << SAMPLE_BITS
+    count = max(1, -(-distinct // GROUP_GRAMS))
+    size = chunks.agg(F.sum(F.expr("aggregate(size, 0L, (a, x) -> a + x + 1)"))).first()[0] or 0
+    salts = max(1, -(-size // (count * ASKED_GRAMS)))  # no more grams are asked for than there are bytes
+    groups = stage(_groups(_pieces(chunks, count, salts, depth)), "ctw-groups")
+    whole = groups if salts == 1 else stage(_whole(groups), "ctw-whole")
+    top = spark.sparkContext.broadcast(_top(whole, depth))
     words = stage(word_counts(texts.select("text", "train")), "ctw-words")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     head = spark.sparkContext.broadcast(frequent_words(words, head_words))
-    if (merged_groups.agg(F.sum("size")).first()[0] or 0) <= shared_grams:
-        t = scores.toArrow()
-        keys = [np.zeros(0, np.uint64), *(unpack_keys(g, k) for g, k in zip(t["grams"].to_pylist(), t["size"].to_pylist(), strict=True))]
-        values = [np.zeros(0, np.float32), *(unpack(x, k, np.float32) for x, k in zip(t["scores"].to_pylist(), t["size"].to_pylist(), strict=True))]
-        order = np.argsort(np.concatenate(keys))
-        table = spark.sparkContext.broadcast((np.concatenate(keys)[order], np.concatenate(values)[order]))
-        first = _first_by_table(rows, head, table, depth)
+    if (whole.agg(F.sum("size")).first()[0] or 0) <= shared_grams:
+        t = _scored(whole, top, depth).toArrow()
+        sizes = t["size"].to_pylist()
+        keys = np.concatenate([np.zeros(0, np.uint64), *(unpack_keys(x, k) for x, k in zip(t["grams"].to_pylist(), sizes, strict=True))])
+        values = np.concatenate([np.zeros(0, np.float32), *(unpack(x, k, np.float32) for x, k in zip(t["scores"].to_pylist(), sizes, strict=True))])
+        order = np.argsort(keys)
+        first = _first_by_table(chunks, head, spark.sparkContext.broadcast((keys[order], values[order])), depth)
     else:
-        first = _first_by_answers(rows, _answers(pieces, scores, salts), head, groups, depth)
+        answers = _answers(groups, top, depth) if salts == 1 else _answers_by_salt(groups, _scored(whole, top, depth))
+        first = _first_by_answers(chunks, answers, head, count, depth)
     first = stage(first, "ctw-rows")
-    rare = first.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("k"))
+    rare = first.select("row", F.explode("rare").alias("word"))
     c = F.coalesce(F.col("n"), F.lit(0))
     tail = rare.join(words, "word", "left").select(
-        "row", (F.col("k") * F.log10(c + 0.1)).alias("part"), F.when(c > 0, F.col("k")).otherwise(0).alias("n_known"))
+        "row", F.log10(c + 0.1).alias("part"), F.when(c > 0, 1).otherwise(0).alias("n_known"))
     tail = tail.groupBy("row").agg(F.sum("part").alias("more"), F.sum("n_known").alias("known"))
     base = math.log10(n + 0.1 * (v + 1))
     zero = F.lit(0)

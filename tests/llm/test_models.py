@@ -189,7 +189,9 @@ def test_grams_of_windows_and_packing(monkeypatch):
                 for t, a, b in zip(at.tolist(), starts.tolist(), [*starts[1:].tolist(), len(gram)], strict=True):
                     got[t] += gram[a:b].tolist()
             assert got == want
-            assert ctw.text_scores(texts, depth, lambda key: (key % np.uint64(1000)).astype(float)).tolist() == [sum(x % 1000 for x in t) for t in want]
+            scorer = ctw.Scorer(texts, depth)
+            assert scorer.keys().tolist() == sorted({x for t in want for x in t})
+            assert scorer.sums(scorer.keys(), (scorer.keys() % np.uint64(1000)).astype(float)).tolist() == [sum(x % 1000 for x in t) for t in want]
         keys, n = ctw.counted(texts, depth, True)
         every = Counter(x for t in want for x in t)
         assert keys.tolist() == sorted(every) and n.tolist() == [every[k] for k in sorted(every)]
