@@ -47,7 +47,7 @@ DEPTH = 7  # at most 7: a gram, with its byte, is one long
 NEAR = 3
 GROUP_GRAMS = 1 << 18
 ASKED_GRAMS = 1 << 24  # grams in the rows of one group that one task reads, about 2 bytes each
-CHUNK_BYTES = 1 << 24  # texts whose grams are counted and scored together
+CHUNK_BYTES = 1 << 25  # texts whose grams are counted and scored together
 WINDOW = 1 << 21
 SAMPLE_BITS = 10  # one gram in 2**SAMPLE_BITS, by its hash, tells how many there are
 SHARED_GRAMS = 2_000_000  # 12 bytes each
@@ -107,7 +107,7 @@ def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     that little is held twice."""
     some = [i for i, k in enumerate(keys) if len(k)]
     if not some:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
     keys, counts = [keys[i] for i in some], [counts[i] for i in some]
     if len(keys) == 1:
         return keys[0], counts[0]
@@ -128,11 +128,15 @@ def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 
 def counted(texts: list[bytes], depth: int, train: bool) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct grams of texts and how often they occur (0 where the texts do not train)."""
-    keys, counts = [], []
+    keys, counts, base = [], [], 0
     for gram, _, _ in Grams(texts, depth).windows():
         key, n = np.unique(gram, return_counts=True)
         keys.append(key)
-        counts.append(n.astype(np.int64) * train)
+        counts.append(n.astype(np.int32) * np.int32(train))  # a chunk has fewer than 2**31 bytes
+        del gram, key, n
+        if sum(map(len, keys)) - base > max(base, 2 * WINDOW):  # few grams are held twice
+            key, n = merged(keys, counts)
+            keys, counts, base = [key], [n], len(key)
     return merged(keys, counts)
 
 
@@ -355,29 +359,17 @@ def held_out(doc_id: Column) -> Column:
     return id_crc32(doc_id) % 10 == 0
 
 
-class Scorer:
-    """Adds up the scores of texts' grams, which are asked for once, sorted and distinct."""
-
-    def __init__(self, raw: list[bytes], depth: int):
-        self.texts, self.parts = len(raw), []
-        for gram, texts, starts in Grams(raw, depth).windows():
-            order = np.argsort(gram)
-            key = gram[order]
-            new = np.concatenate([[True], key[1:] != key[:-1]])
-            place = np.empty(len(gram), np.int32)
-            place[order] = np.cumsum(new, dtype=np.int32) - 1
-            self.parts.append((key[new], place, texts, starts))
-
-    def keys(self) -> np.ndarray:
-        keys = [part[0] for part in self.parts]
-        return merged(keys, [np.zeros(len(k), np.int8) for k in keys])[0]
-
-    def sums(self, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
-        """Sums of each text, from the values of sorted keys that hold all of its grams."""
-        total = np.zeros(self.texts)
-        for key, place, texts, starts in self.parts:
-            total[texts] += np.add.reduceat(values[np.searchsorted(keys, key)].astype(float)[place], starts)
-        return total
+def text_scores(raw: list[bytes], depth: int, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sums of the values of each text's grams, from sorted keys that hold all of them."""
+    total = np.zeros(len(raw))
+    for gram, texts, starts in Grams(raw, depth).windows():
+        order = np.argsort(gram)
+        key = gram[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        value = np.empty(len(gram))
+        value[order] = values[np.searchsorted(keys, key[new])][np.cumsum(new) - 1]
+        total[texts] += np.add.reduceat(value, starts)
+    return total
 
 
 def unigrams(raw: list[bytes], known: dict[bytes, float]) -> list[list]:
@@ -456,7 +448,7 @@ def _pieces(chunks: DataFrame, groups: int, salts: int, depth: int) -> DataFrame
                 del both
                 order, near, cuts = deal(keys, groups, depth)
                 salt = (chunk * int(_MIX) >> 32) % salts
-                cells = [(g, salt, chunk, stop - start, pack_keys(keys[order[start:stop]]), pack(n[order[start:stop]]))
+                cells = [(g, salt, chunk, stop - start, pack_keys(keys[order[start:stop]]), pack(n[order[start:stop]].astype(np.int64)))
                          for g, start, stop in zip(near.tolist(), cuts.tolist(), cuts[1:].tolist())]
                 for at in range(0, len(cells), 4096):
                     cols = zip(*cells[at:at + 4096], strict=True)
@@ -590,7 +582,7 @@ def _first_by_table(chunks: DataFrame, head, table, depth: int) -> DataFrame:
         for b in batches:
             for row, ids, sizes, text in zip(*(b.column(c) for c in ("row", "id", "size", "text")), strict=True):
                 raw = _texts(sizes.as_py(), text.as_py())
-                scores = Scorer(raw, depth).sums(*table.value)
+                scores = text_scores(raw, depth, *table.value)
                 yield pa.RecordBatch.from_arrays(_first_rows(row, ids, raw, head.value, scores), names=schema.names)
     return chunks.select("row", "id", "size", "text").mapInArrow(run, schema)
 
@@ -602,13 +594,12 @@ def _first_by_answers(chunks: DataFrame, answers: DataFrame, head, groups: int,
     def run(own: pa.Table, got: pa.Table) -> pa.Table:
         row, ids, sizes, text = (own[c][0] for c in ("row", "id", "size", "text"))
         raw = _texts(sizes.as_py(), text.as_py())
-        scorer = Scorer(raw, depth)
-        keys = scorer.keys()
+        keys = counted(raw, depth, False)[0]
         got = got.sort_by("near")
         values = np.empty(len(keys), np.float32)
         values[deal(keys, groups, depth)[0]] = np.concatenate(
             [unpack(x.as_py(), size.as_py(), np.float32) for x, size in zip(got["scores"], got["size"], strict=True)])
-        return pa.Table.from_arrays(_first_rows(row, ids, raw, head.value, scorer.sums(keys, values)), names=schema.names)
+        return pa.Table.from_arrays(_first_rows(row, ids, raw, head.value, text_scores(raw, depth, keys, values)), names=schema.names)
     return (chunks.select("chunk", "row", "id", "size", "text").groupBy("chunk").cogroup(answers.groupBy("chunk"))
             .applyInArrow(run, schema))
 

@@ -189,13 +189,13 @@ def test_grams_of_windows_and_packing(monkeypatch):
                 for t, a, b in zip(at.tolist(), starts.tolist(), [*starts[1:].tolist(), len(gram)], strict=True):
                     got[t] += gram[a:b].tolist()
             assert got == want
-            scorer = ctw.Scorer(texts, depth)
-            assert scorer.keys().tolist() == sorted({x for t in want for x in t})
-            assert scorer.sums(scorer.keys(), (scorer.keys() % np.uint64(1000)).astype(float)).tolist() == [sum(x % 1000 for x in t) for t in want]
+            keys = ctw.counted(texts, depth, False)[0]
+            assert keys.tolist() == sorted({x for t in want for x in t})
+            assert ctw.text_scores(texts, depth, keys, (keys % np.uint64(1000)).astype(float)).tolist() == [sum(x % 1000 for x in t) for t in want]
         keys, n = ctw.counted(texts, depth, True)
         every = Counter(x for t in want for x in t)
         assert keys.tolist() == sorted(every) and n.tolist() == [every[k] for k in sorted(every)]
-        assert (ctw.unpack_keys(ctw.pack_keys(keys), len(keys)) == keys).all() and (ctw.unpack(ctw.pack(n), len(n), np.int64) == n).all()
+        assert (ctw.unpack_keys(ctw.pack_keys(keys), len(keys)) == keys).all() and (ctw.unpack(ctw.pack(n), len(n), np.int32) == n).all()
         order, groups, cuts = ctw.deal(keys, 5, depth)
         assert sorted(order.tolist()) == list(range(len(keys))) and len(cuts) == len(groups) + 1 and (np.diff(groups) > 0).all()
         near = [{int(k) >> 8 * (depth + 1 - min(3, depth)) for k in keys[order[a:b]]} for a, b in zip(cuts, cuts[1:])]
