@@ -48,7 +48,8 @@ NEAR = 3
 GROUP_GRAMS = 1 << 18
 ASKED_GRAMS = 1 << 24  # grams in the rows of one group that one task reads, about 2 bytes each
 CHUNK_BYTES = 1 << 25  # texts whose grams are counted and scored together
-WINDOW = 1 << 21
+WINDOW = 1 << 19
+HELD_GRAMS = 1 << 21  # grams of windows that wait to be merged
 SAMPLE_BITS = 10  # one gram in 2**SAMPLE_BITS, by its hash, tells how many there are
 SHARED_GRAMS = 2_000_000  # 12 bytes each
 HEAD_WORDS = 1 << 18
@@ -134,7 +135,7 @@ def counted(texts: list[bytes], depth: int, train: bool) -> tuple[np.ndarray, np
         keys.append(key)
         counts.append(n.astype(np.int32) * np.int32(train))  # a chunk has fewer than 2**31 bytes
         del gram, key, n
-        if sum(map(len, keys)) - base > max(base, 2 * WINDOW):  # few grams are held twice
+        if sum(map(len, keys)) - base > max(base, HELD_GRAMS):  # few grams are held twice
             key, n = merged(keys, counts)
             keys, counts, base = [key], [n], len(key)
     return merged(keys, counts)
@@ -143,13 +144,16 @@ def counted(texts: list[bytes], depth: int, train: bool) -> tuple[np.ndarray, np
 def deal(keys: np.ndarray, groups: int, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """An order of sorted grams by their group, the groups, and where each starts (with the end)."""
     near = keys >> np.uint64(8 * (depth + 1 - min(NEAR, depth)))
-    new = np.concatenate([[True], near[1:] != near[:-1]])
-    group = ((near[new] * _MIX) >> np.uint64(32)) % np.uint64(groups)
-    group = group.astype(np.uint16 if groups <= 1 << 16 else np.int64)[np.cumsum(new) - 1]
-    order = np.argsort(group, kind="stable")
-    group = group[order]
-    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    return order, group[starts].astype(np.int64), np.append(starts, len(keys))
+    starts = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))  # stretches of one context
+    near = near[starts]
+    group = ((near * _MIX) >> np.uint64(32)) % np.uint64(groups)
+    by_group = np.argsort(group, kind="stable")
+    group, size = group[by_group].astype(np.int64), np.diff(np.append(starts, len(keys)))[by_group]
+    at = np.cumsum(size) - size
+    order = np.repeat((starts[by_group] - at).astype(np.int32), size)
+    order += np.arange(len(keys), dtype=np.int32)
+    first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    return order, group[first], np.append(at[first], len(keys))
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -465,7 +469,7 @@ def _merge(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     for size, grams, n in zip(*(table[c] for c in ("size", "grams", "n")), strict=True):
         keys.append(unpack_keys(grams.as_py(), size.as_py()))
         counts.append(unpack(n.as_py(), size.as_py(), np.int64))
-        if sum(map(len, keys)) > max(8 * len(keys[0]), 1 << 21):  # what is held stays near the distinct grams
+        if sum(map(len, keys)) > max(8 * len(keys[0]), HELD_GRAMS):  # what is held stays near the distinct grams
             key, count = merged(keys, counts)
             keys, counts = [key], [count]
     return merged(keys, counts)
