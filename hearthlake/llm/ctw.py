@@ -376,12 +376,12 @@ def text_scores(raw: list[bytes], depth: int, keys: np.ndarray, values: np.ndarr
     return total
 
 
-def unigrams(raw: list[bytes], known: dict[bytes, float]) -> list[list]:
+def unigrams(raw: list[memoryview], known: dict[bytes, float]) -> list[list]:
     """For each text its tokens, those that the head knows, the share of its score that the head
     gives, and the words that the head lacks."""
     cells: list[list] = [[] for _ in range(4)]
     for x in raw:
-        words = x.split()
+        words = bytes(x).split()
         words.append(END)
         got = list(map(known.get, words))
         rare = [w for w, g in zip(words, got, strict=True) if g is None] if None in got else []
@@ -430,9 +430,9 @@ def _chunked(rows: DataFrame, depth: int) -> DataFrame:
     return rows.select("row", "id", "train", "text").mapInArrow(run, schema)
 
 
-def _texts(sizes: list[int], data: bytes) -> list[bytes]:
+def _texts(sizes: list[int], data: bytes) -> list[memoryview]:
     """The texts of a chunk."""
-    whole, out, at = pa.decompress(data, sum(sizes), "zstd", asbytes=True) if sum(sizes) else b"", [], 0
+    whole, out, at = memoryview(pa.decompress(data, sum(sizes), "zstd", asbytes=True) if sum(sizes) else b""), [], 0
     for size in sizes:
         out.append(whole[at:at + size])
         at += size
@@ -565,47 +565,47 @@ def _answers_by_salt(groups: DataFrame, scores: DataFrame) -> DataFrame:
             .applyInArrow(run, ANSWER))
 
 
-def _first_schema(id_type) -> T.StructType:
-    return T.StructType([
-        T.StructField("row", T.LongType()), T.StructField("id", id_type), T.StructField("n_tokens", T.LongType()),
-        T.StructField("n_known", T.LongType()), T.StructField("part", T.DoubleType()), T.StructField("rare", T.ArrayType(T.BinaryType())),
-        T.StructField("n_bytes", T.LongType()), T.StructField("score", T.DoubleType())])
-
-
-def _first_rows(row: pa.ListScalar, ids: pa.ListScalar, raw: list[bytes], known: dict[bytes, float], scores: np.ndarray) -> list[pa.Array]:
-    n_tokens, n_known, part, rare = unigrams(raw, known)
-    return [row.values, ids.values, pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(part, pa.float64()),
-            pa.array(rare, pa.list_(pa.binary())), pa.array([len(x) for x in raw], pa.int64()), pa.array(scores)]
-
-
-def _first_by_table(chunks: DataFrame, head, table, depth: int) -> DataFrame:
-    """Tokens, known words and scores of each row, from a shared table (grams, scores)."""
-    schema = _first_schema(chunks.schema["id"].dataType.elementType)
-
+def _scores_by_table(chunks: DataFrame, table, depth: int) -> DataFrame:
+    """(row, score) from a shared table (grams, scores)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row, ids, sizes, text in zip(*(b.column(c) for c in ("row", "id", "size", "text")), strict=True):
-                raw = _texts(sizes.as_py(), text.as_py())
-                scores = text_scores(raw, depth, *table.value)
-                yield pa.RecordBatch.from_arrays(_first_rows(row, ids, raw, head.value, scores), names=schema.names)
-    return chunks.select("row", "id", "size", "text").mapInArrow(run, schema)
+            for row, sizes, text in zip(*(b.column(c) for c in ("row", "size", "text")), strict=True):
+                scores = text_scores(_texts(sizes.as_py(), text.as_py()), depth, *table.value)
+                yield pa.RecordBatch.from_arrays([row.values, pa.array(scores)], names=["row", "score"])
+    return chunks.select("row", "size", "text").mapInArrow(run, "row long, score double")
 
 
-def _first_by_answers(chunks: DataFrame, answers: DataFrame, head, groups: int, depth: int) -> DataFrame:
-    """Tokens, known words and scores of each row, from the answers to its chunk."""
-    schema = _first_schema(chunks.schema["id"].dataType.elementType)
-
+def _scores_by_answers(chunks: DataFrame, answers: DataFrame, groups: int, depth: int) -> DataFrame:
+    """(row, score) from the answers to each chunk."""
     def run(own: pa.Table, got: pa.Table) -> pa.Table:
-        row, ids, sizes, text = (own[c][0] for c in ("row", "id", "size", "text"))
-        raw = _texts(sizes.as_py(), text.as_py())
+        raw = _texts(own["size"][0].as_py(), own["text"][0].as_py())
         keys = counted(raw, depth, False)[0]
-        got = got.sort_by("near")
+        order, near, cuts = deal(keys, groups, depth)
         values = np.empty(len(keys), np.float32)
-        values[deal(keys, groups, depth)[0]] = np.concatenate(
-            [unpack(x.as_py(), size.as_py(), np.float32) for x, size in zip(got["scores"], got["size"], strict=True)])
-        return pa.Table.from_arrays(_first_rows(row, ids, raw, head.value, text_scores(raw, depth, keys, values)), names=schema.names)
-    return (chunks.select("chunk", "row", "id", "size", "text").groupBy("chunk").cogroup(answers.groupBy("chunk"))
-            .applyInArrow(run, schema))
+        for group, size, scores in zip(got["near"], got["size"], got["scores"], strict=True):
+            at = int(np.searchsorted(near, group.as_py()))
+            values[order[cuts[at]:cuts[at + 1]]] = unpack(scores.as_py(), size.as_py(), np.float32)
+        del order
+        return pa.table({"row": own["row"][0].values, "score": text_scores(raw, depth, keys, values)})
+    return (chunks.select("chunk", "row", "size", "text").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+            .applyInArrow(run, "row long, score double"))
+
+
+def _unigrams(chunks: DataFrame, head) -> DataFrame:
+    """The row, id, size and ``unigrams`` of each text."""
+    schema = T.StructType([
+        T.StructField("row", T.LongType()), T.StructField("id", chunks.schema["id"].dataType.elementType),
+        T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
+        T.StructField("part", T.DoubleType()), T.StructField("rare", T.ArrayType(T.BinaryType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row, ids, sizes, text in zip(*(b.column(c) for c in ("row", "id", "size", "text")), strict=True):
+                n_tokens, n_known, part, rare = unigrams(_texts(sizes.as_py(), text.as_py()), head.value)
+                yield pa.RecordBatch.from_arrays(
+                    [row.values, ids.values, sizes.values, pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
+                     pa.array(part, pa.float64()), pa.array(rare, pa.list_(pa.binary()))], names=schema.names)
+    return chunks.select("row", "id", "size", "text").mapInArrow(run, schema)
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -627,20 +627,20 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = stage(_groups(_pieces(chunks, count, salts, depth)), "ctw-groups")
     whole = groups if salts == 1 else stage(_whole(groups), "ctw-whole")
     top = spark.sparkContext.broadcast(_top(whole, depth))
-    words = stage(word_counts(texts.select("text", "train")), "ctw-words")
-    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    head = spark.sparkContext.broadcast(frequent_words(words, head_words))
     if (whole.agg(F.sum("size")).first()[0] or 0) <= shared_grams:
         t = _scored(whole, top, depth).toArrow()
         sizes = t["size"].to_pylist()
         keys = np.concatenate([np.zeros(0, np.uint64), *(unpack_keys(x, k) for x, k in zip(t["grams"].to_pylist(), sizes, strict=True))])
         values = np.concatenate([np.zeros(0, np.float32), *(unpack(x, k, np.float32) for x, k in zip(t["scores"].to_pylist(), sizes, strict=True))])
         order = np.argsort(keys)
-        first = _first_by_table(chunks, head, spark.sparkContext.broadcast((keys[order], values[order])), depth)
+        scores = _scores_by_table(chunks, spark.sparkContext.broadcast((keys[order], values[order])), depth)
     else:
         answers = _answers(groups, top, depth) if salts == 1 else _answers_by_salt(groups, _scored(whole, top, depth))
-        first = _first_by_answers(chunks, answers, head, count, depth)
-    first = stage(first, "ctw-rows")
+        scores = _scores_by_answers(chunks, answers, count, depth)
+    scores = stage(scores, "ctw-scores")  # before the words, so that a task does not hold both
+    words = stage(word_counts(texts.select("text", "train")), "ctw-words")
+    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    first = stage(_unigrams(chunks, spark.sparkContext.broadcast(frequent_words(words, head_words))), "ctw-rows")
     rare = first.select("row", F.explode("rare").alias("word"))
     c = F.coalesce(F.col("n"), F.lit(0))
     tail = rare.join(words, "word", "left").select(
@@ -648,7 +648,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tail = tail.groupBy("row").agg(F.sum("part").alias("more"), F.sum("n_known").alias("known"))
     base = math.log10(n + 0.1 * (v + 1))
     zero = F.lit(0)
-    return first.join(tail, "row", "left").select(
+    return first.join(scores, "row").join(tail, "row", "left").select(
         F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("known", zero)).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("part") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.lit(base)).alias("base_score"), "score",
