@@ -47,7 +47,7 @@ DEPTH = 7  # at most 7: a gram, with its byte, is one long
 NEAR = 3
 GROUP_GRAMS = 1 << 18
 ASKED_GRAMS = 1 << 24  # grams in the rows of one group that one task reads, about 2 bytes each
-CHUNK_BYTES = 1 << 25  # texts whose grams are counted and scored together
+CHUNK_BYTES = 20 << 20  # texts whose grams are counted and scored together
 WINDOW = 1 << 19
 HELD_GRAMS = 1 << 21  # grams of windows that wait to be merged
 SAMPLE_BITS = 10  # one gram in 2**SAMPLE_BITS, by its hash, tells how many there are
@@ -124,7 +124,9 @@ def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             n = np.concatenate([n[c[r]:c[r + 1]] for n, c in zip(counts, cuts, strict=True)])
             out.append((key[first], np.add.reduceat(n[order], first)))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+    key = np.concatenate([k for k, _ in out])
+    out = [n for _, n in out]
+    return key, np.concatenate(out)
 
 
 def counted(texts: list[bytes], depth: int, train: bool) -> tuple[np.ndarray, np.ndarray]:
