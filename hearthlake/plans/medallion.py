@@ -10,9 +10,11 @@ cluster equivalent of a full pipeline refresh.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hearthlake.operators import bronze, gold, quality, silver
 from hearthlake.sources.staging import SourceTables
@@ -73,12 +75,23 @@ GROUP_INPUTS = {
                   "gold_customer_360", "gold_supplier_risk_matrix"],
 }
 
+# Datasets that a refresh can store in buckets of their customers, and the share of a bucket's mean
+# size that one customer may have: a bucket is read by one task, so a hot customer must not fill it.
+BUCKETED = {"silver_pos_transactions": "customer_id", "gold_customer_360": "customer_id"}
+HOT_SHARE = 0.5
+
+
+def splits_evenly(rows: DataFrame, column: str, buckets: int) -> bool:
+    """Whether no value of ``column`` (NULL included) outweighs its bucket."""
+    counts = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
+    return counts.most is None or counts.most <= HOT_SHARE * counts["all"] / buckets
+
+
 CHECK_DATASETS = [name for name, (layer, _) in DATASETS.items() if layer == "check"]
 
 
 def stored_check_report(spark: SparkSession, database: str) -> DataFrame:
     """All stored check tables of a database as one report, failing checks first."""
-    from pyspark.sql import functions as F
     frames = [spark.table(f"{database}.{name}").withColumn("dataset", F.lit(name)) for name in CHECK_DATASETS]
     report = frames[0]
     for frame in frames[1:]:
@@ -220,7 +233,7 @@ class Medallion:
 
     # materialisation ------------------------------------------------------
     def refresh(self, spark: SparkSession, database: str | None = None, names=None,
-                group: str | None = None) -> list[str]:
+                group: str | None = None, buckets: int | None = None) -> list[str]:
         """Write datasets as tables (full refresh) in build order.
 
         After each write the dataset is re-read from its table, so
@@ -228,7 +241,9 @@ class Medallion:
         and a lost executor only costs the stage in flight). With ``group``
         only that refresh group is written, and it reads the datasets of other
         groups from their tables; a table that is not there is an error, so
-        one refresh never mixes stored and recomputed inputs.
+        one refresh never mixes stored and recomputed inputs. With ``buckets``
+        transactions and customer 360 are stored in that many buckets of
+        customers, unless one customer holds too many rows for a bucket.
         """
         if database:
             ensure_schema(spark, database)
@@ -247,8 +262,16 @@ class Medallion:
             if names is not None and name not in names:
                 continue
             table = f"{database}.{name}" if database else name
-            write_table(self[name], table, mode="overwrite", comment=comment,
-                        path=table_path(spark, database, name))
+            path, bucket_by = table_path(spark, database, name), None
+            first = f"{table}_{uuid.uuid4().hex}"  # counted and then dealt: written once, dropped with its files
+            if buckets and name in BUCKETED:
+                write_table(self[name], first)
+                self._overrides[name] = spark.table(first)
+                if splits_evenly(self[name], BUCKETED[name], buckets):
+                    bucket_by = (buckets, BUCKETED[name])
+            write_table(self[name], table, mode="overwrite", comment=comment, path=path, bucket_by=bucket_by)
             self._overrides[name] = spark.table(table)
+            if buckets and name in BUCKETED:
+                spark.sql(f"DROP TABLE {first}")
             written.append(table)
         return written

@@ -76,18 +76,25 @@ def use_schema(spark: SparkSession, schema: str) -> None:
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", comment: str | None = None,
-                partition_by: list[str] | None = None, path: str | None = None) -> None:
+                partition_by: list[str] | None = None, path: str | None = None,
+                bucket_by: tuple[int, str] | None = None) -> None:
     """Write ``df`` as a table (``overwrite`` = full refresh, ``append`` adds rows).
 
     With ``path`` the table's data lives in that folder, so a later session
     can overwrite or append to it even when its catalog has not seen the
-    table before (see ``attach_tables``).
+    table before (see ``attach_tables``). ``bucket_by`` (buckets, column) stores
+    one file a bucket, so later joins and groupings on the column read it in
+    place; a catalog that only re-attached the folder reads it as a plain table.
     """
+    if bucket_by:
+        df = df.repartition(*bucket_by)
     writer = df.write.mode(mode).format("parquet")
     if path:
         writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
     writer.saveAsTable(name)
     if comment:
         df.sparkSession.sql(f"COMMENT ON TABLE {_quoted(name)} IS '" + comment.replace("'", "\\'") + "'")
