@@ -10,15 +10,17 @@ A record is framed as
 The mask rotates the checksum right by 15 bits and adds 0xA282EAD8, so that a checksum stored
 inside checked data does not check itself. Tokens take two bytes where the vocabulary allows it.
 
-Texts are encoded before they move; the packed ids are dealt by ranges of the document id, sorted,
-and each range becomes one file, written under a temporary name and renamed when whole, so a task
-that runs again replaces its file by the same bytes. The index (a Parquet table) has file, offset,
+Texts are dealt by ranges of the document id (Spark samples the bounds) and sorted; the task of a
+range encodes them and writes one file, numbered like the range, under a temporary name and renamed
+when whole, so a task that runs again replaces its file by the same bytes. The index (a Parquet table) has file, offset,
 length, token count and the number of tokens before each record. Readers take any subset or order
 of index rows, seek, and check both checksums.
 
 Defined cases: a null text counts as empty and has the end id only; null ids come first; rows that
 repeat are separate records, ordered by a hash of their text; an id that holds very many rows is
-spread over several files (their order stays ascending); an empty table writes no file.
+spread over several files (their order stays ascending), also where the rows are equal; a very long
+text is one record; an empty table writes no file; only id and text are read, so other columns
+cannot clash.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ from hearthlake.llm.common import shared_path, stage
 
 CACHE_WORDS = 700_000  # words of one of the two generations a worker remembers
 FILE_DOCS = 20_000  # documents of a file, where that makes more files than there are partitions
+BLOCK_FILES = 4096  # files whose token counts are summed together
 _PLAIN = re.compile(r"[^\W\d_]+[!-/:-@\[-`{-~]*")  # letters, then ASCII punctuation
 META = "<qBB"  # id, id present, bytes of a token
 INDEX = ("part long, file string, doc_id long, offset long, length long, n_tokens long, token_start long")
@@ -157,27 +160,16 @@ def word_encoder(path: str, width: int) -> WordEncoder:
     return _ENCODERS[path, width]
 
 
-def packed_ids(docs: DataFrame, tokenizer_path: str, width: int, end_id: int, bounds: list[int], id_col: str,
-               text_col: str) -> DataFrame:
-    """(part, doc_id, tie, tokens): the range each row belongs to, and its packed ids."""
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    edges = np.array(bounds, np.int64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(tokenizer_path, width)
-        end = encoder.pack([end_id])
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                b = batch.slice(at, 1024)
-                ties = np.array([zlib.crc32((x.as_py() or "").encode()) for x in b.column("text")], np.int64)
-                ids = np.array([x if x is not None else -(1 << 63) for x in b.column("doc_id").to_pylist()], np.int64)
-                low, high = np.searchsorted(edges, ids, "left"), np.searchsorted(edges, ids, "right")
-                # an id that fills several ranges is spread over them by its texts
-                part = low + ties * (high - low + 1) // (1 << 32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part.astype(np.int64)), b.column("doc_id"), pa.array(ties),
-                     pa.array(encoder.encode(b.column("text"), end), pa.binary())], names=["part", "doc_id", "tie", "tokens"])
-    return source.mapInArrow(run, "part long, doc_id long, tie long, tokens binary")
+def put_in_place(fs: pafs.FileSystem, made: str, name: str) -> None:
+    """Rename a whole file to its name, where an earlier attempt of its task may have left the same
+    file. Where the file system does not replace files by renaming, the old one goes first."""
+    try:
+        fs.move(made, name)
+    except OSError:
+        if fs.get_file_info(name).type == pafs.FileType.NotFound:
+            raise
+        fs.delete_file(name)
+        fs.move(made, name)
 
 
 def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1, vocabulary: int = 49_408,
@@ -188,47 +180,50 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     spark = docs.sparkSession
     if files is None:
         files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // FILE_DOCS))
-    cuts = [i / files for i in range(1, files)]
-    bounds = (docs.select(F.percentile_approx(F.col(id_col).cast("long"), cuts, max(10_000, 20 * files)))
-              .first()[0] if cuts else []) or []
     width = 2 if vocabulary <= 1 << 16 else 4
-    packed = packed_ids(docs, tokenizer_path, width, end_id, bounds, id_col, text_col)
-    dealt = packed.repartition(files, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "tie", "tokens")
+    text = F.col(text_col).cast("string")
+    # the row number deals rows that agree in id and text
+    keys = F.col("doc_id").asc_nulls_first(), "tie", "row"
+    dealt = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("tie"),
+        F.monotonically_increasing_id().alias("row"), text.alias("text")).repartitionByRange(files, *keys)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
+        name, sink, offset, tokens = f"part-{part:06d}.rec", None, 0, 0
         fs, root = pafs.FileSystem.from_uri(folder)
-        fs.create_dir(root, recursive=True)
-        attempt = TaskContext.get().taskAttemptId()
-        part, sink, offset, tokens, name = None, None, 0, 0, ""
-
-        def done() -> None:
-            if sink is not None:
-                sink.close()
-                fs.move(f"{root}/.{name}-{attempt}", f"{root}/{name}")
-        for b in batches:
-            rows = []
-            for p, doc_id, ids in zip(*(b.column(c).to_pylist() for c in ("part", "doc_id", "tokens")), strict=True):
-                if p != part:
-                    done()
-                    part, offset, tokens, name = p, 0, 0, f"part-{p:06d}.rec"
-                    sink = fs.open_output_stream(f"{root}/.{name}-{attempt}")
-                record = frame(struct.pack(META, doc_id or 0, doc_id is not None, width) + ids)
-                sink.write(record)
-                rows.append((p, name, doc_id, offset, len(record), len(ids) // width, tokens))
-                offset, tokens = offset + len(record), tokens + len(ids) // width
-            kinds = (pa.int64(), pa.string(), *[pa.int64()] * 5)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-                                             if rows else [pa.array([], k) for k in kinds],
-                                             names=["part", "file", "doc_id", "offset", "length", "n_tokens", "token_start"])
-        done()
-    index = stage(dealt.mapInArrow(write, INDEX), "records-index")
-    # tokens in the files before: a running sum over one row for each file
-    before = (index.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-              .withColumn("before", F.sum("n").over(Window.orderBy("part")) - F.col("n")).drop("n"))
-    return index.join(F.broadcast(before), "part").withColumn(  # one row for each file
-        "start", F.col("before") + F.col("token_start")).drop("before", "token_start")
+        made = f"{root}/.{name}-{attempt}"
+        encoder = word_encoder(tokenizer_path, width)
+        end = encoder.pack([end_id])
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                b = batch.slice(at, 1024)
+                rows = []
+                if sink is None:
+                    fs.create_dir(root, recursive=True)
+                    sink = fs.open_output_stream(made)
+                for doc_id, ids in zip(b.column("doc_id").to_pylist(), encoder.encode(b.column("text"), end), strict=True):
+                    record = frame(struct.pack(META, doc_id or 0, doc_id is not None, width) + ids)
+                    sink.write(record)
+                    rows.append((part, name, doc_id, offset, len(record), len(ids) // width, tokens))
+                    offset, tokens = offset + len(record), tokens + len(ids) // width
+                kinds = (pa.int64(), pa.string(), *[pa.int64()] * 5)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                    names=["part", "file", "doc_id", "offset", "length", "n_tokens", "token_start"])
+        if sink is not None:
+            sink.close()
+            put_in_place(fs, made, f"{root}/{name}")
+    index = stage(dealt.sortWithinPartitions(*keys).select("doc_id", "text").mapInArrow(write, INDEX), "records-index")
+    # tokens in the files before: sums within blocks of files, and over the blocks
+    sizes = index.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumn("block", F.expr(f"part div {BLOCK_FILES}"))
+    blocks = sizes.groupBy("block").agg(F.sum("n").alias("m"))
+    blocks = blocks.select("block", (F.sum("m").over(Window.orderBy("block")) - F.col("m")).alias("above"))
+    inside = F.sum("n").over(Window.partitionBy("block").orderBy("part")) - F.col("n")
+    before = sizes.withColumn("inside", inside).join(blocks, "block").select("part", (F.col("above") + F.col("inside")).alias("before"))
+    return index.join(before, "part").withColumn("start", F.col("before") + F.col("token_start")).drop("before", "token_start")
 
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:

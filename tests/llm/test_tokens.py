@@ -122,6 +122,54 @@ def test_an_id_with_many_rows_fills_several_files(spark):
     assert [r.doc_id for r in got] == sorted(r.doc_id for r in got) and len(got) == 205
 
 
+def test_equal_rows_fill_several_files(spark):
+    docs = documents(spark, [(5, "same text")] * 300 + [(i, "x") for i in range(9)])
+    folder = records.records_folder(docs)
+    index = records.write_records(docs, folder, WORD_MODEL, files=6)
+    assert index.filter("doc_id = 5").select("file").distinct().count() > 2
+    got = sorted(records.read_records(index, folder).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted(r.doc_id for r in got) and len(got) == 309
+    assert [r.start for r in got[1:]] == [r.start + r.n_tokens for r in got[:-1]]
+
+
+def test_starts_over_several_blocks_of_files(spark, monkeypatch):
+    monkeypatch.setattr(records, "BLOCK_FILES", 2)
+    rows = [(i, f"text {i} " * (i % 4)) for i in range(60)]
+    docs = documents(spark, rows)
+    folder = records.records_folder(docs)
+    index = records.write_records(docs, folder, WORD_MODEL, files=7)
+    assert index.select("file").distinct().count() > 4
+    got = records.read_records(index, folder).collect()
+    assert sorted((r.doc_id, r.start, r.n_tokens, zlib.crc32(bytes(r.tokens))) for r in got) == expected(rows)
+
+
+class NoReplacing:
+    """A file system whose rename refuses a name that is taken."""
+
+    def __init__(self, fs):
+        self.fs = fs
+
+    def move(self, made, name):
+        if self.fs.get_file_info(name).type != pafs.FileType.NotFound:
+            raise OSError("file exists")
+        self.fs.move(made, name)
+
+    def __getattr__(self, name):
+        return getattr(self.fs, name)
+
+
+@pytest.mark.parametrize("wrap", [lambda fs: fs, NoReplacing])
+def test_a_second_attempt_replaces_the_file(tmp_path, wrap):
+    fs = wrap(pafs.LocalFileSystem())
+    made, name = str(tmp_path / ".part-1"), str(tmp_path / "part")
+    for data in (b"first attempt", b"second attempt"):
+        (tmp_path / ".part-1").write_bytes(data)
+        records.put_in_place(fs, made, name)
+        assert (tmp_path / "part").read_bytes() == data and not (tmp_path / ".part-1").exists()
+    with pytest.raises(OSError):
+        records.put_in_place(fs, made, str(tmp_path / "missing"))
+
+
 def test_damage_is_found(spark):
     record = records.frame(b"payload")
     assert records.unframe(record) == b"payload"
