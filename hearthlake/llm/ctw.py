@@ -25,18 +25,18 @@ Scores of grams have single precision; sums over a text have double.
 Defined cases: a null text counts as empty (only its end is scored); rows that repeat are scored
 each; with no training text every bit has probability one half; an empty table gives an empty
 result; only id and text are read, so other columns cannot clash. A very long text is a chunk of
-its own: grams are taken in windows of WINDOW bytes, so that a task needs some 30 bytes of memory
-for each of its bytes.
+its own: its grams are taken by SLICES slices of the groups, so that a task needs some 10 bytes of memory for each of its bytes.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,7 +49,8 @@ GROUP_GRAMS = 1 << 18
 ASKED_GRAMS = 1 << 24  # grams in the rows of one group that one task reads, about 2 bytes each
 CHUNK_BYTES = 1 << 25  # texts whose grams are counted and scored together
 WINDOW = 1 << 19
-HELD_GRAMS = 1 << 21  # grams of windows that wait to be merged
+SLICES = 24  # a chunk's grams are counted and scored by slices of the groups
+HELD_GRAMS = 1 << 21  # grams of rows that wait to be merged
 SAMPLE_BITS = 10  # one gram in 2**SAMPLE_BITS, by its hash, tells how many there are
 SHARED_GRAMS = 2_000_000  # 12 bytes each
 HEAD_WORDS = 1 << 18
@@ -73,7 +74,7 @@ class Grams:
     def __init__(self, texts: list[bytes], depth: int):
         self.depth, self.texts = depth, len(texts)
         self.sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1  # with the end
-        self.buf = bytes(7) + bytes(depth).join(texts) + bytes(depth if texts else 0)
+        self.buf = bytes(depth).join([bytes(7 - depth), *texts, b""])  # seven zero bytes first; made at once, held once
         apart = self.sizes + depth - 1  # the zero bytes between texts, but for the end of each, are no grams
         self.starts = np.cumsum(apart) - apart
 
@@ -103,6 +104,33 @@ class Grams:
             yield gram, texts, np.cumsum(size) - size
 
 
+    def slices(self, groups: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each slice of the groups (at most ``most``): its grams in the order of the texts, and how
+        many of them each text has."""
+        n = len(self.buf) - 7
+        eights = np.ndarray((max(n, 0),), "<u8", self.buf, strides=(1,)) if n else np.zeros(0, np.uint64)
+        keep_depth, count = np.uint64(8 * (8 - self.depth)), min(most, groups)
+        slice_of = np.zeros(n, np.uint8)
+        for at in range(0, n, WINDOW) if count > 1 else ():
+            near = eights[at:at + WINDOW] << np.uint64(8) >> np.uint64(8 * (8 - min(NEAR, self.depth)))
+            slice_of[at:at + WINDOW] = group_of(near, groups) % np.uint64(count)
+        for gap in range(self.depth - 1):  # the zero bytes between texts, but for the end of each, are no grams
+            slice_of[self.starts + self.sizes + gap] = count
+        for part in range(count):
+            at = np.concatenate([np.zeros(0, np.int64), *(
+                np.flatnonzero(slice_of[i:i + WINDOW] == part) + i for i in range(0, n, WINDOW))])
+            eight = eights[at]
+            bounds = np.append(np.searchsorted(at, self.starts), len(at))
+            del at
+            gram = eight << np.uint64(8)
+            gram >>= keep_depth
+            gram <<= np.uint64(8)
+            eight >>= np.uint64(56)
+            gram |= eight
+            del eight
+            yield gram, np.diff(bounds)
+
+
 def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys of sorted arrays, and their counts added up. Merged range by range, so
     that little is held twice."""
@@ -129,18 +157,17 @@ def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return key, np.concatenate(out)
 
 
-def counted(texts: list[bytes], depth: int, train: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct grams of texts and how often they occur (0 where the texts do not train)."""
-    keys, counts, base = [], [], 0
-    for gram, _, _ in Grams(texts, depth).windows():
-        key, n = np.unique(gram, return_counts=True)
-        keys.append(key)
-        counts.append(n.astype(np.int32) * np.int32(train))  # a chunk has fewer than 2**31 bytes
-        del gram, key, n
-        if sum(map(len, keys)) - base > max(base, HELD_GRAMS):  # few grams are held twice
-            key, n = merged(keys, counts)
-            keys, counts, base = [key], [n], len(key)
-    return merged(keys, counts)
+def counted(gram: np.ndarray, train: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct grams and how often they occur (0 where their texts do not train)."""
+    gram = np.sort(gram)
+    first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])[:len(gram)])
+    n = np.diff(np.append(first, len(gram)))
+    return gram[first], n.astype(np.int32) * np.int32(train)  # a chunk has fewer than 2**31 bytes
+
+
+def group_of(near: np.ndarray, groups: int) -> np.ndarray:
+    """The group of contexts, from their nearest bytes."""
+    return ((near * _MIX) >> np.uint64(32)) % np.uint64(groups)
 
 
 def deal(keys: np.ndarray, groups: int, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,7 +175,7 @@ def deal(keys: np.ndarray, groups: int, depth: int) -> tuple[np.ndarray, np.ndar
     near = keys >> np.uint64(8 * (depth + 1 - min(NEAR, depth)))
     starts = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))  # stretches of one context
     near = near[starts]
-    group = ((near * _MIX) >> np.uint64(32)) % np.uint64(groups)
+    group = group_of(near, groups)
     by_group = np.argsort(group, kind="stable")
     group, size = group[by_group].astype(np.int64), np.diff(np.append(starts, len(keys)))[by_group]
     at = np.cumsum(size) - size
@@ -322,6 +349,18 @@ def top_levels(ids: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.n
 # ---- words
 
 
+def split_words(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """The words of lower-cased texts: the number of each, the distinct ones, and how many each text has."""
+    cut = pc.ascii_split_whitespace(texts)
+    found = cut.flatten().dictionary_encode()
+    words = found.dictionary.cast(pa.binary()).to_pylist()
+    number, text = found.indices.to_numpy(), np.repeat(np.arange(len(texts)), np.diff(cut.offsets.to_numpy()))
+    if b"" in words:  # before a leading white space and after a last one
+        word = number != words.index(b"")
+        number, text = number[word], text[word]
+    return number, words, np.bincount(text, minlength=len(texts))
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over the training rows of a table (text, train), the end token included."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,13 +371,18 @@ def word_counts(texts: DataFrame) -> DataFrame:
                                            names=["word", "n"])
             counts.clear()
             return b
-        for b in batches:
-            for text, train in zip(b.column("text"), b.column("train").to_pylist(), strict=True):
-                if train:
-                    counts.update(raw_text(text.as_py()).split())
-                    counts[END] += 1
-            if len(counts) > FLUSH:
-                yield out()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                b = batch.slice(at, 4096)
+                some = pc.ascii_lower(b.column("text").filter(b.column("train")).fill_null(""))
+                number, words, sizes = split_words(some)
+                for w, n in zip(words, np.bincount(number, minlength=len(words)).tolist(), strict=True):
+                    if n:
+                        counts[w] += n
+                if len(some):
+                    counts[END] += len(some)
+                if len(counts) > FLUSH:
+                    yield out()
         if counts:
             yield out()
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -378,19 +422,36 @@ def text_scores(raw: list[bytes], depth: int, keys: np.ndarray, values: np.ndarr
     return total
 
 
-def unigrams(raw: list[memoryview], known: dict[bytes, float]) -> list[list]:
-    """For each text its tokens, those that the head knows, the share of its score that the head
-    gives, and the words that the head lacks."""
-    cells: list[list] = [[] for _ in range(4)]
-    for x in raw:
-        words = bytes(x).split()
-        words.append(END)
-        got = list(map(known.get, words))
-        rare = [w for w, g in zip(words, got, strict=True) if g is None] if None in got else []
-        part = math.fsum(g for g in got if g is not None) if rare else math.fsum(got)
-        for cell, v in zip(cells, (len(words), len(words) - len(rare), part, rare), strict=True):
-            cell.append(v)
-    return cells
+def slice_scores(gram: np.ndarray, sizes: np.ndarray, values_of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sums over each text of the values of one slice's grams; ``values_of`` gives those of sorted
+    distinct grams."""
+    if not len(gram):
+        return np.zeros(len(sizes))
+    order = np.argsort(gram).astype(np.int32)
+    gram = gram[order]
+    new = np.concatenate([[True], gram[1:] != gram[:-1]])
+    gram = gram[new]
+    values = values_of(gram)
+    del gram
+    value = np.empty(len(order), np.float32)
+    value[order] = values[np.cumsum(new, dtype=np.int32) - 1]
+    return np.bincount(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), value, len(sizes))
+
+
+def unigrams(texts: pa.Array, known: dict[bytes, float]) -> list[list]:
+    """For each lower-cased text its tokens, those that the head knows, the share of its score that the
+    head gives, and the words that the head lacks."""
+    number, words, sizes = split_words(texts)
+    end = known.get(END)
+    got = np.array([math.nan if v is None else v for v in map(known.get, words)])[number] if len(number) else np.zeros(0)
+    lacking = np.isnan(got)
+    text = np.repeat(np.arange(len(texts)), sizes)
+    rare = np.bincount(text[lacking], minlength=len(texts))
+    lacked = [words[i] for i in number[lacking].tolist()]
+    stops = np.cumsum(rare).tolist()
+    part = np.bincount(text, np.where(lacking, 0.0, got), len(texts)) + (end or 0.0)
+    missing = [lacked[stop - n:stop] + ([END] if end is None else []) for n, stop in zip(rare.tolist(), stops, strict=True)]
+    return [(sizes + 1).tolist(), (sizes - rare + (end is not None)).tolist(), part.tolist(), missing]
 
 
 # ---- Spark steps
@@ -449,18 +510,24 @@ def _pieces(chunks: DataFrame, groups: int, salts: int, depth: int) -> DataFrame
                 chunk, sides = chunk.as_py(), {True: [], False: []}
                 for side, x in zip(train.as_py(), _texts(sizes.as_py(), text.as_py()), strict=True):
                     sides[side].append(x)
-                both = [counted(sides.pop(side), depth, side) for side in (True, False)]
-                keys, n = merged([k for k, _ in both], [c for _, c in both])
-                del both
-                order, near, cuts = deal(keys, groups, depth)
+                both = [Grams(sides.pop(side), depth).slices(groups, SLICES) for side in (True, False)]
                 salt = (chunk * int(_MIX) >> 32) % salts
-                cells = [(g, salt, chunk, stop - start, pack_keys(keys[order[start:stop]]), pack(n[order[start:stop]].astype(np.int64)))
-                         for g, start, stop in zip(near.tolist(), cuts.tolist(), cuts[1:].tolist())]
-                for at in range(0, len(cells), 4096):
-                    cols = zip(*cells[at:at + 4096], strict=True)
-                    kinds = (pa.int64(),) * 4 + (pa.binary(),) * 2
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                                                     names=["near", "salt", "chunk", "size", "grams", "n"])
+                for (trained, _), (held, _) in zip(*both, strict=True):
+                    some = [counted(trained, True), counted(held, False)]
+                    del trained, held
+                    keys, n = merged([k for k, _ in some], [c for _, c in some])
+                    del some
+                    if not len(keys):
+                        continue
+                    order, near, cuts = deal(keys, groups, depth)
+                    cells = [(g, salt, chunk, stop - start, pack_keys(keys[order[start:stop]]), pack(n[order[start:stop]].astype(np.int64)))
+                             for g, start, stop in zip(near.tolist(), cuts.tolist(), cuts[1:].tolist())]
+                    del keys, n, order
+                    for at in range(0, len(cells), 4096):
+                        cols = zip(*cells[at:at + 4096], strict=True)
+                        kinds = (pa.int64(),) * 4 + (pa.binary(),) * 2
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                                         names=["near", "salt", "chunk", "size", "grams", "n"])
     return chunks.select("chunk", "train", "size", "text").mapInArrow(
         run, "near long, salt long, chunk long, size long, grams binary, n binary")
 
@@ -580,15 +647,19 @@ def _scores_by_table(chunks: DataFrame, table, depth: int) -> DataFrame:
 def _scores_by_answers(chunks: DataFrame, answers: DataFrame, groups: int, depth: int) -> DataFrame:
     """(row, score) from the answers to each chunk."""
     def run(own: pa.Table, got: pa.Table) -> pa.Table:
-        raw = _texts(own["size"][0].as_py(), own["text"][0].as_py())
-        keys = counted(raw, depth, False)[0]
-        order, near, cuts = deal(keys, groups, depth)
-        values = np.empty(len(keys), np.float32)
-        for group, size, scores in zip(got["near"], got["size"], got["scores"], strict=True):
-            at = int(np.searchsorted(near, group.as_py()))
-            values[order[cuts[at]:cuts[at + 1]]] = unpack(scores.as_py(), size.as_py(), np.float32)
-        del order
-        return pa.table({"row": own["row"][0].values, "score": text_scores(raw, depth, keys, values)})
+        grams = Grams(_texts(own["size"][0].as_py(), own["text"][0].as_py()), depth)
+        total, answered = np.zeros(grams.texts), got["near"].to_numpy()
+        count = min(SLICES, groups)
+        for part, (gram, sizes) in enumerate(grams.slices(groups, SLICES)):
+            def values_of(keys: np.ndarray, part: int = part) -> np.ndarray:
+                order, near, cuts = deal(keys, groups, depth)
+                values = np.empty(len(keys), np.float32)
+                for i in np.flatnonzero(answered % count == part).tolist():
+                    at = int(np.searchsorted(near, answered[i]))
+                    values[order[cuts[at]:cuts[at + 1]]] = unpack(got["scores"][i].as_py(), got["size"][i].as_py(), np.float32)
+                return values
+            total += slice_scores(gram, sizes, values_of)
+        return pa.table({"row": own["row"][0].values, "score": total})
     return (chunks.select("chunk", "row", "size", "text").groupBy("chunk").cogroup(answers.groupBy("chunk"))
             .applyInArrow(run, "row long, score double"))
 
@@ -603,10 +674,17 @@ def _unigrams(chunks: DataFrame, head) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row, ids, sizes, text in zip(*(b.column(c) for c in ("row", "id", "size", "text")), strict=True):
-                n_tokens, n_known, part, rare = unigrams(_texts(sizes.as_py(), text.as_py()), head.value)
-                yield pa.RecordBatch.from_arrays(
-                    [row.values, ids.values, sizes.values, pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
-                     pa.array(part, pa.float64()), pa.array(rare, pa.list_(pa.binary()))], names=schema.names)
+                size = sizes.values.to_numpy()
+                whole = pa.decompress(text.as_py(), int(size.sum()), "zstd") if size.any() else pa.py_buffer(b"")
+                bounds = np.concatenate([[0], np.cumsum(size)])
+                row, ids = row.values, ids.values
+                for at in range(0, len(row), 4096):  # the words of some texts at a time
+                    to = min(len(row), at + 4096)
+                    some = pa.LargeStringArray.from_buffers(to - at, pa.py_buffer(bounds[at:to + 1]), whole)
+                    n_tokens, n_known, part, rare = unigrams(some, head.value)
+                    yield pa.RecordBatch.from_arrays(
+                        [row[at:to], ids[at:to], pa.array(size[at:to]), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
+                         pa.array(part, pa.float64()), pa.array(rare, pa.list_(pa.binary()))], names=schema.names)
     return chunks.select("row", "id", "size", "text").mapInArrow(run, schema)
 
 
