@@ -49,7 +49,7 @@ GROUP_GRAMS = 1 << 18
 ASKED_GRAMS = 1 << 24  # grams in the rows of one group that one task reads, about 2 bytes each
 CHUNK_BYTES = 1 << 25  # texts whose grams are counted and scored together
 WINDOW = 1 << 19
-SLICES = 24  # a chunk's grams are counted and scored by slices of the groups
+SLICES = 16  # a chunk's grams are counted and scored by slices of the groups
 HELD_GRAMS = 1 << 21  # grams of rows that wait to be merged
 SAMPLE_BITS = 10  # one gram in 2**SAMPLE_BITS, by its hash, tells how many there are
 SHARED_GRAMS = 2_000_000  # 12 bytes each
@@ -157,12 +157,12 @@ def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return key, np.concatenate(out)
 
 
-def counted(gram: np.ndarray, train: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct grams and how often they occur (0 where their texts do not train)."""
+def counted(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct grams and how often they occur."""
     gram = np.sort(gram)
     first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])[:len(gram)])
     n = np.diff(np.append(first, len(gram)))
-    return gram[first], n.astype(np.int32) * np.int32(train)  # a chunk has fewer than 2**31 bytes
+    return gram[first], n.astype(np.int32)  # a chunk has fewer than 2**31 bytes
 
 
 def group_of(near: np.ndarray, groups: int) -> np.ndarray:
@@ -349,20 +349,8 @@ def top_levels(ids: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.n
 # ---- words
 
 
-def split_words(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-    """The words of lower-cased texts: the number of each, the distinct ones, and how many each text has."""
-    cut = pc.ascii_split_whitespace(texts)
-    found = cut.flatten().dictionary_encode()
-    words = found.dictionary.cast(pa.binary()).to_pylist()
-    number, text = found.indices.to_numpy(), np.repeat(np.arange(len(texts)), np.diff(cut.offsets.to_numpy()))
-    if b"" in words:  # before a leading white space and after a last one
-        word = number != words.index(b"")
-        number, text = number[word], text[word]
-    return number, words, np.bincount(text, minlength=len(texts))
-
-
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n) over the training rows of a table (text, train), the end token included."""
+def word_counts(chunks: DataFrame) -> DataFrame:
+    """(word, n) over the training texts of chunks, the end token included."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
 
@@ -371,21 +359,18 @@ def word_counts(texts: DataFrame) -> DataFrame:
                                            names=["word", "n"])
             counts.clear()
             return b
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                b = batch.slice(at, 4096)
-                some = pc.ascii_lower(b.column("text").filter(b.column("train")).fill_null(""))
-                number, words, sizes = split_words(some)
-                for w, n in zip(words, np.bincount(number, minlength=len(words)).tolist(), strict=True):
-                    if n:
-                        counts[w] += n
-                if len(some):
-                    counts[END] += len(some)
-                if len(counts) > FLUSH:
-                    yield out()
+        for b in batches:
+            for train, sizes, text in zip(*(b.column(c) for c in ("train", "size", "text")), strict=True):
+                for side, x in zip(train.as_py(), _texts(sizes.as_py(), text.as_py()), strict=True):
+                    if side:
+                        counts.update(bytes(x).split())
+                        counts[END] += 1
+                        if len(counts) > FLUSH:
+                            yield out()
         if counts:
             yield out()
-    return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return (chunks.select("train", "size", "text").mapInArrow(run, "word binary, n long")
+            .groupBy("word").agg(F.sum("n").alias("n")))
 
 
 def frequent_words(words: DataFrame, most: int) -> dict[bytes, float]:
@@ -438,20 +423,29 @@ def slice_scores(gram: np.ndarray, sizes: np.ndarray, values_of: Callable[[np.nd
     return np.bincount(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), value, len(sizes))
 
 
-def unigrams(texts: pa.Array, known: dict[bytes, float]) -> list[list]:
+def unigrams(texts: pa.Array, known: dict[bytes, float]) -> list[pa.Array]:
     """For each lower-cased text its tokens, those that the head knows, the share of its score that the
-    head gives, and the words that the head lacks."""
-    number, words, sizes = split_words(texts)
-    end = known.get(END)
-    got = np.array([math.nan if v is None else v for v in map(known.get, words)])[number] if len(number) else np.zeros(0)
+    head gives, and the words that the head lacks. Each distinct word is looked up once."""
+    cut = pc.ascii_split_whitespace(texts)
+    found = cut.flatten().dictionary_encode()
+    words = found.dictionary.cast(pa.large_binary())
+    value = np.array([math.nan if v is None else v for v in map(known.get, words.to_pylist())], float)
+    number, text = found.indices.to_numpy(), np.repeat(np.arange(len(texts)), np.diff(cut.offsets.to_numpy()))
+    blank = pc.index(words, pa.scalar(b"", pa.large_binary())).as_py()  # beside white space at the ends of a text
+    if blank >= 0:
+        word = number != blank
+        number, text = number[word], text[word]
+    count, got, end = np.bincount(text, minlength=len(texts)), value[number], known.get(END)
     lacking = np.isnan(got)
-    text = np.repeat(np.arange(len(texts)), sizes)
-    rare = np.bincount(text[lacking], minlength=len(texts))
-    lacked = [words[i] for i in number[lacking].tolist()]
-    stops = np.cumsum(rare).tolist()
+    rare, lacked = np.bincount(text[lacking], minlength=len(texts)), number[lacking]
     part = np.bincount(text, np.where(lacking, 0.0, got), len(texts)) + (end or 0.0)
-    missing = [lacked[stop - n:stop] + ([END] if end is None else []) for n, stop in zip(rare.tolist(), stops, strict=True)]
-    return [(sizes + 1).tolist(), (sizes - rare + (end is not None)).tolist(), part.tolist(), missing]
+    n_known = count - rare + (end is not None)
+    if end is None:  # one more for each text
+        lacked, rare = np.insert(lacked, np.cumsum(rare), len(words)), rare + 1
+        words = pa.concat_arrays([words, pa.array([END], pa.large_binary())])
+    offsets = np.append(0, np.cumsum(rare)).astype(np.int32)
+    missing = pa.ListArray.from_arrays(offsets, words.take(pa.array(lacked)).cast(pa.binary()))
+    return [pa.array(count + 1), pa.array(n_known), pa.array(part), missing]
 
 
 # ---- Spark steps
@@ -513,12 +507,14 @@ def _pieces(chunks: DataFrame, groups: int, salts: int, depth: int) -> DataFrame
                 both = [Grams(sides.pop(side), depth).slices(groups, SLICES) for side in (True, False)]
                 salt = (chunk * int(_MIX) >> 32) % salts
                 for (trained, _), (held, _) in zip(*both, strict=True):
-                    some = [counted(trained, True), counted(held, False)]
+                    own, count = counted(trained)
+                    keys = counted(np.concatenate([own, held]))[0]
                     del trained, held
-                    keys, n = merged([k for k, _ in some], [c for _, c in some])
-                    del some
                     if not len(keys):
                         continue
+                    n = np.zeros(len(keys), np.int32)  # 0 where only held-out texts have a gram
+                    n[np.searchsorted(keys, own)] = count
+                    del own, count
                     order, near, cuts = deal(keys, groups, depth)
                     cells = [(g, salt, chunk, stop - start, pack_keys(keys[order[start:stop]]), pack(n[order[start:stop]].astype(np.int64)))
                              for g, start, stop in zip(near.tolist(), cuts.tolist(), cuts[1:].tolist())]
@@ -678,13 +674,11 @@ def _unigrams(chunks: DataFrame, head) -> DataFrame:
                 whole = pa.decompress(text.as_py(), int(size.sum()), "zstd") if size.any() else pa.py_buffer(b"")
                 bounds = np.concatenate([[0], np.cumsum(size)])
                 row, ids = row.values, ids.values
-                for at in range(0, len(row), 4096):  # the words of some texts at a time
-                    to = min(len(row), at + 4096)
+                for at in range(0, len(row), 2048):  # the words of some texts at a time
+                    to = min(len(row), at + 2048)
                     some = pa.LargeStringArray.from_buffers(to - at, pa.py_buffer(bounds[at:to + 1]), whole)
-                    n_tokens, n_known, part, rare = unigrams(some, head.value)
-                    yield pa.RecordBatch.from_arrays(
-                        [row[at:to], ids[at:to], pa.array(size[at:to]), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
-                         pa.array(part, pa.float64()), pa.array(rare, pa.list_(pa.binary()))], names=schema.names)
+                    cells = unigrams(some, head.value)
+                    yield pa.RecordBatch.from_arrays([row[at:to], ids[at:to], pa.array(size[at:to]), *cells], names=schema.names)
     return chunks.select("row", "id", "size", "text").mapInArrow(run, schema)
 
 
@@ -718,7 +712,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         answers = _answers(groups, top, depth) if salts == 1 else _answers_by_salt(groups, _scored(whole, top, depth))
         scores = _scores_by_answers(chunks, answers, count, depth)
     scores = stage(scores, "ctw-scores")  # before the words, so that a task does not hold both
-    words = stage(word_counts(texts.select("text", "train")), "ctw-words")
+    words = stage(word_counts(chunks), "ctw-words")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     first = stage(_unigrams(chunks, spark.sparkContext.broadcast(frequent_words(words, head_words))), "ctw-rows")
     rare = first.select("row", F.explode("rare").alias("word"))

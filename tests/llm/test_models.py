@@ -160,7 +160,7 @@ def test_shared_and_joined_scores_agree(spark):
 
 def test_context_tree_chances_add_up():
     context = np.uint64(int.from_bytes(b"rbadaca", "big") << 8)  # nearest byte first
-    keys, n = ctw.counted(next(ctw.Grams([b"abracadabra"], 7).slices(1, 1))[0], True)
+    keys, n = ctw.counted(next(ctw.Grams([b"abracadabra"], 7).slices(1, 1))[0])
     top = ctw.top_levels(*ctw_top(keys, n, 7), 7)
     every, counts = ctw.merged([context + np.arange(256, dtype=np.uint64), keys], [np.zeros(256, np.int64), n])
     scores = ctw.Contexts(every, counts, 7).scores(top)
@@ -195,14 +195,14 @@ def test_grams_of_windows_and_packing(monkeypatch):
             assert ctw.text_scores(texts, depth, keys, numbers(keys)).tolist() == sums
             total, seen = 0, []
             for part, (gram, sizes) in enumerate(ctw.Grams(texts, depth).slices(9, 4)):
-                some, n = ctw.counted(gram, True)
+                some, n = ctw.counted(gram)
                 seen += some.tolist()
                 assert n.sum() == len(gram) == sizes.sum() and (ctw.deal(some, 9, depth)[1] % 4 == part).all()
                 total = total + ctw.slice_scores(gram, sizes, numbers)
             assert sorted(seen) == keys.tolist() and total.tolist() == sums
         (gram, sizes), = ctw.Grams(texts, depth).slices(5, 1)
         assert gram.tolist() == [x for t in want for x in t] and sizes.tolist() == [len(t) for t in want]
-        keys, n = ctw.counted(gram, True)
+        keys, n = ctw.counted(gram)
         every = Counter(x for t in want for x in t)
         assert keys.tolist() == sorted(every) and n.tolist() == [every[k] for k in sorted(every)]
         assert (ctw.unpack_keys(ctw.pack_keys(keys), len(keys)) == keys).all() and (ctw.unpack(ctw.pack(n), len(n), np.int32) == n).all()
@@ -211,18 +211,19 @@ def test_grams_of_windows_and_packing(monkeypatch):
         near = [{int(k) >> 8 * (depth + 1 - min(3, depth)) for k in keys[order[a:b]]} for a, b in zip(cuts, cuts[1:])]
         assert sum(map(len, near)) == len(set().union(*near)) and all((np.diff(order[a:b]) > 0).all() for a, b in zip(cuts, cuts[1:]))
     assert list(ctw.Grams([], 7).windows()) == [] and [len(g) for g, _ in ctw.Grams([], 7).slices(3, 3)] == [0] * 3
-    assert len(ctw.counted(np.zeros(0, np.uint64), True)[0]) == 0
+    assert len(ctw.counted(np.zeros(0, np.uint64))[0]) == 0
 
 
 def test_words_of_texts():
     texts = ["", " a  b\x0b", "\t", "a\u00a0b \u2028 a", "x\x1cy c", "a"]
-    cells = ctw.unigrams(pa.array(texts, pa.large_string()), {b"a": 0.5, b"b": 0.25})
+    cells = [c.to_pylist() for c in ctw.unigrams(pa.array(texts, pa.large_string()), {b"a": 0.5, b"b": 0.25})]
     words = [t.encode().split() for t in texts]
     assert cells[0] == [len(w) + 1 for w in words]
     assert cells[1] == [sum(x in (b"a", b"b") for x in w) for w in words]
     assert cells[2] == [sum({b"a": .5, b"b": .25}.get(x, 0) for x in w) for w in words]
     assert cells[3] == [[*(x for x in w if x not in (b"a", b"b")), b""] for w in words]
-    assert ctw.unigrams(pa.array(["q", " "], pa.large_string()), {b"": 2.0}) == [[2, 1], [1, 1], [2.0, 2.0], [[b"q"], []]]
+    cells = ctw.unigrams(pa.array(["x", "q", " "], pa.large_string())[1:], {b"": 2.0})
+    assert [c.to_pylist() for c in cells] == [[2, 1], [1, 1], [2.0, 2.0], [[b"q"], []]]
 
 
 def test_language_model_on_an_empty_table_and_untrained(spark):
