@@ -73,6 +73,29 @@ def test_slices_give_the_rows_of_one_window_per_store(spark, monkeypatch):
     assert tasks > 10
 
 
+def test_panel_reads_stored_rows_and_shuffles_no_empty_days(spark):
+    """Dates, stores and panel read the revenue written once, and a store's days without sales are made after the shuffle."""
+    d0 = date(2024, 1, 1)
+    values = [Decimal("90000000000.01"), Decimal("-3.5"), Decimal("0.07"), Decimal("4000000.01")]
+    daily = (spark.createDataFrame([("a", d0 + timedelta(days=100 * i), v) for i, v in enumerate(values)], DAILY)
+             .join(spark.range(1).select(F.lit(True).alias("k")), F.lit(True)).drop("k"))
+    frames = forecast_frames(daily)
+    plan = frames.usable._jdf.queryExecution().toString()
+    physical = plan.split("== Physical Plan ==")[-1]
+    assert "Range (" not in physical and "LogicalRDD" not in physical
+    assert "sequence(2024" not in physical
+    exchange = physical.index("Exchange hashpartitioning(store_id")
+    assert physical.index("Generate explode(CASE WHEN (_days") < exchange  # plans are printed from the last step down
+    rows = sorted(frames.features.collect(), key=lambda r: r.reporting_date)
+    assert [r.reporting_date for r in rows] == [d0 + timedelta(days=i) for i in range(301)]
+    revenue = {d0 + timedelta(days=100 * i): v for i, v in enumerate(values)}
+    for r in rows[7:]:
+        last = [revenue.get(r.reporting_date - timedelta(days=k), Decimal(0)) for k in range(7, 0, -1)]
+        spread = 7 * sum(v * v for v in last) - sum(last) ** 2
+        assert r.rolling_std_7 == pytest.approx((float(spread) / 42) ** 0.5, rel=1e-15)
+        assert r.lag_7 == float(last[0]) and r.lag_1 == float(last[-1])
+
+
 def test_step_features_from_history(spark):
     state = spark.createDataFrame([("a", [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0], date(2024, 1, 6), 10.0),
                                    ("b", [4.0, 6.0], date(2024, 1, 6), 10.0)],
