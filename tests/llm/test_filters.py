@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from cases import LONG, ROWS, documents, empty
@@ -370,6 +371,36 @@ def test_weak_matches_with_the_answer_against_brute_force(spark):
     got = decontaminate.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, x.item_id) for r in got for x in r.leaks} == want
 
+
+def test_the_latent_space_is_fitted_on_all_windows(spark, monkeypatch):
+    rng = random.Random(5)
+    terms = [f"t{i}" for i in range(60)]
+    block = decontaminate.Block([0, 1], [terms[:40], terms[30:]], {w: i for i, w in enumerate(terms)})
+    texts = [" ".join(rng.choices([*terms[i % 50:i % 50 + 10], "other"], k=rng.randint(0, 90))) for i in range(2_600)]
+    df = spark.createDataFrame([(i % 7, t) for i, t in enumerate(texts)] + [(None, None)], "id long, text string").repartition(5)
+    places = decontaminate.term_places(df, block)
+    seen = []
+
+    def products(shared):
+        seen.append(shared.value)
+        return own(shared)
+    own = decontaminate._products
+    monkeypatch.setattr(decontaminate, "_products", products)
+    decontaminate.fit(block, places)
+    idf, basis = (x.astype(float) for x in seen[0])
+    n_docs = [sum(w in t.split() for t in texts) for w in terms]
+    assert np.allclose(idf, [(math.log((len(texts) + 2) / (n + 1)) + 0.05) * (n <= decontaminate.COMMON * (len(texts) + 1)) for n in n_docs])
+    windows = [w[a:a + 36] for w in (t.split() for t in texts) for a in range(0, len(w), 36)]
+    matrix = np.array([[w.count(t) for t in terms] for w in windows]) * idf
+    matrix = matrix[matrix.any(1)]
+    matrix /= np.sqrt((matrix ** 2).sum(1, keepdims=True))
+    mine = np.zeros((2, len(terms)))
+    for i, p in enumerate(block.passages):
+        at, x = decontaminate._tf_idf(block.term_ids(p), idf)
+        mine[i, at] = x
+    want = np.linalg.qr(matrix.T @ (matrix @ basis) + len(matrix) / 2 * mine.T @ (mine @ basis))[0]
+    assert np.allclose(np.abs(seen[1][1]), np.abs(want), atol=1e-3)
+
 # ---- pipeline
 
 
