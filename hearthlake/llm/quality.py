@@ -5,9 +5,11 @@ Words and runs of punctuation are tokens; a token equal to the one before it bec
 mark, so stuttering text has features of its own. One- and two-token grams are hashed into
 ``2**BITS`` coordinates, counted over the whole text and scaled to length one.
 
-Training takes about ``TRAIN_ROWS`` distinct labelled rows (picked by a hash of id and text, a
-documented bound; scoring reads every row). They are dealt over shards; each shard runs FTRL from
-the common state over its rows, and the shards' states are averaged after every round.
+Training takes every distinct labelled row (unless a caller sets ``TRAIN_ROWS``). The rows are dealt
+by a hash over shards of about ``SHARD_ROWS``, at least ``SHARDS``, and their features are written
+once, by shard. In every round each shard runs FTRL from the common state over its rows, row by row
+as they are read; the shards' states are averaged by parts of the coordinates, as grouped sums, so
+that what reaches the driver is one state however many shards there are.
 
 Defined cases: a null or empty text has the bias as its only feature and gets a score as any
 other; labels that are null are ignored, and of repeated labels for one id the smallest counts;
@@ -31,8 +33,10 @@ from hearthlake.llm.common import bounded_sample, id_crc32, stage
 
 BITS = 18
 GRAMS = 2
-TRAIN_ROWS = 12_000
-SHARDS = 8
+TRAIN_ROWS = None  # about so many rows are learnt from, all of them without a number
+SHARDS, SHARD_ROWS = 8, 16_384
+SHARED_KEYS = 1_000_000  # keys of labelled rows (about 130 bytes each) that are shared with the tasks; beyond, a join
+PART = 2048  # coordinates of a part of a state
 ROUNDS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
 THRESHOLD = 0.7
@@ -97,50 +101,102 @@ def sigmoid(v: float) -> float:
 
 def training_rows(docs: DataFrame, labels: DataFrame, usable: Column | None, id_col: str, text_col: str,
                   label_col: str) -> DataFrame:
-    """About TRAIN_ROWS of the labelled rows that differ in id or text, dealt over SHARDS."""
+    """The labelled rows that differ in id or text, dealt over shards of about SHARD_ROWS."""
     one = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     if usable is not None:
         one = one.filter(usable)
     one = one.groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("double").alias("y"))
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     texts = texts.withColumn("h", F.xxhash64("id", "text"))
-    keys = stage(texts.select("id", "h").join(one, "id"), "quality-keys")  # an id may have many texts: rows are bounded, not ids
-    keys = bounded_sample(keys, TRAIN_ROWS, "id", "h")
-    # the broadcast side has about TRAIN_ROWS keys
-    rows = texts.join(F.broadcast(keys), ["id", "h"]).dropDuplicates(["id", "h"])
-    return rows.select(F.pmod("h", F.lit(SHARDS)).alias("shard"), "h", "id", "text", "y")
+    keys = stage(texts.select("id", "h").join(one, "id"), "quality-keys")
+    repeated = not keys.groupBy("id", "h").count().filter("count > 1").isEmpty()
+    if TRAIN_ROWS is not None:  # an id may have many texts: rows are bounded, not ids
+        keys = bounded_sample(keys, TRAIN_ROWS, "id", "h")
+    n = keys.count()
+    shards = max(SHARDS, -(-n // SHARD_ROWS))
+    keys = keys.dropDuplicates(["id", "h"])
+    # up to SHARED_KEYS no text is shuffled for the join
+    rows = texts.join(F.broadcast(keys) if n <= SHARED_KEYS else keys, ["id", "h"])
+    if repeated:  # rows that agree in id and text: any one of them
+        rows = rows.dropDuplicates(["id", "h"])
+    return rows.select(F.pmod("h", F.lit(shards)).alias("shard"), "h", "id", "text", "y")
+
+
+def packed(at: np.ndarray) -> bytes:
+    """Sorted coordinates as their differences, the first bytes of all, then the second ones, and so
+    on, which compresses well."""
+    return np.diff(at, prepend=0).astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel())
+
+
+def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their features in place of the text."""
+    for b in batches:
+        found = [features(text.as_py()) for text in b.column("text")]
+        kept = [c for c in b.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays(
+            [*(b.column(c) for c in kept), pa.array([packed(at) for at, _ in found], pa.binary()),
+             pa.array([x.tobytes() for _, x in found], pa.binary())], names=[*kept, "at", "x"])
 
 
 def _shard_round(shared):
-    """One pass of FTRL over the rows of a shard, from the common state."""
-    def fit(table: pa.Table) -> pa.Table:
+    """One pass of FTRL over the rows of each shard, from the common state; rows come shard by shard."""
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z, n = shared.value
-        own = Ftrl(z.copy(), n.copy())
-        t = table.sort_by([("h", "ascending"), ("id", "ascending")])
-        for text, y in zip(t["text"], t["y"], strict=True):
-            own.learn(*features(text.as_py()), y.as_py())
-        return pa.table({"shard": [t["shard"][0].as_py()], "n_rows": [t.num_rows],
-                         "z": [own.z.tobytes()], "n": [own.n.tobytes()]})
+        shard, first, rows, own = None, None, 0, None
+
+        def states() -> Iterator[pa.RecordBatch]:
+            for part in range(len(z) // PART):
+                here = slice(part * PART, (part + 1) * PART)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], t) for v, t in ((part, pa.int64()), (shard, pa.int64()), (first, pa.int64()), (rows, pa.int64()),
+                                                   (own.z[here].tobytes(), pa.binary()), (own.n[here].tobytes(), pa.binary()))],
+                    names=["part", "shard", "first", "n_rows", "z", "n"])
+        for b in batches:
+            for s, h, y, at, x in zip(*(b.column(c) for c in ("shard", "h", "y", "at", "x")), strict=True):
+                if s.as_py() != shard:
+                    if own is not None:
+                        yield from states()
+                    shard, first, rows, own = s.as_py(), h.as_py(), 0, Ftrl(z.copy(), n.copy())
+                own.learn(unpacked(at.as_buffer()), np.frombuffer(x.as_buffer(), np.float32), y.as_py())
+                rows += 1
+        if own is not None:
+            yield from states()
     return fit
 
 
+def _averaged(table: pa.Table) -> pa.Table:
+    """The mean of the shards' states for one part, each shard counted by its rows."""
+    t = table.sort_by([("shard", "ascending"), ("first", "ascending")])
+    share = np.array(t["n_rows"].to_pylist(), np.float32)
+    share /= share.sum()
+    mean = lambda c: sum(s * np.frombuffer(x.as_buffer(), np.float32) for s, x in zip(share, t[c], strict=True))
+    return pa.table({"part": [t["part"][0].as_py()], "z": pa.array([mean("z").tobytes()], pa.binary()),
+                     "n": pa.array([mean("n").tobytes()], pa.binary())})
+
+
 def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "quality") -> np.ndarray | None:
     """Weights of the classifier, or None where there is no labelled row. ``usable`` picks the
     rows of ``labels`` that may be learnt from."""
-    rows = stage(training_rows(docs, labels, usable, id_col, text_col, label_col), "quality-train")
+    rows = training_rows(docs, labels, usable, id_col, text_col, label_col)
+    kept = [f for f in rows.schema.fields if f.name != "text"]
+    schema = T.StructType([*kept, T.StructField("at", T.BinaryType()), T.StructField("x", T.BinaryType())])
+    rows = rows.mapInArrow(_encode, schema).repartition("shard").sortWithinPartitions("shard", "h", "id")
+    rows = stage(rows, "quality-train")
     spark = docs.sparkSession
     state = Ftrl.empty()
-    schema = "shard long, n_rows long, z binary, n binary"
     for _ in range(ROUNDS):
         shared = spark.sparkContext.broadcast((state.z, state.n))
-        got = rows.groupBy("shard").applyInArrow(_shard_round(shared), schema).collect()  # SHARDS states of fixed size
+        states = rows.mapInArrow(_shard_round(shared), "part long, shard long, first long, n_rows long, z binary, n binary")
+        got = states.groupBy("part").applyInArrow(_averaged, "part long, z binary, n binary").collect()  # one state
         if not got:
             return None
-        share = np.array([r.n_rows for r in got], np.float32)
-        share /= share.sum()
-        state = Ftrl(sum(s * np.frombuffer(r.z, np.float32) for s, r in zip(share, got, strict=True)),
-                     sum(s * np.frombuffer(r.n, np.float32) for s, r in zip(share, got, strict=True)))
+        got.sort(key=lambda r: r.part)
+        state = Ftrl(*(np.concatenate([np.frombuffer(r[c], np.float32) for r in got]) for c in ("z", "n")))
         shared.unpersist()
     return state.weights()
 

@@ -61,6 +61,29 @@ def test_quality_with_awkward_rows(spark):
     assert quality.score(empty(spark), weights).collect() == []
 
 
+def test_quality_learns_from_every_labelled_row(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SHARD_ROWS", 1_500)
+    docs = spark.createDataFrame([(i, f"word{i}") for i in range(14_000)] + [(3, "word3"), (4, "more")], "doc_id long, text string")
+    labels = spark.range(13_998).selectExpr("id doc_id", "int(id % 3 = 0) quality")
+    rows = quality.training_rows(docs, labels, None, "doc_id", "text", "quality").collect()
+    assert sorted((r.id, r.text) for r in rows) == sorted([*((i, f"word{i}") for i in range(13_998)), (4, "more")])
+    shards = {s: [r for r in rows if r.shard == s] for s in {r.shard for r in rows}}
+    assert len(shards) == 10 and max(map(len, shards.values())) < 1_700
+    monkeypatch.setattr(quality, "ROUNDS", 1)
+    states = []
+    for _, here in sorted(shards.items()):
+        own = quality.Ftrl.empty()
+        for r in sorted(here, key=lambda r: (r.h, r.id)):
+            own.learn(*quality.features(r.text), r.y)
+        states.append((len(here) / len(rows), own))
+    want = quality.Ftrl(sum(s * o.z for s, o in states), sum(s * o.n for s, o in states)).weights()
+    assert np.allclose(quality.train(docs, labels), want, atol=1e-4)
+    monkeypatch.setattr(quality, "SHARED_KEYS", 10)
+    assert np.allclose(quality.train(docs, labels), want, atol=1e-4)
+    at = np.array([0, 3, 70_000, 70_001, (1 << quality.BITS) - 1])
+    assert quality.unpacked(quality.packed(at)).tolist() == at.tolist()
+
+
 def test_samples_are_bounded_and_not_filled_by_one_key(spark):
     rows = [(None, f"null {i}") for i in range(10_000)] + [(7, "the same")] * 10_000 + [(i, f"text {i}") for i in range(100, 10_100)]
     some = lambda n: Counter(tuple(r) for r in bounded_sample(
