@@ -92,11 +92,14 @@ class Block:
     def __post_init__(self):
         self.words = list(self.terms)
         self.masks = [masks_of(p) for p in self.passages]
-        self.counts = [{w: x.bit_count() for w, x in m.items()} for m in self.masks]
         # positions of a passage that must be found, and those that do without its answer
         self.least = [least_found(len(p), FEW_SHARE if len(p) < FEW_WORDS else WEAK) for p in self.passages]
         self.enough = [least_found(len(p), STRONG) for p in self.passages]
         self.answers = [(masks_of(p[-ANSWER_WORDS:]), len(p[-ANSWER_WORDS:])) for p in self.passages]
+        # how often each word stands in a passage and in its answer, by the word and by its number
+        self.counts = [tuple({w: x.bit_count() for w, x in m.items()} for m in (mask, answer))
+                       for mask, (answer, _) in zip(self.masks, self.answers, strict=True)]
+        self.numbered = [tuple({self.terms.get(w): n for w, n in c.items()} for c in both) for both in self.counts]
 
     def term_ids(self, words: list[str]) -> np.ndarray:
         get = self.terms.get
@@ -144,8 +147,9 @@ class Block:
                 if (d, p, part) in tried:
                     continue
                 if (d, begin) != around:
-                    around, here = (d, begin), set(self.known(texts[d][max(0, begin - PASSAGE):begin + SPAN * STEP + PASSAGE]))
-                if not self.possible(p, here):
+                    around = (d, begin)
+                    here = set(texts[d][max(0, begin - PASSAGE):begin + SPAN * STEP + PASSAGE].tolist())
+                if not self.possible(p, here, self.numbered):
                     continue
                 tried.add((d, p, part))
                 # the passage may begin before the window or go on after it
@@ -160,22 +164,20 @@ class Block:
         """The terms at these places, in order; a passage has no other words."""
         return [self.words[i] for i in ids[ids >= 0].tolist()]
 
-    def possible(self, p: int, here: set[str]) -> bool:
-        """Whether the passage can be found among these words: a position whose word is not there
-        at all is never found. Loses nothing that the verdict would find."""
-        count = self.counts[p]
-        there = count.keys() & here
-        n = sum(map(count.__getitem__, there))
+    def possible(self, p: int, here: set, counts: list[tuple[dict, dict]]) -> bool:
+        """Whether the passage can be found among these words (or numbers of words, as ``counts`` has them): a
+        position whose word is not there at all is never found. Loses nothing that the verdict would find."""
+        count, answer = counts[p]
+        n = sum(map(count.__getitem__, count.keys() & here))
         if n < self.least[p] or n >= self.enough[p]:
             return n >= self.least[p]
-        answer, size = self.answers[p]
-        return sum(x.bit_count() for w, x in answer.items() if w in there) >= ANSWER_SHARE * size
+        return sum(map(answer.__getitem__, answer.keys() & here)) >= ANSWER_SHARE * self.answers[p][1]
 
     def verdict(self, p: int, words: list[str]) -> float:
         """Share of the passage's words found in order, 0 where that is no contamination."""
         masks, size = self.masks[p], len(self.passages[p])
         held = [w for w in words if w in masks]
-        if not self.possible(p, set(held)):
+        if not self.possible(p, set(held), self.counts):
             return 0.0
         need = FEW_SHARE if size < FEW_WORDS else WEAK
         share = lcs(masks, size, held) / size

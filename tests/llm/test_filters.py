@@ -436,3 +436,17 @@ def test_stages_take_awkward_and_empty_tables(spark):
             assert docs.columns == columns, name
         last = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL)
         assert last.count() == docs.count()
+
+
+def test_windows_that_cannot_hold_a_passage_are_rejected_by_numbers(monkeypatch):
+    words = [f"w{i}" for i in range(decontaminate.PASSAGE)]
+    n = len(words)
+    block = decontaminate.Block([7], [words], {w: i for i, w in enumerate(words)}, np.eye(n, dtype=np.float32),
+                                np.full((n, 1), n ** -0.5, np.float32), np.r_[np.ones(n, bool), False])
+    few, whole = np.arange(n // 2, dtype=np.int32), np.arange(n, dtype=np.int32)
+    assert [[(p, share) for p, _, share, _ in found] for found in block.matches([few, whole])] == [[], [(0, 1.0)]]
+
+    def known(self, ids):
+        raise AssertionError("words were read")
+    monkeypatch.setattr(decontaminate.Block, "known", known)
+    assert block.matches([few]) == [[]]  # near the passage, yet too few of its words
