@@ -82,16 +82,19 @@ def _mismatch(left_cols, right_cols) -> Column:
 # P17 foundation
 # ---------------------------------------------------------------------------
 
-def _key_pairs(transactions: DataFrame, customers: DataFrame, stores: DataFrame) -> DataFrame:
-    """Transactions per (customer, store), with a mark for each key that its
-    dimension knows. Counting first leaves a hot customer one row per store,
-    so neither join sees its transactions."""
-    def known(dimension: DataFrame, key: str, mark: str) -> DataFrame:
-        return dimension.select(F.col(key).alias(f"{mark}_key")).distinct().withColumn(mark, F.lit(True))
-    pairs = transactions.groupBy("customer_id", "store_id").agg(F.count(F.lit(1)).alias("_n"))
-    c, s = known(customers, "customer_id", "_customer"), known(stores, "store_id", "_store")
-    return (pairs.join(c, F.col("customer_id") == F.col("_customer_key"), "left")
-            .join(s, F.col("store_id") == F.col("_store_key"), "left"))
+def _key_counts(transactions: DataFrame, customers: DataFrame, stores: DataFrame) -> DataFrame:
+    """Transactions per customer and per store (``_by_customer`` says which), with a mark for each key that its
+    dimension knows. Counting each key by itself holds one row per key, not one per pair of keys, and a hot
+    key reaches the join as one row."""
+    def known(dimension: DataFrame, key: str, by_customer: bool) -> DataFrame:
+        return dimension.select(F.lit(by_customer).alias("_of_customers"), F.col(key).alias("_known")).distinct()
+    by_customer = F.grouping_id() == 1  # the store is the key that is not grouped by
+    counts = (transactions.groupingSets([["customer_id"], ["store_id"]], "customer_id", "store_id")
+              .agg(F.count(F.lit(1)).alias("_n"), by_customer.alias("_by_customer"))
+              .select("_by_customer", F.when(F.col("_by_customer"), F.col("customer_id")).otherwise(F.col("store_id"))
+                      .alias("_key"), "_n"))
+    keys = known(customers, "customer_id", True).unionByName(known(stores, "store_id", False))
+    return counts.join(keys, (F.col("_by_customer") == F.col("_of_customers")) & (F.col("_key") == F.col("_known")), "left")
 
 
 def foundation_checks(transactions: DataFrame, customers: DataFrame, stores: DataFrame,
@@ -109,11 +112,11 @@ def foundation_checks(transactions: DataFrame, customers: DataFrame, stores: Dat
     supplier_view = suppliers.select("supplier_id", "is_approved").join(approved_ids, "supplier_id", "left")
     return check_report(
         CheckBlock(_duplicate_keys(transactions, "transaction_id"), {"duplicate_transaction_ids": row_count()}),
-        CheckBlock(_key_pairs(transactions, customers, stores), {
+        CheckBlock(_key_counts(transactions, customers, stores), {
             "invalid_customer_fk_in_transactions": F.coalesce(
-                F.sum(F.when(F.col("_customer").isNull(), F.col("_n"))), F.lit(0)),
+                F.sum(F.when(F.col("_by_customer") & F.col("_known").isNull(), F.col("_n"))), F.lit(0)),
             "invalid_store_fk_in_transactions": F.coalesce(
-                F.sum(F.when(F.col("_store").isNull(), F.col("_n"))), F.lit(0))}),
+                F.sum(F.when(~F.col("_by_customer") & F.col("_known").isNull(), F.col("_n"))), F.lit(0))}),
         CheckBlock(supplier_view, {"unapproved_suppliers_in_silver_supply": failed_if(
             (F.coalesce("is_approved", F.lit(False)) != F.lit(True)) | F.col("_backed").isNull())}),
         CheckBlock(quarantine, {"approved_suppliers_in_quarantine": failed_if(

@@ -156,6 +156,19 @@ def test_foreign_key_checks_count_every_bad_transaction(spark):
             got["invalid_store_fk_in_transactions"]) == (1, 3, 2)
 
 
+def test_foreign_key_checks_hold_keys_not_pairs_of_keys(spark):
+    """Ten customers each visit ten stores: 20 rows of counts, whatever the pairs; null keys count as bad."""
+    from hearthlake.operators.quality import _key_counts
+    rows = [(str(c), str(s)) for c in range(10) for s in range(10)] * 2 + [(None, "1"), (None, None), ("1", None)]
+    t = spark.createDataFrame(rows, "customer_id string, store_id string")
+    customers = spark.createDataFrame([(str(c),) for c in range(9)] + [("0",), (None,)], "customer_id string")
+    stores = spark.createDataFrame([(str(s),) for s in range(8)], "store_id string")
+    got = {(r._by_customer, r._key): (r._n, r._known is not None) for r in _key_counts(t, customers, stores).collect()}
+    assert got == ({(True, str(c)): (21 if c == 1 else 20, c < 9) for c in range(10)}
+                   | {(False, str(s)): (21 if s == 1 else 20, s < 8) for s in range(10)}
+                   | {(True, None): (2, False), (False, None): (2, False)})
+
+
 def test_supplier_serving_most_stores(spark):
     """One supplier serves two thirds of the stores; with broadcasts disabled
     the stores side is the streamed side of an inner join (splittable by AQE)
