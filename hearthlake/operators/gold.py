@@ -11,6 +11,8 @@ from hearthlake import params
 from hearthlake.functions import day_of, haversine_km, lexicon_score, week_start
 from hearthlake.operators.intervals import interval_left_join
 
+BROADCAST_STORES = 1_000_000  # stores whose attributes are broadcast, about 100 bytes each
+
 
 def daily_store_health(transactions: DataFrame) -> DataFrame:
     """Revenue, items and mean ticket per (store, UTC day).
@@ -129,7 +131,10 @@ def store_scorecard(daily: DataFrame, stores: DataFrame, sentiment: DataFrame, c
 
     All store-level attributes are joined into one per-store frame first, so
     the large (store, day) side meets two joins: per store, and per
-    (store, week). The week join is an equi-join on the Monday of the day's
+    (store, week). Spark learns the size of the per-store frame only after the
+    customers are rolled up, and has shuffled all (store, day) rows by then;
+    so the stores are counted first, and up to ``BROADCAST_STORES`` of them are
+    sent to the days. The week join is an equi-join on the Monday of the day's
     week, which is exactly the day-in-period condition because every
     sentiment period is one Monday-Sunday week.
 
@@ -147,6 +152,8 @@ def store_scorecard(daily: DataFrame, stores: DataFrame, sentiment: DataFrame, c
     store_level = (stores.select("store_id", "store_name")
                    .join(rollup, "store_name", "left")
                    .join(risk_by_store, "store_id", "left"))
+    if stores.count() <= BROADCAST_STORES:
+        store_level = F.broadcast(store_level)
     week = sentiment.select("store_id", F.col("reporting_period_start").alias("_week"),
                             "customer_satisfaction_score")
     return (daily.withColumn("_week", week_start("reporting_date"))

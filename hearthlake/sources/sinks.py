@@ -88,7 +88,7 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", comment: str
     """
     if bucket_by:
         df = df.repartition(*bucket_by)
-    writer = df.write.mode(mode).format("parquet")
+    writer = df.write.mode(mode).format("parquet").option("compression", "zstd")
     if path:
         writer = writer.option("path", path)
     if partition_by:

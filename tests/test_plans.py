@@ -71,3 +71,32 @@ def test_panel_is_shuffled_once_by_store(spark):
     # one for the distinct store list that seeds the calendar, one for the panel itself, by store and slice
     assert len(by_store) == 1 and len(by_slice) == 1
     assert "CartesianProduct" not in physical and "BroadcastNestedLoopJoin" not in physical
+
+
+def test_scorecard_days_are_not_shuffled_for_their_stores(spark, monkeypatch):
+    """The per-store frame goes to the days, however large Spark estimates it; beyond ``BROADCAST_STORES`` the
+    days are shuffled once more, for the same rows."""
+    from hearthlake.operators import gold
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames = []
+        for most in (gold.BROADCAST_STORES, 0):
+            monkeypatch.setattr(gold, "BROADCAST_STORES", most)
+            frames.append(registry()["gold_store_scorecard"](spark, SF_SMALL))
+        small, large = ([line for line in plan_text(df, mode="simple").splitlines() if "BroadcastHashJoin [store_id" in line]
+                        for df in frames)
+        assert len(small) == 1 and "LeftOuter, BuildRight" in small[0] and not large
+        assert sorted(map(tuple, frames[0].collect())) == sorted(map(tuple, frames[1].collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tables_are_stored_with_zstd(spark, tmp_path):
+    from hearthlake.sources.sinks import write_table
+    write_table(spark.range(10), "zstd_rows", path=str(tmp_path / "rows"))
+    try:
+        assert spark.table("zstd_rows").count() == 10
+        assert all(f.endswith(".zstd.parquet") for f in (p.name for p in (tmp_path / "rows").glob("*.parquet")))
+        assert list((tmp_path / "rows").glob("*.zstd.parquet"))
+    finally:
+        spark.sql("DROP TABLE zstd_rows")
