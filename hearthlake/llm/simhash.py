@@ -10,7 +10,8 @@ are folded into components.
 Equal fingerprints are one class, indexed once, so a group of copies costs one row. A table
 bucket that holds more classes than a whole ball of radius two has members (2,081) is not
 compared pair by pair: its classes look the members of their ball up directly. Both ways are
-exact and nothing is capped.
+exact and nothing is capped. Spark takes exploded rows for no more than the rows they come from,
+so the joins of keys and balls are sort-merge joins by hint: never a broadcast through the driver.
 
 Defined cases: a null or empty text, or one without words, has the fingerprint zero and is
 linked like any other; a text of one or two words has one shingle, the whole sequence; rows
@@ -87,7 +88,7 @@ def links(classes: DataFrame) -> DataFrame:
                     .select("part", "key"), "simhash-crowded")
     parted = not crowded.isEmpty()
     calm = table.join(crowded, ["part", "key"], "left_anti") if parted else table
-    t, p = calm.withColumnRenamed("fp", "u"), probes.withColumnRenamed("fp", "v")
+    t, p = calm.withColumnRenamed("fp", "u").hint("merge"), probes.withColumnRenamed("fp", "v")
     near = (F.col("u") != F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= MAX_BITS)
     found = t.join(p, (t["part"] == p["part"]) & (t["key"] == p["key"]) & near).select("u", "v")
     if parted:
@@ -96,7 +97,7 @@ def links(classes: DataFrame) -> DataFrame:
         ball = (busy.withColumn("a", F.explode(F.concat(F.array(F.lit(0).cast("long")), flips)))
                 .withColumn("b", F.explode(flips)).filter("a <> b")
                 .select(F.col("fp").alias("u"), F.expr("fp ^ a ^ b").alias("w")))
-        whole = classes.select(F.col("fp").alias("v"))
+        whole = classes.select(F.col("fp").alias("v")).hint("merge")
         found = found.union(ball.join(whole, F.col("w") == F.col("v")).select("u", "v"))
     return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
 

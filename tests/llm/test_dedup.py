@@ -143,6 +143,21 @@ def test_links_equal_all_pairs_also_in_crowded_buckets(spark, monkeypatch, crowd
     assert got == want and len(want) > 100
 
 
+@pytest.mark.parametrize("crowded", [simhash.CROWDED, 3])
+def test_exploded_rows_are_not_broadcast(spark, monkeypatch, tmp_path, crowded):
+    monkeypatch.setattr(simhash, "CROWDED", crowded)
+    spark.createDataFrame([(f << 40 | 1 << b,) for f in range(1, 5) for b in range(30)], "fp long").write.parquet(str(tmp_path / "fps"))
+    found = simhash.links(spark.read.parquet(str(tmp_path / "fps")))
+    assert found.count() > 100
+    plan = found._jdf.queryExecution().executedPlan().toString().split("\n")  # the sides are a few KB in Spark's eyes
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    joins = [line for line in plan if "SortMergeJoin" in line]
+    assert len(joins) == (2 if crowded == 3 else 1)
+    for i in (i for i, line in enumerate(plan) if "BroadcastExchange" in line):
+        below = next((j for j in range(i + 1, len(plan)) if depth(plan[j]) <= depth(plan[i])), len(plan))
+        assert not any("Generate" in line for line in plan[i:below])
+
+
 def test_components_of_chains_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, i) for i in range(500, 560)] + [(i, 200 + (i + 1 - 200) % 30) for i in range(200, 230)]
     got = {r.u: r.root for r in fold_components(spark.createDataFrame(edges, "u long, v long"), "test").collect()}
