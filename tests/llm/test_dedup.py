@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
+import corpus_pipeline
 from cases import LONG, ROWS, documents, empty, lowered
 from conftest import SF_SMALL
 from hearthlake.llm import exact_dedup, simhash
@@ -143,19 +144,32 @@ def test_links_equal_all_pairs_also_in_crowded_buckets(spark, monkeypatch, crowd
     assert got == want and len(want) > 100
 
 
+def joined_by_sorting(df):
+    """The sort-merge joins of a plan in which no exploded rows are broadcast."""
+    plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for i in (i for i, line in enumerate(plan) if "BroadcastExchange" in line):
+        below = next((j for j in range(i + 1, len(plan)) if depth(plan[j]) <= depth(plan[i])), len(plan))
+        assert not any("Generate" in line for line in plan[i:below])
+    return sum("SortMergeJoin" in line for line in plan)
+
+
 @pytest.mark.parametrize("crowded", [simhash.CROWDED, 3])
 def test_exploded_rows_are_not_broadcast(spark, monkeypatch, tmp_path, crowded):
     monkeypatch.setattr(simhash, "CROWDED", crowded)
     spark.createDataFrame([(f << 40 | 1 << b,) for f in range(1, 5) for b in range(30)], "fp long").write.parquet(str(tmp_path / "fps"))
     found = simhash.links(spark.read.parquet(str(tmp_path / "fps")))
     assert found.count() > 100
-    plan = found._jdf.queryExecution().executedPlan().toString().split("\n")  # the sides are a few KB in Spark's eyes
-    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
-    joins = [line for line in plan if "SortMergeJoin" in line]
-    assert len(joins) == (2 if crowded == 3 else 1)
-    for i in (i for i, line in enumerate(plan) if "BroadcastExchange" in line):
-        below = next((j for j in range(i + 1, len(plan)) if depth(plan[j]) <= depth(plan[i])), len(plan))
-        assert not any("Generate" in line for line in plan[i:below])
+    assert joined_by_sorting(found) == (2 if crowded == 3 else 1)
+
+
+def test_pipeline_step_broadcasts_no_exploded_rows(spark, monkeypatch):
+    seen, fold = [], simhash.fold_components
+    monkeypatch.setattr(simhash, "fold_components", lambda edges, name: seen.append(edges) or fold(edges, name))
+    docs = documents(spark)
+    got = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert Counter(r.doc_id for r in got) == Counter({c for _, _, c in plain_components([(i, plain_fingerprint(t)) for i, t in ROWS])})
+    assert [joined_by_sorting(edges) for edges in seen] == [1]
 
 
 def test_components_of_chains_stars_and_rings(spark):
